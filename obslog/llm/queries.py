@@ -3,17 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from obslog.llm.common import documents
+from obslog.llm.common import documents, split_third
+from obslog.llm.decontaminate import find_leaks
+from obslog.llm.language_id import fit_language_id, identify_languages
+from obslog.llm.mixing import mix_sources, source_rates
 from obslog.llm.near_dedup import near_duplicates
+from obslog.llm.sharding import shard_by_bytes
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = fit_language_id(docs.where(split_third(F.col("doc_id")) != 1))
+    held_out = F.coalesce(split_third(F.col("doc_id")) == 1, F.lit(False))
+    return identify_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_by_bytes(documents(spark, sf_dir))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op9_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    mixed = mix_sources(docs, source_rates(docs))
+    return mixed.select("doc_id", "source", "replica", "rate", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op3_histogram_sort_shards": op3_histogram_sort_shards,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op9_poisson_mixing": op9_poisson_mixing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
