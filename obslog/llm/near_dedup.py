@@ -222,7 +222,8 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     clusters = cut(shared.join(leaders.select("bucket", (-F.col("best.minus")).alias("leader")), "bucket").select("leader", "doc_id").distinct())
     chunks = clusters.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(p.block)).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
-    sets = docs.join(clusters.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(p), "doc_id long, items binary, sketch binary")
+    wanted = clusters.select("doc_id").distinct().hint("merge")  # grows with the documents: never a broadcast
+    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(p), "doc_id long, items binary, sketch binary")
     dealt = (
         clusters.join(chunks.where("chunks > 1"), "leader", "left")
         .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
