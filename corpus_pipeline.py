@@ -12,12 +12,15 @@ from obslog.llm.common import cut, documents, split_third
 from obslog.llm.decontaminate import drop_leaking
 from obslog.llm.language_id import UNDETERMINED, fit_language_id, identify_languages
 from obslog.llm.mixing import mix_sources, source_rates
-from obslog.llm.near_dedup import drop_near_duplicates
+from obslog.llm.near_dedup import NearDedup, drop_near_duplicates
 from obslog.llm.sharding import shard_by_bytes
 
 #: A document of which the classifier is less sure than this has no one language.
 LEAST_SCORE = 0.5
 
+#: Five-word shingles, similarity 0.8 or more; a pair at 0.8 misses all bands with probability 7e-10.
+NEAR = NearDedup(shingle=5, threshold_percent=80, bands=40, rows=4, sketch_floor=0.45)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the classifier knows; texts without letters and mixtures go."""
@@ -28,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
