@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslog.llm.common import documents, split_third
+from obslog.llm.common import cut, documents, split_third
 from obslog.llm.decontaminate import find_leaks
+from obslog.llm.imatch import edited, fingerprint_texts, lexicon, likeness, printed, with_next
 from obslog.llm.language_id import fit_language_id, identify_languages
+from obslog.llm.license_scan import scan_licenses
 from obslog.llm.mixing import mix_sources, source_rates
 from obslog.llm.near_dedup import near_duplicates
 from obslog.llm.sharding import shard_by_bytes
@@ -25,10 +27,34 @@ def op3_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    terms = lexicon(docs)
+    pairs = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    both = pairs.select(
+        "doc_id", "row", "next_row", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("t"),
+    ).select("doc_id", "row", "next_row", "n_chars", "edited_sha256", "t.kind", "t.text")
+    keys = ["doc_id", "row", "next_row", "n_chars", "edited_sha256"]
+    prints = cut(fingerprint_texts(both, terms, [*keys, "kind"]))
+    own = prints.where("kind = 0").drop("kind")
+    after = prints.where("kind = 1").select("row", F.col("fp").alias("edited_fp"))
+    follower = own.select(F.col("row").alias("next_row"), F.col("fp").alias("next_fp"))
+    rows = own.join(after, "row").join(follower, "next_row")
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", printed(F.col("fp")).alias("fingerprint"), printed(F.col("edited_fp")).alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op9_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     mixed = mix_sources(docs, source_rates(docs))
@@ -42,7 +68,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_histogram_sort_shards": op3_histogram_sort_shards,
+    "op4_imatch_fingerprints": op4_imatch_fingerprints,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_license_scan": op7_license_scan,
     "op9_poisson_mixing": op9_poisson_mixing,
     "op10_decontamination": op10_decontamination,
 }
