@@ -31,6 +31,8 @@ def poisson_count(mean: Column, u: Column) -> Column:
 
 #: Means above this are split into equal parts, each drawn on its own: a sum of Poisson numbers is one.
 PART = 64.0
+#: A rate table of at most so many rows is broadcast.
+BROADCAST_SOURCES = 100_000
 
 
 def replication_counts(mean: Column, *key, seed: int) -> Column:
@@ -73,12 +75,14 @@ def mix_sources(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", sourc
     Every copy goes to a random partition and random place in it, by hash: one exchange,
     in which a hot source or a much repeated row spreads over all partitions. With `mark`,
     columns replica (1, 2, ...) and rate are added, replacing columns of these names.
-    The rates, one row per source, are joined as Spark sees fit: broadcast only under its own
-    size limit, else by a join whose skewed partitions Spark splits. Null sources are a source;
-    rows of a source without a rate go. No rows give no rows."""
+    The rates, one row per source, are counted: up to BROADCAST_SOURCES of them are broadcast,
+    more are joined by a shuffle whose skewed partitions Spark splits. Null sources are a
+    source; rows of a source without a rate go. No rows give no rows."""
     key = [F.col(f"`{id_col}`"), *([F.xxhash64("text")] if "text" in docs.columns else [])]
     names = [c for c in docs.columns if not mark or c.lower() not in ("replica", "rate")]
     r = rates.select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
+    if r.count() <= BROADCAST_SOURCES:
+        r = F.broadcast(r)
     drawn = (
         without(docs, "__source", "__rate", "__n", "__copy", "__place")
         .join(r, F.col(f"`{source_col}`").eqNullSafe(F.col("__source")))
