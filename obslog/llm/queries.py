@@ -13,6 +13,7 @@ from obslog.llm.license_scan import scan_licenses
 from obslog.llm.mixing import mix_sources, source_rates
 from obslog.llm.near_dedup import near_duplicates
 from obslog.llm.sharding import shard_by_bytes
+from obslog.llm.warc import round_trip
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,10 @@ def op4_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_histogram_sort_shards": op3_histogram_sort_shards,
     "op4_imatch_fingerprints": op4_imatch_fingerprints,
+    "op5_warc_round_trip": op5_warc_round_trip,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_license_scan": op7_license_scan,
     "op9_poisson_mixing": op9_poisson_mixing,
