@@ -12,6 +12,7 @@ from obslog.llm.language_id import fit_language_id, identify_languages
 from obslog.llm.license_scan import scan_licenses
 from obslog.llm.mixing import mix_sources, source_rates
 from obslog.llm.near_dedup import near_duplicates
+from obslog.llm.quality import fit_quality, score_quality
 from obslog.llm.sharding import shard_by_bytes
 from obslog.llm.warc import round_trip
 
@@ -60,6 +61,14 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    known = spark.read.parquet(f"{sf_dir}/labels.parquet").where(split_third(F.col("doc_id")) != 1)
+    model = fit_quality(known.where("quality = 1"), docs.where(split_third(F.col("doc_id")) != 1))
+    held_out = F.coalesce(split_third(F.col("doc_id")) == 1, F.lit(False))
+    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     mixed = mix_sources(docs, source_rates(docs))
@@ -77,6 +86,7 @@ QUERIES = {
     "op5_warc_round_trip": op5_warc_round_trip,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_license_scan": op7_license_scan,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_poisson_mixing": op9_poisson_mixing,
     "op10_decontamination": op10_decontamination,
 }
