@@ -13,10 +13,16 @@ from obslog.llm.license_scan import scan_licenses
 from obslog.llm.mixing import mix_sources, source_rates
 from obslog.llm.near_dedup import near_duplicates
 from obslog.llm.quality import fit_quality, score_quality
+from obslog.llm.repeats import remove_repeats
 from obslog.llm.sharding import shard_by_bytes
 from obslog.llm.warc import round_trip
 
 
+def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = fit_language_id(docs.where(split_third(F.col("doc_id")) != 1))
@@ -80,6 +86,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_repeats": op1_suffix_repeats,
     "op2_language_id": op2_language_id,
     "op3_histogram_sort_shards": op3_histogram_sort_shards,
     "op4_imatch_fingerprints": op4_imatch_fingerprints,
