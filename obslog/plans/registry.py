@@ -1,4 +1,6 @@
 """Named queries over the test tables and their oracle SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from obslog.plans.oracle import ORACLE_SQL
+from obslog.plans.queries import QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
