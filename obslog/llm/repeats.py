@@ -32,9 +32,9 @@ from obslog.llm.kernels import Hashes, mix, slices
 
 @dataclass(frozen=True)
 class Repeats:
-    """Parameters. `local_contexts`: of one anchor's contexts in a slice of documents, so many go to
-    the anchor's bucket to be counted; the rest are known to need the suffix order and go
-    there directly. A bucket of over `bucket_rows` contexts, or an eighth of an even share of a
+    """Parameters. `local_contexts` (2 or more): of one anchor's contexts in a slice of documents, so
+    many go to the anchor's bucket to be counted, which tells that it has several; the rest are
+    known to need the suffix order and bypass it. A bucket of over `bucket_rows` contexts, or an eighth of an even share of a
     task if that is more, is split."""
 
     length: int = 100
@@ -43,6 +43,10 @@ class Repeats:
     bucket_rows: int = 1000
     chunk_windows: int = 150_000
 
+    def __post_init__(self):
+        if self.local_contexts < 2 or not 0 < self.gram <= self.length <= 128:
+            raise ValueError("local_contexts must be 2 or more, gram at most length, length at most 128")
+
 
 _PLACE = np.uint64((1 << 30) - 1)
 _ANCHOR, _REPEATED, _SORT = 0, 1, 2
@@ -113,7 +117,8 @@ def _merged(doc, s, e):
 def _collect(p: Repeats):
     """Documents to rows (bucket, context, doc, packed). packed: kind, anchor place, and how far before it the first and last window start.
 
-    A repeated run has its last window start in `context` and a bucket of its own choosing."""
+    A repeated run has its last window start in `context`; a context that bypasses its bucket
+    has its anchor's hash there. Both are spread over all tasks by their place."""
 
     def run(batches):
         for batch in batches:
@@ -131,10 +136,14 @@ def _collect(p: Repeats):
                 live = kind != _REPEATED
                 packed = (kind << 60) | (place << 16) | ((place - s) << 8) | (place - e)
                 d, a, b = _merged(doc[~live], s[~live], e[~live])
+                spread = lambda d, x: mix((d * 1_000_003 + x).view(np.uint64)).view(np.int64)
+                sort = kind == _SORT
+                bucket = np.where(sort, spread(doc, place), anchor.view(np.int64))
+                context = np.where(sort, anchor.view(np.int64), context.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([anchor[live].view(np.int64), mix((d * 1_000_003 + a).view(np.uint64)).view(np.int64)])),
-                        pa.array(np.concatenate([context[live].view(np.int64), b])),
+                        pa.array(np.concatenate([bucket[live], spread(d, a)])),
+                        pa.array(np.concatenate([context[live], b])),
                         pa.array(np.concatenate([doc[live], d])),
                         pa.array(np.concatenate([packed[live], (np.int64(_REPEATED) << 60) | (a << 16)])),
                     ],
@@ -168,6 +177,7 @@ def _resolve(p: Repeats):
             sort.append(at[first & new2 & several])
         d, a, b = _merged(*(np.concatenate(x) for x in zip(*out, strict=True)))
         i = np.concatenate(sort)
+        bucket = np.where(kind == _SORT, context, bucket)
         zero = np.zeros(len(d), np.int64)
         yield pa.RecordBatch.from_arrays(
             [
