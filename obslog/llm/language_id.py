@@ -21,12 +21,14 @@ class LanguageId:
     """Parameters. The broadcast model has languages x buckets numbers; `most_languages` bounds it.
 
     `evidence` is how many n-grams' worth of mean log-likelihood the score rests on at most;
-    naive Bayes would otherwise answer 0 or 1 for every text of some length."""
+    naive Bayes would otherwise answer 0 or 1 for every text of some length. A task holds the
+    n-grams of about `slice_bytes` of text at a time, or of one document."""
 
     orders: tuple[int, ...] = (1, 2, 3)
     buckets: int = 8192
     smoothing: float = 0.5
     evidence: int = 60
+    slice_bytes: int = 1 << 18
     most_languages: int = 1024
 
 
@@ -41,7 +43,7 @@ def ngram_buckets(column: pa.Array, p: LanguageId) -> Iterator[tuple[int, int, n
     """(first row, end row, row of each n-gram, its bucket) for runs of rows.
 
     N-grams are of characters and never cross documents; those of spaces only are left out."""
-    for lo, hi, data, offsets in slices(column):
+    for lo, hi, data, offsets in slices(column, p.slice_bytes):
         data = _LETTERS[data]
         starts = np.flatnonzero((data & 0xC0) != 0x80)
         first = np.searchsorted(starts, offsets)
@@ -103,7 +105,7 @@ class Model:
             x = mean * np.minimum(n, self.p.evidence)[:, None] + self.prior
             x = np.exp(x - x.max(axis=1, keepdims=True))
             x /= x.sum(axis=1, keepdims=True)
-            best[lo:hi], score[lo:hi] = x.argmax(axis=1), x.max(axis=1)
+            best[lo:hi], score[lo:hi] = x.argmax(axis=1), np.round(x.max(axis=1), 9)
         return best, score
 
 

@@ -116,16 +116,24 @@ class QualityModel:
     def _class_prior(self, pos: np.ndarray, unl: np.ndarray) -> float:
         """The share of positives in the unlabelled text: over regions that a positive-against-unlabelled
         model prefers, the least ratio of the unlabelled share to the positive share."""
-        w = self._descend(lambda w: (pos.T @ (_sigmoid(pos @ w) - 1) / len(pos) + unl.T @ _sigmoid(unl @ w) / len(unl)) / 2)
-        a, b = np.sort(pos @ w), np.sort(unl @ w)
         ratios = []
-        for q in np.linspace(0.02, 0.8, 40):
-            t = a[int(q * (len(a) - 1))]
-            share_p = (len(a) - np.searchsorted(a, t)) / len(a)
-            share_u = (len(b) - np.searchsorted(b, t)) / len(b)
-            noise = np.sqrt(max(share_u * (1 - share_u), 1e-9) / len(b)) / share_p
-            ratios.append(share_u / share_p + noise)
-        return float(np.clip(min(ratios), 0.01, 0.99))
+        for half in (0, 1):  # fitted on one half of the rows and read off the other
+            p, u = pos[half::2], unl[half::2]
+            if not len(p) or not len(u):
+                continue
+            w = self._descend(lambda w: (p.T @ (_sigmoid(p @ w) - 1) / len(p) + u.T @ _sigmoid(u @ w) / len(u)) / 2)
+            a, b = np.sort(pos[1 - half :: 2] @ w), np.sort(unl[1 - half :: 2] @ w)
+            if not len(a) or not len(b):
+                continue
+            found = []
+            for q in np.linspace(0.02, 0.8, 40):
+                t = a[int(q * (len(a) - 1))]
+                share_p = (len(a) - np.searchsorted(a, t)) / len(a)
+                share_u = (len(b) - np.searchsorted(b, t)) / len(b)
+                noise = np.sqrt(max(share_u * (1 - share_u), 1e-9) / len(b)) / share_p
+                found.append(share_u / share_p + noise)
+            ratios.append(min(found))
+        return float(np.clip(np.mean(ratios or [0.5]), 0.01, 0.99))
 
     def _descend(self, gradient) -> np.ndarray:
         """Adam from zero."""
@@ -150,7 +158,8 @@ class QualityModel:
         self.weights = self._descend(gradient)
 
     def score(self, column: pa.Array) -> np.ndarray:
-        return _sigmoid(self._ready(features(column)) @ self.weights)
+        z = (self._ready(features(column)) * self.weights).sum(axis=1)  # row by row: the same in any company
+        return np.round(_sigmoid(z), 9)
 
 
 def fit_quality(trusted: DataFrame, web: DataFrame, p: QualityLearning = QualityLearning(), id_col: str = "doc_id", text_col: str = "text") -> QualityModel:

@@ -1,0 +1,99 @@
+
+import pytest
+from pyspark.sql import functions as F
+
+from obslog.llm.imatch import IMatch, edited, fingerprint_texts, lexicon, likeness, with_next
+from obslog.llm.license_scan import PHRASES, TEMPLATES, scan_licenses, words_of
+
+
+def base_places(text):
+    w = words_of(text)
+    return sorted((i, label) for phrase, label in PHRASES.items() for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split())
+
+
+@pytest.fixture(scope="module")
+def files(prose):
+    rows = [(i, prose(i, 60)) for i in range(60)]
+    rows += [(100 + i, f"{prose(i, 9)}\n{text.capitalize()}. {prose(i + 99, 9)}") for i, (_, _, text) in enumerate(TEMPLATES)]
+    rows += [(200, "MIT License, mit-license; the MIT\nLICENSE GNU General Public License Apache License"), (201, "cc by cc by"), (202, "cc"), (203, "licence mit license"), (204, ""), (205, None), (206, "é" * 9), (207, "license " * 5000 + "mit license")]
+    rows += [(300, "general public license of the gnu"), (301, "mit İlicense"), (302, "MIT K license")]
+    return rows
+
+
+def test_base_places_and_words(table, files):
+    rows = scan_licenses(table(files).select("doc_id", "text")).collect()
+    assert len(rows) == len(files)
+    texts = dict(files)
+    for r in rows:
+        places = base_places(texts[r.doc_id])
+        at = [i for i, _ in places]
+        labels = ",".join(sorted({x for _, x in places}))
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(words_of(texts[r.doc_id])), len(at), min(at, default=None), max(at, default=None), labels)
+        assert set(filter(None, labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_templates_are_found_and_prose_is_not(table, files):
+    rows = {r.doc_id: r for r in scan_licenses(table(files).select("doc_id", "text")).collect()}
+    for i, (label, _, _) in enumerate(TEMPLATES):
+        assert label in rows[100 + i].labels.split(",") and rows[100 + i].score == pytest.approx(1)
+    assert all(rows[i].labels == "" and rows[i].score == 0 for i in range(60))
+    assert rows[300].labels == "" and rows[202].labels == ""
+
+
+def test_scan_edge_cases(table, files):
+    assert scan_licenses(table([])).collect() == []
+    df = table([(1, "MIT License"), (1, "MIT License"), (None, "MIT License")]).withColumn("labels", F.lit("old")).withColumn("w", F.lit(1)).withColumn("template", F.lit(2))
+    out = scan_licenses(df)
+    assert [(r.doc_id, r.n_base, r.labels.split(",")[-1], r.w, r.template) for r in out.collect()].count((1, 1, "mit", 1, 2)) == 2
+
+
+def chain(docs):
+    rows = sorted(((d, t or "") for d, t in docs), key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
+    return [(d, t, rows[(i + 1) % len(rows)][1]) for i, (d, t) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("size", [3, 10_000])
+def test_each_document_meets_the_next(table, prose, size):
+    docs = [(i * i * 7 % 1009, prose(i, 5 + i % 9)) for i in range(60)] + [(5000, "same id b"), (5000, "same id a"), (None, "no id"), (10**12, "far"), (6000, None)]
+    df = table(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = with_next(df, rows_a_bucket=size)
+    rows = out.select("doc_id", "text", "next_text", "row", "next_row", edited(F.col("text"), F.col("next_text")).alias("e")).collect()
+    key = lambda r: (str(r[0]), r[1], r[2])
+    assert sorted(((r.doc_id, r.text, r.next_text) for r in rows), key=key) == sorted(chain(docs), key=key)
+    texts = {r.row: r.text for r in rows}
+    assert len(texts) == len(docs) and all(texts[r.next_row] == r.next_text for r in rows)
+    for r in rows:
+        m = len(r.text) // 3
+        assert r.e == r.text[: len(r.text) - m] + r.next_text[:m]
+
+
+def test_one_or_no_document(table):
+    assert with_next(table([]).select("doc_id", "text")).collect() == []
+    (row,) = with_next(table([(3, "alone")]).select("doc_id", "text")).collect()
+    assert row.next_text == "alone" and row.next_row == row.row
+
+
+def test_lexicon_band(spark, table):
+    docs = table([(i, " ".join(f"t{k}" for k in range(1, 60) if i % k == 0)) for i in range(400)])
+    p = IMatch(least_share=0.02, most_share=0.2)
+    got = {r.term for r in lexicon(docs, p).collect()}
+    want = [k for k in range(1, 60) if 8 <= len(range(0, 400, k)) <= 80]
+    hashes = {r.h for r in spark.createDataFrame([(f"t{k}",) for k in want], "t string").select(F.xxhash64("t").alias("h")).collect()}
+    assert got == hashes
+
+
+def test_fingerprints(spark, table, prose):
+    p = IMatch(least_share=0.001, most_share=0.5)
+    base = prose(1, 300)
+    docs = [(i, prose(i, 150)) for i in range(2, 60)] + [(100, base), (101, base), (102, " ".join(reversed(base.split()))), (103, base + " zzz"), (104, base[: len(base) // 2] + prose(7, 150)), (105, ""), (106, "zzz yyy"), (107, "yyy zzz")]
+    df = table(docs)
+    terms = lexicon(df, p)
+    prints = fingerprint_texts(df.select("doc_id", "text"), terms, ["doc_id"], p)
+    fps = {r.doc_id: r.fp for r in prints.collect()}
+    assert len(fps) == len(docs) and fps[100] == fps[101] == fps[102]
+    a, b = prints.select(F.col("doc_id").alias("i"), F.col("fp").alias("x")), prints.select(F.col("doc_id").alias("j"), F.col("fp").alias("y"))
+    near = {(r.i, r.j): r.n for r in a.join(b, F.col("i") <= F.col("j")).select("i", "j", likeness(F.col("x"), F.col("y"), p).alias("n")).collect()}
+    assert all(0 <= n <= 1 for n in near.values()) and near[100, 102] == 1.0
+    assert near[100, 104] > sum(near[i, 100] for i in range(2, 60)) / 58  # a small vocabulary: prose is alike too
+
+
