@@ -84,20 +84,21 @@ def printed(fp: Column) -> Column:
 def fingerprint_texts(texts: DataFrame, terms: DataFrame, keys: list[str], p: IMatch = IMatch()) -> DataFrame:
     """`keys` and fp (array of hashes) for each row of `texts`, whose other column is `text`.
 
-    keys name a row, with few distinct types; rows equal in all keys count as one. Terms
-    are looked up by a join and come together again in the task that read the text, before
-    any exchange."""
+    keys name a row; rows equal in all keys count as one. Where the texts are partitioned by
+    some of the keys already, their terms come together again without an exchange. Each text
+    keeps one place for no term at all, so that one without any is still there."""
     n = terms.count()
     lex = F.broadcast(terms) if n <= p.broadcast_terms else terms
-    words = folded_words(F.col("text"))
-    rows = texts.select(*keys, F.xxhash64(F.coalesce("text", F.lit(""))).alias("__h"), F.explode_outer(F.array_distinct(words)).alias("__t"))
-    found = rows.select(*keys, "__h", F.xxhash64("__t").alias("__x")).join(lex.withColumnRenamed("term", "__term"), F.col("__x") == F.col("__term"), "left")
+    words = F.concat(F.array_distinct(folded_words(F.col("text"))), F.array(F.lit("")))
+    rows = texts.select(*keys, F.xxhash64(F.coalesce("text", F.lit(""))).alias("__h"), F.explode(words).alias("__t"))
+    hashed = rows.select(*keys, "__h", (F.col("__t") == "").alias("__none"), F.xxhash64("__t").alias("__x"))
+    found = hashed.join(lex.withColumnRenamed("term", "__term"), F.col("__x") == F.col("__term"), "left").where("__none OR __term IS NOT NULL")
     grouped = found.groupBy(*keys).agg(F.max("__h").alias("__h"), F.sort_array(F.collect_set("__term")).alias("__terms"))
     return grouped.select(*keys, fingerprint(F.col("__terms"), F.col("__h"), p).alias("fp"))
 
 
 def with_next(docs: DataFrame, rows_a_bucket: int = 1000) -> DataFrame:
-    """doc_id, text, row, next_text and next_row: each document with its successor in descending doc_id (after the last, the first).
+    """bucket, doc_id, text, row, next_text and next_row: each document with its successor in descending doc_id (after the last, the first).
 
     Documents are cut at exact-enough quantiles of doc_id into at most 65,536 buckets, each
     ordered on its own; the first document of a bucket is also put at the end of the bucket
@@ -127,7 +128,7 @@ def with_next(docs: DataFrame, rows_a_bucket: int = 1000) -> DataFrame:
     rows = placed.select("doc_id", "text", "bucket", F.lit(0).alias("copy"), F.lit(None).cast("long").alias("of")).union(copies)
     order = Window.partitionBy("bucket").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc_nulls_last("text"))
     numbered = rows.withColumn("row", F.coalesce("of", F.col("bucket") * (1 << 40) + F.row_number().over(order)))
-    return numbered.select("doc_id", "text", "copy", "row", F.lead("text").over(order).alias("next_text"), F.lead("row").over(order).alias("next_row")).where("copy = 0").drop("copy")
+    return numbered.select("bucket", "doc_id", "text", "copy", "row", F.lead("text").over(order).alias("next_text"), F.lead("row").over(order).alias("next_row")).where("copy = 0").drop("copy")
 
 
 def edited(text: Column, follower: Column) -> Column:
