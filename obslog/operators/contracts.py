@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,27 +10,28 @@ from pyspark.sql import functions as F
 from obslog.schemas import require_columns
 from obslog.sources.log import ZONED
 
-Rule = tuple[str, Column]
+#: A name, and what gives the condition that a bad row meets; columns need a session, which rules don't.
+Rule = tuple[str, Callable[[], Column]]
 
 
 def absent(c: str) -> Rule:
-    return f"{c} missing", F.col(c).isNull()
+    return f"{c} missing", lambda: F.col(c).isNull()
 
 
 def blank(c: str) -> Rule:
-    return f"{c} blank", F.col(c).isNull() | (F.length(F.trim(c)) == 0)
+    return f"{c} blank", lambda: F.col(c).isNull() | (F.length(F.trim(c)) == 0)
 
 
 def not_positive(c: str) -> Rule:
-    return f"{c} not positive", F.col(c).isNull() | (F.col(c) <= 0)
+    return f"{c} not positive", lambda: F.col(c).isNull() | (F.col(c) <= 0)
 
 
 def differs(a: str, b: str) -> Rule:
-    return f"{a} differs from {b}", ~F.col(a).eqNullSafe(F.col(b))
+    return f"{a} differs from {b}", lambda: ~F.col(a).eqNullSafe(F.col(b))
 
 
 def not_zoned(raw: str) -> Rule:
-    return f"{raw} without zone", F.col(raw).isNull() | ~F.col(raw).rlike(ZONED) | F.col(raw).contains("\n")
+    return f"{raw} without zone", lambda: F.col(raw).isNull() | ~F.col(raw).rlike(ZONED) | F.col(raw).contains("\n")
 
 
 _ENVELOPE = [blank("repository_owner"), blank("repository_name"), blank("source_run_id"), absent("_ingested_at")]
@@ -48,7 +49,7 @@ ISSUE_RULES: list[Rule] = [
     absent("created_at"),
     not_zoned("_updated_raw"),
     differs("updated_at", "_source_updated_at"),
-    ("_closed_raw without zone", F.col("_closed_raw").isNotNull() & (F.col("closed_at").isNull() | ~F.col("_closed_raw").rlike(ZONED))),
+    ("_closed_raw without zone", lambda: F.col("_closed_raw").isNotNull() & (F.col("closed_at").isNull() | ~F.col("_closed_raw").rlike(ZONED))),
 ]
 
 ENVELOPE_RULES: list[Rule] = [
@@ -57,14 +58,14 @@ ENVELOPE_RULES: list[Rule] = [
     differs("_payload_id", "issue_id"),
     absent("observed_at"),
     absent("labels"),
-    ("labels repeat an id", F.coalesce(F.size("labels") != F.size(F.array_distinct(F.transform("labels", lambda x: x["id"]))), F.lit(False))),
+    ("labels repeat an id", lambda: F.coalesce(F.size("labels") != F.size(F.array_distinct(F.transform("labels", lambda x: x["id"]))), F.lit(False))),
 ]
 
 LABEL_RULES: list[Rule] = [
     *_ENVELOPE,
     not_positive("label_id"),
     blank("name"),
-    ("color not six hex digits", F.col("color").isNull() | ~F.col("color").rlike("^[0-9a-f]{6}$") | (F.length("color") != 6)),
+    ("color not six hex digits", lambda: F.col("color").isNull() | ~F.col("color").rlike("^[0-9a-f]{6}$") | (F.length("color") != 6)),
     absent("is_default"),
     not_positive("source_issue_id"),
     absent("observed_at"),
@@ -86,7 +87,7 @@ OBSERVATION_RULES: list[Rule] = [blank("repository_owner"), blank("repository_na
 
 def judged(rows: DataFrame, rules: Sequence[Rule], into: str = "violations") -> DataFrame:
     """`rows` with the names of the rules that each breaks, in the rules' order. A rule that evaluates to null is kept."""
-    return rows.withColumn(into, F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules])))
+    return rows.withColumn(into, F.array_compact(F.array(*[F.when(bad(), F.lit(name)) for name, bad in rules])))
 
 
 def invalid(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -39,13 +39,13 @@ def run_ledger(events: DataFrame) -> DataFrame:
 
 #: What must not be in a ledger with watermark_before_value.
 RUN_RULES: list[Rule] = [
-    ("unknown status", F.col("status").isNull() | ~F.col("status").isin("running", *TERMINAL)),
-    ("running but finished", (F.col("status") == "running") & F.col("finished_at").isNotNull()),
-    ("ended without an end", F.col("status").isin(*TERMINAL) & F.col("finished_at").isNull()),
-    ("failed without a message", (F.col("status") == "failed") & (F.col("error_message").isNull() | (F.length(F.trim("error_message")) == 0))),
-    ("message without a failure", (F.col("status") != "failed") & F.col("error_message").isNotNull()),
-    ("ended before its start", F.col("finished_at") < F.col("started_at")),
-    ("candidate before its watermark", F.col("candidate_watermark_value") < F.col("watermark_before_value")),
+    ("unknown status", lambda: F.col("status").isNull() | ~F.col("status").isin("running", *TERMINAL)),
+    ("running but finished", lambda: (F.col("status") == "running") & F.col("finished_at").isNotNull()),
+    ("ended without an end", lambda: F.col("status").isin(*TERMINAL) & F.col("finished_at").isNull()),
+    ("failed without a message", lambda: (F.col("status") == "failed") & (F.col("error_message").isNull() | (F.length(F.trim("error_message")) == 0))),
+    ("message without a failure", lambda: (F.col("status") != "failed") & F.col("error_message").isNotNull()),
+    ("ended before its start", lambda: F.col("finished_at") < F.col("started_at")),
+    ("candidate before its watermark", lambda: F.col("candidate_watermark_value") < F.col("watermark_before_value")),
 ]
 
 

@@ -95,11 +95,11 @@ def freeze(tables: dict[str, DataFrame], versions: dict[str, int], path: str) ->
 
 MANIFEST_RULES: list[Rule] = [
     *[blank(c) for c in ("repository_owner", "repository_name", "bronze_table", "code_commit", "transformation_version")],
-    ("bronze_version negative", F.col("bronze_version").isNull() | (F.col("bronze_version") < 0)),
-    ("no runs", F.col("successful_run_ids").isNull() | (F.size("successful_run_ids") == 0)),
-    ("runs repeat", F.coalesce(F.size("successful_run_ids") != F.size(F.array_distinct("successful_run_ids")), F.lit(False))),
-    ("run blank", F.coalesce(F.exists("successful_run_ids", lambda r: F.length(F.trim(r)) == 0), F.lit(False))),
-    ("cutoff missing", F.col("cutoff_at").isNull()),
+    ("bronze_version negative", lambda: F.col("bronze_version").isNull() | (F.col("bronze_version") < 0)),
+    ("no runs", lambda: F.col("successful_run_ids").isNull() | (F.size("successful_run_ids") == 0)),
+    ("runs repeat", lambda: F.coalesce(F.size("successful_run_ids") != F.size(F.array_distinct("successful_run_ids")), F.lit(False))),
+    ("run blank", lambda: F.coalesce(F.exists("successful_run_ids", lambda r: F.length(F.trim(r)) == 0), F.lit(False))),
+    ("cutoff missing", lambda: F.col("cutoff_at").isNull()),
 ]
 
 
