@@ -12,6 +12,7 @@ from obslog.llm.language_id import fit_language_id, identify_languages
 from obslog.llm.license_scan import scan_licenses
 from obslog.llm.mixing import mix_sources, source_rates
 from obslog.llm.near_dedup import near_duplicates
+from obslog.llm.oracle import ORACLE_SQL
 from obslog.llm.quality import fit_quality, score_quality
 from obslog.llm.repeats import remove_repeats
 from obslog.llm.sharding import shard_by_bytes
@@ -98,4 +99,4 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
