@@ -220,12 +220,13 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     central = shared.groupBy("doc_id").agg(F.sum("members").alias("companions"))
     leaders = shared.join(central, "doc_id").groupBy("bucket").agg(F.max(F.struct("companions", (-F.col("doc_id")).alias("minus"))).alias("best"))
     clusters = cut(shared.join(leaders.select("bucket", (-F.col("best.minus")).alias("leader")), "bucket").select("leader", "doc_id").distinct())
-    chunks = clusters.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(p.block)).cast("int").alias("chunks"))
+    sizes = clusters.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(p.block)).cast("int").alias("chunks"))
+    chunks = cut(sizes.where("chunks > 1"))  # a table, so that Spark can split the large clusters in the join
     own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
     wanted = clusters.select("doc_id").distinct().hint("merge")  # grows with the documents: never a broadcast
     sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(p), "doc_id long, items binary, sketch binary")
     dealt = (
-        clusters.join(chunks.where("chunks > 1"), "leader", "left")
+        clusters.join(chunks, "leader", "left")
         .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
