@@ -15,7 +15,8 @@ A corpus-wide suffix array in one place is out of the question, so suffixes meet
    one's suffixes enter the suffix order.
 3. A bucket with different contexts gets its suffixes sorted, their common prefixes taken
    and the LPF of each worked out. A bucket that is too large is split by a hash of the
-   windows' bytes, which again keeps equal windows together."""
+   windows' bytes, which again keeps equal windows together: its windows then travel one by
+   one, so that no part grows with the bucket."""
 
 from __future__ import annotations
 
@@ -259,16 +260,42 @@ def repeated_windows(key: np.ndarray, doc: np.ndarray, start: np.ndarray, flat:
     return out
 
 
+def _scattered(p: Repeats):
+    """Contexts of large buckets, with the bucket's number of parts, to single windows, each in the part that its bytes name."""
+
+    def run(batches):
+        for batch in batches:
+            bucket, parts, doc, s, e = (batch.column(i).to_numpy() for i in range(5))
+            texts = batch.column(5).cast(pa.large_binary())
+            _, offsets, data = texts.buffers()
+            offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+            n = e - s + 1
+            of = np.repeat(np.arange(len(n)), n)
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = offsets[of] + step
+            if not len(at):
+                continue
+            part = (Hashes(data).of(at, at + p.length) % parts[of].astype(np.uint64)).astype(np.int64)
+            cuts = np.lib.stride_tricks.sliding_window_view(data, p.length)[at]
+            ends = np.arange(len(at) + 1, dtype=np.int32) * p.length
+            windows = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(cuts.tobytes())])
+            start = pa.array(s[of] + step)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[of]), pa.array(part), pa.array(doc[of]), start, start, windows], ["bucket", "part", "doc", "s", "e", "windows"])
+
+    return run
+
+
 def _sorted_buckets(p: Repeats):
-    """The contexts of whole buckets to repeated runs (doc, s, e), a bounded number of suffixes at a time."""
+    """The contexts of whole buckets or parts to repeated runs (doc, s, e), a bounded number of suffixes at a time."""
 
     def run(batches):
         held = [batch for batch in batches if batch.num_rows]
         if not held:
             return
         table = pa.Table.from_batches(held).combine_chunks()
-        bucket, part, parts, doc, s, e = (table.column(i).to_numpy() for i in range(6))
-        _, offsets, data = table.column(6).chunk(0).cast(pa.large_binary()).buffers()
+        bucket, part, doc, s, e = (table.column(i).to_numpy() for i in range(5))
+        _, offsets, data = table.column(5).chunk(0).cast(pa.large_binary()).buffers()
         offsets, data = np.frombuffer(offsets, np.int64), np.frombuffer(data, np.uint8)
         order = np.lexsort((part, bucket))
         new = np.ones(len(order), bool)
@@ -285,20 +312,10 @@ def _sorted_buckets(p: Repeats):
             n = (e - s + 1)[rows]
             of = np.repeat(np.arange(len(rows)), n)
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = offsets[rows][of] + step
-            split = parts[rows][of] > 1
-            if split.any():
-                low, high = int(offsets[rows].min()), int(offsets[rows + 1].max())
-                hashed = Hashes(data[low:high])
-                w = at[split] - low
-                mine = np.ones(len(at), bool)
-                mine[split] = hashed.of(w, w + p.length) % parts[rows][of][split].astype(np.uint64) == part[rows][of][split].astype(np.uint64)
-                of, step, at = of[mine], step[mine], at[mine]
-            if len(at):
-                start = s[rows][of] + step
-                found = repeated_windows(key_of[a:b][of], doc[rows][of], start, data, at, p.length)
-                d, x, y = _merged(doc[rows][of][found], start[found], start[found])
-                yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(x), pa.array(y)], ["doc", "s", "e"])
+            start = s[rows][of] + step
+            found = repeated_windows(key_of[a:b][of], doc[rows][of], start, data, offsets[rows][of] + step, p.length)
+            d, x, y = _merged(doc[rows][of][found], start[found], start[found])
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(x), pa.array(y)], ["doc", "s", "e"])
             a = b
 
     return run
@@ -356,11 +373,13 @@ def remove_repeats(docs: DataFrame, p: Repeats = Repeats(), id_col: str = "doc_i
     n = contexts.count()
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = max(p.bucket_rows, n // (8 * tasks))
-    large = contexts.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > most).select("bucket", F.ceil(F.col("n") / most).cast("long").alias("parts"))
+    sizes = contexts.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("e") - F.col("s") + 1).alias("w"))
     # at most n / most rows, which is at most eight for each task
-    dealt = contexts.join(F.broadcast(large), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
-    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    sorted_ = dealt.select("bucket", "part", "parts", "doc", "s", "e", "windows").repartition("bucket", "part").mapInArrow(_sorted_buckets(p), "doc long, s long, e long")
+    large = F.broadcast(sizes.where(F.col("n") > most).select("bucket", F.ceil(F.col("w") / most).cast("long").alias("parts")))
+    columns = ["doc", "s", "e", "windows"]
+    whole = contexts.join(large, "bucket", "left_anti").select("bucket", F.lit(0).cast("long").alias("part"), *columns)
+    split = contexts.join(large, "bucket").select("bucket", "parts", *columns).mapInArrow(_scattered(p), "bucket long, part long, doc long, s long, e long, windows binary")
+    sorted_ = whole.union(split).repartition("bucket", "part").mapInArrow(_sorted_buckets(p), "doc long, s long, e long")
     runs = marks.where(F.col("kind") == _REPEATED).select("doc", "s", "e").union(sorted_)
     runs = runs.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
     out = docs.join(runs.hint("merge"), "doc", "left").select("doc", "text", "runs")
