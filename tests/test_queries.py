@@ -19,7 +19,7 @@ def duck():
 
 
 def told(v):
-    if v is None or v is pd.NaT or v != v:
+    if pd.isna(v):
         return ""
     if isinstance(v, float) and v == int(v):
         v = int(v)
