@@ -18,14 +18,15 @@ class Decontamination:
     """Parameters.
 
     A window leaks an item when the item's shingles that it holds carry `threshold` of the
-    item's shingle weight. `radius` of 128 fingerprint bits is 3.5 standard deviations above
-    the distance that such a window has on average. `items_a_block` bounds what is broadcast."""
+    item's shingle weight. At 0.8 it may differ in the last fifth of its words, which is some 25
+    of 128 fingerprint bits with a deviation of 4.5; `radius` is three deviations beyond.
+    `items_a_block` bounds what is broadcast."""
 
     shingle: int = 5
     threshold: float = 0.8
-    radius: int = 23
+    radius: int = 39
     blocks: int = 8
-    items_a_block: int = 4096
+    items_a_block: int = 512
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
@@ -40,10 +41,10 @@ def signs(hashes: np.ndarray) -> np.ndarray:
     return bits.astype(np.int16) * 2 - 1
 
 
-def _within_two() -> np.ndarray:
-    """The 137 patterns of 16 bits with at most two set."""
-    one = [1 << i for i in range(16)]
-    return np.array([0, *one, *(a | b for i, a in enumerate(one) for b in one[:i])])
+def _within(bits: int) -> np.ndarray:
+    """The patterns of 16 bits with at most so many set."""
+    all_ = np.arange(1 << 16)
+    return all_[np.bitwise_count(all_) <= bits]
 
 
 class ItemIndex:
@@ -54,7 +55,7 @@ class ItemIndex:
     the items within that many bits, so that no fingerprint within the radius is missed."""
 
     def __init__(self, items: list[tuple[int, str | None]], p: Decontamination):
-        assert p.radius // p.blocks == 2 and p.blocks * 16 == 128
+        assert p.blocks * 16 == 128
         self.p = p
         self.ids, hashes = [], []
         column = pa.array([t for _, t in items], pa.string())
@@ -73,7 +74,7 @@ class ItemIndex:
         self.total = np.array([self.weight[s].sum() for s in self.shingle_at])
         self.prints = fingerprints(np.array([signs(h).sum(axis=0) for h in hashes]).reshape(len(hashes), 128))
         self.heads, self.members = [], []
-        near = _within_two()
+        near = _within(p.radius // p.blocks)
         for b in range(p.blocks):
             pattern = (self.prints[:, b, None] ^ near).ravel()
             order = np.argsort(pattern, kind="stable")
@@ -118,11 +119,14 @@ class ItemIndex:
 
         at, number: where the document's known shingles are. A window whose known shingles
         weigh less than `threshold` of the lightest item of its size can't leak one; the
-        others are fingerprinted, looked up and confirmed."""
+        others are fingerprinted, looked up and confirmed. A document shorter than an item is
+        its only window."""
         best: dict[int, tuple[int, int, int, int, float]] = {}
         weight = np.concatenate([[0], np.cumsum(self.weight[number])])
-        for size in np.unique(self.sizes[self.sizes <= len(h)]):
-            n = min(self.p.shingle, size)
+        for size in np.unique(self.sizes):
+            n, width = min(self.p.shingle, size), min(size, len(h))
+            if width < n:
+                continue
             if n < self.p.shingle:
                 a, b = self._short(h, size)
                 w = np.concatenate([[0], np.cumsum(self.weight[b])])
@@ -130,12 +134,12 @@ class ItemIndex:
                 a, b, w = at, number, weight
             if not len(a):
                 continue
-            first = np.unique(np.concatenate([np.arange(max(0, x - (size - n)), x + 1) for x in a]))
-            first = first[first <= len(h) - size]
-            inside = w[np.searchsorted(a, first + size - n, "right")] - w[np.searchsorted(a, first)]
+            first = np.unique(np.concatenate([np.arange(max(0, x - (width - n)), x + 1) for x in a]))
+            first = first[first <= len(h) - width]
+            inside = w[np.searchsorted(a, first + width - n, "right")] - w[np.searchsorted(a, first)]
             first = first[inside >= self.p.threshold * self.total[self.sizes == size].min() - 1e-9]
             for lo in range(0, len(first), 4096):
-                for found in self._confirmed(h, first[lo : lo + 4096], int(size), n, a, b):
+                for found in self._confirmed(h, first[lo : lo + 4096], int(size), int(width), n, a, b):
                     if found[0] not in best or (-found[4], found[1]) < (-best[found[0]][4], best[found[0]][1]):
                         best[found[0]] = found
         return list(best.values())
@@ -145,19 +149,19 @@ class ItemIndex:
         whole = np.array([sequence_hash(h[i : i + size]) for i in range(len(h) - size + 1)], np.uint64)
         return self.places(whole)
 
-    def _confirmed(self, h: np.ndarray, first: np.ndarray, size: int, n: int, at: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+    def _confirmed(self, h: np.ndarray, first: np.ndarray, size: int, width: int, n: int, at: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
         if not len(first):
             return
         base = first.min()
-        sums = np.zeros((first.max() + size - base + 1, 128), np.int32)
-        np.cumsum(signs(h[base : first.max() + size]), axis=0, out=sums[1:])
-        row, item, distance = self.near(fingerprints(sums[first - base + size] - sums[first - base]), size)
+        sums = np.zeros((first.max() + width - base + 1, 128), np.int32)
+        np.cumsum(signs(h[base : first.max() + width]), axis=0, out=sums[1:])
+        row, item, distance = self.near(fingerprints(sums[first - base + width] - sums[first - base]), size)
         for r, i, d in zip(row, item, distance, strict=True):
-            lo, hi = np.searchsorted(at, first[r]), np.searchsorted(at, first[r] + size - n, "right")
+            lo, hi = np.searchsorted(at, first[r]), np.searchsorted(at, first[r] + width - n, "right")
             held = np.intersect1d(number[lo:hi], self.shingle_at[i])
             similarity = float(self.weight[held].sum() / self.total[i])
             if similarity >= self.p.threshold - 1e-9:
-                yield int(i), int(first[r]), size, int(d), min(1.0, similarity)
+                yield int(i), int(first[r]), width, int(d), min(1.0, similarity)
 
     def search(self, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, int, int, int, float]]]]:
         """(row, leaks) for the rows that leak an item."""

@@ -26,7 +26,7 @@ def brute(docs, items, n=5, t=0.8):
             if not k:
                 continue
             total = sum(weight[g] for g in sets[i])
-            best = max((sum(weight[g] for g in grams(w[a : a + k]) & sets[i]) / total for a in range(len(w) - k + 1)), default=0)
+            best = max((sum(weight[g] for g in grams(w[a : a + k]) & sets[i]) / total for a in range(max(1, len(w) - k + 1))), default=0)
             if best >= t - 1e-9:
                 out[d, i] = round(best, 9)
     return out
@@ -43,6 +43,9 @@ def corpus(prose, items):
     docs += [(100 + i, f"{prose(i, 20)} {items[i][1].translate(UPPER)}, {prose(i + 50, 20)}") for i in range(30)]
     docs += [(200 + i, f"{prose(i, 20)} {' '.join(w if j != 12 else 'changed' for j, w in enumerate(items[i][1].split()))} {prose(i + 50, 9)}") for i in range(30)]
     docs += [(300 + i, f"{prose(i, 9)} {' '.join(items[i][1].split()[: 8 + i // 2])} {prose(i + 50, 9)}") for i in range(30)]
+    docs += [(500 + i, f"{prose(i, 9)} {' '.join(items[i][1].split()[: -max(1, (11 + i) // 6)])} {prose(i + 50, 9)}") for i in range(30)]
+    docs += [(600 + i, f"{prose(i, 9)} {' '.join(items[i][1].split()[max(1, (11 + i) // 8) :])} {prose(i + 50, 9)}") for i in range(30)]
+    docs += [(700 + i, " ".join(items[i][1].split()[: -max(1, (11 + i) // 7)])) for i in range(30)]
     docs += [(400, "a tiny item here"), (401, "élan vital"), (402, ""), (403, None), (404, "tiny"), (405, items[3][1] + " " + items[3][1] + " " + items[4][1])]
     return docs
 
