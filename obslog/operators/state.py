@@ -5,7 +5,7 @@ _change_type, _commit_version and _commit_timestamp."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,16 +32,21 @@ def _images(sides: DataFrame, columns: Sequence[str], version: int, committed_at
     return out.withColumn("_commit_version", F.lit(version).cast("long")).withColumn("_commit_timestamp", committed_at.cast("timestamp"))
 
 
-def guarded_upsert(target: DataFrame, source: DataFrame, spec: EntitySpec, version: int = 0, committed_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def guarded_upsert(target: DataFrame, source: DataFrame, spec: EntitySpec, version: int = 0, committed_at: Column | None = None, keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
     """(new state, changes): a source row replaces its target row unless it is older, or is added.
 
     An equal order value replaces too, and then leaves a pair of images even if nothing
     differs. The source must have each key once (`contracts.require_unique`). Both results
-    come from the same full outer join on the key."""
+    come from the same full outer join on the key; `keep` (such as `sources.folder.cut`)
+    holds it where both are used, else each computes it."""
     sides = _sides(target, source, spec.keys)
     newer = F.col(f"s.{spec.order}") >= F.col(f"t.{spec.order}")
     act = F.when(F.col("t").isNull(), "insert").when(F.col("s").isNotNull() & newer, "update").otherwise("keep")
     sides = sides.withColumn("act", act)
+    sides = keep(sides) if keep else sides
     state = sides.select(F.when(F.col("act") == "keep", F.col("t")).otherwise(F.col("s")).alias("row")).select("row.*")
     return state, _images(sides, target.columns, version, committed_at if committed_at is not None else F.lit(None))
 
@@ -62,7 +67,8 @@ def stale_relations(target: DataFrame, scope: DataFrame, relations: DataFrame, p
 
 
 def reconcile(
-    target: DataFrame, scope: DataFrame, relations: DataFrame, parent_keys: Sequence[str], spec: EntitySpec, version: int = 0, committed_at: Column | None = None, parent_state: DataFrame | None = None
+    target: DataFrame, scope: DataFrame, relations: DataFrame, parent_keys: Sequence[str], spec: EntitySpec, version: int = 0, committed_at: Column | None = None,
+    parent_state: DataFrame | None = None, keep: Keep | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(new state, changes) of a child set: what each observed parent has now replaces what it had.
 
@@ -85,6 +91,7 @@ def reconcile(
         .otherwise("keep")
     )
     sides = sides.withColumn("act", act)
+    sides = keep(sides) if keep else sides
     state = sides.where("act <> 'delete'").select(F.when(F.col("act") == "keep", F.col("t")).otherwise(F.col("s")).alias("row")).select("row.*")
     return state, _images(sides, target.columns, version, committed_at if committed_at is not None else F.lit(None))
 

@@ -56,9 +56,8 @@ def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         version, at = adapters.RUNS[run][0], F.lit(adapters.RUNS[run][1])
         part = of(run)
         scope = _scope(part)
-        issues, a = state.guarded_upsert(issues, entities.latest_issues(part), ISSUES, version, at)
-        relations, b = state.reconcile(relations, scope, entities.relations_of(scope), star.ISSUE_KEY, RELATIONS, version, at)
-        issues, relations, a, b = (cut(x) for x in (issues, relations, a, b))  # each version is written, as in production
+        issues, a = state.guarded_upsert(issues, entities.latest_issues(part), ISSUES, version, at, keep=cut)
+        relations, b = state.reconcile(relations, scope, entities.relations_of(scope), star.ISSUE_KEY, RELATIONS, version, at, keep=cut)
         issue_feed = a if issue_feed is None else issue_feed.unionByName(a)
         relation_feed = b if relation_feed is None else relation_feed.unionByName(b)
     return issues, relations, issue_feed, relation_feed
