@@ -2,39 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_folder: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as `spark.checkpoint.dir` names it.
-
-    Only a local master may go without that setting; it then gets a temporary folder."""
-    set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if set_to:
-        return set_to.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folder:
-        _own_folder[app] = tempfile.mkdtemp(prefix="spark-obslog-")
-    return _own_folder[app]
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """`df` written as a Parquet table in the shared folder and read again.
+from obslog.sources.folder import cut
 
-    The table outlives lost executors, and what follows starts from it. An empty
-    input keeps its schema."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/obslog-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["cut", "documents", "split_third", "without"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +20,6 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
-def split_third(doc_id) -> F.col:
+def split_third(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
