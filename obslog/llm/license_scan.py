@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslog.llm.common import cut, without
+from obslog.llm.common import without
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -47,12 +47,9 @@ TEMPLATES = [
 
 @dataclass(frozen=True)
 class LicenseScan:
-    """Parameters. A license word is rare if at most `most_share` of the documents have it; a
-    file is looked up by its `looked_up` rarest license words; a template is found where
-    `least_share` of the weight of its rare words stands at one relative position."""
+    """Parameters. A template is found where `least_share` of its words' weight, ln(documents /
+    documents with the word), stands at one relative position."""
 
-    most_share: float = 0.1
-    looked_up: int = 12
     least_share: float = 0.6
 
 
@@ -75,17 +72,18 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = LicenseScan(), text_col: str
     """`docs` with n_words, n_base, first_word, last_word, base_labels, labels and score, which replace columns of these names.
 
     First pass: how many documents have each word of the templates, a count as long as the
-    templates' vocabulary. Second pass, a row at a time and without moving texts: the places
-    of rare license words and phrase words, kept as a small table. From it a file's rarest
-    license words are looked up in the templates' postings; every posting votes for the
-    place in the file where its template would begin, and votes are counted by (file,
-    template, place), so that a file full of license words is counted by many tasks. A
-    template counts if its rare words there weigh enough and all its key phrases are in the
-    file. Its share of the weight is the score; a file with a base phrase scores at least 0.5.
+    templates' vocabulary. Second pass, a row at a time and without moving anything: the
+    places of phrase words and of each template's rarest words, however common these are.
+    Postings turn such a place into a place where a template would begin, if all the key
+    phrases of the template are in the file. There all words of the template are compared;
+    it counts if those that stand in their places weigh enough. A template's postings are
+    as many of its rarest words as leave less than `least_share` to the others, so that no
+    begin with enough weight is missed. The best share of the weight is the score; a file
+    with a base phrase scores at least 0.5.
 
     A null or empty text has no words and no labels. Equal rows each get their row."""
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    inner = ("__words", "__hits", "__keys", "__base", "__row")
+    inner = ("__words", "__hits", "__keys", "__able", "__base", "__found")
     docs = without(docs, *added, *inner)
     vocabulary = sorted({w for _, _, t in TEMPLATES for w in t.split()})
     words = docs.select(folded_words(F.col(text_col)).alias("words"))
@@ -94,11 +92,11 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = LicenseScan(), text_col: str
     df = {r.w: r.n for r in counted}
     n_docs = df.pop("", 0)
     idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 0.5)) for w in vocabulary}
-    rare = {w for w in vocabulary if df.get(w, 0) <= p.most_share * n_docs}
+    postings = _postings(idf, p)
 
     keys = sorted({k for _, ks, _ in TEMPLATES for k in ks})
     pivots = {k: max(range(len(k.split())), key=lambda i, k=k: (idf.get(k.split()[i], 99.0), -i)) for k in [*keys, *PHRASES]}
-    looked = sorted(rare | {k.split()[i] for k, i in pivots.items()})
+    looked = sorted(postings.keys() | {k.split()[i] for k, i in pivots.items()})
     table = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], folded_words(F.col(text_col)).alias("__words"))
     hits = F.filter(F.transform("__words", lambda w, i: F.named_struct(F.lit("w"), w, F.lit("at"), i)), lambda h: h["w"].isin(looked))
 
@@ -111,61 +109,58 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = LicenseScan(), text_col: str
 
     base = F.concat(*[labelled_places(k, v) for k, v in PHRASES.items()])
     held = F.array_compact(F.array(*[F.when(F.size(places(k)) > 0, F.lit(i)) for i, k in enumerate(keys)]))
-    table = cut(
-        table.withColumn("__hits", hits)
-        .withColumn("__base", base)
-        .withColumn("__keys", held)
-        .withColumn("n_words", F.size("__words").cast("long"))
-        .withColumn("__hits", F.filter("__hits", lambda h: h["w"].isin(sorted(rare))) if rare else F.expr("filter(__hits, h -> false)"))
-        .withColumn("__row", F.monotonically_increasing_id())
-        .drop("__words")
-    )
-
-    found = _found(table, p, idf, rare, keys)
-    labelled = table.join(found, "__row", "left")
+    needed = F.array(*[F.struct(F.lit(t).alias("template"), F.array(*[F.lit(keys.index(k)) for k in needs]).alias("needs")) for t, (_, needs, _) in enumerate(TEMPLATES)])
+    able = F.transform(F.filter(needed, lambda t: F.size(F.array_except(t["needs"], F.col("__keys"))) == 0), lambda t: t["template"])
+    table = table.withColumn("__hits", hits).withColumn("__base", base).withColumn("__keys", held).withColumn("__able", able).drop("__keys")
+    table = table.withColumn("__found", _found(idf, postings, p)).withColumn("n_words", F.size("__words").cast("long"))
     base_labels = F.array_sort(F.array_distinct(F.transform("__base", lambda b: b["label"])))
-    own = F.coalesce("__own", F.array().cast("array<string>"))
+    own = F.transform("__found", lambda t: t["label"])
+    share = F.array_max(F.transform("__found", lambda t: t["share"]))
     out = (
-        labelled.withColumn("n_base", F.size("__base").cast("long"))
+        table.withColumn("n_base", F.size("__base").cast("long"))
         .withColumn("first_word", F.array_min(F.transform("__base", lambda b: b["at"])))
         .withColumn("last_word", F.array_max(F.transform("__base", lambda b: b["at"])))
         .withColumn("base_labels", F.array_join(base_labels, ","))
         .withColumn("labels", F.array_join(F.array_sort(F.array_distinct(F.concat(base_labels, own))), ","))
-        .withColumn("score", F.least(F.lit(1.0), F.greatest(F.coalesce("__share", F.lit(0.0)), F.when(F.col("n_base") > 0, 0.5).otherwise(0.0))))
+        .withColumn("score", F.least(F.lit(1.0), F.greatest(F.coalesce(share, F.lit(0.0)), F.when(F.col("n_base") > 0, 0.5).otherwise(0.0))))
     )
     kept = [c for c in table.columns if c not in (*inner, "n_words")]
     return out.select(*[F.col(f"`{c}`") for c in kept], *added)
 
 
-def _found(table: DataFrame, p: LicenseScan, idf: dict[str, float], rare: set[str], keys: list[str]) -> DataFrame:
-    """(__row, __own: labels, __share: the best share of a template's weight) of the rows in which a template is found."""
-    spark = table.sparkSession
-    postings, templates = [], []
-    for t, (label, needs, text) in enumerate(TEMPLATES):
+def _postings(idf: dict[str, float], p: LicenseScan) -> dict[str, list[tuple[int, int]]]:
+    """By word, the (template, place in it) by which it looks templates up."""
+    out: dict[str, list[tuple[int, int]]] = {}
+    for t, (_, _, text) in enumerate(TEMPLATES):
         ws = text.split()
-        at = [(w, i) for i, w in enumerate(ws) if w in rare]
-        if at:
-            postings += [(w, t, i, float(idf[w])) for w, i in at]
-            templates.append((t, label, [keys.index(k) for k in needs], float(sum(idf[w] for w, _ in at))))
-    index = spark.createDataFrame(postings, "w string, template int, at int, weight double")
-    notices = spark.createDataFrame(templates, "template int, label string, needs array<int>, total double")
-    rank = F.create_map(*[x for w in sorted(rare) for x in (F.lit(w), F.lit(float(idf[w])))]) if rare else None
-    if rank is None:
-        return spark.createDataFrame([], "__row long, __own array<string>, __share double")
-    # a file's rarest license words, the rarest first
-    ranked = F.array_sort(F.transform(F.array_distinct(F.transform("__hits", lambda h: h["w"])), lambda w: F.named_struct(F.lit("minus"), -F.element_at(rank, w), F.lit("w"), w)))
-    looked_up = F.transform(F.slice(ranked, 1, p.looked_up), lambda s: s["w"])
-    files = table.where(F.size("__hits") > 0).select("__row", "__keys", F.explode("__hits").alias("h"), looked_up.alias("top"))
-    # the rarest words choose where a template may begin; all its rare words there make its share
-    votes = files.select("__row", "__keys", F.col("h.w").alias("w"), F.col("h.at").alias("place"), F.array_contains("top", F.col("h.w")).alias("chosen"))
-    begins = (
-        votes.join(F.broadcast(index), "w")
-        .groupBy("__row", "template", (F.col("place") - F.col("at")).alias("begin"))
-        .agg(F.sum("weight").alias("weight"), F.max("chosen").alias("chosen"), F.first("__keys").alias("__keys"))
-        .where("chosen")
-    )
-    right = begins.join(F.broadcast(notices), "template").where((F.col("weight") >= F.lit(p.least_share) * F.col("total")) & (F.size(F.array_except("needs", "__keys")) == 0))
-    return right.groupBy("__row").agg(F.collect_set("label").alias("__own"), F.max(F.col("weight") / F.col("total")).alias("__share"))
+        total = rest = sum(idf[w] for w in ws)
+        for w in sorted(set(ws), key=lambda w: (-idf[w], w)):
+            if rest < (p.least_share - 1e-9) * total:
+                break
+            out.setdefault(w, []).extend((t, i) for i, x in enumerate(ws) if x == w)
+            rest -= idf[w] * ws.count(w)
+    return out
+
+
+def _found(idf: dict[str, float], postings: dict[str, list[tuple[int, int]]], p: LicenseScan) -> Column:
+    """The (label, share of the weight) of every place of __words where a template is found."""
+    row = lambda **x: F.struct(*[F.lit(v).alias(k) for k, v in x.items()])
+    index = F.create_map(*[x for w, at in sorted(postings.items()) for x in (F.lit(w), F.array(*[row(template=t, at=i) for t, i in at]))])
+    notices = F.array(*[
+        F.struct(F.lit(label).alias("label"), F.lit(float(sum(idf[w] for w in text.split()))).alias("total"), F.array(*[row(w=w, at=i, weight=float(idf[w])) for i, w in enumerate(text.split())]).alias("words"))
+        for label, _, text in TEMPLATES
+    ])
+    # a begin is one number, place * 256 + template, so that equal ones are found by hashing
+    looking = F.filter("__hits", lambda h: h["w"].isin(sorted(postings)))
+    begins = F.flatten(F.transform(looking, lambda h: F.transform(F.filter(F.element_at(index, h["w"]), lambda q: F.array_contains("__able", q["template"])), lambda q: (h["at"] - q["at"]).cast("long") * 256 + q["template"])))
+
+    def measured(begin: Column) -> Column:
+        notice, first = F.element_at(notices, (F.pmod(begin, F.lit(256)) + 1).cast("int")), F.shiftright(begin, 8).cast("int")
+        stands = F.aggregate(notice["words"], F.lit(0.0), lambda sum_, w: sum_ + F.when(F.get(F.col("__words"), first + w["at"]) == w["w"], w["weight"]).otherwise(F.lit(0.0)))
+        return F.struct(notice["label"].alias("label"), (stands / notice["total"]).alias("share"))
+
+    found = F.filter(F.transform(F.array_distinct(begins), measured), lambda t: t["share"] >= p.least_share)
+    return F.when(F.size("__able") > 0, found).otherwise(F.array().cast("array<struct<label:string,share:double>>"))
 
 
 def words_of(text: str | None) -> list[str]:

@@ -47,6 +47,15 @@ def test_scan_edge_cases(table, files):
     assert [(r.doc_id, r.n_base, r.labels.split(",")[-1], r.w, r.template) for r in out.collect()].count((1, 1, "mit", 1, 2)) == 2
 
 
+def test_a_notice_in_most_documents_is_found(table, prose):
+    lines = ["Licensed under the Apache License, Version 2.0", "Licensed under CC BY 4.0"]
+    rows = [(i, f"{prose(i, 30)}\n{lines[i % 2] if i % 3 else ''}\n{prose(i + 99, 9)}") for i in range(60)] + [(100 + i, f"{prose(i, 9)}\n{x}") for i, x in enumerate(lines)]
+    got = {r.doc_id: (r.labels.split(","), r.score) for r in scan_licenses(table(rows).select("doc_id", "text")).collect()}
+    for i in [*(i for i in range(60) if i % 3), 100, 101]:
+        assert ("apache-2.0", "cc-by-4.0")[i % 2] in got[i][0] and got[i][1] == pytest.approx(1)
+    assert all(got[i] == ([""], 0) for i in range(0, 60, 3))
+
+
 def chain(docs):
     rows = sorted(((d, t or "") for d, t in docs), key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
     return [(d, t, rows[(i + 1) % len(rows)][1]) for i, (d, t) in enumerate(rows)]
