@@ -56,6 +56,16 @@ def test_a_notice_in_most_documents_is_found(table, prose):
     assert all(got[i] == ([""], 0) for i in range(0, 60, 3))
 
 
+def test_every_notice_of_a_file_is_found(table, prose):
+    mit = next(text for label, needs, text in TEMPLATES if needs == ["permission is hereby granted free of charge"])
+    lines = {"cc-by-4.0": "Licensed under CC BY 4.0", "apache-2.0": "Licensed under the Apache License, Version 2.0", "gpl-2.0": "Licensed under the GNU General Public License version 2"}
+    rows = [(i, f"{prose(i, 30)} {' '.join(lines.values()) if i % 12 == 0 else ''}") for i in range(60)]
+    rows += [(100 + i, f"{mit}\n{prose(i, 9)}\n{x}") for i, x in enumerate(lines.values())] + [(200, "\n".join(text for _, _, text in TEMPLATES))]
+    got = {r.doc_id: set(r.labels.split(",")) for r in scan_licenses(table(rows).select("doc_id", "text")).collect()}
+    assert all(got[100 + i] >= {"mit", label} for i, label in enumerate(lines))
+    assert got[200] >= {label for label, _, _ in TEMPLATES}
+
+
 def chain(docs):
     rows = sorted(((d, t or "") for d, t in docs), key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
     return [(d, t, rows[(i + 1) % len(rows)][1]) for i, (d, t) in enumerate(rows)]
