@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obslog.llm.common import cut
 from obslog.llm.kernels import ALNUM, mix, ngram_hashes, sequence_hash, slices, word_hashes, words
 
 
@@ -20,6 +21,8 @@ class Decontamination:
     A window leaks an item when the item's shingles that it holds carry `threshold` of the
     item's shingle weight. At 0.8 it may differ in the last fifth of its words, which is some 25
     of 128 fingerprint bits with a deviation of 4.5; `radius` is three deviations beyond.
+    An item whose weight lies so unevenly that more of its words may differ is looked up by
+    its heaviest shingles too, which loses nothing.
     `items_a_block` bounds what is broadcast."""
 
     shingle: int = 5
@@ -47,31 +50,50 @@ def _within(bits: int) -> np.ndarray:
     return all_[np.bitwise_count(all_) <= bits]
 
 
+def worded(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, word hashes) of the texts that have words."""
+    for lo, _, data, offsets in slices(column):
+        starts, ends, first = words(data, offsets, ALNUM)
+        hashes = word_hashes(data, starts, ends)
+        for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+            if b > a:
+                yield lo + i, hashes[a:b]
+
+
+def shingles_of(h: np.ndarray, n: int) -> np.ndarray:
+    return ngram_hashes(h, n) if len(h) >= n else np.array([sequence_hash(h)], np.uint64)
+
+
 class ItemIndex:
     """A bounded block of benchmark items: shingle weights and the multi-index over fingerprints.
 
     A fingerprint within `radius` of an item's has, in at least one of its `blocks` blocks,
     at most radius // blocks differing bits; each block has a table from every pattern to
-    the items within that many bits, so that no fingerprint within the radius is missed."""
+    the items within that many bits, so that no fingerprint within the radius is missed.
 
-    def __init__(self, items: list[tuple[int, str | None]], p: Decontamination):
+    Where the shingles that make up the threshold can lie in fewer than that share of an
+    item's words, the radius isn't enough. Such an item is also looked up by as many of its
+    heaviest shingles as leave less than the threshold to the others: a window that leaks it
+    holds one of them.
+
+    rarity: (shingles in order, how many items of the benchmark have each, items with words
+    in the benchmark), if the block isn't the whole of it."""
+
+    def __init__(self, items: list[tuple[int, str | None]], p: Decontamination, rarity: tuple[np.ndarray, np.ndarray, int] | None = None):
         assert p.blocks * 16 == 128
         self.p = p
-        self.ids, hashes = [], []
-        column = pa.array([t for _, t in items], pa.string())
-        for lo, _, data, offsets in slices(column):
-            starts, ends, first = words(data, offsets, ALNUM)
-            all_hashes = word_hashes(data, starts, ends)
-            for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                if b > a:
-                    self.ids.append(items[lo + i][0])
-                    hashes.append(all_hashes[a:b])
+        found = list(worded(pa.array([t for _, t in items], pa.string())))
+        self.ids, hashes = [items[i][0] for i, _ in found], [h for _, h in found]
         self.sizes = np.array([len(h) for h in hashes], np.int64)
-        shingles = [np.unique(self.shingles_of(h)) for h in hashes]
+        shingles = [np.unique(shingles_of(h, p.shingle)) for h in hashes]
         known, counts = np.unique(np.concatenate([*shingles, np.zeros(0, np.uint64)]), return_counts=True)
-        self.known, self.weight = known, np.log1p(len(hashes) / counts)
+        n_items = len(hashes)
+        if rarity:
+            counts, n_items = rarity[1][np.searchsorted(rarity[0], known)], rarity[2]
+        self.known, self.weight = known, np.log1p(n_items / counts)
         self.shingle_at = [np.searchsorted(known, s) for s in shingles]
         self.total = np.array([self.weight[s].sum() for s in self.shingle_at])
+        self.lead_at, self.lead_item = self._leads()
         self.prints = fingerprints(np.array([signs(h).sum(axis=0) for h in hashes]).reshape(len(hashes), 128))
         self.heads, self.members = [], []
         near = _within(p.radius // p.blocks)
@@ -83,9 +105,28 @@ class ItemIndex:
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(known >> np.uint64(42)).astype(np.int64)] = True
 
-    def shingles_of(self, h: np.ndarray) -> np.ndarray:
-        n = self.p.shingle
-        return ngram_hashes(h, n) if len(h) >= n else np.array([sequence_hash(h)], np.uint64)
+    def _leads(self) -> tuple[np.ndarray, np.ndarray]:
+        """(shingle number, item), in order of shingles: by what the items are looked up for which the radius isn't enough."""
+        number, item = [], []
+        for i, at in enumerate(self.shingle_at):
+            heavy = at[np.argsort(-self.weight[at], kind="stable")]
+            sums = np.cumsum(self.weight[heavy])
+            least = np.searchsorted(sums, (self.p.threshold - 1e-9) * self.total[i]) + min(self.p.shingle, self.sizes[i])
+            if least < self.p.threshold * self.sizes[i]:
+                leads = heavy[: np.searchsorted(sums, (1 - self.p.threshold + 1e-6) * self.total[i]) + 1]
+                number += leads.tolist()
+                item += [i] * len(leads)
+        order = np.argsort(number, kind="stable").astype(np.int64)
+        return np.array(number, np.int64)[order], np.array(item, np.int64)[order]
+
+    def led(self, first: np.ndarray, size: int, span: int, at: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of `first`, item) for items of `size` words one of whose leads begins within `span` of a window's first word."""
+        lo, hi = np.searchsorted(self.lead_at, number), np.searchsorted(self.lead_at, number, "right")
+        place, item = np.repeat(at, hi - lo), self.lead_item[np.arange((hi - lo).sum()) + np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo)]
+        place, item = place[self.sizes[item] == size], item[self.sizes[item] == size]
+        lo, hi = np.searchsorted(first, place - span), np.searchsorted(first, place, "right")
+        row = np.arange((hi - lo).sum()) + np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo)
+        return row, np.repeat(item, hi - lo)
 
     def places(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of known shingles and their numbers."""
@@ -155,7 +196,14 @@ class ItemIndex:
         base = first.min()
         sums = np.zeros((first.max() + width - base + 1, 128), np.int32)
         np.cumsum(signs(h[base : first.max() + width]), axis=0, out=sums[1:])
-        row, item, distance = self.near(fingerprints(sums[first - base + width] - sums[first - base]), size)
+        prints = fingerprints(sums[first - base + width] - sums[first - base])
+        row, item, _ = self.near(prints, size)
+        if len(self.lead_at):
+            lo, hi = np.searchsorted(at, first[0]), np.searchsorted(at, first[-1] + width - n, "right")
+            more = self.led(first, size, width - n, at[lo:hi], number[lo:hi])
+            pair = np.unique(np.concatenate([row, more[0]]) * len(self.ids) + np.concatenate([item, more[1]]))
+            row, item = pair // len(self.ids), pair % len(self.ids)
+        distance = np.bitwise_count(prints[row] ^ self.prints[item]).sum(axis=1)
         for r, i, d in zip(row, item, distance, strict=True):
             lo, hi = np.searchsorted(at, first[r]), np.searchsorted(at, first[r] + width - n, "right")
             held = np.intersect1d(number[lo:hi], self.shingle_at[i])
@@ -181,13 +229,32 @@ class ItemIndex:
                     yield lo + int(d), found
 
 
-def item_blocks(benchmark: DataFrame, p: Decontamination, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int, str]]]:
-    """The benchmark, in blocks of about `items_a_block` items: what reaches the driver at once is bounded."""
+def item_indexes(benchmark: DataFrame, p: Decontamination, id_col: str = "item_id", text_col: str = "text") -> Iterator[ItemIndex]:
+    """The benchmark, in blocks of about `items_a_block` items: what reaches the driver at once is bounded. Weights are those of the whole benchmark."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where("text IS NOT NULL AND item_id IS NOT NULL")
     n = -(-items.count() // p.items_a_block)
+    if n <= 1:
+        if n:
+            yield ItemIndex([(r.item_id, r.text) for r in items.collect()], p)
+        return
+
+    def run(batches):
+        for batch in batches:
+            for row, h in worded(batch.column(1)):
+                found = np.unique(shingles_of(h, p.shingle)).view(np.int64)
+                # a null stands for the item itself
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found) + 1, batch.column(0)[row].as_py()), pa.int32()), pa.array([None, *found.tolist()], pa.int64())], ["block", "shingle"])
+
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(n)).cast("int"))
+    held = cut(items.select("block", "text").mapInArrow(run, "block int, shingle long").groupBy("block", "shingle").agg(F.count("*").alias("n")))
+    counts = cut(held.groupBy("shingle").agg(F.sum("n").alias("n")))
+    worded_items = held.where("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
     for i in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i) if n > 1 else items
-        yield [(r.item_id, r.text) for r in part.collect()]
+        rows = held.where((F.col("block") == i) & F.col("shingle").isNotNull()).select("shingle").join(counts, "shingle").collect()
+        known = np.array([r.shingle for r in rows], np.int64).view(np.uint64)
+        order = np.argsort(known)
+        rarity = known[order], np.array([r.n for r in rows], np.int64)[order], worded_items
+        yield ItemIndex([(r.item_id, r.text) for r in items.where(F.col("block") == i).collect()], p, rarity)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decontamination(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,9 +262,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decon
 
     Words are runs of ASCII letters and digits and of non-ASCII characters, with A-Z as a-z.
     Only windows that can reach the threshold, judged by the weight of the known shingles in
-    them, are fingerprinted; of these, every one within the radius of an item of its size is
-    found and confirmed on its shingles. Weights are ln(1 + items / items with the shingle)
-    within a block of items; an item of fewer words than a shingle is one shingle. The best
+    them, are fingerprinted; of these, every one within the radius of an item of its size, or
+    with a heavy shingle of an item of uneven weights, is found and confirmed on its
+    shingles. Weights are ln(1 + items / items with the shingle) over all items; an item of fewer words than a shingle is one shingle. The best
     window counts, then the earliest. Documents are read once for each block of items and
     not moved. Null or wordless texts and items match nothing; null item ids are ignored;
     rows that repeat give repeated rows; empty tables give none; other columns aren't read."""
@@ -205,8 +272,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decon
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
-    for items in item_blocks(benchmark, p):
-        index = spark.sparkContext.broadcast(ItemIndex(items, p))
+    for block in item_indexes(benchmark, p):
+        index = spark.sparkContext.broadcast(block)
 
         def run(batches, index=index):
             for batch in batches:
@@ -228,8 +295,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decon
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decontamination(), text_col: str = "text") -> DataFrame:
     """`docs` without the rows that leak an item; all columns stay and no row is moved."""
     spark, schema = docs.sparkSession, docs.schema
-    for items in item_blocks(benchmark, p):
-        index = spark.sparkContext.broadcast(ItemIndex(items, p))
+    for block in item_indexes(benchmark, p):
+        index = spark.sparkContext.broadcast(block)
 
         def run(batches, index=index):
             for batch in batches:

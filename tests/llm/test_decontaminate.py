@@ -64,6 +64,18 @@ def test_item_blocks_change_nothing_but_weights(spark, table, corpus, items):
     assert got >= {(100 + i, i) for i in range(30)}
 
 
+@pytest.mark.parametrize("block", [512, 60])
+def test_a_shared_opening_equals_brute_force(spark, table, prose, block):
+    opening = prose(9000, 20)
+    shared = [(i, f"{opening} {prose(9100 + i, 30)}") for i in range(200)]
+    docs = [(i, " ".join([*prose(9300 + i, 21).split(), *x.split()[20:], *prose(9500 + i, 1).split()])) for i, x in shared[:40]]
+    bench = spark.createDataFrame(shared, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in find_leaks(table(docs), bench, Decontamination(items_a_block=block)).collect()}
+    want = brute(docs, shared)
+    assert got == want and set(want) >= {(i, i) for i in range(40)}
+    assert drop_leaking(table(docs), bench, Decontamination(items_a_block=block)).count() == 0
+
+
 def test_drop_keeps_columns_and_clean_rows(spark, table, corpus, items):
     bench = spark.createDataFrame(items, "item_id long, text string")
     df = table(corpus).selectExpr("*", "1 AS item_id", "2 AS similarity")
