@@ -37,7 +37,7 @@ def corpus(prose):
     return docs
 
 
-@pytest.mark.parametrize("options", [{}, {"local_contexts": 2, "bucket_rows": 3, "chunk_windows": 50}])
+@pytest.mark.parametrize("options", [{}, {"local_contexts": 2, "bucket_rows": 3, "chunk_windows": 50, "task_bytes": 1000}, {"bucket_rows": 1, "widths": (5, 1)}, {"bucket_rows": 1, "widths": (1,)}])
 def test_equals_brute_force(table, corpus, options):
     assert found(table(corpus).repartition(5), **options) == brute(corpus)
 
@@ -51,6 +51,28 @@ def test_empty_null_and_repeated_rows(spark, table):
     assert [g[2] for g in got[1:3]] == [len(text)] * 2 and got[3][2] == 0
 
 
+def test_many_near_copies(table, prose):
+    base = prose(70, 120).split()
+    docs = []
+    for i in range(400):
+        w = list(base)
+        for j in range(i % 5):
+            w[(i * 7 + j * 31) % len(w)] = f"w{i}x{j}"
+        docs.append((i, " ".join(w)))
+    assert found(table(docs).repartition(6), bucket_rows=20, local_contexts=2) == brute(docs)
+
+
+def test_different_texts_of_one_id_and_of_null_ids(table, prose):
+    passage = prose(3, 60)
+    texts = [f"{prose(10 + i, 20)} {passage}" for i in range(6)]
+    rows = remove_repeats(table([(None, texts[0]), (None, texts[1]), (4, texts[2]), (4, texts[3]), (4, texts[3]), (4, "x"), (9, texts[4])]), Repeats(bucket_rows=1)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append(r.n_removed)
+    assert len(rows) == 7 and sorted(by[None])[0] == 0 and sorted(by[None])[1] >= len(passage.encode())
+    assert sorted(x > 0 for x in by[4]) == [False, True, True, True] and by[9][0] >= len(passage.encode())
+
+
 def test_other_columns_are_not_read(table, corpus):
     df = table(corpus[:5]).selectExpr("*", "1 AS kept", "2 AS spans", "3 AS bucket", "4 AS doc")
     assert found(df) == brute(corpus[:5])
