@@ -134,20 +134,21 @@ def _sets(p: NearDedup):
     return run
 
 
-def links_of_block(ids: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray, first: int, p: NearDedup) -> list[tuple[int, int]]:
+def links_of_block(ids: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray, first: np.ndarray, p: NearDedup, of: np.ndarray | None = None, only_first: bool = False) -> list[tuple[int, int]]:
     """Links that join the block's documents into the components that all its links would.
 
-    Row `first` is compared with the others at once, then each row with the rows that are
-    not yet in its component. A pair is measured on the full sets unless the sizes alone or
-    the odd sketches rule it out."""
+    The rows `first` are compared with all others that are not yet in their component, which
+    `of` numbers at the start; then, unless `only_first`, so are the other rows. A pair is
+    measured on the full sets unless the sizes alone or the odd sketches rule it out."""
     t, n = p.threshold_percent, len(ids)
     sizes = np.array([len(s) for s in sets])
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     flat = np.concatenate(sets)
-    of = np.arange(n)
+    of = np.arange(n) if of is None else of.copy()
     out = []
     limit = _most_differing(p)
-    for a in [first, *(i for i in range(n) if i != first)]:
+    rest_of = [] if only_first else np.setdiff1d(np.arange(n), first)
+    for a in [*first, *rest_of]:
         rest = np.flatnonzero((of != of[a]) & (100 * np.minimum(sizes, sizes[a]) >= t * np.maximum(sizes, sizes[a])))
         if len(rest):
             rest = rest[np.bitwise_count(sketches[rest] ^ sketches[a]).sum(axis=1) <= limit]
@@ -165,34 +166,76 @@ def links_of_block(ids: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray
     return out
 
 
-def _links(p: NearDedup):
-    def block(rows):
-        ids = np.array([r[4] for r in rows])
-        sets = [np.frombuffer(r[5], np.uint64) for r in rows]
-        sketches = np.frombuffer(b"".join(r[6] for r in rows), np.uint64).reshape(len(rows), -1)
-        leader = rows[0][0]
-        at = np.flatnonzero(ids == leader)
-        return links_of_block(ids, sets, sketches, int(at[0]) if len(at) else 0, p)
+def _of_blocks(keys: int, links):
+    """Rows in the order of their first `keys` columns, which name a block, to the links of each block of two rows or more."""
+
+    def told(found):
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
 
     def run(batches):
         held, key = [], None
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(7)]
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
             out = []
             for row in zip(*columns, strict=True):
-                if row[:3] != key:
+                if row[:keys] != key:
                     if len(held) > 1:
-                        out += block(held)
-                    held, key = [], row[:3]
+                        out += links(held)
+                    held, key = [], row[:keys]
                 held.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+            yield told(out)
         if len(held) > 1:
-            out = block(held)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+            yield told(links(held))
 
     return run
 
 
+def _arrays(rows) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Ids, sets and sketches of rows that end with them."""
+    return np.array([r[-3] for r in rows]), [np.frombuffer(r[-2], np.uint64) for r in rows], np.frombuffer(b"".join(r[-1] for r in rows), np.uint64).reshape(len(rows), -1)
+
+
+def _led(p: NearDedup):
+    """Links of blocks (leader, chunk): of the leader, and of pairs of the chunk that are then still apart."""
+
+    def links(rows):
+        ids, sets, sketches = _arrays(rows)
+        return links_of_block(ids, sets, sketches, np.flatnonzero(ids == rows[0][0])[:1], p)
+
+    return _of_blocks(2, links)
+
+
+def _across(p: NearDedup):
+    """Links of blocks (leader, chunk of members that are apart from most, chunk of all): of the former with the latter."""
+
+    def links(rows):
+        ids, sets, sketches = _arrays(rows)
+        of = np.unique(np.array([r[4] for r in rows]), return_inverse=True)[1]
+        return links_of_block(ids, sets, sketches, np.flatnonzero([r[3] for r in rows]), p, of, only_first=True)
+
+    return _of_blocks(3, links)
+
+
+def _apart(clusters: DataFrame, chunks: DataFrame, found: DataFrame, p: NearDedup) -> DataFrame | None:
+    """Blocks (leader, i, j, apart, of, doc_id) of the pairs of clusters of several chunks that are in different components.
+
+    Of each cluster, members outside its largest component meet all members; the others
+    needn't meet one another. None if there are no such members."""
+    joined = clusters.join(chunks, "leader").join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left")
+    placed = cut(joined.select("leader", "doc_id", "chunks", F.coalesce("component", "doc_id").alias("of")))
+    parts = cut(placed.groupBy("leader", "of").agg(F.count("*").alias("n")))
+    largest = parts.groupBy("leader").agg(F.max(F.struct("n", (-F.col("of")).alias("minus"))).alias("best"), F.sum("n").alias("all"))
+    largest = cut(largest.where("all > best.n").select("leader", (-F.col("best.minus")).alias("main"), F.ceil((F.col("all") - F.col("best.n")) / F.lit(p.block)).cast("int").alias("minors")))
+    if largest.isEmpty():
+        return None
+    rows = placed.join(largest, "leader").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+    mine = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("minors")).cast("int")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    few = rows.where("of <> main").select("leader", mine.alias("i"), numbers(F.col("chunks")).alias("j"), F.lit(True).alias("apart"), "of", "doc_id")
+    many = rows.select("leader", numbers(F.col("minors")).alias("i"), F.col("own").alias("j"), F.lit(False).alias("apart"), "of", "doc_id")
+    return few.union(many)
+
+
 def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links), kept.
 
@@ -200,14 +243,17 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     then on. The 5-row bands of its MinHash samples put a class in buckets; each bucket
     names as leader its member with the most companions over all buckets, and a leader's
     cluster is the union of the buckets it leads, so that any two classes that share a
-    bucket share a cluster. Clusters beyond `block` members are dealt into chunks and every
-    pair of chunks is a block of its own: no task holds more than two chunks, whatever the
-    cluster's size, and a block returns at most as many links as it has members.
+    bucket share a cluster. A cluster's members are dealt into chunks of about `block`, each
+    of which also gets the leader: most members of a group of near copies link with it or in
+    their chunk, by work in proportion to the group. Then components are taken, and of
+    clusters of several chunks those members that are not in the largest component are
+    compared, chunk by chunk, with all members of other components. No task holds more than
+    two chunks, whatever the cluster's size, and a block returns at most as many links as it
+    has members.
 
     A null or wordless text has an empty set and links with nothing. A null id is never
     linked; its component is null and it is kept. Rows that share an id are one node: they
     are linked through it. An empty table gives no rows. Other columns are not read."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     feats = cut(docs.mapInArrow(_features(p), "doc_id long, n_shingles long, digest1 long, digest2 long, bands array<long>"))
     filled = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -225,21 +271,22 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
     wanted = clusters.select("doc_id").distinct().hint("merge")  # grows with the documents: never a broadcast
     sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(p), "doc_id long, items binary, sketch binary")
+
+    def compared(dealt: DataFrame, keys: list[str], order: list[str], links) -> DataFrame:
+        rows = dealt.join(sets, "doc_id").select(*keys, *order, "doc_id", "items", "sketch")
+        return rows.repartition(*keys).sortWithinPartitions(*keys, *order, "doc_id").mapInArrow(links, "a long, b long")
+
     dealt = (
         clusters.join(chunks, "leader", "left")
         .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("doc_id") != F.col("leader")).alias("late"), "doc_id")
-    )
-    links = (
-        dealt.join(sets, "doc_id")
-        .select("leader", "i", "j", "late", "doc_id", "items", "sketch")
-        .repartition("leader", "i", "j")
-        .sortWithinPartitions("leader", "i", "j", "late", "doc_id")
-        .mapInArrow(_links(p), "a long, b long")
+        .withColumn("i", F.explode(F.when(F.col("doc_id") == F.col("leader"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))))
+        .select("leader", "i", (F.col("doc_id") != F.col("leader")).alias("late"), "doc_id")
     )
-    found = connected_components(links, "a", "b")
+    found = connected_components(compared(dealt, ["leader", "i"], ["late"], _led(p)), "a", "b")
+    blocks = None if chunks.isEmpty() else _apart(clusters, chunks, found, p)
+    if blocks is not None:
+        more = compared(blocks, ["leader", "i", "j"], ["apart", "of"], _across(p))
+        found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "a", "b")
     result = (
         feats.select("doc_id", *digest)
         .join(classes.join(found, classes.stands == found.node, "left").select(*digest, F.coalesce("component", "stands").alias("of")), digest, "left")

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from obslog.llm import near_dedup
 from obslog.llm.components import connected_components
 from obslog.llm.near_dedup import NearDedup, drop_near_duplicates, links_of_block, min_samples, near_duplicates, odd_sketches, sketch_similarity
 
@@ -48,12 +49,39 @@ def corpus(prose):
     return docs
 
 
-@pytest.mark.parametrize("block", [140, 7])
+@pytest.mark.parametrize("block", [140, 7, 2])
 def test_equals_brute_force(table, corpus, block):
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(table(corpus).repartition(3), NearDedup(block=block)).collect()}
     assert got == brute(corpus)
 
 
+def test_chains_through_a_large_cluster(table, prose):
+    """Neighbours in a chain link, its ends do not: whatever the leader, most members link over others."""
+    base = prose(41, 150).split()
+    docs = [(i, " ".join(f"c{j}" if j < 3 * i else w for j, w in enumerate(base))) for i in range(25)]
+    docs += [(100 + i, " ".join(f"d{j}" if j >= 150 - 2 * i else w for j, w in enumerate(base))) for i in range(25)]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(table(docs), NearDedup(block=3)).collect()}
+    assert got == brute(docs)
+
+
+def test_work_grows_with_a_group_of_near_copies(spark, table, prose):
+    base = prose(77, 60).split()
+    made = []
+    for n in (300, 1200):
+        docs = [(i, " ".join(f"n{i}" if j == (i * 11) % 60 else w for j, w in enumerate(base))) for i in range(n)]
+        rows = []
+        keep = near_dedup.links_of_block
+        acc = spark.sparkContext.accumulator(0)
+        near_dedup.links_of_block = lambda ids, *a, **k: (acc.add(len(ids)), keep(ids, *a, **k))[1]
+        try:
+            rows = near_duplicates(table(docs), NearDedup(block=30)).select("component_id").distinct().collect()
+        finally:
+            near_dedup.links_of_block = keep
+        assert [r.component_id for r in rows] == [0]
+        made.append(acc.value)
+    assert made[1] <= 6 * max(made[0], 300)
+
+
 def test_five_words_at_eighty_percent(table, corpus):
     p = NearDedup(shingle=5, threshold_percent=80, bands=40, rows=4, sketch_floor=0.45)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(table(corpus), p).collect()}
@@ -103,7 +131,7 @@ def test_a_block_links_what_all_its_links_would():
     sets = [np.unique(np.concatenate([base[rng.random(200) > 0.05], rng.integers(0, 2**63, int(rng.integers(0, 12))).astype(np.uint64)])) for _ in range(30)]
     p = NearDedup()
     sketches = np.ascontiguousarray(odd_sketches(np.array([min_samples(s, p.samples) for s in sets]), p.sketch_bits)).view(np.uint64)
-    links = links_of_block(np.arange(30), sets, sketches, 4, p)
+    links = links_of_block(np.arange(30), sets, sketches, np.array([4]), p)
     up = list(range(30))
     for a in range(30):
         for b in range(a):
