@@ -13,30 +13,39 @@ from obslog.llm.license_scan import folded_words
 
 @dataclass(frozen=True)
 class IMatch:
-    """Parameters. The lexicon has the terms that a share of `least_share` to `most_share` of the documents hold.
+    """Parameters. The band has the terms that a share of `least_share` to `most_share` of the documents hold, and at least `least_documents` of them.
 
-    At most (mean distinct terms of a document) / `least_share` terms can reach that share,
-    however many documents there are; beyond `broadcast_terms` the lexicon is joined by a
-    shuffle. The `subsets` random orders of the lexicon each give nested subsets that keep
-    one term in 4, 16, 64, ... (`levels` of them): long texts are compared by the sparse
-    ones, short texts by the dense ones."""
+    A text with fewer than `enough` terms in the band gets as many of its least frequent
+    terms above it, too: copies count, so that what very many near copies share lies above the
+    band. At most (mean distinct terms of a document) / `least_share` terms can reach the
+    band or lie above it, however many documents there are; beyond `broadcast_terms` the
+    lexicon is joined by a shuffle. The `subsets` random orders of the lexicon each give
+    nested subsets that keep one term in 4, 16, 64, ... (`levels` of them): long texts are
+    compared by the sparse ones, short texts by the dense ones."""
 
     least_share: float = 0.001
     most_share: float = 0.01
     least_documents: int = 2
+    enough: int = 16
     broadcast_terms: int = 1 << 20
     levels: int = 5
     subsets: int = 8
     seed: int = 11
 
 
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(folded_words(text), lambda w: F.xxhash64(w)))
+
+
 def lexicon(docs: DataFrame, p: IMatch = IMatch(), text_col: str = "text") -> DataFrame:
-    """(term): hashes of the terms within the band of document frequency, over all documents."""
-    terms = docs.select(F.explode(F.array_distinct(folded_words(F.col(text_col)))).alias("t"))
-    counts = terms.groupBy(F.xxhash64("t").alias("term")).agg(F.count("*").alias("n"))
+    """(term, over): hashes of the terms within the band of document frequency, and above it with their number of documents.
+
+    `over` is 0 within the band. All documents count, a null text as an empty one. An empty
+    table has no terms; other columns are not read."""
+    counts = docs.select(F.explode(_terms(F.col(text_col))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     n = docs.count()
-    least, most = max(p.least_documents, p.least_share * n), max(p.least_documents, p.most_share * n, 0.2 * min(n, 50))
-    return cut(counts.where((F.col("n") >= least) & (F.col("n") <= most)).select("term"))
+    least, most = max(p.least_documents, p.least_share * n), max(p.least_documents, p.most_share * n)
+    return cut(counts.where(F.col("n") >= least).select("term", F.when(F.col("n") > most, F.col("n")).otherwise(F.lit(0)).alias("over")))
 
 
 def _let(value: Column, body) -> Column:
@@ -81,53 +90,73 @@ def printed(fp: Column) -> Column:
     return F.array_join(F.transform(fp, lambda h: F.lower(F.hex(h))), "-")
 
 
-def fingerprint_texts(texts: DataFrame, terms: DataFrame, keys: list[str], p: IMatch = IMatch()) -> DataFrame:
-    """`keys` and fp (array of hashes) for each row of `texts`, whose other column is `text`.
+def fingerprint_texts(texts: DataFrame, terms: DataFrame, keys: list[str], p: IMatch = IMatch(), carried: tuple[str, ...] = ()) -> DataFrame:
+    """`keys`, `carried` and fp (array of hashes) for each row of `texts`, which also has `text`.
 
-    keys name a row; rows equal in all keys count as one. Where the texts are partitioned by
-    some of the keys already, their terms come together again without an exchange. Each text
-    keeps one place for no term at all, so that one without any is still there."""
+    keys name a row; rows equal in all keys count as one and share one text's hash. Where the
+    texts are partitioned by some of the keys already, their terms come together again
+    without an exchange. Each text keeps one place for no term at all, with what it carries,
+    so that one without any is still there. A null text is an empty one. No rows give none."""
     n = terms.count()
-    lex = F.broadcast(terms) if n <= p.broadcast_terms else terms
-    words = F.concat(F.array_distinct(folded_words(F.col("text"))), F.array(F.lit("")))
-    rows = texts.select(*keys, F.xxhash64(F.coalesce("text", F.lit(""))).alias("__h"), F.explode(words).alias("__t"))
-    hashed = rows.select(*keys, "__h", (F.col("__t") == "").alias("__none"), F.xxhash64("__t").alias("__x"))
-    found = hashed.join(lex.withColumnRenamed("term", "__term"), F.col("__x") == F.col("__term"), "left").where("__none OR __term IS NOT NULL")
-    grouped = found.groupBy(*keys).agg(F.max("__h").alias("__h"), F.sort_array(F.collect_set("__term")).alias("__terms"))
-    return grouped.select(*keys, fingerprint(F.col("__terms"), F.col("__h"), p).alias("fp"))
-
-
-def with_next(docs: DataFrame, rows_a_bucket: int = 1000) -> DataFrame:
+    lex = terms.withColumnRenamed("term", "__term")
+    lex = F.broadcast(lex) if n <= p.broadcast_terms else lex
+    last = F.struct(F.lit(None).cast("long").alias("x"), F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), *carried).alias("own"))
+    kind = texts.select(F.struct(F.xxhash64(F.lit("")).alias("h"), *carried).alias("own")).schema["own"].dataType
+    words = F.transform(_terms(F.col("text")), lambda x: F.struct(x.alias("x"), F.lit(None).cast(kind).alias("own")))
+    rows = texts.select(*keys, F.explode(F.concat(words, F.array(last))).alias("__t")).select(*keys, "__t.x", "__t.own")
+    found = rows.join(lex, F.col("x") == F.col("__term"), "left").where("x IS NULL OR __term IS NOT NULL")
+    term = F.when(F.col("__term").isNotNull(), F.struct("over", "__term"))
+    grouped = found.groupBy(*keys).agg(F.max("own").alias("__own"), F.sort_array(F.collect_set(term)).alias("__all"))
+    inside = F.filter("__all", lambda t: t["over"] == 0)
+    above = F.slice(F.filter("__all", lambda t: t["over"] > 0), 1, p.enough)
+    chosen = _let(inside, lambda own: F.when(F.size(own) >= p.enough, own).otherwise(F.concat(own, above)))
+    sorted_terms = F.sort_array(F.transform(chosen, lambda t: t["__term"]))
+    chosen_rows = grouped.select(*keys, "__own", sorted_terms.alias("__terms"))
+    return chosen_rows.select(*keys, *[F.col(f"__own.{c}").alias(c) for c in carried], fingerprint(F.col("__terms"), F.col("__own.h"), p).alias("fp"))
+
+
+_PARTS = 64  # of a bucket of rows that share an id, or have none
+_ROWS = 1 << 32
+
+
+def with_next(docs: DataFrame, rows_a_bucket: int = 200) -> DataFrame:
     """bucket, doc_id, text, row, next_text and next_row: each document with its successor in descending doc_id (after the last, the first).
 
     Documents are cut at exact-enough quantiles of doc_id into at most 65,536 buckets, each
     ordered on its own; the first document of a bucket is also put at the end of the bucket
     before it. Only the bucket heads, one row each, are ordered in one place. Null ids come
-    last; rows that share an id are ordered by text, descending. `row` is unique, and equal
-    wherever it is computed."""
+    last; rows that share an id are ordered by a hash of the text, descending, and an id that
+    fills whole buckets, as well as none, is split by that hash. Rows equal in id and text
+    stay together in any order. `row` is unique, and equal wherever it is computed. One row is
+    its own successor; none give none; other columns are not read."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     ids = docs.select("doc_id")
     n, lo, hi = ids.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
     coarse = max(1, min(256, n // rows_a_bucket))
     fine = max(1, min(256, n // (256 * rows_a_bucket)))
-    bounds = []
+    bounds, hot = [], []
     if coarse > 1:
         found = ids.agg(F.percentile_approx("doc_id", [i / coarse for i in range(1, coarse)], 10_000)).first()[0] or []
         bounds = sorted(set(found) - {lo})
+        hot = [int(x) for x in set(found) if found.count(x) > 1]
     edges = [lo or 0, *bounds, (hi or 0) + 1]
     at = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0)
     left, right = (F.element_at(F.array(*[F.lit(float(e)) for e in side]), at + 1) for side in (edges[:-1], edges[1:]))
     part = F.least(F.floor((F.col("doc_id") - left) / (right - left) * fine), F.lit(fine - 1)) if fine > 1 else F.lit(0)
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at * fine + part).cast("long")
-    placed = docs.select("doc_id", "text", bucket.alias("bucket"))
-    heads = placed.groupBy("bucket").agg(F.max("doc_id").alias("head"))
+    by_hash = F.shiftright("h", 58) + _PARTS // 2
+    place = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at * fine + part).cast("long") * (2 * _PARTS)
+    # an id that is split comes after the other ids of its bucket, which a bound at the id makes larger ones
+    split = F.when(F.col("doc_id").isNull() | F.col("doc_id").isin(hot), by_hash).otherwise(F.lit(_PARTS)) if hot else F.when(F.col("doc_id").isNull(), by_hash).otherwise(F.lit(_PARTS))
+    placed = docs.withColumn("bucket", place + split)
+    heads = placed.groupBy("bucket").agg(F.max(F.struct("doc_id", "h")).alias("head"))
     falling = Window.orderBy(F.desc("bucket"))
     heads = heads.select(F.col("bucket").alias("own"), "head", F.coalesce(F.lag("bucket").over(falling), F.min("bucket").over(Window.partitionBy())).alias("goes_to"))
-    heads = F.broadcast(cut(heads))
-    copies = placed.join(heads, (F.col("bucket") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("head")))
-    copies = copies.select("doc_id", "text", F.col("goes_to").alias("bucket"), F.lit(1).alias("copy"), (F.col("own") * (1 << 40) + 1).alias("of"))
-    rows = placed.select("doc_id", "text", "bucket", F.lit(0).alias("copy"), F.lit(None).cast("long").alias("of")).union(copies)
-    order = Window.partitionBy("bucket").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc_nulls_last("text"))
-    numbered = rows.withColumn("row", F.coalesce("of", F.col("bucket") * (1 << 40) + F.row_number().over(order)))
+    heads = F.broadcast(cut(heads))  # at most 65,536 and 64 for each of at most 256 ids
+    copies = placed.join(heads, (F.col("bucket") == F.col("own")) & F.struct("doc_id", "h").eqNullSafe(F.col("head")))
+    copies = copies.select("doc_id", "text", "h", F.col("goes_to").alias("bucket"), F.lit(1).alias("copy"), (F.col("own") * _ROWS + 1).alias("of"))
+    rows = placed.select("doc_id", "text", "h", "bucket", F.lit(0).alias("copy"), F.lit(None).cast("long").alias("of")).union(copies)
+    order = Window.partitionBy("bucket").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc("h"), F.desc("text"))
+    numbered = rows.withColumn("row", F.coalesce("of", F.col("bucket") * _ROWS + F.row_number().over(order)))
     return numbered.select("bucket", "doc_id", "text", "copy", "row", F.lead("text").over(order).alias("next_text"), F.lead("row").over(order).alias("next_row")).where("copy = 0").drop("copy")
 
 

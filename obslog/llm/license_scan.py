@@ -53,10 +53,17 @@ class LicenseScan:
     least_share: float = 0.6
 
 
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BETWEEN = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+
+
 def folded_words(text: Column) -> Column:
-    """The words of a text with A-Z, and only these, in lower case; none for a null."""
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), letters, letters.lower()), F.lit(WORD), F.lit(0))
+    """The words of a text, runs of what WORD names with A-Z, and only these, in lower case; none for a null.
+
+    Characters between words become spaces and texts are split at these, which is several
+    times as fast as matching the words."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), _CAPITALS + _BETWEEN, _CAPITALS.lower() + " " * len(_BETWEEN))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def _stands(words: Column, at: Column, phrase: list[str], pivot: int) -> Column:

@@ -40,12 +40,10 @@ def op4_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     terms = lexicon(docs)
     pairs = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    both = pairs.select(
-        "bucket", "doc_id", "row", "next_row", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("t"),
-    ).select("bucket", "doc_id", "row", "next_row", "n_chars", "edited_sha256", "t.kind", "t.text")
-    keys = ["bucket", "doc_id", "row", "next_row", "n_chars", "edited_sha256"]
-    prints = cut(fingerprint_texts(both, terms, [*keys, "kind"]))
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))
+    carried = ("doc_id", "next_row", "n_chars", "edited_sha256")
+    both = pairs.select("bucket", "row", "doc_id", "next_row", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.inline(kinds))
+    prints = cut(fingerprint_texts(both, terms, ["bucket", "row", "kind"], carried=carried))
     own = prints.where("kind = 0").drop("kind")
     after = prints.where("kind = 1").select("row", F.col("fp").alias("edited_fp"))
     follower = own.select(F.col("row").alias("next_row"), F.col("fp").alias("next_fp"))
