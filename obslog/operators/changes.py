@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from obslog.operators.state import AFTER, BEFORE, DELETE, INSERT
@@ -29,6 +29,20 @@ def change_range(feed: DataFrame, start: int, end: int, table: str = "feed", che
     return feed.where(F.col("_commit_version").between(start, end))
 
 
+def unreadable_ranges(requests: DataFrame, logs: DataFrame) -> DataFrame:
+    """Requested ranges (source_table, start_version, end_version) that a log (source_table, first_version, last_version) doesn't hold, with first and last."""
+    joined = requests.join(logs.select("source_table", "first_version", "last_version"), "source_table", "left")
+    held = (F.col("start_version") <= F.col("end_version")) & (F.col("start_version") >= F.col("first_version")) & (F.col("end_version") <= F.col("last_version"))
+    return joined.where(~F.coalesce(held, F.lit(False)))
+
+
+def write_workset(workset: DataFrame, path: str, keys: Sequence[str]) -> int:
+    """Replace the workset at `path` by the distinct keys of this one; returns their number, counted on the way."""
+    seen = Observation()
+    workset.select(*keys).distinct().observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return seen.get["n"]
+
+
 def business_columns(feed: DataFrame, lineage: Sequence[str]) -> list[str]:
     """All columns but the feed's own and lineage; a lineage column that isn't there is an error."""
     unknown = sorted(set(lineage) - set(feed.columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obslog.schemas import require_columns
@@ -61,6 +61,15 @@ ENVELOPE_RULES: list[Rule] = [
     ("labels repeat an id", lambda: F.coalesce(F.size("labels") != F.size(F.array_distinct(F.transform("labels", lambda x: x["id"]))), F.lit(False))),
 ]
 
+def _bad_label(x: Column) -> Column:
+    blank_name = x["name"].isNull() | (F.length(F.trim(x["name"])) == 0)
+    color = F.lower(x["color"])
+    return x["id"].isNull() | (x["id"] <= 0) | blank_name | color.isNull() | ~color.rlike("^[0-9a-f]{6}$") | (F.length(color) != 6) | x["default"].isNull()
+
+
+#: The rules of single labels, for envelopes that are not taken apart.
+ELEMENT_RULES: list[Rule] = [("a label is malformed", lambda: F.coalesce(F.exists("labels", _bad_label), F.lit(False)))]
+
 LABEL_RULES: list[Rule] = [
     *_ENVELOPE,
     not_positive("label_id"),
@@ -111,6 +120,31 @@ def require_valid(rows: DataFrame, rules: Sequence[Rule], what: str = "rows") ->
     return rows
 
 
+def refused(rows: DataFrame, bad: Column, told: Column) -> DataFrame:
+    """`rows`, in a plan that fails with `told` on the first row for which `bad` holds.
+
+    What such a plan writes is not committed. It costs no job of its own, and no row escapes
+    it, since it stands before any reduction."""
+    return rows.where(F.when(F.coalesce(bad, F.lit(False)), F.raise_error(told).cast("boolean")).otherwise(F.lit(True)))
+
+
+def checked(rows: DataFrame, rules: Sequence[Rule], what: str = "rows") -> DataFrame:
+    """`rows`, in a plan that fails if any of them breaks a rule; `require_valid` tells before the plan runs."""
+    found = judged(rows, rules, "_broken")
+    return refused(found, F.size("_broken") > 0, F.concat(F.lit(f"{what}: "), F.array_join("_broken", ", "))).drop("_broken")
+
+
+def checked_unique(rows: DataFrame, keys: Sequence[str], what: str = "rows") -> DataFrame:
+    """`rows`, in a plan that fails if a key occurs more than once. They come out partitioned by the keys."""
+    counted = rows.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return refused(counted, F.col("_copies") > 1, F.lit(f"{what}: duplicate keys {', '.join(keys)}")).drop("_copies")
+
+
+def any_invalid(rows: DataFrame, rules: Sequence[Rule]) -> bool:
+    """Whether any row breaks a rule; the search ends with the first one."""
+    return not invalid(rows, rules).limit(1).isEmpty()
+
+
 def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, n) of the keys that occur more than once."""
     if not keys:
@@ -144,6 +178,18 @@ def gate_report(df: DataFrame, table: str, not_null: Sequence[str] = (), unique:
     return out.select(F.lit(table).alias("table_name"), "gate", "subject", "failures")
 
 
+def gate_failures(report: DataFrame) -> DataFrame:
+    """The gates of a report that don't hold."""
+    return report.where("failures > 0")
+
+
+def require_gates(*reports: DataFrame) -> None:
+    """An error that names the gates which don't hold; what follows a gate comes after this."""
+    failed = [f"{r.table_name} {r.gate} {r.subject}: {r.failures}" for report in reports for r in gate_failures(report).limit(50).collect()]
+    if failed:
+        raise InvalidRows("gates failed: " + "; ".join(failed))
+
+
 def orphans(child: DataFrame, parent: DataFrame, column: str, parent_column: str) -> DataFrame:
     """Distinct non-null foreign keys without a parent row."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()

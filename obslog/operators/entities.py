@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obslog.operators import contracts as C
 from obslog.schemas import ISSUES, LABELS, PAYLOAD, USERS, EntitySpec
 from obslog.sources.log import instant
 
@@ -15,100 +16,75 @@ def parsed(observations: DataFrame) -> DataFrame:
     """Observations with their payload as a struct, parsed once for all entities that read it.
 
     What is no JSON object gives a null struct. A number in a text field is taken as text;
-    a fraction or boolean in a number field is a null."""
-    return observations.withColumn("_p", F.from_json("raw_json", PAYLOAD))
+    a fraction or boolean in a number field is a null. Parsed rows come back as they are."""
+    return observations if "_p" in observations.columns else observations.withColumn("_p", F.from_json("raw_json", PAYLOAD))
+
+
+_TEXT, _INSTANT = "text", "instant"
+
+# The output columns and the payload fields that they come from.
+ISSUE_FIELDS = [
+    ("issue_number", "number", _TEXT),
+    ("title", "title", _TEXT),
+    ("state", "state", _TEXT),
+    ("author_user_id", "user.id", _TEXT),
+    ("created_at", "created_at", _INSTANT),
+    ("updated_at", "updated_at", _INSTANT),
+    ("closed_at", "closed_at", _INSTANT),
+    ("_payload_id", "id", _TEXT),
+    ("_created_raw", "created_at", _TEXT),
+    ("_updated_raw", "updated_at", _TEXT),
+    ("_closed_raw", "closed_at", _TEXT),
+]
+USER_FIELDS = [("user_id", "user.id", _TEXT), ("login", "user.login", _TEXT), ("user_type", "user.type", _TEXT), ("_payload_id", "id", _TEXT)]
+LABEL_FIELDS = [("label_id", "id"), ("name", "name"), ("color", "color"), ("description", "description"), ("is_default", "default")]
+ISSUE_COLUMNS = ["repository_owner", "repository_name", "issue_id", "issue_number", "title", "state", "is_pull_request", "author_user_id", "created_at", "updated_at", "closed_at", "source_run_id"]
+LABEL_COLUMNS = ["repository_owner", "repository_name", "label_id", "name", "color", "description", "is_default", "observed_at", "source_run_id"]
+USER_COLUMNS = ["user_id", "login", "user_type", "observed_at", "source_run_id"]
+RELATION_COLUMNS = ["repository_owner", "repository_name", "issue_id", "label_id", "observed_at", "source_run_id"]
 
+_ORIGIN = ["_ingested_at", "_page_or_batch_reference", "raw_json"]
 
-def issues(parsed_rows: DataFrame) -> DataFrame:
-    """One row per observation: 12 typed columns, and the raw ones that the rules look at.
 
-    An issue is a pull request if its payload has a `pull_request` that isn't null."""
-    p = F.col("_p")
-    return parsed_rows.select(
-        "repository_owner",
-        "repository_name",
-        "issue_id",
-        p["number"].alias("issue_number"),
-        p["title"].alias("title"),
-        p["state"].alias("state"),
-        is_pull_request(F.col("raw_json")).alias("is_pull_request"),
-        p["user"]["id"].alias("author_user_id"),
-        instant(p["created_at"]).alias("created_at"),
-        instant(p["updated_at"]).alias("updated_at"),
-        instant(p["closed_at"]).alias("closed_at"),
-        F.col("_run_id").alias("source_run_id"),
-        p["id"].alias("_payload_id"),
-        F.col("source_updated_at").alias("_source_updated_at"),
-        p["created_at"].alias("_created_raw"),
-        p["updated_at"].alias("_updated_raw"),
-        p["closed_at"].alias("_closed_raw"),
-        "_ingested_at",
-        "_page_or_batch_reference",
-        "raw_json",
-    )
+def _fields(table: list[tuple[str, str, str]]) -> list[Column]:
+    """The columns that a table of (column, payload field, kind) names."""
+    return [(instant(F.col(f"_p.{path}")) if kind == _INSTANT else F.col(f"_p.{path}")).alias(name) for name, path, kind in table]
 
 
-ISSUE_COLUMNS = ["repository_owner", "repository_name", "issue_id", "issue_number", "title", "state", "is_pull_request", "author_user_id", "created_at", "updated_at", "closed_at", "source_run_id"]
-LABEL_COLUMNS = ["repository_owner", "repository_name", "label_id", "name", "color", "description", "is_default", "observed_at", "source_run_id"]
-USER_COLUMNS = ["user_id", "login", "user_type", "observed_at", "source_run_id"]
-RELATION_COLUMNS = ["repository_owner", "repository_name", "issue_id", "label_id", "observed_at", "source_run_id"]
+def issues(parsed_rows: DataFrame) -> DataFrame:
+    """One row per observation: typed columns, and the raw ones that the rules look at.
+
+    An issue is a pull request if its payload has a `pull_request` that isn't null."""
+    own = [is_pull_request(F.col("raw_json")).alias("is_pull_request"), F.col("_run_id").alias("source_run_id"), F.col("source_updated_at").alias("_source_updated_at")]
+    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *own, *_ORIGIN)
 
 
 def is_pull_request(raw_json: Column) -> Column:
     return F.get_json_object(raw_json, "$.pull_request").isNotNull()
 
 
+_OBSERVED = [("source_updated_at", "observed_at"), ("_run_id", "source_run_id")]
+
+
+def _observed() -> list[Column]:
+    return [F.col(a).alias(b) for a, b in _OBSERVED]
+
+
 def envelopes(parsed_rows: DataFrame) -> DataFrame:
     """One row per observation with its label array, before it is taken apart."""
-    return parsed_rows.select(
-        "repository_owner",
-        "repository_name",
-        "issue_id",
-        F.col("_p")["id"].alias("_payload_id"),
-        F.col("_p")["labels"].alias("labels"),
-        F.col("source_updated_at").alias("observed_at"),
-        F.col("_run_id").alias("source_run_id"),
-        "_ingested_at",
-        "_page_or_batch_reference",
-        "raw_json",
-    )
+    return parsed_rows.select(*ISSUES.keys, F.col("_p.id").alias("_payload_id"), F.col("_p.labels").alias("labels"), *_observed(), *_ORIGIN)
 
 
 def labels(envelope_rows: DataFrame) -> DataFrame:
     """One row per label of each observation; colours in lower case. No labels, no rows."""
-    keep = ["repository_owner", "repository_name", F.col("issue_id").alias("source_issue_id"), "observed_at", "source_run_id", "_ingested_at", "_page_or_batch_reference", "raw_json"]
-    return envelope_rows.select(*keep, F.explode("labels").alias("x")).select(
-        "repository_owner",
-        "repository_name",
-        F.col("x.id").alias("label_id"),
-        F.col("x.name").alias("name"),
-        F.lower("x.color").alias("color"),
-        F.col("x.description").alias("description"),
-        F.col("x.default").alias("is_default"),
-        "source_issue_id",
-        "observed_at",
-        "source_run_id",
-        "_ingested_at",
-        "_page_or_batch_reference",
-        "raw_json",
-    )
+    one = envelope_rows.withColumn("_x", F.explode("labels"))
+    fields = [(F.lower(f"_x.{path}") if name == "color" else F.col(f"_x.{path}")).alias(name) for name, path in LABEL_FIELDS]
+    return one.select(*ISSUES.keys[:2], *fields, F.col("issue_id").alias("source_issue_id"), "observed_at", "source_run_id", *_ORIGIN)
 
 
 def users(parsed_rows: DataFrame) -> DataFrame:
     """The author of each observation; a user is the same in all repositories."""
-    u = F.col("_p")["user"]
-    return parsed_rows.select(
-        u["id"].alias("user_id"),
-        u["login"].alias("login"),
-        u["type"].alias("user_type"),
-        F.col("issue_id").alias("source_issue_id"),
-        F.col("_p")["id"].alias("_payload_id"),
-        F.col("source_updated_at").alias("observed_at"),
-        F.col("_run_id").alias("source_run_id"),
-        "_ingested_at",
-        "_page_or_batch_reference",
-        "raw_json",
-    )
+    return parsed_rows.select(*_fields(USER_FIELDS), F.col("issue_id").alias("source_issue_id"), *_observed(), *_ORIGIN)
 
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -124,21 +100,43 @@ def latest_of(rows: DataFrame, spec: EntitySpec, order: str | None = None) -> Da
     return latest(rows, spec.keys, [order or spec.order, *spec.ties])
 
 
-def latest_issues(observations: DataFrame) -> DataFrame:
-    return latest_of(issues(parsed(observations)), ISSUES).select(*ISSUE_COLUMNS)
+def newest_observations(observations: DataFrame) -> DataFrame:
+    """The newest observation of each issue, parsed: its issue and its envelope need no reduction of their own.
+
+    Rows are not checked here; `check_observations` does."""
+    return latest(parsed(observations), ISSUES.keys, ["source_updated_at", "_ingested_at", "_run_id", "_page_or_batch_reference", "raw_json"])
+
+
+def check_observations(observations: DataFrame) -> None:
+    """An error if any observation is malformed as an issue, a user or a label envelope: one read of each for all that is then built from them."""
+    rows = parsed(observations)
+    C.require_valid(issues(rows), C.ISSUE_RULES, "issues")
+    C.require_valid(users(rows), C.USER_RULES, "users")
+    C.require_valid(envelopes(rows), [*C.ENVELOPE_RULES, *C.ELEMENT_RULES], "label envelopes")
+
+
+def latest_issues(observations: DataFrame, check: bool = True) -> DataFrame:
+    """The newest row of each issue. As in all of these, one malformed observation, however old, fails the plan; a caller that has checked may turn that off."""
+    rows = issues(parsed(observations))
+    return latest_of(C.checked(rows, C.ISSUE_RULES, "issues") if check else rows, ISSUES).select(*ISSUE_COLUMNS)
 
 
-def latest_labels(observations: DataFrame) -> DataFrame:
-    return latest_of(labels(envelopes(parsed(observations))), LABELS).select(*LABEL_COLUMNS)
+def latest_labels(observations: DataFrame, check: bool = True) -> DataFrame:
+    seen = envelopes(parsed(observations))
+    rows = labels(C.checked(seen, C.ENVELOPE_RULES, "label envelopes") if check else seen)
+    return latest_of(C.checked(rows, C.LABEL_RULES, "labels") if check else rows, LABELS).select(*LABEL_COLUMNS)
 
 
-def latest_users(observations: DataFrame) -> DataFrame:
-    return latest_of(users(parsed(observations)), USERS).select(*USER_COLUMNS)
+def latest_users(observations: DataFrame, check: bool = True) -> DataFrame:
+    rows = users(parsed(observations))
+    return latest_of(C.checked(rows, C.USER_RULES, "users") if check else rows, USERS).select(*USER_COLUMNS)
 
 
-def observed_scope(observations: DataFrame) -> DataFrame:
+def observed_scope(observations: DataFrame, check: bool = True) -> DataFrame:
     """The newest envelope of each issue with its labels, an empty array included."""
-    return latest(envelopes(parsed(observations)), ISSUES.keys, ["observed_at", *ISSUES.ties])
+    rows = envelopes(parsed(observations))
+    rows = C.checked(rows, [*C.ENVELOPE_RULES, *C.ELEMENT_RULES], "label envelopes") if check else rows
+    return latest(rows, ISSUES.keys, ["observed_at", *ISSUES.ties])
 
 
 def relations_of(scope: DataFrame) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from obslog.operators.changes import change_range, changed_keys
+from obslog.operators.changes import change_range, changed_keys, plan_ranges
 from obslog.operators.compare import diff_both_ways
+from obslog.operators.control import commit_positions
 from obslog.operators.star import ISSUE_KEY, bridge_issue_label, fact_issue
 from obslog.operators.state import replace_keys, replace_workset
 from obslog.schemas import ISSUES, RELATIONS
@@ -50,3 +52,37 @@ def incremental_batch(fact: DataFrame, bridge: DataFrame, issues: DataFrame, rel
     return Batch(
         workset, new_fact, new_bridge, diff_both_ways(new_fact, fact_issue(issues), ["source_run_id"]), diff_both_ways(new_bridge, bridge_issue_label(relations), [])
     )
+
+
+class RefusedBatch(ValueError):
+    """A batch whose ranges can't be planned, or whose models differ from a full build; no position moves."""
+
+
+def run_batch(
+    fact: DataFrame, bridge: DataFrame, issues: DataFrame, relations: DataFrame, issue_feed: DataFrame, relation_feed: DataFrame,
+    positions: DataFrame, baselines: DataFrame, consumer: str, run_id: str, at: Column,
+) -> tuple[Batch, DataFrame]:
+    """(batch, positions after it): ranges planned from the consumer's positions or baselines, then workset, models and comparison, and positions last.
+
+    The newest versions are read before anything else, and they are what is committed: a
+    change that comes in meanwhile belongs to the next batch. A range that can't be planned
+    or any difference from the full build raises RefusedBatch. Idle tables keep their
+    position. positions: (consumer_name, source_table, last_version, last_run_id,
+    updated_at); baselines: (source_table, version)."""
+    feeds = {"issues": issue_feed, "relations": relation_feed}
+    current = None
+    for name, feed in feeds.items():
+        row = feed.agg(F.max("_commit_version").alias("version")).where("version IS NOT NULL").select(F.lit(name).alias("source_table"), "version")
+        current = row if current is None else current.unionByName(row)
+    stored = positions.where(F.col("consumer_name") == consumer).select("source_table", F.col("last_version").alias("version"))
+    plan = plan_ranges(stored, baselines, current).collect()  # a row for each of the two tables
+    bad = sorted(f"{r.source_table}: {r.status}" for r in plan if r.status not in ("ready", "idle"))
+    if bad or {r.source_table for r in plan} != set(feeds):
+        raise RefusedBatch(f"no ranges: {bad or sorted(r.source_table for r in plan)}")
+    batch = incremental_batch(fact, bridge, issues, relations, issue_feed, relation_feed, {r.source_table: (r.start_version, r.end_version) for r in plan})
+    for name, differences in (("fact", batch.fact_differences), ("bridge", batch.bridge_differences)):
+        if not differences.isEmpty():
+            raise RefusedBatch(f"the {name} differs from a full build")
+    reached = [(consumer, r.source_table, r.end_version, run_id) for r in plan if r.status == "ready"]
+    rows = fact.sparkSession.createDataFrame(reached, "consumer_name string, source_table string, last_version long, last_run_id string").withColumn("updated_at", at)
+    return batch, commit_positions(positions, rows)

@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obslog.operators.contracts import checked_unique, refused
 from obslog.schemas import EntitySpec
 
 INSERT, DELETE, BEFORE, AFTER = "insert", "delete", "update_preimage", "update_postimage"
@@ -35,14 +36,15 @@ def _images(sides: DataFrame, columns: Sequence[str], version: int, committed_at
 Keep = Callable[[DataFrame], DataFrame]
 
 
-def guarded_upsert(target: DataFrame, source: DataFrame, spec: EntitySpec, version: int = 0, committed_at: Column | None = None, keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
+def guarded_upsert(target: DataFrame, source: DataFrame, spec: EntitySpec, version: int = 0, committed_at: Column | None = None, keep: Keep | None = None, check: bool = True) -> tuple[DataFrame, DataFrame]:
     """(new state, changes): a source row replaces its target row unless it is older, or is added.
 
     An equal order value replaces too, and then leaves a pair of images even if nothing
-    differs. The source must have each key once (`contracts.require_unique`). Both results
+    differs. A source that has a key twice fails the plan, before anything of it is committed;
+    a caller that knows better may turn the check off. Both results
     come from the same full outer join on the key; `keep` (such as `sources.folder.cut`)
     holds it where both are used, else each computes it."""
-    sides = _sides(target, source, spec.keys)
+    sides = _sides(target, checked_unique(source, spec.keys, spec.name) if check else source, spec.keys)
     newer = F.col(f"s.{spec.order}") >= F.col(f"t.{spec.order}")
     act = F.when(F.col("t").isNull(), "insert").when(F.col("s").isNotNull() & newer, "update").otherwise("keep")
     sides = sides.withColumn("act", act)
@@ -68,7 +70,7 @@ def stale_relations(target: DataFrame, scope: DataFrame, relations: DataFrame, p
 
 def reconcile(
     target: DataFrame, scope: DataFrame, relations: DataFrame, parent_keys: Sequence[str], spec: EntitySpec, version: int = 0, committed_at: Column | None = None,
-    parent_state: DataFrame | None = None, keep: Keep | None = None,
+    parent_state: DataFrame | None = None, keep: Keep | None = None, check: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(new state, changes) of a child set: what each observed parent has now replaces what it had.
 
@@ -76,13 +78,22 @@ def reconcile(
     observed parent that it no longer has removed, if they are not newer than the
     observation. A parent without relations loses all. Without `parent_state` an old
     observation can bring back a relation that was removed since; with it (the parents'
-    current rows with updated_at) observations older than the parent's state are left out."""
+    current rows with updated_at) observations older than the parent's state are left out.
+
+    A relation outside the scope, or of another time or run than its parent's observation,
+    and a parent or relation that comes twice, fail the plan unless `check` is off."""
+    if check:
+        scope, relations = checked_unique(scope, parent_keys, "scope"), checked_unique(relations, spec.keys, spec.name)
     if parent_state is not None:
         now = parent_state.select(*parent_keys, F.col("updated_at").alias("_now"))
         fresh = scope.join(now, list(parent_keys), "left").where(F.col("_now").isNull() | (F.col("observed_at") >= F.col("_now"))).drop("_now")
         relations = relations.join(fresh.select(*parent_keys), list(parent_keys), "left_semi")
         scope = fresh
-    sides = _sides(target, relations, spec.keys).join(scope.select(*parent_keys, F.col("observed_at").alias("_seen")), list(parent_keys), "left")
+    seen = scope.select(*parent_keys, F.col("observed_at").alias("_seen"), F.col("source_run_id").alias("_run"))
+    sides = _sides(target, relations, spec.keys).join(seen, list(parent_keys), "left")
+    if check:
+        inside = F.col("_seen").isNotNull() & F.col("_seen").eqNullSafe(F.col("s.observed_at")) & F.col("_run").eqNullSafe(F.col("s.source_run_id"))
+        sides = refused(sides, F.col("s").isNotNull() & ~inside, F.lit(f"{spec.name}: a relation is outside the observed scope"))
     newer = F.col("s.observed_at") >= F.col("t.observed_at")
     act = (
         F.when(F.col("t").isNull(), "insert")

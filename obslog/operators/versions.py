@@ -32,12 +32,12 @@ def resolve_version(commit_rows: DataFrame, cutoff: Column) -> DataFrame:
 def frozen_input(log: DataFrame, manifest: DataFrame) -> DataFrame:
     """The rows of a manifest's repository, version and runs, each marked with manifest_id.
 
-    The manifest has one row or a few and is joined by its repository and run."""
+    It is an equality join by repository and run: Spark broadcasts the runs where they are few."""
     allowed = manifest.select(
         "manifest_id", F.col("repository_owner").alias("_owner"), F.col("repository_name").alias("_name"), F.col("bronze_version").alias("_version"), F.explode("successful_run_ids").alias("_allowed")
     )
     inside = (F.col("repository_owner") == F.col("_owner")) & (F.col("repository_name") == F.col("_name")) & (F.col("_run_id") == F.col("_allowed")) & (F.col("_commit_version") <= F.col("_version"))
-    return log.join(F.broadcast(allowed), inside).drop("_owner", "_name", "_version", "_allowed")
+    return log.join(allowed, inside).drop("_owner", "_name", "_version", "_allowed")
 
 
 def missing_runs(log: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -62,6 +62,7 @@ def require_frozen_input(log: DataFrame, manifest: DataFrame) -> DataFrame:
 def replay(observations: DataFrame, manifest_id: Column, execution_id: Column) -> dict[str, DataFrame]:
     """The four current-state tables of one frozen input, marked with where they come from."""
     scope = E.observed_scope(observations)
+    observations = E.parsed(observations)
     tables = {"issues": E.latest_issues(observations), "users": E.latest_users(observations), "labels": E.latest_labels(observations), "relations": E.relations_of(scope)}
     return {k: v.withColumn("manifest_id", manifest_id).withColumn("replay_execution_id", execution_id) for k, v in tables.items()}
 
@@ -119,14 +120,17 @@ def build_manifest(requests: DataFrame, commit_rows: DataFrame, ledger: DataFram
 
     The id is a hash of all content with sorted run ids, so that the same input has the same
     id. A request whose runs are not all eligible, or whose cutoff is before the first
-    commit, gives no manifest (`ineligible_runs` says why)."""
+    commit, gives no manifest (`ineligible_runs` says why). The commit history, a row for
+    each version, comes in as one array by a scalar subquery."""
     content = ["repository_owner", "repository_name", "bronze_table", "bronze_version", "successful_run_ids", "cutoff_at", "code_commit", "transformation_version"]
     numbered = requests.withColumn("successful_run_ids", F.array_sort("run_ids")).withColumn("_request", F.xxhash64(F.to_json(F.struct(*[c for c in requests.columns]))))
     runs = numbered.select("_request", "cutoff_at", F.explode("run_ids").alias("run_id")).join(ledger.select("run_id", "status", "finished_at"), "run_id", "left")
     good = (F.col("status") == "succeeded") & (F.col("finished_at") <= F.col("cutoff_at"))
     eligible = runs.groupBy("_request").agg(F.min(F.coalesce(good, F.lit(False)).cast("int")).alias("ok")).where("ok = 1").drop("ok")
-    version = numbered.select("_request", F.col("cutoff_at").alias("_cutoff")).join(F.broadcast(commit_rows), F.col("committed_at") <= F.col("_cutoff")).groupBy("_request").agg(F.max("version").alias("bronze_version"))
-    built = numbered.join(eligible, "_request").join(version, "_request").select(*content)
+    history = commit_rows.agg(F.collect_list(F.struct("committed_at", "version"))).scalar()
+    reached = F.filter("_history", lambda c: c["committed_at"] <= F.col("cutoff_at"))
+    version = F.array_max(F.transform(reached, lambda c: c["version"]))
+    built = numbered.join(eligible, "_request").withColumn("_history", history).withColumn("bronze_version", version).where("bronze_version IS NOT NULL").select(*content)
     text = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (F.col("repository_owner"), F.col("repository_name"), F.col("bronze_table"), F.col("bronze_version").cast("string"), F.array_join("successful_run_ids", ","), F.date_format("cutoff_at", "yyyy-MM-dd HH:mm:ss"), F.col("code_commit"), F.col("transformation_version"))])
     return built.select(F.concat(F.lit("manifest-"), F.substring(F.sha2(text, 256), 1, 16)).alias("manifest_id"), *content)
 

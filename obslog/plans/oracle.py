@@ -151,7 +151,7 @@ _sql("scoped_run_latest", f"SELECT repository_owner, repository_name, issue_id,
 
 _sql("parse_issues", f"SELECT {_COLUMNS}, batch AS _page_or_batch_reference FROM obs")
 _sql("pull_request_flag", "SELECT o_orderkey + 1 AS issue_id, o_orderkey % 3 = 0 AS is_pull_request FROM orders", base=False)
-_sql("canonical_payloads", "SELECT o_orderkey, '{\"id\":' || o_orderkey || ',\"title\":\"t\",\"state\":\"open\"}' AS canonical, true AS same FROM orders", base=False)
+_sql("canonical_payloads", "SELECT o_orderkey, '{\"id\":' || o_orderkey || ',\"labels\":[{\"a\":[],\"b\":1}],\"pull_request\":{\"n\":null,\"url\":\"u\"},\"state\":null,\"title\":\"t\"}' AS canonical, true AS same FROM orders", base=False)
 _sql("latest_issue", _issues())
 _sql("latest_label", f"SELECT * EXCLUDE (source_run_id) FROM ({_label_state()})")
 _sql("latest_user", f"SELECT * EXCLUDE (source_run_id) FROM ({_user_state()})")
@@ -308,7 +308,7 @@ _sql("daily_snapshot_labels", f"SELECT {_IK} AS issue_key, {_LK} AS label_key, s
 _sql(
     "daily_snapshot_events",
     """SELECT snapshot_date, user_id + 1 AS entity_id, event_type AS state, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_id
-  FROM (SELECT DISTINCT CAST(ts AS DATE) AS snapshot_date FROM events WHERE event_type = 'signup' AND user_id % 50 = 8) c JOIN events e ON e.ts < c.snapshot_date + INTERVAL 1 DAY
+  FROM (SELECT DISTINCT CAST(ts AS DATE) AS snapshot_date FROM events WHERE event_type = 'signup') c JOIN events e ON e.ts < c.snapshot_date + INTERVAL 1 DAY
   QUALIFY row_number() OVER (PARTITION BY snapshot_date, user_id ORDER BY ts DESC, event_id DESC) = 1""",
     base=False,
 )
@@ -366,3 +366,52 @@ _sql(
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     base=False,
 )
+
+_sql("workset_sink", "SELECT *, (SELECT count(*) FROM work) AS written FROM work", *_S)
+_sql("repeated_changes", "SELECT issue_id, count(*) AS n_commits, CAST(max(_commit_version) AS BIGINT) AS last_version FROM real_i GROUP BY issue_id HAVING count(*) > 1", *_S)
+_sql("business_values", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_values FROM ci" for c in _ISSUE_COLUMNS if c != "source_run_id"), *_S)
+_sql(
+    "unreadable_ranges",
+    """SELECT 't' || c_nationkey AS source_table, c_custkey - 20 AS start_version, c_custkey + 20 AS end_version, a AS first_version, b AS last_version
+  FROM customer JOIN (SELECT c_nationkey, min(c_custkey) AS a, max(c_custkey) AS b FROM customer GROUP BY c_nationkey) USING (c_nationkey) WHERE NOT (c_custkey - 20 >= a AND c_custkey + 20 <= b)""",
+    base=False,
+)
+_sql(
+    "batch_positions",
+    """SELECT 'model' AS consumer_name, source_table, CAST(version AS BIGINT) AS last_version, 'run_4' AS last_run_id, TIMESTAMP '2001-09-06 11:00:00' AS updated_at
+  FROM (SELECT 'issues' AS source_table, max(_commit_version) AS version FROM ci UNION ALL SELECT 'relations', max(_commit_version) FROM cr)""",
+    *_S,
+)
+_sql("write_once", f"SELECT state, count(*) AS n_rows, CAST(sum(count(*)) OVER () AS BIGINT) AS written, false AS written_again FROM ({_latest("run_id = 'run_4'")}) GROUP BY state")
+_sql(
+    "invalid_manifests",
+    """SELECT manifest_id, CASE length(repository_name) WHEN 5 THEN 'code_commit blank' WHEN 6 THEN 'no runs' WHEN 7 THEN 'runs repeat' ELSE 'bronze_version negative' END AS violations
+  FROM man WHERE length(repository_name) BETWEEN 5 AND 8""",
+    _MAN,
+)
+_sql(
+    "older_invalid",
+    f"SELECT issue_id, run_id AS source_run_id, batch AS _page_or_batch_reference FROM obs WHERE {_BAD} EXCEPT ALL SELECT issue_id, run_id, batch FROM ({_latest()}) WHERE {_BAD}",
+)
+_sql(
+    "any_invalid",
+    f"SELECT run_id AS _run_id, count(*) AS n_rows, v.log, CASE v.log WHEN 'flawed' THEN EXISTS (SELECT 1 FROM obs WHERE {_BAD}) ELSE false END AS any_invalid FROM obs CROSS JOIN (VALUES ('sound'), ('flawed')) v(log) GROUP BY ALL",
+)
+_sql("merge_source_duplicates", f"SELECT {_ISSUE}, count(*) AS n FROM obs WHERE run_id = 'run_1' GROUP BY ALL HAVING count(*) > 1")
+_sql("missing_columns", "SELECT run_id AS _run_id, count(*) AS n_rows, v.column_name FROM obs CROSS JOIN (VALUES ('raw_json'), ('_ingested_at')) v(column_name) GROUP BY ALL")
+_sql("utc_hours", "SELECT CAST(hour(ingested_at) AS INTEGER) AS hour, count(*) AS n_rows FROM obs GROUP BY ALL")
+_sql("named_tables", "SELECT o_orderstatus, count(*) AS n_rows FROM orders WHERE o_totalprice >= 1000 GROUP BY ALL", base=False)
+_sql("key_agreement", f"SELECT repository_owner, repository_name, {_RK} AS repository_key, count(*) AS n_relations FROM ({_relations()}) GROUP BY ALL")
+_sql(
+    "gate_failures",
+    """SELECT 'fact_issue' AS table_name, * FROM (SELECT 'not_null' AS gate, 'closed_date_key' AS subject, count(*) FILTER (closed_at IS NULL) AS failures FROM l
+  UNION ALL SELECT 'accepted_values', 'state', count(*) FILTER (state <> 'open') FROM l) WHERE failures > 0""",
+    f"l AS ({_latest()})",
+)
+_sql("failed_run_watermark", "SELECT * FROM stored", _LEDGER, _STORED)
+_sql(
+    "moved_inputs",
+    """SELECT source_table, a.version AS before_version, b.version AS after_version FROM (SELECT c_mktsegment AS source_table, count(DISTINCT c_nationkey) AS version FROM customer GROUP BY ALL) a
+  FULL JOIN (SELECT c_mktsegment AS source_table, count(DISTINCT c_nationkey) AS version FROM customer WHERE c_acctbal < 0 GROUP BY ALL) b USING (source_table) WHERE a.version IS DISTINCT FROM b.version""",
+    base=False,
+)

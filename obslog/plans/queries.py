@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obslog import schemas
 from obslog.functions.keys import date_key, hash_key
 from obslog.operators import changes, compare, contracts, control, entities, incremental, snapshots, star, state, versions
 from obslog.schemas import ISSUES, LABELS, OBSERVATION, RELATIONS, USERS, EntitySpec, null_counts
@@ -38,29 +41,47 @@ def _log(spark: SparkSession, sf_dir: str, *runs: str) -> DataFrame:
 
 
 def _parsed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole log, written once for the queries that read it run by run."""
-    return cut(_log(spark, sf_dir))
+    """The whole log, parsed and written once for the queries that read it run by run."""
+    return cut(entities.parsed(_log(spark, sf_dir)))
 
 
 def _scope(observations: DataFrame) -> DataFrame:
     return entities.observed_scope(observations)
 
 
-def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Issues and relations after runs 1 to 4, and their change logs for versions 2 to 4."""
+@dataclass
+class _States:
+    """Issues and relations after run 1 and after run 4, and their change logs for versions 2 to 4."""
+
+    first_issues: DataFrame
+    first_relations: DataFrame
+    issues: DataFrame
+    relations: DataFrame
+    issue_feed: DataFrame
+    relation_feed: DataFrame
+
+
+def _both(newest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Issues and label envelopes of the newest observations."""
+    return entities.issues(newest).select(*entities.ISSUE_COLUMNS), entities.envelopes(newest)
+
+
+def _states(spark: SparkSession, sf_dir: str) -> _States:
     rows = _parsed_once(spark, sf_dir)
-    of = lambda run: log.of_run(rows, run)
-    issues, relations = cut(entities.latest_issues(of("run_1"))), cut(entities.relations_of(_scope(of("run_1"))))
+    entities.check_observations(rows)
+    newest = cut(entities.newest_observations(log.of_run(rows, "run_1")))
+    first_issues, scope = _both(newest)
+    first_relations = entities.relations_of(scope)
+    issues, relations = first_issues, first_relations
     issue_feed = relation_feed = None
     for run in ("run_2", "run_3", "run_4"):
         version, at = adapters.RUNS[run][0], F.lit(adapters.RUNS[run][1])
-        part = of(run)
-        scope = _scope(part)
-        issues, a = state.guarded_upsert(issues, entities.latest_issues(part), ISSUES, version, at, keep=cut)
+        source, scope = _both(cut(entities.newest_observations(log.of_run(rows, run))))
+        issues, a = state.guarded_upsert(issues, source, ISSUES, version, at, keep=cut)
         relations, b = state.reconcile(relations, scope, entities.relations_of(scope), star.ISSUE_KEY, RELATIONS, version, at, keep=cut)
         issue_feed = a if issue_feed is None else issue_feed.unionByName(a)
         relation_feed = b if relation_feed is None else relation_feed.unionByName(b)
-    return issues, relations, issue_feed, relation_feed
+    return _States(first_issues, first_relations, issues, relations, issue_feed, relation_feed)
 
 
 # --- ingest
@@ -126,8 +147,8 @@ def pull_request_flag(spark, sf_dir):
 @query
 def canonical_payloads(spark, sf_dir):
     o = adapters.table(spark, sf_dir, "orders")
-    a = F.concat(F.lit('{"title": "t", "id":'), F.col("o_orderkey").cast("string"), F.lit(', "state":"open"}'))
-    b = F.concat(F.lit('{"state":"open","id" : '), F.col("o_orderkey").cast("string"), F.lit(',"title":"t"}'))
+    a = F.concat(F.lit('{"title": "t", "pull_request":{"url":"u", "n":null}, "id":'), F.col("o_orderkey").cast("string"), F.lit(', "state":null, "labels":[{"b":1,"a":[]}]}'))
+    b = F.concat(F.lit('{"state":null,"labels":[ {"a":[],"b":1} ],"id" : '), F.col("o_orderkey").cast("string"), F.lit(',"title":"t","pull_request":{"n":null,"url":"u"}}'))
     return o.select("o_orderkey", log.canonical_json(a).alias("canonical"), (log.canonical_json(a) == log.canonical_json(b)).alias("same"))
 
 
@@ -204,6 +225,48 @@ def orphan_relations(spark, sf_dir):
     return state.orphan_relations(relations, _scope(_log(spark, sf_dir, "run_1")), star.ISSUE_KEY).select(*star.ISSUE_KEY, "label_id", "source_run_id")
 
 
+@query
+def older_invalid(spark, sf_dir):
+    """Malformed observations that are not the newest of their issue: the newest alone would not show them."""
+    rows = entities.issues(entities.parsed(adapters.observations(spark, sf_dir, flawed=True)))
+    newest = entities.latest_of(rows, ISSUES).select(*star.ISSUE_KEY, "source_run_id", "_page_or_batch_reference")
+    return contracts.invalid(rows, contracts.ISSUE_RULES).join(newest, newest.columns, "left_anti").select("issue_id", "source_run_id", "_page_or_batch_reference")
+
+
+@query
+def any_invalid(spark, sf_dir):
+    o = adapters.observations(spark, sf_dir, flawed=True)
+    found = []
+    for name, rows in (("sound", _log(spark, sf_dir)), ("flawed", o)):
+        found.append((name, contracts.any_invalid(entities.issues(entities.parsed(rows)), contracts.ISSUE_RULES)))
+    return o.groupBy("_run_id").agg(F.count("*").alias("n_rows")).withColumn("found", F.explode(F.array(*[F.struct(F.lit(n).alias("log"), F.lit(x).alias("any_invalid")) for n, x in found]))).select("_run_id", "n_rows", "found.*")
+
+
+@query
+def merge_source_duplicates(spark, sf_dir):
+    rows = entities.issues(entities.parsed(_log(spark, sf_dir, "run_1")))
+    return contracts.duplicate_keys(rows, ISSUES.keys)
+
+
+@query
+def missing_columns(spark, sf_dir):
+    rows = _log(spark, sf_dir).drop("raw_json", "_ingested_at")
+    missing = schemas.missing_columns(rows, [f.name for f in OBSERVATION if not f.nullable])
+    return rows.groupBy("_run_id").agg(F.count("*").alias("n_rows")).withColumn("column_name", F.explode(F.array(*[F.lit(c) for c in missing])))
+
+
+@query
+def utc_hours(spark, sf_dir):
+    schemas.require_utc(spark)
+    return _log(spark, sf_dir).groupBy(F.hour("_ingested_at").alias("hour")).agg(F.count("*").alias("n_rows"))
+
+
+@query
+def named_tables(spark, sf_dir):
+    adapters.table(spark, sf_dir, "orders").createOrReplaceTempView("obslog_orders")
+    return spark.sql("SELECT o_orderstatus, count(*) AS n_rows FROM IDENTIFIER(:prefix || '_orders') WHERE o_totalprice >= :least GROUP BY o_orderstatus", {"prefix": "obslog", "least": 1000.0})
+
+
 # --- state
 
 
@@ -272,7 +335,11 @@ def merge_change_log(spark, sf_dir):
 
 @query
 def as_of_version(spark, sf_dir):
-    return versions.as_of(_log(spark, sf_dir), 2).select("issue_id", "_run_id", "_commit_version", "_page_or_batch_reference")
+    path = new_path(spark, "log")
+    rows = cut(_log(spark, sf_dir))
+    for run, (version, *_) in adapters.RUNS.items():
+        log.append(log.of_run(rows, run), path, version)
+    return versions.as_of(log.read_log(spark, path), 2).select("issue_id", "_run_id", "_commit_version", "_page_or_batch_reference")
 
 
 @query
@@ -339,29 +406,86 @@ def manifest_conflicts(spark, sf_dir):
     return state.conflicts(m, other, ["manifest_id"]).select("manifest_id", "code_commit")
 
 
+@query
+def write_once(spark, sf_dir):
+    path = new_path(spark, "result")
+    issues = entities.latest_issues(_log(spark, sf_dir, "run_4"))
+    n = versions.write_once(issues, path)
+    try:
+        versions.write_once(issues, path)
+        again = True
+    except AnalysisException:
+        again = False
+    return spark.read.parquet(path).groupBy("state").agg(F.count("*").alias("n_rows")).withColumn("written", F.lit(n).cast("long")).withColumn("written_again", F.lit(again))
+
+
+@query
+def invalid_manifests(spark, sf_dir):
+    m = adapters.manifests(spark, sf_dir)
+    size = F.length("repository_name")
+    broken = m.withColumn("code_commit", F.when(size == 5, F.lit(" ")).otherwise(F.col("code_commit"))).withColumn(
+        "successful_run_ids", F.when(size == 6, F.array()).when(size == 7, F.concat("successful_run_ids", "successful_run_ids")).otherwise(F.col("successful_run_ids"))
+    )
+    return _told(contracts.invalid(broken.withColumn("bronze_version", F.when(size == 8, F.lit(-1)).otherwise(F.col("bronze_version"))), versions.MANIFEST_RULES), "manifest_id")
+
+
 # --- changes
 
 
 @query
 def change_feed_range(spark, sf_dir):
-    feed = _states(spark, sf_dir)[2]
+    feed = _states(spark, sf_dir).issue_feed
     return changes.change_range(feed, 3, 4).groupBy("_commit_version", "_change_type").agg(F.count("*").alias("n_rows"))
 
 
 @query
 def real_changes(spark, sf_dir):
-    return changes.real_changes(_states(spark, sf_dir)[2], ISSUES)
+    return changes.real_changes(_states(spark, sf_dir).issue_feed, ISSUES)
 
 
 @query
 def real_relation_changes(spark, sf_dir):
-    return changes.real_changes(_states(spark, sf_dir)[3], RELATIONS)
+    return changes.real_changes(_states(spark, sf_dir).relation_feed, RELATIONS)
+
+
+def _workset(s: _States) -> DataFrame:
+    return changes.changed_keys([(s.issue_feed, ISSUES), (s.relation_feed, RELATIONS)], star.ISSUE_KEY)
 
 
 @query
 def changed_keys(spark, sf_dir):
-    _, _, a, b = _states(spark, sf_dir)
-    return changes.changed_keys([(a, ISSUES), (b, RELATIONS)], star.ISSUE_KEY)
+    return _workset(_states(spark, sf_dir))
+
+
+@query
+def workset_sink(spark, sf_dir):
+    s = _states(spark, sf_dir)
+    path = new_path(spark, "workset")
+    changes.write_workset(s.issues, path, star.ISSUE_KEY)
+    n = changes.write_workset(_workset(s), path, star.ISSUE_KEY)
+    return spark.read.parquet(path).withColumn("written", F.lit(n).cast("long"))
+
+
+@query
+def repeated_changes(spark, sf_dir):
+    real = changes.real_changes(_states(spark, sf_dir).issue_feed, ISSUES)
+    return real.groupBy("issue_id").agg(F.count("*").alias("n_commits"), F.max("_commit_version").alias("last_version")).where("n_commits > 1")
+
+
+@query
+def business_values(spark, sf_dir):
+    feed = _states(spark, sf_dir).issue_feed
+    columns = changes.business_columns(feed, ISSUES.lineage)
+    counts = feed.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in columns])))
+
+
+@query
+def unreadable_ranges(spark, sf_dir):
+    c = adapters.table(spark, sf_dir, "customer").select(F.concat(F.lit("t"), F.col("c_nationkey").cast("string")).alias("source_table"), "c_custkey")
+    logs = c.groupBy("source_table").agg(F.min("c_custkey").alias("first_version"), F.max("c_custkey").alias("last_version"))
+    asked = c.select("source_table", (F.col("c_custkey") - 20).alias("start_version"), (F.col("c_custkey") + 20).alias("end_version"))
+    return changes.unreadable_ranges(asked, logs)
 
 
 @query
@@ -376,15 +500,25 @@ def plan_ranges(spark, sf_dir):
 
 @query
 def workset_filter(spark, sf_dir):
-    issues, _, a, b = _states(spark, sf_dir)
-    return incremental.of_workset(issues, changes.changed_keys([(a, ISSUES), (b, RELATIONS)], star.ISSUE_KEY)).select("issue_id", "title", "state")
+    s = _states(spark, sf_dir)
+    return incremental.of_workset(s.issues, _workset(s)).select("issue_id", "title", "state")
 
 
 def _incremental(spark, sf_dir):
-    issues, relations, a, b = _states(spark, sf_dir)
-    fact = star.fact_issue(entities.latest_issues(_log(spark, sf_dir, "run_1")))
-    bridge = star.bridge_issue_label(entities.relations_of(_scope(_log(spark, sf_dir, "run_1"))))
-    return incremental.incremental_batch(fact, bridge, issues, relations, a, b, {"issues": (2, 4), "relations": (2, 4)})
+    s = _states(spark, sf_dir)
+    fact, bridge = star.fact_issue(s.first_issues), star.bridge_issue_label(s.first_relations)
+    return incremental.incremental_batch(fact, bridge, s.issues, s.relations, s.issue_feed, s.relation_feed, {"issues": (2, 4), "relations": (2, 4)})
+
+
+@query
+def batch_positions(spark, sf_dir):
+    s = _states(spark, sf_dir)
+    at = F.lit("2001-09-06 11:00:00").cast("timestamp")
+    tables = adapters.table(spark, sf_dir, "region").limit(1).select(F.explode(F.array(F.lit("issues"), F.lit("relations"))).alias("source_table"))
+    stored = tables.where("source_table = 'issues'").select(F.lit("model").alias("consumer_name"), "source_table", F.lit(1).cast("long").alias("last_version"), F.lit("run_1").alias("last_run_id"), at.alias("updated_at"))
+    baselines = tables.where("source_table = 'relations'").select("source_table", F.lit(1).cast("long").alias("version"))
+    fact, bridge = star.fact_issue(s.first_issues), star.bridge_issue_label(s.first_relations)
+    return incremental.run_batch(fact, bridge, s.issues, s.relations, s.issue_feed, s.relation_feed, stored, baselines, "model", "run_4", at)[1]
 
 
 @query
@@ -481,6 +615,16 @@ def issues_per_month(spark, sf_dir):
     return star.issues_per_month(_star(spark, sf_dir)[0], star.dim_date(spark, *CALENDAR))
 
 
+@query
+def key_agreement(spark, sf_dir):
+    """Relations whose keys, by the bridge's formula, are keys of the fact and of the label dimension, by theirs."""
+    rows = _parsed_once(spark, sf_dir)
+    fact, labels = star.fact_issue(entities.latest_issues(rows)), star.dim_label(entities.latest_labels(rows))
+    bridge = star.bridge_issue_label(entities.relations_of(_scope(rows)))
+    known = bridge.join(fact.select("issue_key", "repository_key"), "issue_key").join(labels.select("label_key"), "label_key")
+    return known.groupBy("repository_owner", "repository_name", "repository_key").agg(F.count("*").alias("n_relations"))
+
+
 # --- quality
 
 
@@ -490,6 +634,13 @@ def gate_report(spark, sf_dir):
     return contracts.gate_report(fact, "fact_issue", ["issue_key", "author_key", "closed_date_key"], [["issue_key"], ["author_key", "created_date_key"]], {"state": ["open"]})
 
 
+@query
+def gate_failures(spark, sf_dir):
+    fact = star.fact_issue(entities.latest_issues(_log(spark, sf_dir)))
+    report = contracts.gate_report(fact, "fact_issue", ["issue_key", "closed_date_key"], [["issue_key"]], {"state": ["open"]})
+    return contracts.gate_failures(report)
+
+
 @query
 def orphan_foreign_keys(spark, sf_dir):
     fact, users = _star(spark, sf_dir)
@@ -603,6 +754,19 @@ def pipeline_health(spark, sf_dir):
     return control.health(_ledger(spark, sf_dir), _stored_watermarks(spark, sf_dir), 3)
 
 
+@query
+def failed_run_watermark(spark, sf_dir):
+    return control.commit_watermark(_stored_watermarks(spark, sf_dir), _ledger(spark, sf_dir).where("status <> 'succeeded'"), "ASIA", "issues", "updated_at")
+
+
+@query
+def moved_inputs(spark, sf_dir):
+    c = adapters.table(spark, sf_dir, "customer")
+    versions_ = lambda rows: rows.groupBy(F.col("c_mktsegment").alias("source_table")).agg(F.countDistinct("c_nationkey").alias("version"))
+    owing = c.where("c_acctbal < 0")
+    return compare.moved_inputs(versions_(c), versions_(owing))
+
+
 # --- scalars and streaming
 
 
@@ -642,7 +806,7 @@ def stream_latest_state(spark, sf_dir):
     rows = adapters.event_observations(spark, sf_dir)
     landing = new_path(spark, "landing")
     rows.repartition(4, F.to_date("at")).sortWithinPartitions(F.desc("at")).write.parquet(landing)
-    table = ingest.StateTable(spark, new_path(spark, "state"), rows.schema)
+    table = ingest.StateTable(spark, new_path(spark, "state"), rows.schema, spec.keys)
     ingest.stream_latest_state(ingest.files(spark, landing, rows.schema), table, spec, new_path(spark, "checkpoint")).awaitTermination()
     return table.read()
 

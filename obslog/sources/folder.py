@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -15,7 +17,8 @@ def shared_dir(spark: SparkSession) -> str:
     set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_to:
         return set_to.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
@@ -27,8 +30,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written as a Parquet table in the shared folder and read again: lineage ends here."""
-    path = new_path(df.sparkSession, "obslog")
+    """`df` written as a Parquet table in the shared folder and read again: lineage ends here.
+
+    The table goes when the driver ends, or by `discard`."""
+    spark = df.sparkSession
+    path = new_path(spark, "obslog")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fs, where = _file_system(spark, path)
+    fs.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `cut` gave; nothing that still has to be computed may read them."""
+    for df in tables:
+        path = _written.pop(df, None)
+        if path:
+            fs, where = _file_system(df.sparkSession, path)
+            fs.delete(where, True)

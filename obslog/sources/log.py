@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obslog.schemas import OBSERVATION, PAYLOAD, enforce_schema
+from obslog.schemas import OBSERVATION, enforce_schema
+from obslog.sources.folder import cut
 
 #: ISO 8601 with a zone: Z or an offset of hours and minutes.
 ZONED = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
@@ -40,8 +41,8 @@ def observe(
 
 
 def canonical_json(text: Column) -> Column:
-    """The declared part of a payload in one spelling: declared field order, no spaces, nulls left out."""
-    return F.to_json(F.from_json(text, PAYLOAD))
+    """A payload in one spelling: every field is kept, names in order at each level, no spaces, nulls as they are; null for what is no JSON."""
+    return F.to_json(F.try_parse_json(text))
 
 
 def append(observations: DataFrame, path: str, version: int) -> int:
@@ -70,9 +71,18 @@ def incremental(log: DataFrame, watermark, overlap_seconds: int = 300, column: s
 
 
 def batches(log: DataFrame, size: int, *order: str) -> DataFrame:
-    """`log` with a batch label (batch-1, batch-2, ...) of `size` rows within each run, by the given order."""
-    place = F.row_number().over(Window.partitionBy("_run_id").orderBy(*order))
-    return log.withColumn("batch", F.concat(F.lit("batch-"), (F.floor((place - 1) / size) + 1).cast("string")))
+    """`log` with a batch label (batch-1, batch-2, ...) of `size` rows within each run, by the given order.
+
+    Rows are dealt by ranges of run and order and numbered within a range, on from the exact
+    count of the run's rows in the ranges before it: a run that is most of the log is no one
+    task's work. Only the counts, a row for each run and range, meet by run."""
+    dealt = cut(log.repartitionByRange("_run_id", *order).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy("_run_id", "_part").agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy("_run_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("_run_id").alias("_of"), F.col("_part").alias("_in"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    joined = dealt.join(before, F.col("_run_id").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in")))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_run_id", "_part").orderBy(*order))
+    return joined.select(*log.columns, F.concat(F.lit("batch-"), (F.floor((place - 1) / size) + 1).cast("string")).alias("batch"))
 
 
 def candidate_watermark(log: DataFrame, previous=None, column: str = "source_updated_at") -> DataFrame:

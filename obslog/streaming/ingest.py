@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslog.operators.entities import latest
@@ -11,33 +13,72 @@ from obslog.schemas import EntitySpec
 
 
 class StateTable:
-    """A state table kept as one folder per version under `path`; the newest complete version is the state.
+    """A state table in buckets of its keys' hash under `path`: a version is a folder that holds the buckets it rewrote.
+
+    The state is the newest complete version of each bucket, so that a small batch rewrites
+    the buckets that it touches and no others. A version is complete once Spark has written
+    its _SUCCESS file: a batch that died half-way leaves nothing that a reader sees, and a
+    batch that is run again finds its version done. Of each bucket the newest `keep` versions
+    stay. A version's folder stays as the mark that it is done, until it holds no bucket and
+    `marks` versions have been written since."""
 
-    A version is complete once Spark has written its _SUCCESS file, so a batch that died half-way
-    leaves nothing that a reader sees, and a batch that is run again finds its version done."""
+    def __init__(self, spark: SparkSession, path: str, schema, keys: Sequence[str], buckets: int = 32, keep: int = 2, marks: int = 100):
+        self.spark, self.path, self.schema, self.keys, self.buckets, self.keep, self.marks = spark, path.rstrip("/"), schema, keys, buckets, keep, marks
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def _names(self, path: str, prefix: str) -> list[int]:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+    def _file(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
     def versions(self) -> list[int]:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = [n for n in names if n.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
-        return sorted(int(n.removeprefix("version=")) for n in done)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        known = self.versions()
-        version = known[-1] if version is None and known else version
-        if version is None:
+        out = []
+        for v in self._names(self.path, "version="):
+            fs, where = self._file(f"{self.path}/version={v}/_SUCCESS")
+            if fs.exists(where):
+                out.append(v)
+        return out
+
+    def _held(self, versions: Sequence[int]) -> dict[int, list[int]]:
+        """The versions that rewrote each bucket, in the order given."""
+        out: dict[int, list[int]] = {}
+        for v in versions:
+            for b in self._names(f"{self.path}/version={v}", "_bucket="):
+                out.setdefault(b, []).append(v)
+        return out
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The state, or some of its buckets; versions count in the order in which they came, whatever their numbers."""
+        newest = {b: vs[-1] for b, vs in self._held(self.written()).items() if buckets is None or b in buckets}
+        if not newest:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={version}")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/version={v}/_bucket={b}" for b, v in sorted(newest.items())])
+
+    def written(self) -> list[int]:
+        """Complete versions in the order in which they were written."""
+        when = {}
+        for v in self.versions():
+            fs, where = self._file(f"{self.path}/version={v}/_SUCCESS")
+            when[v] = fs.getFileStatus(where).getModificationTime()
+        return sorted(when, key=lambda v: (when[v], v))
 
     def write(self, state: DataFrame, version: int) -> None:
-        state.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        state.withColumn("_bucket", self.bucket()).write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/version={version}")
+        written = self.written()
+        held = self._held(written)
+        gone = [f"{self.path}/version={old}/_bucket={b}" for b, versions in held.items() for old in versions[: -self.keep]]
+        needed = {v for versions in held.values() for v in versions[-self.keep :]}
+        gone += [f"{self.path}/version={v}" for v in written[: -self.marks] if v not in needed]
+        for path in gone:
+            fs, where = self._file(path)
+            fs.delete(where, True)
 
 
 def upsert_batch(table: StateTable, spec: EntitySpec):
@@ -46,13 +87,15 @@ def upsert_batch(table: StateTable, spec: EntitySpec):
     The batch number is the version. A batch whose version is there already is skipped, so
     that a replay after a failure changes nothing. Batches may come out of order: the guard
     on the order column makes every order end in the same state, but for rows that are equal in
-    it, of which the last batch's stays."""
+    it, of which the last batch's stays. Only the buckets of the batch's keys are read and
+    rewritten; their numbers, at most `buckets`, are all that the driver gets."""
 
     def run(batch: DataFrame, number: int) -> None:
         if number in table.versions():
             return
-        newest = latest(batch, spec.keys, [spec.order, *[c for c in spec.ties if c in batch.columns]])
-        state, _ = guarded_upsert(table.read(), newest.select(*[f.name for f in table.schema]), spec)
+        newest = latest(batch, spec.keys, [spec.order, *[c for c in spec.ties if c in batch.columns]]).select(*[f.name for f in table.schema])
+        touched = [r[0] for r in batch.select(table.bucket().alias("b")).distinct().collect()]
+        state, _ = guarded_upsert(table.read(touched), newest, spec, check=False)  # newest has each key once
         table.write(state, number)
 
     return run

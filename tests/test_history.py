@@ -181,6 +181,54 @@ def test_incremental_models_touch_the_workset_only(spark):
     assert star.fact_issue(issues.where("issue_id = 5")).first().closed_date_key is None
 
 
+def test_a_batch_plans_compares_and_commits_last(spark, tmp_path):
+    from obslog.operators import changes, state
+    from obslog.schemas import ISSUES, RELATIONS
+
+    row = lambda i, name: ("o", "r", i, i, name, "open", False, 7, at("2026-10-09"), at("2026-10-12"), None, "r2")
+    old = spark.createDataFrame([row(1, "a"), row(2, "b"), row(3, "c")], ISSUE)
+    issues, feed = state.guarded_upsert(old, spark.createDataFrame([row(1, "new")], ISSUE), ISSUES, 2, F.lit("2026-10-12"))
+    rel = "repository_owner string, repository_name string, issue_id long, label_id long, observed_at timestamp, source_run_id string"
+    had = spark.createDataFrame([("o", "r", 2, 5, at("2026-10-01"), "r1")], rel)
+    scope = spark.createDataFrame([("o", "r", 2, at("2026-10-12"), "r2")], "repository_owner string, repository_name string, issue_id long, observed_at timestamp, source_run_id string")
+    relations, rfeed = state.reconcile(had, scope, had.where("false"), ISSUE_KEY, RELATIONS, 2, F.lit("2026-10-12"))
+    p = "consumer_name string, source_table string, last_version long, last_run_id string, updated_at timestamp"
+    stored = spark.createDataFrame([("c", "issues", 1, "r1", at("2026-10-01")), ("other", "issues", 9, "r1", at("2026-10-01"))], p)
+    base = spark.createDataFrame([("relations", 1)], "source_table string, version long")
+    ask = lambda positions, baselines, fact=star.fact_issue(old): incremental.run_batch(fact, star.bridge_issue_label(had), issues, relations, feed, rfeed, positions, baselines, "c", "r2", F.lit("2026-10-12").cast("timestamp"))
+    batch, after = ask(stored, base)
+    assert sorted((r.issue_id, r.title) for r in batch.fact.collect()) == [(1, "new"), (2, "b"), (3, "c")] and batch.bridge.count() == 0
+    assert sorted((r.consumer_name, r.source_table, r.last_version) for r in after.collect()) == [("c", "issues", 2), ("c", "relations", 2), ("other", "issues", 9)]
+    with pytest.raises(incremental.RefusedBatch, match="relations: no start"):
+        ask(stored, base.where("false"))
+    with pytest.raises(incremental.RefusedBatch, match="issues: two starts"):
+        ask(stored, base.union(spark.createDataFrame([("issues", 1)], base.schema)))
+    with pytest.raises(incremental.RefusedBatch, match="fact differs"):
+        ask(stored, base, star.fact_issue(old.where("issue_id < 3")))
+    path = str(tmp_path / "work")
+    assert changes.write_workset(batch.workset.union(batch.workset), path, ISSUE_KEY) == 2
+    assert changes.write_workset(batch.workset.limit(1), path, ISSUE_KEY) == 1 == spark.read.parquet(path).count()
+
+
+def test_batches_number_a_run_across_tasks(spark, history):
+    rows = spark.createDataFrame([(r, i * 37 % 1000) for r in ("a", "b", None) for i in range(500)], "_run_id string, k long")
+    got = {(r._run_id, r.k): r.batch for r in log.batches(rows, 50, "k").collect()}
+    for run in ("a", "b", None):
+        keys = sorted(k for x, k in got if x == run)
+        assert [got[run, k] for k in keys] == [f"batch-{i // 50 + 1}" for i in range(500)]
+
+
+def test_a_small_batch_rewrites_its_buckets_only(spark, tmp_path):
+    schema = "k long, at timestamp"
+    table = ingest.StateTable(spark, f"{tmp_path}/state", spark.createDataFrame([], schema).schema, ["k"], buckets=8)
+    add = ingest.upsert_batch(table, EntitySpec("s", ("k",), "at", (), ()))
+    for n in range(6):
+        add(spark.createDataFrame([(k, at(f"2026-01-{n + 1:02d}")) for k in (range(100) if n == 0 else [n])], schema), n)
+    assert {r.k: r.at.day for r in table.read().collect()} == {k: k + 1 if 1 <= k <= 5 else 1 for k in range(100)}
+    held = table._held(table.written())
+    assert len(held) == 8 and all(len(v) <= 2 for v in held.values()) and table.versions() == list(range(6))
+
+
 def test_calendar(spark):
     days = star.dim_date(spark)
     assert days.count() == 10227
@@ -196,14 +244,14 @@ def test_stream_converges_whatever_the_order_and_skips_known_batches(spark, tmp_
     for name, order in (("up", F.asc("at")), ("down", F.desc("at"))):
         source = f"{tmp_path}/{name}"
         df.repartitionByRange(4, order).write.parquet(source)
-        table = ingest.StateTable(spark, f"{tmp_path}/{name}-state", df.schema)
+        table = ingest.StateTable(spark, f"{tmp_path}/{name}-state", df.schema, spec.keys, buckets=4)
         ingest.stream_latest_state(ingest.files(spark, source, df.schema), table, spec, f"{tmp_path}/{name}-check").awaitTermination()
         got = {r.k: (r.at.replace(tzinfo=None)) for r in table.read().collect()}
         assert got == {k: max(w.replace(tzinfo=None) for x, w, _ in rows if x == k) for k in range(5)}
         before = table.versions()
         ingest.upsert_batch(table, spec)(df, before[-1])
         assert table.versions() == before
-    assert ingest.StateTable(spark, f"{tmp_path}/none", df.schema).read().count() == 0
+    assert ingest.StateTable(spark, f"{tmp_path}/none", df.schema, spec.keys).read().count() == 0
 
 
 def test_streaming_days_close_behind_the_watermark(spark, tmp_path):

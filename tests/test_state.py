@@ -79,6 +79,34 @@ def test_bad_issues_fail_the_batch(log, bad, rule):
         contracts.require_valid(rows, contracts.ISSUE_RULES)
 
 
+def test_an_older_malformed_row_fails_what_is_built_of_the_newest(log):
+    bad_label = [{"id": 301, "name": "bug", "color": "nope", "default": True}]
+    newer = payload(updated_at="2026-09-21T09:00:00Z")
+    rows = log({"p": payload(labels=bad_label, title=" ", user={"id": 2001, "login": "", "type": "User"})}, {"p": newer, "updated": "2026-09-21T09:00:00", "run": "run-2"})
+    for make, what in ((entities.latest_issues, "title blank"), (entities.latest_labels, "color not six"), (entities.latest_users, "login blank"), (entities.observed_scope, "label is malformed")):
+        with pytest.raises(Exception, match=what):
+            make(rows).collect()
+        assert make(rows, check=False).count() == 1
+    with pytest.raises(contracts.InvalidRows):
+        entities.check_observations(rows)
+    entities.check_observations(log({"p": payload()}))
+
+
+def test_gates_stop_what_follows(log):
+    rows = entities.latest_issues(log({"p": payload()}))
+    good = contracts.gate_report(rows, "issues", ["title"], [["issue_id"]], {"state": ["open"]})
+    contracts.require_gates(good)
+    with pytest.raises(contracts.InvalidRows, match="issues accepted_values state: 1"):
+        contracts.require_gates(good, contracts.gate_report(rows, "issues", accepted={"state": ["closed"]}))
+
+
+def test_canonical_text_keeps_every_field(spark):
+    rows = spark.createDataFrame([('{"b":1, "a":{"d":null,"c":[true, "é\\n"]}, "pull_request":null}',), ("nope",), (None,)], "t string")
+    from obslog.sources.log import canonical_json
+
+    assert [r[0] for r in rows.select(canonical_json(F.col("t"))).collect()] == ['{"a":{"c":[true,"é\\n"],"d":null},"b":1,"pull_request":null}', None, None]
+
+
 def test_null_ids_are_flagged(log):
     rows = issues_of(log({"p": payload()}).withColumn("issue_id", F.lit(None).cast("long")))
     assert "issue_id not positive" in contracts.invalid(rows, contracts.ISSUE_RULES).first().violations
@@ -126,6 +154,8 @@ def test_guarded_upsert(spark):
     assert {r._commit_version for r in changes.collect()} == {7}
     with pytest.raises(contracts.InvalidRows):
         contracts.require_unique(new.union(new), USERS.keys)
+    with pytest.raises(Exception, match="users: duplicate keys user_id"):
+        state.guarded_upsert(old, new.union(new), USERS)[0].collect()
     with pytest.raises(ValueError):
         contracts.duplicate_keys(new, [])
 
@@ -161,6 +191,9 @@ def test_reconcile(spark):
     assert sorted((r.issue_id, r.label_id) for r in after.collect()) == [(1002, 5), (1003, 6), (1004, 9)]
     assert sorted((r.issue_id, r._change_type) for r in changes.collect()) == [(1001, "delete"), (1004, "insert")]
     assert [(r.issue_id, r.label_id) for r in state.stale_relations(stored, seen, now, ISSUE_KEY, RELATIONS.keys).collect()] == [(1001, 2001)]
+    for bad in ((7, 3, "2026-01-01T11:00:00"), (1004, 9, "2026-01-01T10:59:00")):
+        with pytest.raises(Exception, match="outside the observed scope"):
+            state.reconcile(stored, seen, relations(spark, bad), ISSUE_KEY, RELATIONS)[0].collect()
     outside = relations(spark, (1001, 1, "2026-01-01T11:00:00"), (1001, 2, "2026-01-01T10:59:00"), (7, 3, "2026-01-01T11:00:00"))
     assert sorted(r.label_id for r in state.orphan_relations(outside, seen, ISSUE_KEY).collect()) == [2, 3]
 
