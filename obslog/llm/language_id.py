@@ -20,8 +20,10 @@ UNDETERMINED = "und"
 class LanguageId:
     """Parameters. The broadcast model has languages x buckets numbers; `most_languages` bounds it.
 
-    `evidence` is how many n-grams' worth of mean log-likelihood the score rests on at most;
-    naive Bayes would otherwise answer 0 or 1 for every text of some length. A task holds the
+    The language is the one of largest posterior over all n-grams. `evidence` is how many
+    n-grams' worth of mean log-posterior the score rests on at most, which is that language's
+    share once the posterior is tempered so; naive Bayes would otherwise answer 0 or 1 for
+    every text of some length. A task holds the
     n-grams of about `slice_bytes` of text at a time, or of one document."""
 
     orders: tuple[int, ...] = (1, 2, 3)
@@ -101,11 +103,10 @@ class Model:
             n = np.bincount(rows, minlength=hi - lo)
             # sparse: only the n-grams that occur, summed by document for one language at a time
             likelihood = np.stack([np.bincount(rows, self.log_p[i][buckets], hi - lo) for i in range(len(self.langs))], axis=1)
-            mean = likelihood / np.maximum(n, 1)[:, None]
-            x = mean * np.minimum(n, self.p.evidence)[:, None] + self.prior
-            x = np.exp(x - x.max(axis=1, keepdims=True))
-            x /= x.sum(axis=1, keepdims=True)
-            best[lo:hi], score[lo:hi] = x.argmax(axis=1), np.round(x.max(axis=1), 9)
+            x = likelihood + self.prior
+            best[lo:hi] = x.argmax(axis=1)
+            x = np.exp((x - x.max(axis=1, keepdims=True)) * (np.minimum(n, self.p.evidence) / np.maximum(n, 1))[:, None])
+            score[lo:hi] = np.round(1 / x.sum(axis=1), 9)
         return best, score
 
 
