@@ -23,9 +23,15 @@ PHRASES = {
 
 # License notices, with their labels and the phrases that must be present.
 TEMPLATES = [
+    ("agpl-3.0", ["gnu affero general public license version 3"], "licensed under the gnu affero general public license version 3"),
+    ("agpl-3.0", ["gnu affero general public license", "either version 3 of the license"], "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("apache-2.0", ["apache license version 2 0"], "licensed under the apache license version 2 0"),
     ("apache-2.0", ["apache license version 2 0"], "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("artistic-2.0", ["artistic license 2 0"], "released under the artistic license 2 0"),
     ("bsd", ["redistribution and use in source and binary forms"], "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-2-clause", ["provided with the distribution this software is provided by"], "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is"),
+    ("bsd-3-clause", ["neither the name of", "may be used to endorse or promote products"], "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsl-1.0", ["boost software license version 1 0"], "distributed under the boost software license version 1 0"),
     ("cc-by-4.0", ["cc by 4 0"], "licensed under cc by 4 0"),
     ("cc-by-4.0", ["creative commons attribution 4 0"], "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-nc-4.0", ["cc by nc 4 0"], "licensed under cc by nc 4 0"),
@@ -33,15 +39,19 @@ TEMPLATES = [
     ("cc-by-sa-4.0", ["cc by sa 4 0"], "licensed under cc by sa 4 0"),
     ("cc-by-sa-4.0", ["creative commons attribution sharealike 4 0"], "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
     ("cc0-1.0", ["creative commons zero"], "released under the creative commons zero 1 0 universal license"),
+    ("epl-2.0", ["eclipse public license 2 0"], "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("epl-2.0", ["eclipse public license v 2 0"], "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0"),
     ("gpl-2.0", ["gnu general public license version 2"], "licensed under the gnu general public license version 2"),
     ("gpl-3.0", ["gnu general public license version 3"], "this work is licensed under the gnu general public license version 3"),
     ("gpl-3.0", ["gnu general public license", "either version 3 of the license"], "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("isc", ["permission to use copy modify and or distribute this software"], "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("lgpl-2.1", ["gnu lesser general public license", "either version 2 1 of the license"], "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
     ("lgpl-3.0", ["gnu lesser general public license version 3"], "licensed under the gnu lesser general public license version 3"),
     ("mit", ["mit license"], "released under the mit license"),
     ("mit", ["permission is hereby granted free of charge"], "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
     ("mpl-2.0", ["mozilla public license v 2 0"], "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", ["free and unencumbered software"], "this is free and unencumbered software released into the public domain"),
+    ("zlib", ["permission is granted to anyone to use this software for any purpose"], "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
 ]
 
 
@@ -88,7 +98,8 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = LicenseScan(), text_col: str
     begin with enough weight is missed. The best share of the weight is the score; a file
     with a base phrase scores at least 0.5.
 
-    A null or empty text has no words and no labels. Equal rows each get their row."""
+    A null or empty text has no words and no labels. Equal rows each get their row; no rows
+    give none."""
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     inner = ("__words", "__hits", "__keys", "__able", "__base", "__found")
     docs = without(docs, *added, *inner)

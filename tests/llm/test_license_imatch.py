@@ -1,9 +1,17 @@
+import functools
+import hashlib
+import math
+import random
+import struct
+from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from obslog.llm.imatch import IMatch, edited, fingerprint_texts, lexicon, likeness, with_next
 from obslog.llm.license_scan import PHRASES, TEMPLATES, scan_licenses, words_of
+from obslog.llm.queries import QUERIES
 
 
 def base_places(text):
@@ -40,6 +48,52 @@ def test_templates_are_found_and_prose_is_not(table, files):
     assert rows[300].labels == "" and rows[202].labels == ""
 
 
+def plain_scan(texts, least=0.6):
+    """Labels and score of each text: every template at every place of it."""
+    worded = {i: words_of(t) for i, t in texts.items()}
+    vocabulary = {w for _, _, t in TEMPLATES for w in t.split()}
+    df = Counter(w for ws in worded.values() for w in set(ws) & vocabulary)
+    idf = {w: math.log((len(texts) + 1) / (df[w] + 0.5)) for w in vocabulary}
+    out = {}
+    for i, ws in worded.items():
+        spaced = f" {' '.join(ws)} "
+        places = base_places(texts[i])
+        labels, score = {x for _, x in places}, 0.5 if places else 0.0
+        for label, needs, text in TEMPLATES:
+            if all(f" {k} " in spaced for k in needs):
+                t = text.split()
+                total = sum(idf[w] for w in t)
+                best = max(sum(idf[w] for j, w in enumerate(t) if 0 <= a + j < len(ws) and ws[a + j] == w) / total for a in range(-len(t), len(ws)))
+                if best >= least:
+                    labels.add(label)
+                    score = max(score, min(1.0, best))
+        out[i] = (",".join(sorted(labels)), score)
+    return out
+
+
+def test_labels_and_scores_equal_a_scan_of_every_place(table, files, prose):
+    rng = random.Random(8)
+    rows = list(files)
+    for i in range(120):  # notices with changed, missing and doubled words, cut at either end
+        ws = rng.choice(TEMPLATES)[2].split()
+        for _ in range(rng.randint(0, len(ws) // 3)):
+            ws[rng.randrange(len(ws))] = rng.choice(["word", "the", "license", ""])
+        a, b = sorted((rng.randint(0, len(ws)), rng.randint(0, len(ws)))) if i % 3 == 0 else (0, len(ws))
+        rows.append((1000 + i, f"{prose(i, rng.randint(0, 9))}\0{' '.join(ws[a:b])} {rng.choice(TEMPLATES)[2]}" if i % 2 else " ".join(ws[a:b])))
+    got = {r.doc_id: (r.labels, r.score) for r in scan_licenses(table(rows).select("doc_id", "text")).collect()}
+    want = plain_scan(dict(rows))
+    assert {i: x for i, (x, _) in got.items()} == {i: x for i, (x, _) in want.items()}
+    assert {i: y for i, (_, y) in got.items()} == {i: pytest.approx(y) for i, (_, y) in want.items()}
+
+
+def test_two_and_three_clauses_are_told_apart(table):
+    head = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    third = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    tail = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS"
+    got = {r.doc_id: r.labels for r in scan_licenses(table([(2, f"{head} {tail}"), (3, f"{head} {third} {tail}")]).select("doc_id", "text")).collect()}
+    assert got == {2: "bsd,bsd-2-clause", 3: "bsd,bsd-3-clause"}
+
+
 def test_scan_edge_cases(table, files):
     assert scan_licenses(table([])).collect() == []
     df = table([(1, "MIT License"), (1, "MIT License"), (None, "MIT License")]).withColumn("labels", F.lit("old")).withColumn("w", F.lit(1)).withColumn("template", F.lit(2))
@@ -66,14 +120,26 @@ def test_every_notice_of_a_file_is_found(table, prose):
     assert got[200] >= {label for label, _, _ in TEMPLATES}
 
 
+def xx(value, seed=42):
+    """Spark's xxhash64 of a text, a long or an int, as a signed number."""
+    data = value.encode() if isinstance(value, str) else value
+    h = xxhash.xxh64_intdigest(data, seed % (1 << 64))
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def long_(n):
+    return struct.pack("<q", n)
+
+
 def chain(docs):
-    rows = sorted(((d, t or "") for d, t in docs), key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
+    rows = sorted(((d, t or "") for d, t in docs), key=lambda r: (r[0] is not None, r[0] or 0, xx(r[1])), reverse=True)
     return [(d, t, rows[(i + 1) % len(rows)][1]) for i, (d, t) in enumerate(rows)]
 
 
 @pytest.mark.parametrize("size", [3, 10_000])
 def test_each_document_meets_the_next(table, prose, size):
     docs = [(i * i * 7 % 1009, prose(i, 5 + i % 9)) for i in range(60)] + [(5000, "same id b"), (5000, "same id a"), (None, "no id"), (10**12, "far"), (6000, None)]
+    docs += [(77, prose(900 + i, 3)) for i in range(40)] + [(None, prose(950 + i, 3)) for i in range(30)]
     df = table(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     out = with_next(df, rows_a_bucket=size)
     rows = out.select("doc_id", "text", "next_text", "row", "next_row", edited(F.col("text"), F.col("next_text")).alias("e")).collect()
@@ -92,13 +158,96 @@ def test_one_or_no_document(table):
     assert row.next_text == "alone" and row.next_row == row.row
 
 
-def test_lexicon_band(spark, table):
-    docs = table([(i, " ".join(f"t{k}" for k in range(1, 60) if i % k == 0)) for i in range(400)])
+@pytest.mark.parametrize("n", [30, 400])
+def test_lexicon_band(table, n):
+    docs = table([(i, " ".join(f"t{k}" for k in range(1, 60) if i % k == 0)) for i in range(n)])
     p = IMatch(least_share=0.02, most_share=0.2)
-    got = {r.term for r in lexicon(docs, p).collect()}
-    want = [k for k in range(1, 60) if 8 <= len(range(0, 400, k)) <= 80]
-    hashes = {r.h for r in spark.createDataFrame([(f"t{k}",) for k in want], "t string").select(F.xxhash64("t").alias("h")).collect()}
-    assert got == hashes
+    got = {r.term: r.over for r in lexicon(docs, p).collect()}
+    counts = {k: len(range(0, n, k)) for k in range(1, 60)}
+    assert got == {xx(f"t{k}"): c if c > max(2, 0.2 * n) else 0 for k, c in counts.items() if c >= max(2, 0.02 * n)}
+
+
+def plain_prints(texts, p):
+    """Fingerprints of texts by their ids, without Spark; the lexicon is of all of them."""
+    sets = {i: set(map(xx, words_of(t))) for i, t in texts.items()}
+    counts = Counter(x for s in sets.values() for x in s)
+    n = len(texts)
+    least, most = max(p.least_documents, p.least_share * n), max(p.least_documents, p.most_share * n)
+
+    def fingerprint(text):
+        known = [x for x in set(map(xx, words_of(text))) if counts[x] >= least]
+        inside = [x for x in known if counts[x] <= most]
+        above = sorted((counts[x], x) for x in known if counts[x] > most)
+        terms = sorted(inside + ([x for _, x in above[: p.enough]] if len(inside) < p.enough else []))
+        together = lambda xs: functools.reduce(lambda seed, x: xx(long_(x), seed), xs, 42)
+        out = [together(terms) if terms else xx(long_(xx(text)), xx(struct.pack("<i", p.seed)))]
+        for i in range(p.subsets):
+            hashes = [xx(long_(x), xx(struct.pack("<i", p.seed * 1000 + i))) for x in terms]
+            for level in range(1, p.levels + 1):
+                held = [h for h in hashes if h % 4**level == 0]
+                out.append(together(held) if held else 0)
+        return out
+
+    return fingerprint
+
+
+def plain_likeness(a, b, p):
+    if a[0] == b[0]:
+        return 1.0
+    out = 0.0
+    for level in range(p.levels):
+        at = [1 + i * p.levels + level for i in range(p.subsets)]
+        used = [i for i in at if a[i] or b[i]]
+        if 2 * len(used) >= p.subsets:
+            out = sum(a[i] == b[i] != 0 for i in used) / len(used)
+    return out
+
+
+@pytest.mark.parametrize("p", [IMatch(), IMatch(least_share=0.02, most_share=0.3, enough=4)])
+def test_fingerprints_and_likeness_equal_plain_ones(table, prose, p):
+    texts = {i: prose(i, 5 + 7 * i) for i in range(40)} | {100: prose(1, 12) + " zzz", 101: prose(1, 12), 102: "", 103: "zzz yyy", 104: "Élan zzz\0yyy", 105: "!!"}
+    df = table(list(texts.items()))
+    terms = lexicon(df, p)
+    prints = fingerprint_texts(df.select("doc_id", "text", "source"), terms, ["doc_id"], p, carried=("source",))
+    got = {r.doc_id: r.fp for r in prints.collect()}
+    plain = plain_prints(texts, p)
+    want = {i: plain(t) for i, t in texts.items()}
+    assert got == want
+    a, b = prints.select(F.col("doc_id").alias("i"), F.col("fp").alias("x")), prints.select(F.col("doc_id").alias("j"), F.col("fp").alias("y"))
+    near = {(r.i, r.j): r.n for r in a.join(b, F.col("i") < F.col("j")).select("i", "j", likeness(F.col("x"), F.col("y"), p).alias("n")).collect()}
+    assert near == {(i, j): pytest.approx(plain_likeness(want[i], want[j], p)) for i, j in near}
+
+
+def test_near_copies_that_are_most_rows_stay_alike(table, prose):
+    base = prose(800, 120).split()
+    docs = [(i, " ".join(f"r{i}" if j == (i * 7) % 120 else w for j, w in enumerate(base))) for i in range(150)]
+    docs += [(1000 + i, prose(i, 80)) for i in range(150)]
+    df = table(docs)
+    prints = fingerprint_texts(df.select("doc_id", "text"), lexicon(df), ["doc_id"]).collect()
+    by = {r.doc_id: r.fp for r in prints}
+    p = IMatch()
+    alike = [plain_likeness(by[i], by[i + 1], p) for i in range(149)]
+    others = [plain_likeness(by[i], by[1000 + i], p) for i in range(149)]
+    assert sum(alike) / len(alike) > 0.7 > 0.2 > sum(others) / len(others)
+
+
+def test_query_of_fingerprints_is_the_plain_one(spark, table, prose, tmp_path):
+    docs = [(i * 3, prose(i, 3 + i)) for i in range(60)] + [(500, None), (501, ""), (None, "no id"), (7, prose(7, 4000))]
+    table(docs).withColumn("fp", F.lit("x")).withColumn("bucket", F.lit(1)).withColumn("row", F.lit(2)).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op4_imatch_fingerprints"](spark, str(tmp_path)).collect()
+    p = IMatch()
+    plain = plain_prints({i: t or "" for i, (_, t) in enumerate(docs)}, p)
+    told = lambda fp: "-".join(f"{h % (1 << 64):x}" for h in fp)
+    want = []
+    for d, text, after in chain(docs):
+        m = len(text) // 3
+        new = text[: len(text) - m] + after[:m]
+        a, b, c = plain(text), plain(new), plain(after)
+        want.append((d, len(text), hashlib.sha256(new.encode()).hexdigest(), told(a), told(b), round(plain_likeness(a, b, p), 9), round(plain_likeness(a, c, p), 9)))
+    got = [(r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    table([]).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert QUERIES["op4_imatch_fingerprints"](spark, f"{tmp_path}/none").collect() == []
 
 
 def test_fingerprints(spark, table, prose):
