@@ -23,13 +23,13 @@ class Decontamination:
     of 128 fingerprint bits with a deviation of 4.5; `radius` is three deviations beyond.
     An item whose weight lies so unevenly that more of its words may differ is looked up by
     its heaviest shingles too, which loses nothing.
-    `items_a_block` bounds what is broadcast."""
+    `items_a_block` bounds what is broadcast: some kilobytes an item, mostly its shingles."""
 
     shingle: int = 5
     threshold: float = 0.8
     radius: int = 39
     blocks: int = 8
-    items_a_block: int = 512
+    items_a_block: int = 8192
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
@@ -68,8 +68,9 @@ class ItemIndex:
     """A bounded block of benchmark items: shingle weights and the multi-index over fingerprints.
 
     A fingerprint within `radius` of an item's has, in at least one of its `blocks` blocks,
-    at most radius // blocks differing bits; each block has a table from every pattern to
-    the items within that many bits, so that no fingerprint within the radius is missed.
+    at most radius // blocks differing bits; each block has a table from patterns to items,
+    which is asked for every pattern within that many bits, so that no fingerprint within
+    the radius is missed. Only items of the window's own size are in the tables that it asks.
 
     Where the shingles that make up the threshold can lie in fewer than that share of an
     item's words, the radius isn't enough. Such an item is also looked up by as many of its
@@ -95,16 +96,20 @@ class ItemIndex:
         self.total = np.array([self.weight[s].sum() for s in self.shingle_at])
         self.lead_at, self.lead_item = self._leads()
         self.prints = fingerprints(np.array([signs(h).sum(axis=0) for h in hashes]).reshape(len(hashes), 128))
-        self.heads, self.members = [], []
-        near = _within(p.radius // p.blocks)
-        for b in range(p.blocks):
-            pattern = (self.prints[:, b, None] ^ near).ravel()
-            order = np.argsort(pattern, kind="stable")
-            self.members.append((order // len(near)).astype(np.int32))
-            self.heads.append(np.searchsorted(pattern[order], np.arange(65537)))
+        self.nearby = _within(p.radius // p.blocks)
+        self.tables = {int(size): self._tables(np.flatnonzero(self.sizes == size)) for size in np.unique(self.sizes)}
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(known >> np.uint64(42)).astype(np.int64)] = True
 
+    def _tables(self, items: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each block, the patterns that some of the items have, the items in order of them, and where each pattern's begin."""
+        out = []
+        for b in range(self.p.blocks):
+            order = items[np.argsort(self.prints[items, b], kind="stable")]
+            patterns, begin = np.unique(self.prints[order, b], return_index=True)
+            out.append((patterns, order, np.append(begin, len(order))))
+        return out
+
     def _leads(self) -> tuple[np.ndarray, np.ndarray]:
         """(shingle number, item), in order of shingles: by what the items are looked up for which the radius isn't enough."""
         number, item = [], []
@@ -140,15 +145,19 @@ class ItemIndex:
     def near(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, item, distance) for all items of `size` words within the radius of a row."""
         row, item = [], []
-        for b in range(self.p.blocks):
-            lo, hi = self.heads[b][prints[:, b]], self.heads[b][prints[:, b] + 1]
-            n = hi - lo
-            r = np.repeat(np.arange(len(prints)), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[r]
-            found = self.members[b][at]
-            right = self.sizes[found] == size
-            row.append(r[right])
-            item.append(found[right])
+        for b, (patterns, order, begin) in enumerate(self.tables[size]):
+            if len(patterns) > len(self.nearby):
+                r, asked = np.divmod(np.arange(len(prints) * len(self.nearby)), len(self.nearby))
+                asked = prints[r, b] ^ self.nearby[asked]
+                place = np.minimum(np.searchsorted(patterns, asked), len(patterns) - 1)
+                known = patterns[place] == asked
+                r, place = r[known], place[known]
+            else:  # fewer patterns than would be asked for
+                r, place = np.nonzero(np.bitwise_count(prints[:, b, None] ^ patterns) <= self.p.radius // self.p.blocks)
+            n = begin[place + 1] - begin[place]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - begin[place], n)
+            row.append(np.repeat(r, n))
+            item.append(order[at])
         pair = np.unique(np.concatenate(row) * len(self.ids) + np.concatenate(item))
         r, i = pair // len(self.ids), pair % len(self.ids)
         distance = np.bitwise_count(prints[r] ^ self.prints[i]).sum(axis=1)
@@ -179,8 +188,8 @@ class ItemIndex:
             first = first[first <= len(h) - width]
             inside = w[np.searchsorted(a, first + width - n, "right")] - w[np.searchsorted(a, first)]
             first = first[inside >= self.p.threshold * self.total[self.sizes == size].min() - 1e-9]
-            for lo in range(0, len(first), 4096):
-                for found in self._confirmed(h, first[lo : lo + 4096], int(size), int(width), n, a, b):
+            for lo in range(0, len(first), 1024):
+                for found in self._confirmed(h, first[lo : lo + 1024], int(size), int(width), n, a, b):
                     if found[0] not in best or (-found[4], found[1]) < (-best[found[0]][4], best[found[0]][1]):
                         best[found[0]] = found
         return list(best.values())
@@ -265,8 +274,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, p: Decontamination = Decon
     them, are fingerprinted; of these, every one within the radius of an item of its size, or
     with a heavy shingle of an item of uneven weights, is found and confirmed on its
     shingles. Weights are ln(1 + items / items with the shingle) over all items; an item of fewer words than a shingle is one shingle. The best
-    window counts, then the earliest. Documents are read once for each block of items and
-    not moved. Null or wordless texts and items match nothing; null item ids are ignored;
+    window counts, then the earliest. Documents are read once for each block of items, one
+    up to `items_a_block`, and not moved. Null or wordless texts and items match nothing; null item ids are ignored;
     rows that repeat give repeated rows; empty tables give none; other columns aren't read."""
     schema = "doc_id long, item_id long, start_word int, n_words int, distance int, similarity double"
     spark = docs.sparkSession

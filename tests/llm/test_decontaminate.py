@@ -58,10 +58,17 @@ def test_equals_brute_force(spark, table, corpus, items):
     assert {d for d, _ in want} >= {100 + i for i in range(30)} and not {d for d, _ in want} & set(range(20))
 
 
-def test_item_blocks_change_nothing_but_weights(spark, table, corpus, items):
+@pytest.mark.parametrize("block", [6, 512])
+def test_item_blocks_change_nothing(spark, table, corpus, items, block):
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id) for r in find_leaks(table(corpus[20:50]), bench, Decontamination(items_a_block=9)).collect()}
-    assert got >= {(100 + i, i) for i in range(30)}
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in find_leaks(table(corpus), bench, Decontamination(items_a_block=block)).collect()}
+    assert got == brute(corpus, items)
+
+
+def test_one_read_of_the_documents(spark, table, corpus, items):
+    bench = spark.createDataFrame([(100 * k + i, t) for k in range(40) for i, t in items], "item_id long, text string")
+    out = find_leaks(table(corpus), bench)
+    assert out._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
 
 
 @pytest.mark.parametrize("block", [512, 60])
@@ -102,3 +109,16 @@ def test_no_fingerprint_within_the_radius_is_missed(prose):
         bits[rng.choice(128, p.radius, replace=False)] ^= 1
         row, item, distance = index.near(np.packbits(bits).view(">u2").astype(np.int64)[None], 30)
         assert (i, p.radius) in set(zip(item.tolist(), distance.tolist(), strict=True))
+
+
+def test_a_large_index_finds_what_a_scan_finds(prose):
+    p = Decontamination()
+    index = ItemIndex([(i, prose(i, 12)) for i in range(4000)], p)
+    assert min(len(patterns) for patterns, _, _ in index.tables[12]) > len(index.nearby)
+    rng = np.random.default_rng(1)
+    bits = np.unpackbits(index.prints[:40].astype(">u2").view(np.uint8), axis=1)
+    bits ^= (rng.random(bits.shape) < 0.25).astype(np.uint8)
+    prints = np.packbits(bits, axis=1).view(">u2").astype(np.int64)
+    row, item, distance = index.near(prints, 12)
+    all_ = np.bitwise_count(prints[:, None] ^ index.prints).sum(axis=2)
+    assert set(zip(row.tolist(), item.tolist(), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(all_ <= p.radius)), strict=True)) and len(row)
