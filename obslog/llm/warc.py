@@ -45,14 +45,15 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None, p: WarcArchives = WarcArchives()) -> bytes:
-    """One WARC record: an HTTP response, or a revisit that keeps the HTTP headers only."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, p: WarcArchives = WarcArchives()) -> bytes:
+    """One WARC record: an HTTP response, or a revisit that keeps the HTTP headers only. A page without an id is named `none`."""
+    name = "none" if page_id is None else page_id
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
-    uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or f"urn:page:{page_id}")
+    uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or f"urn:page:{name}")
     fields = [
         ("WARC-Type", "revisit" if refers_to is not None else "response"),
-        ("WARC-Record-ID", f"<urn:page:{page_id}>"),
+        ("WARC-Record-ID", f"<urn:page:{name}>"),
         ("WARC-Date", p.date),
         ("WARC-Target-URI", uri),
         ("WARC-Payload-Digest", f"sha1:{digest_of(payload)}"),
@@ -123,11 +124,30 @@ def write_archive(records: list[bytes], p: WarcArchives = WarcArchives()) -> byt
     return b"".join(out)
 
 
+def frame_end(data: bytes, at: int) -> int:
+    """Where the frame that begins at this byte ends, told by its block headers; BadArchive if the data end before."""
+    head = data[at : at + 18]
+    try:
+        end = at + zstandard.frame_header_size(head)
+        checked = zstandard.get_frame_parameters(head).has_checksum
+    except zstandard.ZstdError as e:
+        raise BadArchive(f"bad frame header at byte {at}: {e}") from e
+    last = False
+    while not last:
+        block = int.from_bytes(data[end : end + 3], "little")  # a bit for the last one, two bits for the kind, the size
+        end += 3 + (1 if (block >> 1) & 3 == 1 else block >> 3)
+        if end > len(data):
+            raise BadArchive("the last frame is cut short")
+        last = bool(block & 1)
+    return end + 4 * checked
+
+
 def read_archive(data: bytes) -> Iterator[bytes]:
     """The records of an archive, one for each frame.
 
     The dictionary is loaded from a leading skippable frame, where it may itself be
-    compressed; other skippable frames are passed over. BadArchive for anything else."""
+    compressed; other skippable frames are passed over. BadArchive for anything else. Each
+    byte is looked at once, however many frames there are."""
     at, dictionary = 0, None
     if len(data) >= 8 and struct.unpack_from("<I", data)[0] == DICTIONARY_FRAME:
         n = struct.unpack_from("<I", data, 4)[0]
@@ -146,15 +166,16 @@ def read_archive(data: bytes) -> Iterator[bytes]:
             continue
         if magic != ZSTD_FRAME:
             raise BadArchive(f"no frame at byte {at}")
+        end = frame_end(data, at)
         frame = opener.decompressobj()
         try:
-            out = frame.decompress(memoryview(data)[at:])
+            out = frame.decompress(data[at:end])
         except zstandard.ZstdError as e:
             raise BadArchive(f"bad frame at byte {at}: {e}") from e
         if not frame.eof:
             raise BadArchive("the last frame is cut short")
         yield out
-        at = len(data) - len(frame.unused_data)
+        at = end
 
 
 def _pack(p: WarcArchives):
@@ -202,11 +223,12 @@ def archive_pages(pages: DataFrame, p: WarcArchives = WarcArchives(), id_col: st
     Payloads are grouped by a hash of 256 bits; the largest id of each group goes to its rows
     by a join whose skewed partitions Spark splits, so that a payload that a third of the
     pages share meets no one task. Null pages are empty payloads. A page with a null id is a
-    response of its own under an id of -1. Rows that repeat the largest id are responses."""
-    rows = pages.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("html"))
+    response of its own, which no other revisits. Rows that repeat the largest id are
+    responses. No pages give no archives; other columns are not read."""
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("html"))
     rows = rows.withColumn("key", F.sha2("html", 256))
     first = rows.groupBy("key").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1").select("key", "largest")
-    marked = rows.join(first, "key", "left").select("page_id", "url", "html", F.when((F.col("page_id") != F.col("largest")) & (F.col("page_id") >= 0), F.col("largest")).alias("refers_to"))
+    marked = rows.join(first, "key", "left").select("page_id", "url", "html", F.when(F.col("page_id") != F.col("largest"), F.col("largest")).alias("refers_to"))
     return marked.mapInArrow(_pack(p), "records int, archive binary")
 
 
@@ -218,9 +240,9 @@ def read_archives(archives: DataFrame, column: str = "archive") -> DataFrame:
 def round_trip(pages: DataFrame, p: WarcArchives = WarcArchives()) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to, as read back from archives in the shared folder."""
     records = read_archives(cut(archive_pages(pages, p)))
-    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).cast("long")
+    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return records.select(
-        F.nullif(number("record_id"), F.lit(-1)).alias("page_id"),
+        number("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",
         F.col("warc_type").alias("record_type"),

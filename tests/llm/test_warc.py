@@ -1,12 +1,14 @@
 import base64
 import hashlib
+import os
 import struct
+import time
 
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from obslog.llm.warc import DICTIONARY_FRAME, BadArchive, WarcArchives, archive_pages, parse_record, read_archive, read_archives, record, round_trip, write_archive
+from obslog.llm.warc import DICTIONARY_FRAME, BadArchive, WarcArchives, archive_pages, frame_end, parse_record, read_archive, read_archives, record, round_trip, write_archive
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -14,7 +16,7 @@ SCHEMA = "page_id long, url string, html string"
 def expected(rows):
     largest = {}
     for page, _, html in rows:
-        largest[html or ""] = max(largest.get(html or "", -1), page)
+        largest[html or ""] = max(largest.get(html or "", -99), page)
     out = []
     for page, _, html in rows:
         b = (html or "").encode()
@@ -39,6 +41,32 @@ def test_ties_nulls_and_no_pages(spark):
     assert round_trip(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_negative_ids(spark):
+    rows = [(-1, "u", "a"), (-2, "u", "a"), (-3, None, "a"), (None, None, "a"), (-9, "u", "b"), (0, "u", "b")]
+    got = sorted(map(tuple, round_trip(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+    d = base64.b32encode(hashlib.sha1(b"a").digest()).decode()
+    assert got == sorted([*expected([r for r in rows if r[0] is not None]), (None, 1, d, "response", None)], key=str)
+
+
+def test_reading_is_linear_in_the_records():
+    def took(n):
+        data = write_archive([record(i, f"http://d/{i}", f"<p>{i} some words</p>".encode() * 9, None) for i in range(n)])
+        began = time.perf_counter()
+        assert sum(1 for _ in read_archive(data)) == n
+        return (time.perf_counter() - began) / n
+
+    assert took(32_000) < 3 * min(took(4_000) for _ in range(3))
+
+
+def test_frames_end_where_their_blocks_do():
+    for level, text in ((1, b""), (3, b"a" * 500_000), (3, os.urandom(300_000)), (19, b"some words " * 40_000)):
+        for checksum in (False, True):
+            frame = zstandard.ZstdCompressor(level=level, write_checksum=checksum).compress(text)
+            assert frame_end(b"xyz" + frame + b"tail", 3) == 3 + len(frame)
+            with pytest.raises(BadArchive):
+                frame_end(frame[:-5] if len(frame) > 12 else frame[:3], 0)
+
+
 def test_archive_files_are_read_by_spark(spark, tmp_path):
     rows = [(i, f"http://b/{i}", f"page {i} " * 50) for i in range(60)]
     for i, r in enumerate(archive_pages(spark.createDataFrame(rows, SCHEMA)).collect()):
