@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,10 @@ from obslog.llm.kernels import NON_SPACE, slices, word_hashes, words
 
 @dataclass(frozen=True)
 class QualityLearning:
-    """Parameters. The learner sees at most about `most_positives` trusted rows and `most_unlabelled`
-    rows of web text, chosen by a hash of their ids; both bound what reaches the driver.
+    """Parameters. Features' means and deviations and the class prior's shares are taken over all
+    rows of web text. Only the descent of the weights works on rows at the driver: at most
+    about `most_positives` trusted rows and `most_unlabelled` rows of web text, chosen by a
+    hash of their ids.
 
     `beta` is how far the estimated risk of negatives may fall below zero before a step
     undoes it; `ridge` shrinks the weights."""
@@ -85,6 +88,17 @@ def features(column: pa.Array) -> np.ndarray:
     return out
 
 
+def standardised(x: np.ndarray, center: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Features in deviations from their means, and a column of ones."""
+    z = np.clip((x - center) / scale, -8, 8)
+    return np.concatenate([z, np.ones((len(z), 1))], axis=1)
+
+
+def reached(scores: np.ndarray, thresholds: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many scores reach each threshold, and how many there are."""
+    return len(scores) - np.searchsorted(np.sort(scores), thresholds), len(scores)
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
@@ -94,45 +108,52 @@ def _softplus(z: np.ndarray) -> np.ndarray:
 
 
 class QualityModel:
-    """A logistic model of standardised features, fitted by non-negative unbiased risk."""
+    """A logistic model of standardised features, fitted by non-negative unbiased risk.
+
+    halves: which half (0 or 1) each positive and each unlabelled row belongs to, by default
+    by turns. moments: means and deviations of the web text's features, by default those of
+    the unlabelled rows. shares: of (center, scale, [(half, weights, thresholds)]) the counts
+    of the web text's rows in that half that reach each threshold, and their number; by
+    default those of the unlabelled rows."""
 
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, p: QualityLearning):
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, p: QualityLearning, halves=None, moments=None, shares=None):
         self.p = p
         if not len(unlabelled):
             unlabelled = positive if len(positive) else np.zeros((1, FEATURES), np.float32)
-        self.center = unlabelled.mean(axis=0, dtype=np.float64)
-        self.scale = np.maximum(unlabelled.std(axis=0, dtype=np.float64), 1e-3)
+            halves = moments = shares = None
+        self.center, scale = moments or (unlabelled.mean(axis=0, dtype=np.float64), unlabelled.std(axis=0, dtype=np.float64))
+        self.scale = np.maximum(scale, 1e-3)
         self.weights = np.zeros(FEATURES + 1)
         self.prior = 0.5
         if len(positive):
             pos, unl = self._ready(positive), self._ready(unlabelled)
-            self.prior = self._class_prior(pos, unl)
+            halves = halves or (np.arange(len(pos)) % 2, np.arange(len(unl)) % 2)
+            shares = shares or (lambda center, scale, asked: [reached(unl[halves[1] == half] @ w, t) for half, w, t in asked])
+            self.prior = self._class_prior(pos, unl, *halves, shares)
             self._fit(pos, unl)
 
     def _ready(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.center) / self.scale, -8, 8)
-        return np.concatenate([z, np.ones((len(z), 1))], axis=1)
+        return standardised(x, self.center, self.scale)
 
-    def _class_prior(self, pos: np.ndarray, unl: np.ndarray) -> float:
+    def _class_prior(self, pos: np.ndarray, unl: np.ndarray, pos_half: np.ndarray, unl_half: np.ndarray, shares) -> float:
         """The share of positives in the unlabelled text: over regions that a positive-against-unlabelled
         model prefers, the least ratio of the unlabelled share to the positive share."""
-        ratios = []
+        asked, of_positives = [], []
         for half in (0, 1):  # fitted on one half of the rows and read off the other
-            p, u = pos[half::2], unl[half::2]
-            if not len(p) or not len(u):
+            p, u, other = pos[pos_half == half], unl[unl_half == half], pos[pos_half != half]
+            if not len(p) or not len(u) or not len(other):
                 continue
-            w = self._descend(lambda w: (p.T @ (_sigmoid(p @ w) - 1) / len(p) + u.T @ _sigmoid(u @ w) / len(u)) / 2)
-            a, b = np.sort(pos[1 - half :: 2] @ w), np.sort(unl[1 - half :: 2] @ w)
-            if not len(a) or not len(b):
-                continue
-            found = []
-            for q in np.linspace(0.02, 0.8, 40):
-                t = a[int(q * (len(a) - 1))]
-                share_p = (len(a) - np.searchsorted(a, t)) / len(a)
-                share_u = (len(b) - np.searchsorted(b, t)) / len(b)
-                noise = np.sqrt(max(share_u * (1 - share_u), 1e-9) / len(b)) / share_p
-                found.append(share_u / share_p + noise)
-            ratios.append(min(found))
+            w = self._descend(lambda w, p=p, u=u: (p.T @ (_sigmoid(p @ w) - 1) / len(p) + u.T @ _sigmoid(u @ w) / len(u)) / 2)
+            a = np.sort(other @ w)
+            t = a[(np.linspace(0.02, 0.8, 40) * (len(a) - 1)).astype(np.int64)]
+            asked.append((1 - half, w, t))
+            of_positives.append((len(a) - np.searchsorted(a, t)) / len(a))
+        ratios = []
+        for share_p, (counts, n) in zip(of_positives, shares(self.center, self.scale, asked) if asked else [], strict=True):
+            if n:
+                share_u = counts / n
+                noise = np.sqrt(np.maximum(share_u * (1 - share_u), 1e-9) / n) / share_p
+                ratios.append((share_u / share_p + noise).min())
         return float(np.clip(np.mean(ratios or [0.5]), 0.01, 0.99))
 
     def _descend(self, gradient) -> np.ndarray:
@@ -165,9 +186,13 @@ class QualityModel:
 def fit_quality(trusted: DataFrame, web: DataFrame, p: QualityLearning = QualityLearning(), id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
     """A model from the ids of trusted rows (`trusted`) and the documents that may be learned from (`web`).
 
-    Trusted ids that `web` lacks teach nothing. Without any, every score is 0.5."""
+    Three reads of `web`: for the moments of its features, for the rows that the descent
+    works on, and for the class prior's shares. Trusted ids that `web` lacks teach nothing.
+    Without any, every score is 0.5. Rows with a null id teach nothing; a null text is an
+    empty one."""
     place = lambda salt: F.pmod(F.xxhash64(F.lit(p.seed + salt), F.col(id_col)), F.lit(1 << 30))
-    rows = web.select(F.col(id_col), F.col(text_col)).where(F.col(id_col).isNotNull())
+    half = F.pmod(F.xxhash64(F.lit(p.seed + 3), F.col(id_col)), F.lit(2)).cast("int").alias("half")
+    rows = web.select(F.col(id_col), F.col(text_col), half).where(F.col(id_col).isNotNull())
     ids = trusted.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct()
 
     def part(df: DataFrame, most: int, salt: int) -> DataFrame:
@@ -175,23 +200,68 @@ def fit_quality(trusted: DataFrame, web: DataFrame, p: QualityLearning = Quality
         return df if n <= most else df.where(place(salt) < int((1 << 30) * most / n))
 
     chosen = F.broadcast(part(ids, p.most_positives, 1))  # a bounded number of ids
-    return QualityModel(_matrix(rows.join(chosen, id_col, "left_semi"), text_col), _matrix(part(rows, p.most_unlabelled, 2), text_col), p)
+    (pos_half, pos), (unl_half, unl) = _matrix(rows.join(chosen, id_col, "left_semi"), text_col), _matrix(part(rows, p.most_unlabelled, 2), text_col)
+    return QualityModel(pos, unl, p, (pos_half, unl_half), _moments(rows, text_col), lambda *asked: _shares(rows, text_col, *asked))
+
+
+def _matrix(rows: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Halves and features of a bounded number of rows, in an order of their own."""
+
+    def run(batches):
+        for batch in batches:
+            x = features(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["half", "x"])
+
+    found = sorted((bytes(r.x), r.half) for r in rows.select("half", text_col).mapInArrow(run, "half int, x binary").collect())
+    return np.array([h for _, h in found], np.int64), np.frombuffer(b"".join(x for x, _ in found), np.float32).reshape(len(found), FEATURES)
+
+
+_UNIT = 1 << 20
+
+
+def _moments(rows: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Means and deviations of the features over all rows. Tasks' sums are added as whole numbers of 2**-20, in which order makes no difference."""
+
+    def run(batches):
+        n, first, second = 0, np.zeros(FEATURES), np.zeros(FEATURES)
+        for batch in batches:
+            x = features(batch.column(0)).astype(np.float64)
+            n, first, second = n + len(x), first + x.sum(axis=0), second + (x * x).sum(axis=0)
+        whole = lambda v: pa.array([Decimal(round(float(x) * _UNIT)) for x in v], pa.decimal128(38, 0))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES), pa.int32()), pa.array(np.full(FEATURES, n)), whole(first), whole(second)], ["i", "n", "a", "b"])
+
+    sums = rows.select(text_col).mapInArrow(run, "i int, n long, a decimal(38,0), b decimal(38,0)").groupBy("i").agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
+    sums = sorted(sums, key=lambda r: r.i)
+    if not sums or not sums[0].n:
+        return None
+    mean, square = (np.array([float(r[k]) / _UNIT / r.n for r in sums]) for k in ("a", "b"))
+    return mean, np.sqrt(np.maximum(square - mean * mean, 0))
+
 
+def _shares(rows: DataFrame, text_col: str, center: np.ndarray, scale: np.ndarray, asked: list) -> list[tuple[np.ndarray, int]]:
+    """What `reached` tells of all rows of each asked half."""
+    shared = rows.sparkSession.sparkContext.broadcast((center, scale, asked))
 
-def _matrix(rows: DataFrame, text_col: str) -> np.ndarray:
     def run(batches):
+        center, scale, asked = shared.value
+        totals = [np.zeros(len(t) + 1, np.int64) for _, _, t in asked]
         for batch in batches:
-            x = features(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary())], ["x"])
+            of, x = batch.column(0).to_numpy(), standardised(features(batch.column(1)), center, scale)
+            for total, (half, w, t) in zip(totals, asked, strict=True):
+                counts, n = reached(x[of == half] @ w, t)
+                total += np.append(counts, n)
+        for i, total in enumerate(totals):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(total), i), pa.int32()), pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], ["i", "j", "n"])
 
-    found = rows.select(text_col).mapInArrow(run, "x binary").collect()
-    return np.frombuffer(b"".join(sorted(bytes(r.x) for r in found)), np.float32).reshape(len(found), FEATURES)
+    sums = {(r.i, r.j): r.n for r in rows.select("half", text_col).mapInArrow(run, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect()}
+    return [(np.array([sums.get((i, j), 0) for j in range(len(t))]), sums.get((i, len(t)), 0)) for i, (_, _, t) in enumerate(asked)]
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
     """`docs` with score (0 to 1) and predicted (1 from 0.5 on), which replace columns of these names.
 
-    A null text is scored as an empty one. Equal texts get equal scores. No row is moved."""
+    A null text is scored as an empty one. Equal texts get equal scores. No rows give none.
+    No row is moved."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

@@ -1,10 +1,14 @@
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from obslog.llm.language_id import LanguageId, fit_language_id, identify_languages, ngram_buckets
-from obslog.llm.quality import FEATURES, QualityLearning, QualityModel, features, fit_quality, score_quality
+from obslog.llm.quality import FEATURES, QualityLearning, QualityModel, _moments, features, fit_quality, score_quality
 
 SF = "/root/testdata/sf0.01"
 
@@ -36,6 +40,43 @@ def test_counts_are_those_of_all_training_rows(spark, table):
     assert np.allclose(model.prior, np.log(np.array([3, 2]) / 5))
 
 
+def letters_of(text):
+    """Characters with A-Z as a-z, and other ASCII than letters as a space."""
+    return "".join(c.lower() if "A" <= c <= "Z" else c if "a" <= c <= "z" or ord(c) > 127 else " " for c in text)
+
+
+def grams_of(text, orders=(1, 2, 3)):
+    t = letters_of(text)
+    return [t[i : i + n] for n in orders for i in range(len(t) - n + 1) if t[i : i + n].strip(" ")]
+
+
+def test_predictions_equal_naive_bayes_over_plain_ngrams(spark):
+    """With so many buckets that hardly two n-grams share one, the prediction is that of counts by n-gram."""
+    rows = docs_of(spark).where("text IS NOT NULL AND lang IS NOT NULL").orderBy("doc_id").limit(260).collect()
+    train, test = rows[:120], [r for r in rows[120:] if any(c.isalpha() for c in r.text)]
+    p = LanguageId(buckets=1 << 20)
+    model = fit_language_id(spark.createDataFrame(train, "doc_id long, text string, lang string, source string, n_chars long"), p)
+    counts, docs = {}, Counter(r.lang for r in train)
+    for r in train:
+        counts.setdefault(r.lang, Counter()).update(grams_of(r.text))
+    total = {x: sum(c.values()) + p.smoothing * p.buckets for x, c in counts.items()}
+    n_docs = sum(docs.values()) + p.smoothing * len(docs)
+
+    def posterior(text, lang):
+        grams = grams_of(text)
+        like = sum(math.log((counts[lang][g] + p.smoothing) / total[lang]) for g in grams)
+        prior = math.log((docs[lang] + p.smoothing) / n_docs)
+        return like + prior, (like + prior) * min(1, p.evidence / len(grams))
+
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify_languages(spark.createDataFrame(test, "doc_id long, text string, lang string, source string, n_chars long"), model).collect()}
+    for r in test:
+        both = {x: posterior(r.text, x) for x in counts}
+        best = max(sorted(both), key=lambda x: both[x][0])
+        top = max(t for _, t in both.values())
+        assert got[r.doc_id][0] == best
+        assert got[r.doc_id][1] == pytest.approx(math.exp(both[best][1] - top) / sum(math.exp(t - top) for _, t in both.values()), abs=0.02)
+
+
 def test_language_edge_cases(spark, table):
     model = fit_language_id(table([(1, "the cat sat", "en", "s", 1), (2, "le chat noir", "fr", "s", 1)]))
     df = table([(1, None), (2, ""), (3, "12 345 !?"), (4, "the cat"), (4, "the cat"), (None, "le chat"), (7, "the cat " * 20000)]).withColumn("score", F.lit("old"))
@@ -86,3 +127,75 @@ def test_features_do_not_depend_on_neighbours():
     together = features(pa.array(texts, pa.string()))
     alone = np.concatenate([features(pa.array([t], pa.string())) for t in texts])
     assert np.allclose(together, alone, atol=1e-5)
+
+
+def plain_features(text):
+    """The features of one text, character class by character class."""
+    b = (text or "").encode()
+    kind = lambda c: 0 if 97 <= c <= 122 else 1 if 65 <= c <= 90 else 2 if 48 <= c <= 57 else 3 if c > 127 else 4 if c in (32, 9, 11, 12) else 5 if c in (10, 13) else 6 if chr(c) in ".,;:'\"!?()-" else 7
+    ks = [kind(c) for c in b]
+    n = max(len(b), 1)
+    out = [ks.count(k) / n for k in range(8)]
+    pairs = Counter(zip(ks, ks[1:], strict=False))
+    out += [pairs[i, j] / n for i in range(8) for j in range(8)]
+    ws = [w for w in re.split(rb"[\x20\x09-\x0d]+", b) if w]
+    m = max(len(ws), 1)
+    fold = lambda w: bytes(c + 32 if 65 <= c <= 90 else c for c in w)
+    lines = b.count(b"\n") + 1
+    out += [math.log1p(len(b)), math.log1p(len(ws)), sum(map(len, ws)) / m, math.sqrt(sum(len(w) ** 2 for w in ws) / m), len(set(map(fold, ws))) / m, sum(len(w) == 1 for w in ws) / m, math.log1p(lines), math.log1p(len(b) / lines)]
+    return out
+
+
+def test_features_and_moments_equal_plain_ones(spark, table):
+    texts = [r.text for r in docs_of(spark).orderBy("doc_id").limit(60).collect()] + [None, "", "É a A\n\tb", "\x0b\x0c!$"]
+    want = np.array([plain_features(t) for t in texts])
+    assert np.allclose(features(pa.array(texts, pa.string())), want, atol=1e-4)
+    mean, deviation = _moments(table(list(enumerate(texts))).repartition(3), "text")
+    assert np.allclose(mean, want.mean(axis=0), atol=1e-4) and np.allclose(deviation, want.std(axis=0), atol=1e-3)
+
+
+def test_model_equals_a_plain_fit(spark):
+    """Every number of the model again, in plain loops over the same rows."""
+    docs = docs_of(spark).where("doc_id < 300")
+    p = QualityLearning(steps=40)
+    trusted = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 AND doc_id < 300").select("doc_id")
+    model = fit_quality(trusted, docs, p)
+    rows = docs.select("doc_id", "text", F.pmod(F.xxhash64(F.lit(p.seed + 3), "doc_id"), F.lit(2)).alias("half")).collect()
+    x = features(pa.array([r.text for r in rows], pa.string())).astype(np.float64)
+    good = {r.doc_id for r in trusted.collect()}
+    half, is_pos = np.array([r.half for r in rows]), np.array([r.doc_id in good for r in rows])
+    z = np.clip((x - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-3), -8, 8)
+    z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+    sigma = lambda v: 1 / (1 + np.exp(-v))
+
+    def descend(gradient):
+        w, m, v = (np.zeros(z.shape[1]) for _ in range(3))
+        for t in range(1, p.steps + 1):
+            g = gradient(w) + p.ridge * w
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
+            w = w - p.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        return w
+
+    ratios = []
+    for h in (0, 1):
+        a, u = z[is_pos & (half == h)], z[half == h]
+        w = descend(lambda w, a=a, u=u: np.mean((sigma(a @ w) - 1)[:, None] * a, axis=0) / 2 + np.mean(sigma(u @ w)[:, None] * u, axis=0) / 2)
+        sp, su = np.sort(z[is_pos & (half != h)] @ w), z[half != h] @ w
+        found = []
+        for q in np.linspace(0.02, 0.8, 40):
+            t = sp[int(q * (len(sp) - 1))]
+            share_p, share_u = np.mean(sp >= t), np.mean(su >= t)
+            found.append(share_u / share_p + np.sqrt(max(share_u * (1 - share_u), 1e-9) / len(su)) / share_p)
+        ratios.append(min(found))
+    prior = np.mean(ratios)
+    assert model.prior == pytest.approx(prior, abs=0.02)
+
+    def risk_gradient(w):
+        zp, zu = z[is_pos] @ w, z @ w
+        negative = np.mean(np.log1p(np.exp(zu))) - model.prior * np.mean(np.log1p(np.exp(zp)))
+        of_negative = np.mean(sigma(zu)[:, None] * z, axis=0) - model.prior * np.mean(sigma(zp)[:, None] * z[is_pos], axis=0)
+        return -of_negative if negative < 0 else model.prior * np.mean((sigma(zp) - 1)[:, None] * z[is_pos], axis=0) + of_negative
+
+    w = descend(risk_gradient)
+    got = {r.doc_id: r.score for r in score_quality(docs, model).collect()}
+    assert all(got[r.doc_id] == pytest.approx(s, abs=0.02) for r, s in zip(rows, sigma(z @ w), strict=True))
