@@ -112,7 +112,9 @@ def shard_by_bytes(docs: DataFrame, p: HistogramSort = HistogramSort(), id_col:
     Splitters cut the key range into shards and each shard into pieces; the rows with all
     columns then move once, each to its piece, and slot counts a piece's rows on from the
     exact number of rows below it. A null id takes a place in its text's group by a hash of
-    nothing; rows equal in key share a piece and take slots in any order."""
+    nothing; rows equal in key share a piece and take slots in any order. A null text has the
+    size 1. A long text is one row of its shard, however far that takes it over its share. No
+    rows give none; fewer rows than shards leave shards empty."""
     names = ("size", "text_crc32", "shard", "slot", "__first", "__second", "__piece")
     data = without(docs, *names)
     sized = (

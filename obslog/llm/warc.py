@@ -238,7 +238,9 @@ def read_archives(archives: DataFrame, column: str = "archive") -> DataFrame:
 
 
 def round_trip(pages: DataFrame, p: WarcArchives = WarcArchives()) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to, as read back from archives in the shared folder."""
+    """page_id, payload_bytes, payload_digest, record_type and refers_to, as read back from archives in the shared folder.
+
+    Nulls and ties are those of `archive_pages`; a null id comes back as one. No pages give no rows."""
     records = read_archives(cut(archive_pages(pages, p)))
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     return records.select(
