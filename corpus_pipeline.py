@@ -1,7 +1,9 @@
 """A training-data pipeline over `documents`: language, near-duplicates, benchmark leaks, source mix, shards.
 
 Every stage takes (spark, docs, sf_dir), where docs is all that the stage before it kept,
-and returns a DataFrame; all but the last return the columns of `documents`."""
+and returns a DataFrame; all but the last return the columns of `documents`. No documents
+give none; further columns stay as they are, but for those that the last stage adds under
+names of their own; texts of any length are taken whole."""
 
 from __future__ import annotations
 
@@ -23,29 +25,29 @@ NEAR = NearDedup(shingle=5, threshold_percent=80, bands=40, rows=4, sketch_floor
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the classifier knows; texts without letters and mixtures go."""
+    """Documents in a language that the classifier knows; texts without letters and mixtures go. A null text has no letter; a null id is judged, but not learned from."""
     model = fit_language_id(docs.where(split_third(F.col("doc_id")) != 1))
     found = identify_languages(docs.select(F.struct("*").alias("doc"), "text"), model)
     return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, that of the smallest id. Rows of one id stay or go together; those without an id stay."""
     return drop_near_duplicates(docs, NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and wordless texts stay; null items match nothing."""
     return drop_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that large sources weigh less, in random order."""
+    """Documents repeated so that large sources weigh less, in random order. A null source is a source; rows equal in id and text are drawn alike."""
     return mix_sources(docs, source_rates(docs), mark=False)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their place in eight shards of near-equal bytes."""
+    """Documents with their place in eight shards of near-equal bytes. Null texts have the size 1; copies share a shard unless their group must be cut."""
     return shard_by_bytes(docs)
 
 
