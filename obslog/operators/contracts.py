@@ -94,9 +94,18 @@ USER_RULES: list[Rule] = [
 OBSERVATION_RULES: list[Rule] = [blank("repository_owner"), blank("repository_name"), not_positive("issue_id"), absent("source_updated_at"), absent("raw_json"), blank("_run_id"), absent("_ingested_at"), blank("_page_or_batch_reference")]
 
 
+def worked_out(rows: DataFrame) -> DataFrame:
+    """`rows`, with each column computed once however often what follows reads it.
+
+    A filter moves below the projection that makes its columns and takes their expressions
+    along: two dozen rules over a payload would parse it two dozen times. None moves below a
+    generator of the columns it reads."""
+    return rows.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))))
+
+
 def judged(rows: DataFrame, rules: Sequence[Rule], into: str = "violations") -> DataFrame:
     """`rows` with the names of the rules that each breaks, in the rules' order. A rule that evaluates to null is kept."""
-    return rows.withColumn(into, F.array_compact(F.array(*[F.when(bad(), F.lit(name)) for name, bad in rules])))
+    return worked_out(rows).withColumn(into, F.array_compact(F.array(*[F.when(bad(), F.lit(name)) for name, bad in rules])))
 
 
 def invalid(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
