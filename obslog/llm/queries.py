@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslog.llm.common import cut, documents, split_third
+from obslog.llm.conversation_trie import prefix_trie, rebuilt, turn_lists
 from obslog.llm.decontaminate import find_leaks
 from obslog.llm.imatch import edited, fingerprint_texts, lexicon, likeness, printed, with_next
 from obslog.llm.language_id import fit_language_id, identify_languages
 from obslog.llm.license_scan import scan_licenses
+from obslog.llm.merkle import verify_tampered
 from obslog.llm.mixing import mix_sources, source_rates
 from obslog.llm.near_dedup import near_duplicates
 from obslog.llm.oracle import ORACLE_SQL
@@ -84,6 +86,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_tampered(documents(spark, sf_dir))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_language_id": op2_language_id,
@@ -95,6 +105,8 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_poisson_mixing": op9_poisson_mixing,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_trie": op12_conversation_trie,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
