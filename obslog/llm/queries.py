@@ -18,6 +18,7 @@ from obslog.llm.oracle import ORACLE_SQL
 from obslog.llm.quality import fit_quality, score_quality
 from obslog.llm.repeats import remove_repeats
 from obslog.llm.sharding import shard_by_bytes
+from obslog.llm.toxicity import fit_toxicity, score_toxicity
 from obslog.llm.warc import round_trip
 
 
@@ -94,6 +95,14 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(rebuilt(turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = fit_toxicity(spark.read.parquet(f"{sf_dir}/labels.parquet").where(fifth != 0), docs.where(fifth != 0))
+    held_out = F.coalesce(fifth == 0, F.lit(False))
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_language_id": op2_language_id,
@@ -107,6 +116,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_toxicity": op13_toxicity,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
