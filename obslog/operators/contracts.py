@@ -132,9 +132,12 @@ def require_valid(rows: DataFrame, rules: Sequence[Rule], what: str = "rows") ->
 def refused(rows: DataFrame, bad: Column, told: Column) -> DataFrame:
     """`rows`, in a plan that fails with `told` on the first row for which `bad` holds.
 
-    What such a plan writes is not committed. It costs no job of its own, and no row escapes
-    it, since it stands before any reduction."""
-    return rows.where(F.when(F.coalesce(bad, F.lit(False)), F.raise_error(told).cast("boolean")).otherwise(F.lit(True)))
+    The failure stands inside the value that a generator gives out, in place of the row: a
+    filter or semi-join on the rows that come out is no filter of the generator's, so that no
+    later condition moves below it, keeps a bad row from it, or is put into the rules. What
+    such a plan writes is not committed. It costs no job of its own."""
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.select(F.inline(F.array(F.when(F.coalesce(bad, F.lit(False)), F.raise_error(told)).otherwise(row))))
 
 
 def checked(rows: DataFrame, rules: Sequence[Rule], what: str = "rows") -> DataFrame:
@@ -143,10 +146,18 @@ def checked(rows: DataFrame, rules: Sequence[Rule], what: str = "rows") -> DataF
     return refused(found, F.size("_broken") > 0, F.concat(F.lit(f"{what}: "), F.array_join("_broken", ", "))).drop("_broken")
 
 
+def copies(keys: Sequence[str]) -> Column:
+    """How many rows share a row's key."""
+    return F.count(F.lit(1)).over(Window.partitionBy(*keys))
+
+
+def repeated(keys: Sequence[str], what: str) -> Column:
+    return F.lit(f"{what}: duplicate keys {', '.join(keys)}")
+
+
 def checked_unique(rows: DataFrame, keys: Sequence[str], what: str = "rows") -> DataFrame:
-    """`rows`, in a plan that fails if a key occurs more than once. They come out partitioned by the keys."""
-    counted = rows.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    return refused(counted, F.col("_copies") > 1, F.lit(f"{what}: duplicate keys {', '.join(keys)}")).drop("_copies")
+    """`rows`, in a plan that fails if a key occurs more than once, whatever is asked of the rows afterwards."""
+    return refused(rows.withColumn("_copies", copies(keys)), F.col("_copies") > 1, repeated(keys, what)).drop("_copies")
 
 
 def any_invalid(rows: DataFrame, rules: Sequence[Rule]) -> bool:

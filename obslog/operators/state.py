@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obslog.operators.contracts import checked_unique, refused
+from obslog.operators.contracts import copies, refused, repeated
 from obslog.schemas import EntitySpec
 
 INSERT, DELETE, BEFORE, AFTER = "insert", "delete", "update_preimage", "update_postimage"
@@ -19,7 +19,7 @@ INSERT, DELETE, BEFORE, AFTER = "insert", "delete", "update_preimage", "update_p
 def _sides(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, t and s: the two rows of each key as structs, of which one may be null."""
     t = target.select(*keys, F.struct(*target.columns).alias("t"))
-    s = source.select(*keys, F.struct(*target.columns).alias("s"))
+    s = source.select(*keys, *[c for c in ("_copies",) if c in source.columns], F.struct(*target.columns).alias("s"))
     return t.join(s, list(keys), "full_outer")
 
 
@@ -44,7 +44,9 @@ def guarded_upsert(target: DataFrame, source: DataFrame, spec: EntitySpec, versi
     a caller that knows better may turn the check off. Both results
     come from the same full outer join on the key; `keep` (such as `sources.folder.cut`)
     holds it where both are used, else each computes it."""
-    sides = _sides(target, checked_unique(source, spec.keys, spec.name) if check else source, spec.keys)
+    sides = _sides(target, source.withColumn("_copies", copies(spec.keys)) if check else source, spec.keys)
+    if check:  # the count is by the join's key, so that both share one exchange
+        sides = refused(sides, F.col("_copies") > 1, repeated(spec.keys, spec.name))
     newer = F.col(f"s.{spec.order}") >= F.col(f"t.{spec.order}")
     act = F.when(F.col("t").isNull(), "insert").when(F.col("s").isNotNull() & newer, "update").otherwise("keep")
     sides = sides.withColumn("act", act)
@@ -82,18 +84,19 @@ def reconcile(
 
     A relation outside the scope, or of another time or run than its parent's observation,
     and a parent or relation that comes twice, fail the plan unless `check` is off."""
-    if check:
-        scope, relations = checked_unique(scope, parent_keys, "scope"), checked_unique(relations, spec.keys, spec.name)
+    seen = scope.select(*parent_keys, F.col("observed_at").alias("_seen"), F.col("source_run_id").alias("_run"))
+    if check:  # a parent without relations of its own meets no row of the join, so it fails where it stands
+        seen = refused(seen.withColumn("_copies", copies(parent_keys)), F.col("_copies") > 1, repeated(parent_keys, "scope")).drop("_copies")
+        relations = relations.withColumn("_copies", copies(spec.keys))
     if parent_state is not None:
         now = parent_state.select(*parent_keys, F.col("updated_at").alias("_now"))
-        fresh = scope.join(now, list(parent_keys), "left").where(F.col("_now").isNull() | (F.col("observed_at") >= F.col("_now"))).drop("_now")
-        relations = relations.join(fresh.select(*parent_keys), list(parent_keys), "left_semi")
-        scope = fresh
-    seen = scope.select(*parent_keys, F.col("observed_at").alias("_seen"), F.col("source_run_id").alias("_run"))
+        seen = seen.join(now, list(parent_keys), "left").withColumn("_stale", F.coalesce(F.col("_seen") < F.col("_now"), F.lit(False))).drop("_now")
     sides = _sides(target, relations, spec.keys).join(seen, list(parent_keys), "left")
     if check:
         inside = F.col("_seen").isNotNull() & F.col("_seen").eqNullSafe(F.col("s.observed_at")) & F.col("_run").eqNullSafe(F.col("s.source_run_id"))
-        sides = refused(sides, F.col("s").isNotNull() & ~inside, F.lit(f"{spec.name}: a relation is outside the observed scope"))
+        outside = F.col("s").isNotNull() & ~inside
+        told = F.when(outside, F.lit(f"{spec.name}: a relation is outside the observed scope")).otherwise(repeated(spec.keys, spec.name))
+        sides = refused(sides, outside | (F.col("_copies") > 1), told)
     newer = F.col("s.observed_at") >= F.col("t.observed_at")
     act = (
         F.when(F.col("t").isNull(), "insert")
@@ -101,9 +104,11 @@ def reconcile(
         .when(F.col("t.observed_at") <= F.col("_seen"), "delete")
         .otherwise("keep")
     )
+    if parent_state is not None:
+        act = F.when(F.coalesce("_stale", F.lit(False)), F.when(F.col("t").isNull(), "skip").otherwise("keep")).otherwise(act)
     sides = sides.withColumn("act", act)
     sides = keep(sides) if keep else sides
-    state = sides.where("act <> 'delete'").select(F.when(F.col("act") == "keep", F.col("t")).otherwise(F.col("s")).alias("row")).select("row.*")
+    state = sides.where("act NOT IN ('delete', 'skip')").select(F.when(F.col("act") == "keep", F.col("t")).otherwise(F.col("s")).alias("row")).select("row.*")
     return state, _images(sides, target.columns, version, committed_at if committed_at is not None else F.lit(None))
 
 
