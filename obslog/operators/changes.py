@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 
 from obslog.operators.state import AFTER, BEFORE, DELETE, INSERT
 from obslog.schemas import EntitySpec
+from obslog.sources.store import UnreadableRange
 
 META = ("_change_type", "_commit_version", "_commit_timestamp")
 
 
-class UnreadableRange(ValueError):
-    """A range of versions that the change log does not hold."""
+__all__ = ["UnreadableRange", "business_columns", "change_range", "changed_keys", "plan_ranges", "real_changes", "unreadable_ranges", "write_workset"]
 
 
 def change_range(feed: DataFrame, start: int, end: int, table: str = "feed", check: bool = False) -> DataFrame:
-    """Change rows of the versions start to end, both included.
+    """Change rows of the versions start to end, both included, of a feed at hand; `VersionedTable.changes` reads a stored one.
 
     With `check`, versions outside the log give an error that names the table and the range;
     it looks at the log's first and last version only."""

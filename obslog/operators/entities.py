@@ -107,12 +107,66 @@ def newest_observations(observations: DataFrame) -> DataFrame:
     return latest(parsed(observations), ISSUES.keys, ["source_updated_at", "_ingested_at", "_run_id", "_page_or_batch_reference", "raw_json"])
 
 
+def everything(parsed_rows: DataFrame) -> DataFrame:
+    """One row per observation with the columns of its issue, its author and its label envelope; what they share has one column."""
+    of_user = [f for f in USER_FIELDS if f[0] != "_payload_id"]
+    own = [is_pull_request(F.col("raw_json")).alias("is_pull_request"), F.col("source_updated_at").alias("_source_updated_at"), F.col("issue_id").alias("source_issue_id")]
+    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *_fields(of_user), F.col("_p.labels").alias("labels"), *own, *_observed(), *_ORIGIN)
+
+
+#: What `everything` must meet: the rules of all entities, each once.
+ALL_RULES = list({name: (name, bad) for name, bad in (*C.ISSUE_RULES, *C.USER_RULES, *C.ENVELOPE_RULES, *C.ELEMENT_RULES)}.values())
+
+
 def check_observations(observations: DataFrame) -> None:
-    """An error if any observation is malformed as an issue, a user or a label envelope: one read of each for all that is then built from them."""
-    rows = parsed(observations)
-    C.require_valid(issues(rows), C.ISSUE_RULES, "issues")
-    C.require_valid(users(rows), C.USER_RULES, "users")
-    C.require_valid(envelopes(rows), [*C.ENVELOPE_RULES, *C.ELEMENT_RULES], "label envelopes")
+    """An error if any observation is malformed as an issue, a user or a label envelope: one read judges all rules."""
+    C.require_valid(everything(parsed(observations)), ALL_RULES, "observations")
+
+
+def newest_of_each(observations: DataFrame, check: bool = True) -> DataFrame:
+    """The newest issues, users, labels and label envelopes of observations, as rows (entity, and a struct of that name).
+
+    One scan and one parse: a generator gives out an observation's entities as tagged rows, and
+    one ranking by tag and key, limited in each task before the one exchange, keeps the
+    newest of each. `entity_table` reads a kind off it."""
+    wide = everything(parsed(observations))
+    wide = C.checked(wide, ALL_RULES, "observations") if check else wide
+    empty = {k: F.lit(None).cast("string") for k in ("owner", "name")}
+    place = {"owner": F.col("repository_owner"), "name": F.col("repository_name")}
+    issue = F.struct(*ISSUE_COLUMNS)
+    user = F.struct(*USER_COLUMNS)
+    envelope = F.struct(*ISSUES.keys, F.transform("labels", lambda x: x["id"]).alias("label_ids"), "observed_at", "source_run_id")
+
+    def label(x: Column) -> Column:
+        fields = [(F.lower(x[path]) if name == "color" else x[path]).alias(name) for name, path in LABEL_FIELDS]
+        return F.struct(F.col("repository_owner"), F.col("repository_name"), *fields, F.col("observed_at"), F.col("source_run_id"))
+
+    no_label = F.get(F.transform(F.filter("labels", lambda x: F.lit(False)), label), F.lit(0))
+    none = {"issues": F.when(F.lit(False), issue), "users": F.when(F.lit(False), user), "envelopes": F.when(F.lit(False), envelope), "labels": no_label}
+
+    def tagged(kind: str, keys: dict[str, Column], key: Column, order: Column, value: Column) -> Column:
+        parts = none | {kind: value}
+        return F.struct(F.lit(kind).alias("entity"), keys["owner"].alias("_owner"), keys["name"].alias("_name"), key.alias("_key"), order.alias("_order"), *[v.alias(k) for k, v in parts.items()])
+
+    seen = F.col("observed_at")
+    rows = F.concat(
+        F.array(
+            tagged("issues", place, F.col("issue_id"), F.col("updated_at"), issue),
+            tagged("users", empty, F.col("user_id"), seen, user),
+            tagged("envelopes", place, F.col("issue_id"), seen, envelope),
+        ),
+        F.transform("labels", lambda x: tagged("labels", place, x["id"], seen, label(x))),
+    )
+    out = wide.select("_ingested_at", "source_run_id", "_page_or_batch_reference", "raw_json", F.inline(rows))
+    return latest(out, ["entity", "_owner", "_name", "_key"], ["_order", *ISSUES.ties]).select("entity", "issues", "users", "envelopes", "labels")
+
+
+def entity_table(newest: DataFrame, entity: str) -> DataFrame:
+    """One kind of `newest_of_each`: issues, users, labels, or the relations of its envelopes."""
+    if entity == "relations":
+        rows = newest.where("entity = 'envelopes'").select("envelopes.*")
+        return rows.select(*ISSUES.keys, F.explode("label_ids").alias("label_id"), "observed_at", "source_run_id")
+    return newest.where(F.col("entity") == entity).select(f"{entity}.*")
 
 
 def latest_issues(observations: DataFrame, check: bool = True) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from obslog.operators import entities as E
 from obslog.operators.contracts import Rule, blank
+from obslog.sources.folder import cut
+from obslog.sources.store import Files, VersionedTable
 
 
 def as_of(log: DataFrame, version: int | Column) -> DataFrame:
@@ -60,13 +62,23 @@ def require_frozen_input(log: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def replay(observations: DataFrame, manifest_id: Column, execution_id: Column) -> dict[str, DataFrame]:
-    """The four current-state tables of one frozen input, marked with where they come from."""
-    scope = E.observed_scope(observations)
-    observations = E.parsed(observations)
-    tables = {"issues": E.latest_issues(observations), "users": E.latest_users(observations), "labels": E.latest_labels(observations), "relations": E.relations_of(scope)}
+    """The four current-state tables of one frozen input, marked with where they come from.
+
+    The input is read and parsed once: what `newest_of_each` gives is written, and the tables
+    are read off it. A malformed observation, however old, fails it before any table is there."""
+    newest = cut(E.newest_of_each(observations))
+    tables = {k: E.entity_table(newest, k) for k in ("issues", "users", "labels", "relations")}
     return {k: v.withColumn("manifest_id", manifest_id).withColumn("replay_execution_id", execution_id) for k, v in tables.items()}
 
 
+def write_replay(tables: dict[str, DataFrame], path: str) -> dict[str, int]:
+    """Write a replay's tables under a path of its own, none of which may be there; returns the rows of each, counted on the way."""
+    there = [k for k in tables if Files(next(iter(tables.values())).sparkSession).names(f"{path.rstrip('/')}/{k}")]
+    if there:
+        raise ValueError(f"a replay is written once; there already: {sorted(there)}")
+    return {k: write_once(v, f"{path.rstrip('/')}/{k}") for k, v in tables.items()}
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, n_rows) of some tables."""
     parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name, df in tables.items()]
@@ -83,11 +95,13 @@ def write_once(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-def freeze(tables: dict[str, DataFrame], versions: dict[str, int], path: str) -> dict[str, int]:
-    """Copy state tables at pinned versions under `path`; every check comes before the first write."""
+def freeze(tables: dict[str, DataFrame | VersionedTable], versions: dict[str, int], path: str) -> dict[str, int]:
+    """Copy state tables at pinned versions under `path`; every check comes before the first write.
+
+    A versioned table is read as its manifest of that version says; a version that isn't kept is an error."""
     if set(tables) != set(versions):
         raise ValueError(f"tables and versions differ: {sorted(set(tables) ^ set(versions))}")
-    pinned = {k: at_version(v, versions[k]) for k, v in tables.items()}
+    pinned = {k: v.read(versions[k]) if isinstance(v, VersionedTable) else at_version(v, versions[k]) for k, v in tables.items()}
     empty = [k for k, v in pinned.items() if v.isEmpty()]
     if empty:
         raise ValueError(f"no rows at the pinned version: {sorted(empty)}")

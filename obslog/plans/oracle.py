@@ -225,6 +225,8 @@ _sql(
 )
 _sql("replay_issues", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_issues(_GOOD)})")
 _sql("replay_relations", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_relations(_GOOD)})")
+_sql("replay_labels", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_label_state(_GOOD)})")
+_sql("replay_users", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_user_state(_GOOD)})")
 _sql(
     "build_manifest",
     """SELECT 'manifest-' || substr(sha256(repository_owner || '|' || repository_name || '|observations|4|run_1,run_2,run_4|2001-09-07 00:00:00|abc123|1'), 1, 16) AS manifest_id,
@@ -239,6 +241,8 @@ _sql(
 _sql("manifest_conflicts", "SELECT manifest_id, 'other' AS code_commit FROM man WHERE length(repository_name) = 8", _MAN)
 
 _S = _states()
+_sql("pinned_state", "SELECT * FROM i2", *_S)
+_sql("latest_issue_of_run", f"SELECT * FROM ({_issues()}) WHERE issue_id IN (SELECT issue_id FROM obs WHERE run_id = 'run_4')")
 _sql("change_feed_range", "SELECT CAST(_commit_version AS BIGINT) AS _commit_version, _change_type, count(*) AS n_rows FROM ci WHERE _commit_version BETWEEN 3 AND 4 GROUP BY ALL", *_S)
 _sql("real_changes", f"SELECT {_ISSUE}, CAST(_commit_version AS BIGINT) AS _commit_version, change FROM real_i", *_S)
 _sql("real_relation_changes", f"SELECT {', '.join(_RKEY)}, CAST(_commit_version AS BIGINT) AS _commit_version, change FROM real_r", *_S)
@@ -251,6 +255,7 @@ _sql(
     base=False,
 )
 _sql("workset_filter", f"SELECT issue_id, title, state FROM i4 SEMI JOIN work USING ({_ISSUE})", *_S)
+_sql("published_fact", f"SELECT * EXCLUDE (source_run_id) FROM ({_fact('SELECT * FROM i4')})", *_S)
 _sql("fact_issue_incremental", f"SELECT * EXCLUDE (source_run_id) FROM ({_fact('SELECT * FROM i4')})", *_S)
 _sql("bridge_incremental", _bridge("SELECT * FROM r4"), *_S)
 _sql(
@@ -367,6 +372,13 @@ _sql(
     base=False,
 )
 
+_sql(
+    "stream_change_feed",
+    """SELECT user_id + 1 AS entity_id, 1::BIGINT AS n_inserts, 0::BIGINT AS n_unpaired, 0::BIGINT AS n_deletes, event_id FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    base=False,
+)
+_sql("stream_runs", "SELECT 'succeeded' AS status, max(ts) AS watermark FROM events", base=False)
 _sql("workset_sink", "SELECT *, (SELECT count(*) FROM work) AS written FROM work", *_S)
 _sql("repeated_changes", "SELECT issue_id, count(*) AS n_commits, CAST(max(_commit_version) AS BIGINT) AS last_version FROM real_i GROUP BY issue_id HAVING count(*) > 1", *_S)
 _sql("business_values", " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_values FROM ci" for c in _ISSUE_COLUMNS if c != "source_run_id"), *_S)

@@ -15,6 +15,7 @@ from obslog.operators import changes, compare, contracts, control, entities, inc
 from obslog.schemas import ISSUES, LABELS, OBSERVATION, RELATIONS, USERS, EntitySpec, null_counts
 from obslog.sources import adapters, log
 from obslog.sources.folder import cut, new_path
+from obslog.sources.store import VersionedTable
 from obslog.streaming import ingest
 
 #: The calendar that the test tables' dates need.
@@ -66,17 +67,42 @@ def _both(newest: DataFrame) -> tuple[DataFrame, DataFrame]:
     return entities.issues(newest).select(*entities.ISSUE_COLUMNS), entities.envelopes(newest)
 
 
-def _states(spark: SparkSession, sf_dir: str) -> _States:
+def _newest_of_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The newest observation of each issue in each run: the log is parsed, judged and ranked once for all runs."""
     rows = _parsed_once(spark, sf_dir)
     entities.check_observations(rows)
-    newest = cut(entities.newest_observations(log.of_run(rows, "run_1")))
-    first_issues, scope = _both(newest)
+    newest = cut(entities.latest(rows, ["_run_id", *ISSUES.keys], ["source_updated_at", "_ingested_at", "_page_or_batch_reference", "raw_json"]))
+    return {run: newest.where(F.col("_run_id") == run) for run in adapters.RUNS}
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, VersionedTable]:
+    """Issues and relations as versioned tables after four runs; change rows are stored from the second on."""
+    newest = _newest_of_runs(spark, sf_dir)
+    issues, scope = _both(newest["run_1"])
+    relations = entities.relations_of(scope)
+    tables = [VersionedTable(spark, new_path(spark, df_name), df.schema, spec.keys, buckets=8, keep=4, feed=True, bucket_by=star.ISSUE_KEY) for df_name, df, spec in (("issues", issues, ISSUES), ("relations", relations, RELATIONS))]
+    for table, df in zip(tables, (issues, relations), strict=True):
+        table.commit(df, None, 1, adapters.RUNS["run_1"][1])
+    for run in ("run_2", "run_3", "run_4"):
+        version, at = adapters.RUNS[run][:2]
+        source, scope = _both(newest[run])
+        touched = tables[0].touched(source)
+        new, changed = state.guarded_upsert(tables[0].read(buckets=touched), source, ISSUES, version, F.lit(at), keep=cut)
+        tables[0].commit(new, touched, version, at, changed)
+        new, changed = state.reconcile(tables[1].read(buckets=touched), scope, entities.relations_of(scope), star.ISSUE_KEY, RELATIONS, version, F.lit(at), keep=cut)
+        tables[1].commit(new, touched, version, at, changed)
+    return tables[0], tables[1]
+
+
+def _states(spark: SparkSession, sf_dir: str) -> _States:
+    newest = _newest_of_runs(spark, sf_dir)
+    first_issues, scope = _both(newest["run_1"])
     first_relations = entities.relations_of(scope)
     issues, relations = first_issues, first_relations
     issue_feed = relation_feed = None
     for run in ("run_2", "run_3", "run_4"):
         version, at = adapters.RUNS[run][0], F.lit(adapters.RUNS[run][1])
-        source, scope = _both(cut(entities.newest_observations(log.of_run(rows, run))))
+        source, scope = _both(newest[run])
         issues, a = state.guarded_upsert(issues, source, ISSUES, version, at, keep=cut)
         relations, b = state.reconcile(relations, scope, entities.relations_of(scope), star.ISSUE_KEY, RELATIONS, version, at, keep=cut)
         issue_feed = a if issue_feed is None else issue_feed.unionByName(a)
@@ -157,6 +183,13 @@ def latest_issue(spark, sf_dir):
     return entities.latest_issues(_log(spark, sf_dir))
 
 
+@query
+def latest_issue_of_run(spark, sf_dir):
+    """The newest issues of those that the last run saw: the keys come by a semi-join above the guard."""
+    rows = _log(spark, sf_dir)
+    return entities.latest_issues(rows).join(log.of_run(rows, "run_4").select(*star.ISSUE_KEY), list(star.ISSUE_KEY), "left_semi")
+
+
 @query
 def latest_label(spark, sf_dir):
     return entities.latest_labels(_log(spark, sf_dir)).select("repository_owner", "repository_name", "label_id", "name", "color", "description", "is_default", "observed_at")
@@ -378,6 +411,25 @@ def replay_relations(spark, sf_dir):
     return _replayed(spark, sf_dir)["relations"]
 
 
+@query
+def replay_labels(spark, sf_dir):
+    return _replayed(spark, sf_dir)["labels"]
+
+
+@query
+def replay_users(spark, sf_dir):
+    return _replayed(spark, sf_dir)["users"]
+
+
+@query
+def pinned_state(spark, sf_dir):
+    """A version of the stored state, frozen after later ones were committed."""
+    issues, _ = _stored(spark, sf_dir)
+    path = new_path(spark, "frozen")
+    versions.freeze({"issues": issues}, {"issues": 2}, path)
+    return spark.read.schema(issues.schema).parquet(f"{path}/issues")
+
+
 def _requests(spark, sf_dir):
     m = adapters.manifests(spark, sf_dir)
     return m.select("repository_owner", "repository_name", "bronze_table", F.reverse("successful_run_ids").alias("run_ids"), "cutoff_at", "code_commit", "transformation_version")
@@ -434,8 +486,8 @@ def invalid_manifests(spark, sf_dir):
 
 @query
 def change_feed_range(spark, sf_dir):
-    feed = _states(spark, sf_dir).issue_feed
-    return changes.change_range(feed, 3, 4).groupBy("_commit_version", "_change_type").agg(F.count("*").alias("n_rows"))
+    issues, _ = _stored(spark, sf_dir)
+    return issues.changes(3, 4).groupBy("_commit_version", "_change_type").agg(F.count("*").alias("n_rows"))
 
 
 @query
@@ -526,6 +578,21 @@ def fact_issue_incremental(spark, sf_dir):
     return _incremental(spark, sf_dir).fact.drop("source_run_id")
 
 
+@query
+def published_fact(spark, sf_dir):
+    """The stored fact after a batch that read the stored change logs, rewrote the workset's buckets, compared and published."""
+    issues, relations = _stored(spark, sf_dir)
+    fact, bridge = star.fact_issue(issues.read(1)), star.bridge_issue_label(relations.read(1))
+    stored = [VersionedTable(spark, new_path(spark, name), df.schema, keys, buckets=8, bucket_by=star.ISSUE_KEY) for name, df, keys in (("fact", fact, ["issue_key"]), ("bridge", bridge, ["issue_key", "label_key"]))]
+    for table, df in zip(stored, (fact, bridge), strict=True):
+        table.commit(df, None, 1, adapters.RUNS["run_1"][1])
+    kinds = spark.createDataFrame([], "consumer_name string, source_table string, last_version long, last_run_id string, updated_at timestamp").schema
+    positions = VersionedTable(spark, new_path(spark, "positions"), kinds, ["consumer_name", "source_table"], buckets=1)
+    models = incremental.Models(*stored, positions, new_path(spark, "workset"))
+    incremental.publish_batch(models, issues, relations, "model", "run_4", adapters.RUNS["run_4"][2], {"issues": 1, "relations": 1})
+    return models.fact.read().drop("source_run_id")
+
+
 @query
 def bridge_incremental(spark, sf_dir):
     return _incremental(spark, sf_dir).bridge
@@ -800,14 +867,35 @@ def scalar_functions(spark, sf_dir):
     )
 
 
-@query
-def stream_latest_state(spark, sf_dir):
+def _stream(spark, sf_dir) -> VersionedTable:
+    """The state, feed and runs of a stream over the event log, a file at a time."""
     spec = EntitySpec("events", ("entity_id",), "at", ("event_id",), ())
     rows = adapters.event_observations(spark, sf_dir)
     landing = new_path(spark, "landing")
     rows.repartition(4, F.to_date("at")).sortWithinPartitions(F.desc("at")).write.parquet(landing)
-    table = ingest.StateTable(spark, new_path(spark, "state"), rows.schema, spec.keys)
+    table = VersionedTable(spark, new_path(spark, "state"), rows.schema, spec.keys, buckets=8, feed=True)
     ingest.stream_latest_state(ingest.files(spark, landing, rows.schema), table, spec, new_path(spark, "checkpoint")).awaitTermination()
-    return table.read()
+    return table
 
 
+@query
+def stream_latest_state(spark, sf_dir):
+    return _stream(spark, sf_dir).read()
+
+
+@query
+def stream_change_feed(spark, sf_dir):
+    """What the stored change rows of all batches come to, by entity: its inserts, its updates' images in pairs, and its last image's event."""
+    table = _stream(spark, sf_dir)
+    feed = table.changes(min(table.versions()), max(table.versions()))
+    of = lambda kind: F.count_if(F.col("_change_type") == kind)
+    last = F.max_by("event_id", F.when(F.col("_change_type") != state.BEFORE, F.col("_commit_version")))
+    return feed.groupBy("entity_id").agg(of(state.INSERT).alias("n_inserts"), (of(state.AFTER) - of(state.BEFORE)).alias("n_unpaired"), of(state.DELETE).alias("n_deletes"), last.alias("event_id"))
+
+
+@query
+def stream_runs(spark, sf_dir):
+    """The stream's ledger by status, and the watermark that its runs come to."""
+    table = _stream(spark, sf_dir)
+    ledger = control.run_ledger(ingest.run_events(table))
+    return ledger.groupBy("status").agg(F.max("candidate_watermark_value").alias("watermark"))

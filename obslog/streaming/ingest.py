@@ -1,109 +1,104 @@
-"""Continuous ingest: files of observations in, current state out, one version per micro-batch."""
+"""Continuous ingest: files of observations in; state, change log, run ledger and watermark out, one commit for each micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable
+from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslog.operators.entities import latest
 from obslog.operators.state import guarded_upsert
 from obslog.schemas import EntitySpec
+from obslog.sources.store import VersionedTable
 
 
-class StateTable:
-    """A state table in buckets of its keys' hash under `path`: a version is a folder that holds the buckets it rewrote.
-
-    The state is the newest complete version of each bucket, so that a small batch rewrites
-    the buckets that it touches and no others. A version is complete once Spark has written
-    its _SUCCESS file: a batch that died half-way leaves nothing that a reader sees, and a
-    batch that is run again finds its version done. Of each bucket the newest `keep` versions
-    stay. A version's folder stays as the mark that it is done, until it holds no bucket and
-    `marks` versions have been written since."""
-
-    def __init__(self, spark: SparkSession, path: str, schema, keys: Sequence[str], buckets: int = 32, keep: int = 2, marks: int = 100):
-        self.spark, self.path, self.schema, self.keys, self.buckets, self.keep, self.marks = spark, path.rstrip("/"), schema, keys, buckets, keep, marks
-
-    def _names(self, path: str, prefix: str) -> list[int]:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
-        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
-
-    def _file(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
-    def versions(self) -> list[int]:
-        out = []
-        for v in self._names(self.path, "version="):
-            fs, where = self._file(f"{self.path}/version={v}/_SUCCESS")
-            if fs.exists(where):
-                out.append(v)
-        return out
-
-    def _held(self, versions: Sequence[int]) -> dict[int, list[int]]:
-        """The versions that rewrote each bucket, in the order given."""
-        out: dict[int, list[int]] = {}
-        for v in versions:
-            for b in self._names(f"{self.path}/version={v}", "_bucket="):
-                out.setdefault(b, []).append(v)
-        return out
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The state, or some of its buckets; versions count in the order in which they came, whatever their numbers."""
-        newest = {b: vs[-1] for b, vs in self._held(self.written()).items() if buckets is None or b in buckets}
-        if not newest:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/version={v}/_bucket={b}" for b, v in sorted(newest.items())])
-
-    def written(self) -> list[int]:
-        """Complete versions in the order in which they were written."""
-        when = {}
-        for v in self.versions():
-            fs, where = self._file(f"{self.path}/version={v}/_SUCCESS")
-            when[v] = fs.getFileStatus(where).getModificationTime()
-        return sorted(when, key=lambda v: (when[v], v))
-
-    def write(self, state: DataFrame, version: int) -> None:
-        state.withColumn("_bucket", self.bucket()).write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/version={version}")
-        written = self.written()
-        held = self._held(written)
-        gone = [f"{self.path}/version={old}/_bucket={b}" for b, versions in held.items() for old in versions[: -self.keep]]
-        needed = {v for versions in held.values() for v in versions[-self.keep :]}
-        gone += [f"{self.path}/version={v}" for v in written[: -self.marks] if v not in needed]
-        for path in gone:
-            fs, where = self._file(path)
-            fs.delete(where, True)
-
-
-def upsert_batch(table: StateTable, spec: EntitySpec):
+def now() -> str:
+    return datetime.now(UTC).isoformat()
+
+
+def upsert_batch(table: VersionedTable, spec: EntitySpec, name: str = "stream", clock: Callable[[], str] = now, before_publish: Callable[[int], None] | None = None):
     """A foreachBatch function: the newest row of each key of the batch goes into the state unless it is older.
 
-    The batch number is the version. A batch whose version is there already is skipped, so
-    that a replay after a failure changes nothing. Batches may come out of order: the guard
-    on the order column makes every order end in the same state, but for rows that are equal in
-    it, of which the last batch's stays. Only the buckets of the batch's keys are read and
-    rewritten; their numbers, at most `buckets`, are all that the driver gets."""
+    The batch number is the version. State, change rows, the run's row and the watermark
+    become visible by one manifest, or none of them does. A batch whose version is there is
+    skipped, so that a replay changes nothing; one that died before is done again. Every attempt
+    has a run of its own: its start is noted before anything is written, and a failure, with its
+    message, before the error goes on. The watermark is the newest value of the order column (a
+    whole number, or an instant in microseconds) that was read, and never goes back.
+
+    Batches may come out of order: the guard on the order column makes every order end in the
+    same state, but for rows that are equal in it, of which the last batch's stays. Only the
+    buckets of the batch's keys are read and rewritten; of these the driver gets numbers.
+    `before_publish` runs when everything but the manifest is written."""
 
     def run(batch: DataFrame, number: int) -> None:
         if number in table.versions():
             return
-        newest = latest(batch, spec.keys, [spec.order, *[c for c in spec.ties if c in batch.columns]]).select(*[f.name for f in table.schema])
-        touched = [r[0] for r in batch.select(table.bucket().alias("b")).distinct().collect()]
-        state, _ = guarded_upsert(table.read(touched), newest, spec, check=False)  # newest has each key once
-        table.write(state, number)
+        started, attempt = clock(), 1 + sum(n.startswith(f"{number:020d}-") and n.endswith("-running.json") for n in table.files.names(f"{table.path}/_runs"))
+        run_id = f"{name}-{number}-{attempt}"
+
+        def note(status: str, **more) -> None:
+            event = {"run_id": run_id, "status": status, "at": clock(), **more}
+            table.files.write_new(f"{table.path}/_runs/{number:020d}-{attempt}-{status}.json", json.dumps(event))
+
+        note("running")
+        held: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return held[-1]
+
+        try:
+            newest = keep(latest(batch, spec.keys, [spec.order, *[c for c in spec.ties if c in batch.columns]]).select(*[f.name for f in table.schema]))
+            order = F.unix_micros(spec.order) if dict(newest.dtypes)[spec.order] == "timestamp" else F.col(spec.order).cast("long")
+            seen = newest.groupBy(table.bucket().alias("b")).agg(F.max(order).alias("w")).collect()  # a row for each bucket
+            touched = sorted(r.b for r in seen)
+            before = table.manifest()
+            candidate = max((r.w for r in seen if r.w is not None), default=None)
+            watermark = max((w for w in (candidate, before and before.get("watermark")) if w is not None), default=None)
+            at = clock()
+            state, changes = guarded_upsert(table.read(buckets=touched), newest, spec, number, F.lit(at).cast("timestamp"), keep=keep, check=False)  # newest has each key once
+            staged = table.stage(state, touched, number, changes)
+            if before_publish:
+                before_publish(number)
+            done = {"run_id": run_id, "status": "succeeded", "started_at": started, "finished_at": clock(), "candidate": candidate}
+            table.publish(staged, at, run=done, watermark=watermark)
+        except Exception as error:
+            note("failed", error_message=str(error).strip()[:1000] or type(error).__name__)
+            raise
+        finally:
+            for df in held:
+                df.unpersist()
 
     return run
 
 
-def stream_latest_state(source: DataFrame, table: StateTable, spec: EntitySpec, checkpoint: str, available_now: bool = True):
+def run_events(table: VersionedTable) -> DataFrame:
+    """Lifecycle events (run_id, status, at, candidate_watermark_value, error_message) of a stream's batches, for `control.run_ledger`.
+
+    Starts and failures are notes; a success is what a manifest says, and so true exactly if
+    the batch's state and change rows are there."""
+    stamp = lambda c: F.col(c).cast("timestamp")
+    candidate = F.timestamp_micros("run.candidate").alias("candidate_watermark_value")
+    done = table.log().where("run IS NOT NULL").select("run.run_id", "run.status", stamp("run.finished_at").alias("at"), candidate, F.lit(None).cast("string").alias("error_message"))
+    if not table.files.names(f"{table.path}/_runs"):
+        return done
+    notes = table.spark.read.schema("run_id string, status string, at string, error_message string").json(f"{table.path}/_runs")
+    return done.unionByName(notes.select("run_id", "status", stamp("at").alias("at"), F.lit(None).cast("timestamp").alias("candidate_watermark_value"), "error_message"))
+
+
+def watermark(table: VersionedTable) -> int | None:
+    """How far a stream's committed batches have read: a number, or microseconds of an instant."""
+    manifest = table.manifest()
+    return manifest and manifest.get("watermark")
+
+
+def stream_latest_state(source: DataFrame, table: VersionedTable, spec: EntitySpec, checkpoint: str, available_now: bool = True, **options):
     """Start the stream; the checkpoint keeps what has been read. Returns the running query."""
-    writer = source.writeStream.foreachBatch(upsert_batch(table, spec)).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(upsert_batch(table, spec, **options)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
