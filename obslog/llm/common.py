@@ -25,8 +25,8 @@ def split_third(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
 
-#: Bits of a bitmap of ids, in rows of 4096 bytes: 16 MB, whatever the number of ids.
-_BITS, _ROW_BITS = 1 << 27, 1 << 15
+#: Bits of a bitmap of ids, in rows of 4096 bytes: 8 MB, whatever the number of ids.
+_BITS, _ROW_BITS = 1 << 26, 1 << 15
 
 
 def likely_among(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -39,5 +39,5 @@ def likely_among(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     marks = ids.where(F.col(column).isNotNull()).groupBy(row.alias("__row")).agg(F.bitmap_construct_agg(at).alias("__bits"))
     byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     marked = F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1
-    joined = rows.where(F.col(column).isNotNull()).withColumn("__row", row).join(F.broadcast(marks), "__row")  # at most 4096 rows
+    joined = rows.where(F.col(column).isNotNull()).withColumn("__row", row).join(F.broadcast(marks), "__row")  # at most 2048 rows
     return joined.where(marked).select(*[F.col(f"`{c}`") for c in rows.columns])
