@@ -7,6 +7,7 @@ from obslog.operators import control, incremental, snapshots, star, versions
 from obslog.operators.star import ISSUE_KEY
 from obslog.schemas import OBSERVATION, EntitySpec
 from obslog.sources import log
+from obslog.sources.store import VersionedTable
 from obslog.streaming import ingest
 
 
@@ -220,13 +221,13 @@ def test_batches_number_a_run_across_tasks(spark, history):
 
 def test_a_small_batch_rewrites_its_buckets_only(spark, tmp_path):
     schema = "k long, at timestamp"
-    table = ingest.StateTable(spark, f"{tmp_path}/state", spark.createDataFrame([], schema).schema, ["k"], buckets=8)
+    table = VersionedTable(spark, f"{tmp_path}/state", spark.createDataFrame([], schema).schema, ["k"], buckets=8)
     add = ingest.upsert_batch(table, EntitySpec("s", ("k",), "at", (), ()))
     for n in range(6):
         add(spark.createDataFrame([(k, at(f"2026-01-{n + 1:02d}")) for k in (range(100) if n == 0 else [n])], schema), n)
     assert {r.k: r.at.day for r in table.read().collect()} == {k: k + 1 if 1 <= k <= 5 else 1 for k in range(100)}
-    held = table._held(table.written())
-    assert len(held) == 8 and all(len(v) <= 2 for v in held.values()) and table.versions() == list(range(6))
+    held = [table.manifest(v) for v in table.versions()]
+    assert len(held[-1]["buckets"]) == 8 and [len(m["touched"]) for m in held] == [8, 1, 1, 1, 1, 1] and table.versions() == list(range(6))
 
 
 def test_calendar(spark):
@@ -244,14 +245,14 @@ def test_stream_converges_whatever_the_order_and_skips_known_batches(spark, tmp_
     for name, order in (("up", F.asc("at")), ("down", F.desc("at"))):
         source = f"{tmp_path}/{name}"
         df.repartitionByRange(4, order).write.parquet(source)
-        table = ingest.StateTable(spark, f"{tmp_path}/{name}-state", df.schema, spec.keys, buckets=4)
+        table = VersionedTable(spark, f"{tmp_path}/{name}-state", df.schema, spec.keys, buckets=4)
         ingest.stream_latest_state(ingest.files(spark, source, df.schema), table, spec, f"{tmp_path}/{name}-check").awaitTermination()
         got = {r.k: (r.at.replace(tzinfo=None)) for r in table.read().collect()}
         assert got == {k: max(w.replace(tzinfo=None) for x, w, _ in rows if x == k) for k in range(5)}
         before = table.versions()
         ingest.upsert_batch(table, spec)(df, before[-1])
         assert table.versions() == before
-    assert ingest.StateTable(spark, f"{tmp_path}/none", df.schema, spec.keys).read().count() == 0
+    assert VersionedTable(spark, f"{tmp_path}/none", df.schema, spec.keys).read().count() == 0
 
 
 def test_streaming_days_close_behind_the_watermark(spark, tmp_path):
