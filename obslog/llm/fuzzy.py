@@ -48,6 +48,7 @@ class FuzzyTrie:
         self.states: dict[frozenset, int] = {}
         self.sets: list[dict] = []
         self.steps = np.zeros((0, len(self.letters) + 1), np.int32)
+        self._as_array = np.zeros((0, 3), np.int64)
         self.found: list[tuple[int, int, int]] = []  # of a state: whole term, its edits, open term
         self.dead = self._state({})
         self.start = self._state(self._closed({(0, ""): 0}))
@@ -98,6 +99,12 @@ class FuzzyTrie:
             reach(node, "", e + 1)
         return self._state(self._closed(out))
 
+    def _known(self) -> np.ndarray:
+        """`found`, as an array that is made again only when there are new states."""
+        if len(self._as_array) != len(self.found):
+            self._as_array = np.array(self.found)
+        return self._as_array
+
     def match(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """(term or -1, edits) of each word: the term that it is, else the longest that it begins with, else the one of the fewest edits."""
         term, edits = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
@@ -119,10 +126,10 @@ class FuzzyTrie:
                     self.steps[s, k] = to
                 now = self.steps[state[live], asked]
             state[live] = now
-            found = np.array(self.found)
+            found = self._known()
             opened[live] = np.where((found[now, 2] >= 0) & (size[live] > at + 1), found[now, 2], opened[live])
             live = live[now != self.dead]
-        whole = np.array(self.found)[state]
+        whole = self._known()[state]
         ends = (size <= width) & (whole[:, 0] >= 0) & (state != self.dead)
         exact = ends & (whole[:, 1] == 0)
         term = np.where(exact, whole[:, 0], np.where(opened >= 0, opened, np.where(ends, whole[:, 0], -1)))
