@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obslog.sources.folder import cut
+
 
 def diff_both_ways(left: DataFrame, right: DataFrame, without: Sequence[str] = ()) -> DataFrame:
     """Rows of either side that the other lacks, duplicates counted, with side and n.
@@ -22,6 +24,54 @@ def diff_both_ways(left: DataFrame, right: DataFrame, without: Sequence[str] = (
     return net.withColumn("side", F.when(F.col("_n") > 0, "left").otherwise("right")).withColumn("n", F.abs("_n")).drop("_n")
 
 
+def bucket_sums(df: DataFrame, keys: Sequence[str], columns: Sequence[str], buckets: int) -> DataFrame:
+    """(bucket, n, a, b): for each bucket of the keys' hash the number of its rows, and two sums of hashes of them, in which their order makes no difference.
+
+    Rows are summed up in the tasks that read them: only `buckets` rows a task are shuffled. Which
+    columns are null is hashed as well, since a hash passes over nulls."""
+    whole = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    hashed = lambda seed: F.sum(F.xxhash64(F.lit(seed), *whole).cast("decimal(38,0)"))
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+    return df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), hashed(1).alias("a"), hashed(2).alias("b"))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], without: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+    """(bucket): the buckets of the keys' hash in which two tables don't hold the same rows, duplicates counted. At most `buckets` rows.
+
+    That they do is as sure as two 64-bit hashes of each row are."""
+    a, b = [[c for c in x.columns if c not in without] for x in (left, right)]
+    if sorted(a) != sorted(b):
+        raise ValueError(f"columns differ: {sorted(set(a) ^ set(b))}")
+    one, two = bucket_sums(left, keys, a, buckets), bucket_sums(right, keys, a, buckets)
+    both = one.select("bucket", F.struct("n", "a", "b").alias("l")).join(two.select("bucket", F.struct("n", "a", "b").alias("r")), "bucket", "full_outer")
+    return both.where(~F.col("l").eqNullSafe(F.col("r"))).select("bucket")
+
+
+def diff_by_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], without: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+    """What `diff_both_ways` gives, found by checksums: whole rows are grouped only in buckets that differ, so that equal tables cost one read of each."""
+    differ = F.broadcast(cut(differing_buckets(left, right, keys, without, buckets)))  # at most `buckets` rows
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+    mine = lambda df: df.withColumn("_in", bucket).join(differ.withColumnRenamed("bucket", "_in"), "_in", "left_semi").select(df.columns)
+    return diff_both_ways(mine(left), mine(right), without)
+
+
+def compare_report(left: dict[str, DataFrame], right: dict[str, DataFrame], keys: dict[str, Sequence[str]], without: dict[str, Sequence[str]] | None = None, buckets: int = 1024) -> DataFrame:
+    """(table_name, left_rows, right_rows, left_only, right_only) of the tables of two sides, such as a replay and a live state, or two replays.
+
+    Both sides must have the same tables. Columns named in `without` (lineage) are left out of a table's comparison."""
+    if set(left) != set(right):
+        raise ValueError(f"tables differ: {sorted(set(left) ^ set(right))}")
+    out = None
+    for name in sorted(left):
+        diff = diff_by_buckets(left[name], right[name], keys[name], (without or {}).get(name, ()), buckets)
+        only = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n"))), F.lit(0)).cast("long")
+        found = diff.agg(only("left").alias("left_only"), only("right").alias("right_only"))
+        rows = [df.agg(F.count("*").alias("n")).scalar() for df in (left[name], right[name])]
+        part = found.select(F.lit(name).alias("table_name"), rows[0].alias("left_rows"), rows[1].alias("right_rows"), "left_only", "right_only")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def lineage_differences(left: DataFrame, right: DataFrame, keys: Sequence[str], column: str = "source_run_id") -> DataFrame:
     """(left_run, right_run, n) of keys on both sides whose lineage differs."""
     a = left.select(*keys, F.col(column).alias("left_run"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from obslog.functions.keys import told, told_list
 from obslog.operators import entities as E
-from obslog.operators.contracts import Rule, blank
+from obslog.operators.contracts import Rule, blank, duplicate_keys
+from obslog.operators.state import conflicts
 from obslog.sources.folder import cut
 from obslog.sources.store import Files, VersionedTable
 
@@ -129,24 +131,77 @@ def ineligible_runs(run_ids: DataFrame, ledger: DataFrame, cutoff: Column) -> Da
     return run_ids.select("run_id").join(known, "run_id", "left").select("run_id", reason.alias("reason")).where("reason IS NOT NULL")
 
 
-def build_manifest(requests: DataFrame, commit_rows: DataFrame, ledger: DataFrame) -> DataFrame:
+def versions_at(requests: DataFrame, commit_rows: DataFrame, table: str = "bronze_table", cutoff: str = "cutoff_at") -> DataFrame:
+    """`requests` with bronze_version: the newest version of their table that was committed at or before their cutoff, or null.
+
+    Commits (version, committed_at, and the table's name if they are of several tables) and
+    requests are ordered by time together, and a request takes the newest version before it: one
+    exchange by table, and no pair of a request and a commit is formed."""
+    name = F.col(table) if table in commit_rows.columns else F.lit(None).cast("string")
+    request = F.struct(*[F.col(f"`{c}`") for c in requests.columns])
+    events = commit_rows.select(name.alias("_table"), F.col("committed_at").alias("_at"), F.lit(0).alias("_turn"), F.col("version").alias("_version"), F.lit(None).cast(requests.schema.simpleString()).alias("_request"))
+    asked = requests.select((F.col(table) if table in commit_rows.columns else F.lit(None).cast("string")).alias("_table"), F.col(cutoff).alias("_at"), F.lit(1).alias("_turn"), F.lit(None).cast("long").alias("_version"), request.alias("_request"))
+    so_far = Window.partitionBy("_table").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    placed = events.unionByName(asked).withColumn("_version", F.max("_version").over(so_far))
+    return placed.where("_turn = 1").select("_request.*", F.col("_version").alias("bronze_version"))
+
+
+MANIFEST_CONTENT = ["repository_owner", "repository_name", "bronze_table", "bronze_version", "successful_run_ids", "cutoff_at", "code_commit", "transformation_version"]
+
+
+def manifest_id() -> Column:
+    """The id of a manifest's content: equal contents, with sorted runs and the cutoff in microseconds, and no others, have equal ids."""
+    of = {"successful_run_ids": told_list("successful_run_ids"), "cutoff_at": told(F.unix_micros("cutoff_at"))}
+    return F.concat(F.lit("manifest-"), F.substring(F.sha2(F.concat(*[of[c] if c in of else told(c) for c in MANIFEST_CONTENT]), 256), 1, 16))
+
+
+def build_manifest(requests: DataFrame, commit_rows: DataFrame, ledger: DataFrame, log: DataFrame) -> DataFrame:
     """Manifests of requests (owner, name, table, run_ids, cutoff_at, code_commit, transformation_version).
 
-    The id is a hash of all content with sorted run ids, so that the same input has the same
-    id. A request whose runs are not all eligible, or whose cutoff is before the first
-    commit, gives no manifest (`ineligible_runs` says why). The commit history, a row for
-    each version, comes in as one array by a scalar subquery."""
-    content = ["repository_owner", "repository_name", "bronze_table", "bronze_version", "successful_run_ids", "cutoff_at", "code_commit", "transformation_version"]
-    numbered = requests.withColumn("successful_run_ids", F.array_sort("run_ids")).withColumn("_request", F.xxhash64(F.to_json(F.struct(*[c for c in requests.columns]))))
-    runs = numbered.select("_request", "cutoff_at", F.explode("run_ids").alias("run_id")).join(ledger.select("run_id", "status", "finished_at"), "run_id", "left")
-    good = (F.col("status") == "succeeded") & (F.col("finished_at") <= F.col("cutoff_at"))
-    eligible = runs.groupBy("_request").agg(F.min(F.coalesce(good, F.lit(False)).cast("int")).alias("ok")).where("ok = 1").drop("ok")
-    history = commit_rows.agg(F.collect_list(F.struct("committed_at", "version"))).scalar()
-    reached = F.filter("_history", lambda c: c["committed_at"] <= F.col("cutoff_at"))
-    version = F.array_max(F.transform(reached, lambda c: c["version"]))
-    built = numbered.join(eligible, "_request").withColumn("_history", history).withColumn("bronze_version", version).where("bronze_version IS NOT NULL").select(*content)
-    text = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (F.col("repository_owner"), F.col("repository_name"), F.col("bronze_table"), F.col("bronze_version").cast("string"), F.array_join("successful_run_ids", ","), F.date_format("cutoff_at", "yyyy-MM-dd HH:mm:ss"), F.col("code_commit"), F.col("transformation_version"))])
-    return built.select(F.concat(F.lit("manifest-"), F.substring(F.sha2(text, 256), 1, 16)).alias("manifest_id"), *content)
+    An input has to be readable before it gets an id: every run has succeeded by the cutoff
+    and has rows of the repository in the log at the version. A request of which that isn't
+    true, one without runs, or one whose cutoff is before the first commit gives no manifest (`ineligible_runs` and
+    `unreadable_runs` say why). The log is read for its runs only."""
+    numbered = versions_at(requests, commit_rows).where("bronze_version IS NOT NULL").withColumn("successful_run_ids", F.array_sort("run_ids"))
+    numbered = numbered.withColumn("_request", F.sha2(F.concat(*[told_list(c) if c == "successful_run_ids" else told(F.unix_micros(c) if c == "cutoff_at" else c) for c in MANIFEST_CONTENT]), 256))
+    runs = numbered.select("_request", "repository_owner", "repository_name", "bronze_version", "cutoff_at", F.explode("successful_run_ids").alias("run_id"))
+    good = (F.col("status") == "succeeded") & (F.col("finished_at") <= F.col("cutoff_at")) & (F.col("_first") <= F.col("bronze_version"))
+    judged = runs.join(ledger.select("run_id", "status", "finished_at"), "run_id", "left").join(first_versions(log), ["repository_owner", "repository_name", "run_id"], "left")
+    eligible = judged.groupBy("_request").agg(F.min(F.coalesce(good, F.lit(False)).cast("int")).alias("ok")).where("ok = 1").drop("ok")
+    return numbered.join(eligible, "_request", "left_semi").select(manifest_id().alias("manifest_id"), *MANIFEST_CONTENT)
+
+
+def first_versions(log: DataFrame) -> DataFrame:
+    """(repository_owner, repository_name, run_id, _first): the first version at which a run has rows of a repository."""
+    return log.groupBy("repository_owner", "repository_name", F.col("_run_id").alias("run_id")).agg(F.min("_commit_version").alias("_first"))
+
+
+def unreadable_runs(requests: DataFrame, commit_rows: DataFrame, log: DataFrame) -> DataFrame:
+    """(repository_owner, repository_name, run_id) of asked runs that have no row of the repository at the request's version."""
+    runs = versions_at(requests, commit_rows).select("repository_owner", "repository_name", "bronze_version", F.explode("run_ids").alias("run_id"))
+    found = runs.join(first_versions(log), ["repository_owner", "repository_name", "run_id"], "left")
+    return found.where(~F.coalesce(F.col("_first") <= F.col("bronze_version"), F.lit(False))).select("repository_owner", "repository_name", "run_id").distinct()
+
+
+class ManifestConflict(ValueError):
+    """A manifest whose id is stored with other content."""
+
+
+def store_manifests(table: VersionedTable, built: DataFrame, at: str) -> int:
+    """Insert manifests whose id isn't stored, and verify that the others are what is stored; returns how many were inserted.
+
+    Nothing is written if any differs. A manifest once stored is never changed."""
+    mine = cut(built.select([f.name for f in table.schema]).distinct())
+    touched = table.touched(mine)
+    stored = table.read(buckets=touched)
+    wrong = [r.manifest_id for r in conflicts(stored, mine, ["manifest_id"]).select("manifest_id").limit(20).collect()]
+    if wrong or not duplicate_keys(mine, ["manifest_id"]).isEmpty():
+        raise ManifestConflict(f"stored with other content: {sorted(wrong)}")
+    new = mine.join(stored.select("manifest_id"), "manifest_id", "left_anti").select(mine.columns)
+    n = new.count()
+    if n:
+        table.commit(stored.unionByName(new), touched, 1 + max(table.versions(), default=0), at)
+    return n
 
 
 def manifest_runs(manifest: DataFrame, ledger: DataFrame) -> DataFrame:

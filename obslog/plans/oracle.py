@@ -225,12 +225,27 @@ _sql(
 )
 _sql("replay_issues", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_issues(_GOOD)})")
 _sql("replay_relations", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_relations(_GOOD)})")
+
+
+def _report(name: str, left: str, right: str) -> str:
+    a, b = f"SELECT * EXCLUDE (source_run_id) FROM ({left})", f"SELECT * EXCLUDE (source_run_id) FROM ({right})"
+    return f"""SELECT '{name}' AS table_name, (SELECT count(*) FROM ({a})) AS left_rows, (SELECT count(*) FROM ({b})) AS right_rows,
+  (SELECT count(*) FROM ({a} EXCEPT ALL {b})) AS left_only, (SELECT count(*) FROM ({b} EXCEPT ALL {a})) AS right_only"""
+
+
+_sql("replay_report", " UNION ALL ".join(_report(name, make(_GOOD), make()) for name, make in (("issues", _issues), ("labels", _label_state), ("relations", _relations), ("users", _user_state))))
 _sql("replay_labels", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_label_state(_GOOD)})")
 _sql("replay_users", f"SELECT *, 'm' AS manifest_id, 'x' AS replay_execution_id FROM ({_user_state(_GOOD)})")
-_sql(
-    "build_manifest",
-    """SELECT 'manifest-' || substr(sha256(repository_owner || '|' || repository_name || '|observations|4|run_1,run_2,run_4|2001-09-07 00:00:00|abc123|1'), 1, 16) AS manifest_id,
-  repository_owner, repository_name, CAST(4 AS BIGINT) AS bronze_version, 'run_1,run_2,run_4' AS run_ids, TIMESTAMP '2001-09-07 00:00:00' AS cutoff_at FROM man""",
+_READABLE = "(SELECT count(DISTINCT run_id) FROM obs WHERE obs.repository_owner = man.repository_owner AND obs.repository_name = man.repository_name AND run_id IN ('run_1', 'run_2', 'run_4')) = 3"
+_TOLD = " || ".join(f"octet_length(encode({c})) || ':' || {c}" for c in ("repository_owner", "repository_name"))
+_BUILT = f"""SELECT 'manifest-' || substr(sha256({_TOLD} || '12:observations1:43;5:run_15:run_25:run_4' || '15:' || epoch_us(TIMESTAMP '2001-09-07 00:00:00') || '6:abc1231:1'), 1, 16) AS manifest_id,
+  repository_owner, repository_name, CAST(4 AS BIGINT) AS bronze_version, 'run_1,run_2,run_4' AS run_ids, TIMESTAMP '2001-09-07 00:00:00' AS cutoff_at FROM man WHERE {_READABLE}"""
+_sql("build_manifest", _BUILT, _MAN)
+_sql("stored_manifests", f"SELECT *, CAST(0 AS BIGINT) AS inserted_again FROM ({_BUILT})", _MAN)
+_sql(
+    "unreadable_runs",
+    """SELECT repository_owner, repository_name, run_id FROM man, unnest(['run_1', 'run_2', 'run_4', 'run_of_' || repository_name]) AS u(run_id)
+  WHERE NOT EXISTS (SELECT 1 FROM obs WHERE obs.repository_owner = man.repository_owner AND obs.repository_name = man.repository_name AND obs.run_id = u.run_id)""",
     _MAN,
 )
 _sql(

@@ -441,10 +441,35 @@ def _ledger(spark, sf_dir):
 
 @query
 def build_manifest(spark, sf_dir):
-    built = versions.build_manifest(_requests(spark, sf_dir), versions.commits(_log(spark, sf_dir)), _ledger(spark, sf_dir))
+    return _told_manifests(_manifests(spark, sf_dir))
+
+
+def _manifests(spark, sf_dir):
+    rows = cut(_log(spark, sf_dir).select("repository_owner", "repository_name", "_run_id", "_commit_version", "_ingested_at"))
+    return versions.build_manifest(_requests(spark, sf_dir), versions.commits(rows), _ledger(spark, sf_dir), rows)
+
+
+def _told_manifests(built):
     return built.select("manifest_id", "repository_owner", "repository_name", "bronze_version", F.array_join("successful_run_ids", ",").alias("run_ids"), "cutoff_at")
 
 
+@query
+def unreadable_runs(spark, sf_dir):
+    """Runs that requests ask for, one of their own among them, without rows of the repository at the version."""
+    rows = cut(_log(spark, sf_dir).select("repository_owner", "repository_name", "_run_id", "_commit_version", "_ingested_at"))
+    asked = _requests(spark, sf_dir).withColumn("run_ids", F.array_append("run_ids", F.concat(F.lit("run_of_"), F.col("repository_name"))))
+    return versions.unreadable_runs(asked, versions.commits(rows), rows)
+
+
+@query
+def stored_manifests(spark, sf_dir):
+    """Manifests stored twice: the second time they are only verified."""
+    built = cut(_manifests(spark, sf_dir))
+    table = VersionedTable(spark, new_path(spark, "manifests"), built.schema, ["manifest_id"], buckets=1)
+    inserted = [versions.store_manifests(table, built, adapters.RUNS["run_4"][2]) for _ in range(2)]
+    return _told_manifests(table.read()).withColumn("inserted_again", F.lit(inserted[1]).cast("long"))
+
+
 @query
 def ineligible_runs(spark, sf_dir):
     asked = _log(spark, sf_dir).select(F.col("_run_id").alias("run_id")).distinct().unionByName(adapters.table(spark, sf_dir, "region").select(F.col("r_name").alias("run_id")))
@@ -610,6 +635,16 @@ def diff_both_ways(spark, sf_dir):
     return compare.diff_both_ways(a, b, ["source_run_id"]).withColumn("n", F.col("n").cast("long"))
 
 
+@query
+def replay_report(spark, sf_dir):
+    """All four tables of a replay of the succeeded runs against those of the whole log, lineage left out."""
+    rows = _parsed_once(spark, sf_dir)
+    live = versions.replay(rows, F.lit("m"), F.lit("x"))
+    again = versions.replay(versions.frozen_input(rows, adapters.manifests(spark, sf_dir)), F.lit("m"), F.lit("x"))
+    keys = {"issues": ISSUES.keys, "users": USERS.keys, "labels": LABELS.keys, "relations": RELATIONS.keys}
+    return compare.compare_report(again, live, keys, {k: ("source_run_id",) for k in keys})
+
+
 @query
 def lineage_differences(spark, sf_dir):
     return compare.lineage_differences(entities.latest_issues(_log(spark, sf_dir, "run_1", "run_2", "run_4")), entities.latest_issues(_log(spark, sf_dir)), star.ISSUE_KEY)

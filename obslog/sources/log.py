@@ -48,18 +48,21 @@ def canonical_json(text: Column) -> Column:
 def append(observations: DataFrame, path: str, version: int) -> int:
     """Add one commit to the log at `path`; returns the rows written. No rows write nothing.
 
-    A commit is a partition of its own, so that reads as of a version prune files. The same
-    version again replaces nothing and fails, since its folder is there."""
+    A commit is a partition of its own, and in it each run, so that reads as of a version or of
+    some runs prune files. The same version again replaces nothing and fails, since its
+    folder is there."""
     seen = Observation()
     rows = enforce_schema(observations, OBSERVATION)
     if rows.isEmpty():
         return 0
-    rows.observe(seen, F.count("*").alias("n")).write.mode("errorifexists").parquet(f"{path.rstrip('/')}/_commit_version={int(version)}")
+    rows.observe(seen, F.count("*").alias("n")).write.mode("errorifexists").partitionBy("_run_id").parquet(f"{path.rstrip('/')}/_commit_version={int(version)}")
     return seen.get["n"]
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).schema(T.StructType([*OBSERVATION, T.StructField("_commit_version", T.LongType())])).parquet(path)
+    """The log with _commit_version. Version and run are partitions: conditions on them, and joins with a few runs such as a manifest's, prune files."""
+    schema = T.StructType([*OBSERVATION, T.StructField("_commit_version", T.LongType())])
+    return spark.read.option("basePath", path).schema(schema).parquet(path).select(*[f.name for f in schema])
 
 
 def incremental(log: DataFrame, watermark, overlap_seconds: int = 300, column: str = "source_updated_at") -> DataFrame:
