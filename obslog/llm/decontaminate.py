@@ -23,13 +23,15 @@ class Decontamination:
     of 128 fingerprint bits with a deviation of 4.5; `radius` is three deviations beyond.
     An item whose weight lies so unevenly that more of its words may differ is looked up by
     its heaviest shingles too, which loses nothing.
-    `items_a_block` bounds what is broadcast: some kilobytes an item, mostly its shingles."""
+    `items_a_block` and `bytes_a_block` bound what reaches the driver and is broadcast: some
+    kilobytes an item, mostly its shingles, and some ten times its text."""
 
     shingle: int = 5
     threshold: float = 0.8
     radius: int = 39
     blocks: int = 8
     items_a_block: int = 8192
+    bytes_a_block: int = 16 << 20
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
@@ -44,6 +46,18 @@ def signs(hashes: np.ndarray) -> np.ndarray:
     return bits.astype(np.int16) * 2 - 1
 
 
+#: Words over which the windows that are fingerprinted together begin.
+_SPAN = 8192
+
+
+def _starts(at: np.ndarray, before: int, last: int) -> np.ndarray:
+    """All numbers from 0 to `last` that lie at most `before` before one of the ascending numbers `at`, each once."""
+    lo = np.maximum(at - before, 0)
+    lo[1:] = np.maximum(lo[1:], at[:-1] + 1)
+    n = np.maximum(np.minimum(at, last) - lo + 1, 0)
+    return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
 def _within(bits: int) -> np.ndarray:
     """The patterns of 16 bits with at most so many set."""
     all_ = np.arange(1 << 16)
@@ -169,8 +183,10 @@ class ItemIndex:
 
         at, number: where the document's known shingles are. A window whose known shingles
         weigh less than `threshold` of the lightest item of its size can't leak one; the
-        others are fingerprinted, looked up and confirmed. A document shorter than an item is
-        its only window."""
+        others are fingerprinted, looked up and confirmed. Once a window holds an item whole,
+        no later one is better: what is left of the document is searched for the other items, by
+        their shingles. Memory is some tens of bytes a word, however often an item stands in it. A
+        document shorter than an item is its only window."""
         best: dict[int, tuple[int, int, int, int, float]] = {}
         weight = np.concatenate([[0], np.cumsum(self.weight[number])])
         for size in np.unique(self.sizes):
@@ -184,24 +200,38 @@ class ItemIndex:
                 a, b, w = at, number, weight
             if not len(a):
                 continue
-            first = np.unique(np.concatenate([np.arange(max(0, x - (width - n)), x + 1) for x in a]))
-            first = first[first <= len(h) - width]
-            inside = w[np.searchsorted(a, first + width - n, "right")] - w[np.searchsorted(a, first)]
-            first = first[inside >= self.p.threshold * self.total[self.sizes == size].min() - 1e-9]
-            for lo in range(0, len(first), 1024):
-                for found in self._confirmed(h, first[lo : lo + 1024], int(size), int(width), n, a, b):
+            items = np.flatnonzero(self.sizes == size)
+            first = self._heavy(_starts(a, int(width - n), int(len(h) - width)), a, w, width - n, items)
+            lo = 0
+            while lo < len(first):
+                hi = min(lo + 1024, int(np.searchsorted(first, first[lo] + _SPAN)))
+                whole = False
+                for found in self._confirmed(h, first[lo:hi], int(size), int(width), n, a, b, w, best):
                     if found[0] not in best or (-found[4], found[1]) < (-best[found[0]][4], best[found[0]][1]):
                         best[found[0]] = found
+                        whole |= found[4] >= 1 - 1e-12
+                lo = hi
+                if whole:
+                    items = np.array([i for i in items if i not in best or best[i][4] < 1 - 1e-12], np.int64)
+                    if not len(items):
+                        break
+                    theirs = np.zeros(len(self.weight))
+                    for i in items:
+                        theirs[self.shingle_at[i]] = self.weight[self.shingle_at[i]]
+                    first, lo = self._heavy(first[lo:], a, np.concatenate([[0], np.cumsum(theirs[b])]), width - n, items), 0
         return list(best.values())
 
+    def _heavy(self, first: np.ndarray, at: np.ndarray, w: np.ndarray, span: int, items: np.ndarray) -> np.ndarray:
+        """The windows in which shingles (their places, and sums of their weights) weigh as much as the lightest of the items must."""
+        inside = w[np.searchsorted(at, first + span, "right")] - w[np.searchsorted(at, first)]
+        return first[inside >= self.p.threshold * self.total[items].min() - 1e-9]
+
     def _short(self, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of items of `size` words, fewer than a shingle has."""
         whole = np.array([sequence_hash(h[i : i + size]) for i in range(len(h) - size + 1)], np.uint64)
         return self.places(whole)
 
-    def _confirmed(self, h: np.ndarray, first: np.ndarray, size: int, width: int, n: int, at: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-        if not len(first):
-            return
+    def _confirmed(self, h: np.ndarray, first: np.ndarray, size: int, width: int, n: int, at: np.ndarray, number: np.ndarray, w: np.ndarray, best: dict) -> Iterator[tuple[int, int, int, int, float]]:
         base = first.min()
         sums = np.zeros((first.max() + width - base + 1, 128), np.int32)
         np.cumsum(signs(h[base : first.max() + width]), axis=0, out=sums[1:])
@@ -212,6 +242,11 @@ class ItemIndex:
             more = self.led(first, size, width - n, at[lo:hi], number[lo:hi])
             pair = np.unique(np.concatenate([row, more[0]]) * len(self.ids) + np.concatenate([item, more[1]]))
             row, item = pair // len(self.ids), pair % len(self.ids)
+        # a window whose known shingles weigh no more than what an earlier one had of the item is no better
+        inside = w[np.searchsorted(at, first + width - n, "right")] - w[np.searchsorted(at, first)]
+        had = np.array([best[i][4] if i in best else 0.0 for i in item.tolist()])
+        better = (inside[row] > had * self.total[item] + 1e-9) & (had < 1 - 1e-12)
+        row, item = row[better], item[better]
         distance = np.bitwise_count(prints[row] ^ self.prints[item]).sum(axis=1)
         for r, i, d in zip(row, item, distance, strict=True):
             lo, hi = np.searchsorted(at, first[r]), np.searchsorted(at, first[r] + width - n, "right")
@@ -239,9 +274,10 @@ class ItemIndex:
 
 
 def item_indexes(benchmark: DataFrame, p: Decontamination, id_col: str = "item_id", text_col: str = "text") -> Iterator[ItemIndex]:
-    """The benchmark, in blocks of about `items_a_block` items: what reaches the driver at once is bounded. Weights are those of the whole benchmark."""
+    """The benchmark, in blocks of about `items_a_block` items or `bytes_a_block` bytes of text, whichever are more blocks: what reaches the driver at once is bounded. Weights are those of the whole benchmark."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where("text IS NOT NULL AND item_id IS NOT NULL")
-    n = -(-items.count() // p.items_a_block)
+    count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n = max(-(-count // p.items_a_block), -(-size // p.bytes_a_block))
     if n <= 1:
         if n:
             yield ItemIndex([(r.item_id, r.text) for r in items.collect()], p)
