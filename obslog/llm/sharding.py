@@ -96,6 +96,8 @@ def splitters(keyed: DataFrame, targets: list[float], p: HistogramSort, slack: f
             n[cell], size[cell] = a, b
         n, size = np.cumsum(n), np.cumsum(size)
         known.update({k: (int(n[i]), int(size[i])) for i, k in enumerate(asked)})
+    else:
+        raise RuntimeError(f"splitters are still apart from their targets after {p.max_rounds} rounds")
     order = sorted(known)
     sizes = np.array([known[k][1] for k in order])
     out = [order[int(np.argmin(np.abs(sizes - t)))] for t in targets]
