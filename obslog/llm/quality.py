@@ -19,7 +19,7 @@ class QualityLearning:
     """Parameters. Features' means and deviations and the class prior's shares are taken over all
     rows of web text. Only the descent of the weights works on rows at the driver: at most
     about `most_positives` trusted rows and `most_unlabelled` rows of web text, chosen by a
-    hash of their ids.
+    hash of id and text, of which rows that repeat both count once.
 
     `beta` is how far the estimated risk of negatives may fall below zero before a step
     undoes it; `ridge` shrinks the weights."""
@@ -190,17 +190,23 @@ def fit_quality(trusted: DataFrame, web: DataFrame, p: QualityLearning = Quality
     works on, and for the class prior's shares. Trusted ids that `web` lacks teach nothing.
     Without any, every score is 0.5. Rows with a null id teach nothing; a null text is an
     empty one."""
-    place = lambda salt: F.pmod(F.xxhash64(F.lit(p.seed + salt), F.col(id_col)), F.lit(1 << 30))
+    place = lambda salt, *of: F.pmod(F.xxhash64(F.lit(p.seed + salt), *of), F.lit(1 << 30))
     half = F.pmod(F.xxhash64(F.lit(p.seed + 3), F.col(id_col)), F.lit(2)).cast("int").alias("half")
     rows = web.select(F.col(id_col), F.col(text_col), half).where(F.col(id_col).isNotNull())
     ids = trusted.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct()
 
-    def part(df: DataFrame, most: int, salt: int) -> DataFrame:
+    def part(df: DataFrame, most: int, salt: int, *of: str) -> DataFrame:
         n = df.count()
-        return df if n <= most else df.where(place(salt) < int((1 << 30) * most / n))
+        return df if n <= most else df.where(place(salt, *of) < int((1 << 30) * most / n))
 
-    chosen = F.broadcast(part(ids, p.most_positives, 1))  # a bounded number of ids
-    (pos_half, pos), (unl_half, unl) = _matrix(rows.join(chosen, id_col, "left_semi"), text_col), _matrix(part(rows, p.most_unlabelled, 2), text_col)
+    def bounded(df: DataFrame, most: int, salt: int) -> DataFrame:
+        once = df.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"])
+        return part(once, most, salt, id_col, "__text")
+
+    chosen = F.broadcast(part(ids, p.most_positives, 1, id_col))  # a bounded number of ids
+    positives = bounded(rows.join(chosen, id_col, "left_semi"), p.most_positives, 4)  # of which an id may have many texts
+    unlabelled = bounded(part(rows.withColumn("__text", F.xxhash64(text_col)), p.most_unlabelled, 2, id_col, "__text"), p.most_unlabelled, 5)
+    (pos_half, pos), (unl_half, unl) = _matrix(positives, text_col), _matrix(unlabelled, text_col)
     return QualityModel(pos, unl, p, (pos_half, unl_half), _moments(rows, text_col), lambda *asked: _shares(rows, text_col, *asked))
 
 
