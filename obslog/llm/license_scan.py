@@ -41,19 +41,35 @@ TEMPLATES = [
     ("cc0-1.0", ["creative commons zero"], "released under the creative commons zero 1 0 universal license"),
     ("epl-2.0", ["eclipse public license 2 0"], "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
     ("epl-2.0", ["eclipse public license v 2 0"], "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0"),
+    ("gpl-2.0", ["gnu general public license", "either version 2 of the license"], "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
     ("gpl-2.0", ["gnu general public license version 2"], "licensed under the gnu general public license version 2"),
     ("gpl-3.0", ["gnu general public license version 3"], "this work is licensed under the gnu general public license version 3"),
     ("gpl-3.0", ["gnu general public license", "either version 3 of the license"], "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("isc", ["permission to use copy modify and or distribute this software"], "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("lgpl-2.1", ["gnu lesser general public license", "either version 2 1 of the license"], "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("lgpl-3.0", ["gnu lesser general public license", "either version 3 of the license"], "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("lgpl-3.0", ["gnu lesser general public license version 3"], "licensed under the gnu lesser general public license version 3"),
     ("mit", ["mit license"], "released under the mit license"),
     ("mit", ["permission is hereby granted free of charge"], "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
     ("mpl-2.0", ["mozilla public license v 2 0"], "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", ["free and unencumbered software"], "this is free and unencumbered software released into the public domain"),
     ("zlib", ["permission is granted to anyone to use this software for any purpose"], "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
+    ("eupl-1.2", ["european union public licence"], "licensed under the eupl version 1 2 european union public licence"),
+    ("wtfpl", ["do what the fuck you want to public license"], "do what the fuck you want to public license"),
+    ("0bsd", ["zero clause bsd"], "released under the zero clause bsd license"),
+    ("cc-by-nd-4.0", ["creative commons attribution noderivatives 4 0"], "this work is licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nc-sa-4.0", ["creative commons attribution noncommercial sharealike 4 0"], "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
 ]
 
+# Identifiers of SPDX lines, with their labels.
+SPDX = {
+    "Apache-2.0": "apache-2.0", "MIT": "mit", "ISC": "isc", "Zlib": "zlib", "MPL-2.0": "mpl-2.0", "0BSD": "0bsd", "Unlicense": "unlicense", "BSL-1.0": "bsl-1.0", "EPL-2.0": "epl-2.0", "EUPL-1.2": "eupl-1.2",
+    "BSD-2-Clause": "bsd-2-clause", "BSD-3-Clause": "bsd-3-clause", "GPL-2.0": "gpl-2.0", "GPL-3.0": "gpl-3.0", "LGPL-2.1": "lgpl-2.1", "LGPL-3.0": "lgpl-3.0", "AGPL-3.0": "agpl-3.0", "CC0-1.0": "cc0-1.0", "CC-BY-4.0": "cc-by-4.0",
+}
+for _identifier, _label in SPDX.items():
+    _line = " ".join(re.findall("[a-z0-9]+", f"spdx license identifier {_identifier}".lower()))
+    TEMPLATES.append((_label, [_line], _line))
+
 
 @dataclass(frozen=True)
 class LicenseScan:
@@ -93,7 +109,8 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = LicenseScan(), text_col: str
     places of phrase words and of each template's rarest words, however common these are.
     Postings turn such a place into a place where a template would begin, if all the key
     phrases of the template are in the file. There all words of the template are compared;
-    it counts if those that stand in their places weigh enough. A template's postings are
+    it counts if those that stand in their places weigh enough, and if each key phrase stands
+    within that place, and not elsewhere in the file. A template's postings are
     as many of its rarest words as leave less than `least_share` to the others, so that no
     begin with enough weight is missed. The best share of the weight is the score; a file
     with a base phrase scores at least 0.5.
@@ -101,7 +118,7 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = LicenseScan(), text_col: str
     A null or empty text has no words and no labels. Equal rows each get their row; no rows
     give none."""
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    inner = ("__words", "__hits", "__keys", "__able", "__base", "__found")
+    inner = ("__words", "__hits", "__keys", "__where", "__able", "__base", "__found")
     docs = without(docs, *added, *inner)
     vocabulary = sorted({w for _, _, t in TEMPLATES for w in t.split()})
     words = docs.select(folded_words(F.col(text_col)).alias("words"))
@@ -126,11 +143,15 @@ def scan_licenses(docs: DataFrame, p: LicenseScan = LicenseScan(), text_col: str
         return F.transform(places(phrase), lambda at: F.named_struct(F.lit("at"), at.cast("long"), F.lit("label"), F.lit(label)))
 
     base = F.concat(*[labelled_places(k, v) for k, v in PHRASES.items()])
-    held = F.array_compact(F.array(*[F.when(F.size(places(k)) > 0, F.lit(i)) for i, k in enumerate(keys)]))
+    def key_places_of(i: int, phrase: str) -> Column:
+        return F.transform(places(phrase), lambda at: F.named_struct(F.lit("key"), F.lit(i), F.lit("at"), at.cast("int")))
+
+    key_places = F.concat(*[key_places_of(i, k) for i, k in enumerate(keys)])
     needed = F.array(*[F.struct(F.lit(t).alias("template"), F.array(*[F.lit(keys.index(k)) for k in needs]).alias("needs")) for t, (_, needs, _) in enumerate(TEMPLATES)])
     able = F.transform(F.filter(needed, lambda t: F.size(F.array_except(t["needs"], F.col("__keys"))) == 0), lambda t: t["template"])
-    table = table.withColumn("__hits", hits).withColumn("__base", base).withColumn("__keys", held).withColumn("__able", able).drop("__keys")
-    table = table.withColumn("__found", _found(idf, postings, p)).withColumn("n_words", F.size("__words").cast("long"))
+    table = table.withColumn("__hits", hits).withColumn("__base", base).withColumn("__where", key_places)
+    table = table.withColumn("__keys", F.array_distinct(F.transform("__where", lambda k: k["key"]))).withColumn("__able", able).drop("__keys")
+    table = table.withColumn("__found", _found(idf, postings, keys, p)).withColumn("n_words", F.size("__words").cast("long"))
     base_labels = F.array_sort(F.array_distinct(F.transform("__base", lambda b: b["label"])))
     own = F.transform("__found", lambda t: t["label"])
     share = F.array_max(F.transform("__found", lambda t: t["share"]))
@@ -160,13 +181,13 @@ def _postings(idf: dict[str, float], p: LicenseScan) -> dict[str, list[tuple[int
     return out
 
 
-def _found(idf: dict[str, float], postings: dict[str, list[tuple[int, int]]], p: LicenseScan) -> Column:
-    """The (label, share of the weight) of every place of __words where a template is found."""
+def _found(idf: dict[str, float], postings: dict[str, list[tuple[int, int]]], keys: list[str], p: LicenseScan) -> Column:
+    """The (label, share of the weight) of every place of __words where a template is found with its key phrases in it."""
     row = lambda **x: F.struct(*[F.lit(v).alias(k) for k, v in x.items()])
     index = F.create_map(*[x for w, at in sorted(postings.items()) for x in (F.lit(w), F.array(*[row(template=t, at=i) for t, i in at]))])
     notices = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.lit(float(sum(idf[w] for w in text.split()))).alias("total"), F.array(*[row(w=w, at=i, weight=float(idf[w])) for i, w in enumerate(text.split())]).alias("words"))
-        for label, _, text in TEMPLATES
+        F.struct(F.lit(label).alias("label"), F.array(*[F.lit(keys.index(k)) for k in needs]).alias("needs"), F.lit(float(sum(idf[w] for w in text.split()))).alias("total"), F.array(*[row(w=w, at=i, weight=float(idf[w])) for i, w in enumerate(text.split())]).alias("words"))
+        for label, needs, text in TEMPLATES
     ])
     # a begin is one number, place * 256 + template, so that equal ones are found by hashing
     looking = F.filter("__hits", lambda h: h["w"].isin(sorted(postings)))
@@ -175,9 +196,12 @@ def _found(idf: dict[str, float], postings: dict[str, list[tuple[int, int]]], p:
     def measured(begin: Column) -> Column:
         notice, first = F.element_at(notices, (F.pmod(begin, F.lit(256)) + 1).cast("int")), F.shiftright(begin, 8).cast("int")
         stands = F.aggregate(notice["words"], F.lit(0.0), lambda sum_, w: sum_ + F.when(F.get(F.col("__words"), first + w["at"]) == w["w"], w["weight"]).otherwise(F.lit(0.0)))
-        return F.struct(notice["label"].alias("label"), (stands / notice["total"]).alias("share"))
+        inside = lambda k: (k["at"] >= first) & (k["at"] < first + F.size(notice["words"]))
+        missing = F.size(F.array_except(notice["needs"], F.transform(F.filter("__where", inside), lambda k: k["key"])))
+        return F.struct(notice["label"].alias("label"), (stands / notice["total"]).alias("share"), missing.alias("missing"))
 
-    found = F.filter(F.transform(F.array_distinct(begins), measured), lambda t: t["share"] >= p.least_share)
+    enough = F.filter(F.transform(F.array_distinct(begins), measured), lambda t: (t["share"] >= p.least_share) & (t["missing"] == 0))
+    found = F.transform(enough, lambda t: F.struct(t["label"].alias("label"), t["share"].alias("share")))
     return F.when(F.size("__able") > 0, found).otherwise(F.array().cast("array<struct<label:string,share:double>>"))
 
 

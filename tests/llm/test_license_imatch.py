@@ -60,13 +60,14 @@ def plain_scan(texts, least=0.6):
         places = base_places(texts[i])
         labels, score = {x for _, x in places}, 0.5 if places else 0.0
         for label, needs, text in TEMPLATES:
-            if all(f" {k} " in spaced for k in needs):
-                t = text.split()
-                total = sum(idf[w] for w in t)
-                best = max(sum(idf[w] for j, w in enumerate(t) if 0 <= a + j < len(ws) and ws[a + j] == w) / total for a in range(-len(t), len(ws)))
-                if best >= least:
+            t = text.split()
+            total = sum(idf[w] for w in t)
+            at = [[j for j in range(len(ws)) if ws[j : j + len(k.split())] == k.split()] if f" {k} " in spaced else [] for k in needs]
+            if all(at):  # and each key phrase within the place of the template
+                shares = [sum(idf[w] for j, w in enumerate(t) if 0 <= a + j < len(ws) and ws[a + j] == w) / total for a in range(-len(t), len(ws)) if all(any(a <= x < a + len(t) for x in xs) for xs in at)]
+                if shares and max(shares) >= least:
                     labels.add(label)
-                    score = max(score, min(1.0, best))
+                    score = max(score, min(1.0, max(shares)))
         out[i] = (",".join(sorted(labels)), score)
     return out
 
@@ -94,6 +95,15 @@ def test_two_and_three_clauses_are_told_apart(table):
     assert got == {2: "bsd,bsd-2-clause", 3: "bsd,bsd-3-clause"}
 
 
+def test_key_phrases_count_in_their_place_only(table):
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    lgpl = gpl.replace("General", "Lesser General")
+    rows = [(1, gpl.format(2) + " Other files say: either version 3 of the License."), (2, gpl.format(3)), (3, lgpl.format(3)), (4, lgpl.format("2.1")), (5, "// SPDX-License-Identifier: MIT"), (6, "# SPDX-License-Identifier: GPL-2.0-or-later"),
+            (7, "SPDX-License-Identifier: Apache-2.0"), (8, "the SPDX license identifier of this file is unknown"), (9, "CC BY-ND: this work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License")]
+    got = {r.doc_id: r.labels for r in scan_licenses(table(rows).select("doc_id", "text")).collect()}
+    assert got == {1: "gpl,gpl-2.0", 2: "gpl,gpl-3.0", 3: "lgpl-3.0", 4: "lgpl-2.1", 5: "mit", 6: "gpl-2.0", 7: "apache-2.0", 8: "", 9: "cc-by,cc-by-nd-4.0"}
+
+
 def test_scan_edge_cases(table, files):
     assert scan_licenses(table([])).collect() == []
     df = table([(1, "MIT License"), (1, "MIT License"), (None, "MIT License")]).withColumn("labels", F.lit("old")).withColumn("w", F.lit(1)).withColumn("template", F.lit(2))
