@@ -24,7 +24,7 @@ WARC = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS h FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY b) AS largest FROM p)
 SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
-  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> largest THEN largest END AS refers_to FROM m"""
+  CASE WHEN page_id IS NOT DISTINCT FROM largest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to FROM m"""
 
 NEAR_DEDUP = rf"""
 WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),

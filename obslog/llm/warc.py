@@ -222,13 +222,13 @@ def archive_pages(pages: DataFrame, p: WarcArchives = WarcArchives(), id_col: st
 
     Payloads are grouped by a hash of 256 bits; the largest id of each group goes to its rows
     by a join whose skewed partitions Spark splits, so that a payload that a third of the
-    pages share meets no one task. Null pages are empty payloads. A page with a null id is a
-    response of its own, which no other revisits. Rows that repeat the largest id are
+    pages share meets no one task. Null pages are empty payloads. A page with a null id
+    revisits the largest id of its payload, if there is one, and is a response otherwise. Rows that repeat the largest id are
     responses. No pages give no archives; other columns are not read."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("html"))
     rows = rows.withColumn("key", F.sha2("html", 256))
     first = rows.groupBy("key").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1").select("key", "largest")
-    marked = rows.join(first, "key", "left").select("page_id", "url", "html", F.when(F.col("page_id") != F.col("largest"), F.col("largest")).alias("refers_to"))
+    marked = rows.join(first, "key", "left").select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest")).alias("refers_to"))
     return marked.mapInArrow(_pack(p), "records int, archive binary")
 
 
