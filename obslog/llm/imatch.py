@@ -108,8 +108,8 @@ def fingerprint_texts(texts: DataFrame, terms: DataFrame, keys: list[str], p: IM
     term = F.when(F.col("__term").isNotNull(), F.struct("over", "__term"))
     grouped = found.groupBy(*keys).agg(F.max("own").alias("__own"), F.sort_array(F.collect_set(term)).alias("__all"))
     inside = F.filter("__all", lambda t: t["over"] == 0)
-    above = F.slice(F.filter("__all", lambda t: t["over"] > 0), 1, p.enough)
-    chosen = _let(inside, lambda own: F.when(F.size(own) >= p.enough, own).otherwise(F.concat(own, above)))
+    above = F.filter("__all", lambda t: t["over"] > 0)
+    chosen = _let(inside, lambda own: F.concat(own, F.slice(above, F.lit(1), F.greatest(F.lit(p.enough) - F.size(own), F.lit(0)))))
     sorted_terms = F.sort_array(F.transform(chosen, lambda t: t["__term"]))
     chosen_rows = grouped.select(*keys, "__own", sorted_terms.alias("__terms"))
     return chosen_rows.select(*keys, *[F.col(f"__own.{c}").alias(c) for c in carried], fingerprint(F.col("__terms"), F.col("__own.h"), p).alias("fp"))
