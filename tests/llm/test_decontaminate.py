@@ -1,9 +1,11 @@
+import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from obslog.llm.decontaminate import Decontamination, ItemIndex, drop_leaking, find_leaks
+from obslog.llm.decontaminate import Decontamination, ItemIndex, drop_leaking, find_leaks, item_indexes
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 UPPER = {v: k for k, v in LOWER.items()}
@@ -122,3 +124,31 @@ def test_a_large_index_finds_what_a_scan_finds(prose):
     row, item, distance = index.near(prints, 12)
     all_ = np.bitwise_count(prints[:, None] ^ index.prints).sum(axis=2)
     assert set(zip(row.tolist(), item.tolist(), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(all_ <= p.radius)), strict=True)) and len(row)
+
+
+def test_a_long_text_that_repeats_an_item_takes_little_memory():
+    """Memory goes with the words and not with item width times places; a part-leaked item after it is still found."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    item, other = [word() for _ in range(200)], [word() for _ in range(200)]
+    index = ItemIndex([(1, " ".join(item)), (2, " ".join(other))], Decontamination())
+    partly = other[:190] + [word() for _ in range(10)]
+    text = " ".join(item * 1000 + [word() for _ in range(500)] + partly + item * 100)
+    tracemalloc.start()
+    (found,) = index.search(pa.array([text]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    best = {index.ids[i]: (start, n, similarity) for i, start, n, _, similarity in found[1]}
+    assert best[1] == (0, 200, 1.0) and abs(best[2][0] - 200_500) <= 12 and 0.8 <= best[2][2] < 1
+
+
+def test_blocks_of_items_are_cut_by_bytes(spark):
+    items = spark.createDataFrame([(i, f"item {i} " + " ".join(f"w{i}x{j}" for j in range(40))) for i in range(30)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before item {i} " + " ".join(f"w{i}x{j}" for j in range(40)) + " after") for i in range(0, 30, 3)], "doc_id long, text string")
+    blocks = list(item_indexes(items, Decontamination(bytes_a_block=2000)))
+    assert len(blocks) >= 4 and sum(len(b.ids) for b in blocks) == 30
+    one, many = (sorted(map(tuple, find_leaks(docs, items, p).collect())) for p in (Decontamination(), Decontamination(bytes_a_block=2000)))
+    assert one == many and [r[0] for r in one] == list(range(0, 30, 3))

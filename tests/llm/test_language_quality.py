@@ -199,3 +199,17 @@ def test_model_equals_a_plain_fit(spark):
     w = descend(risk_gradient)
     got = {r.doc_id: r.score for r in score_quality(docs, model).collect()}
     assert all(got[r.doc_id] == pytest.approx(s, abs=0.02) for r, s in zip(rows, sigma(z @ w), strict=True))
+
+
+def test_rows_that_reach_the_driver_are_bounded_where_ids_repeat(spark, prose, monkeypatch):
+    """One id on thousands of rows, of one text and of many."""
+    from obslog.llm import quality
+
+    sizes = []
+    real = quality._matrix
+    monkeypatch.setattr(quality, "_matrix", lambda rows, text: (lambda out: (sizes.append(len(out[0])), out)[1])(real(rows, text)))
+    rows = [(1, "the same text")] * 3000 + [(2, prose(i, 4)) for i in range(3000)] + [(i, prose(i, 6)) for i in range(10, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    trusted = spark.createDataFrame([(1,), (2,), (10,), (11,)], "doc_id long")
+    fit_quality(trusted, docs, QualityLearning(most_positives=10, most_unlabelled=50, steps=5))
+    assert 1 <= sizes[0] <= 40 and 20 <= sizes[1] <= 120, sizes

@@ -188,7 +188,7 @@ def plain_prints(texts, p):
         known = [x for x in set(map(xx, words_of(text))) if counts[x] >= least]
         inside = [x for x in known if counts[x] <= most]
         above = sorted((counts[x], x) for x in known if counts[x] > most)
-        terms = sorted(inside + ([x for _, x in above[: p.enough]] if len(inside) < p.enough else []))
+        terms = sorted(inside + [x for _, x in above[: max(0, p.enough - len(inside))]])
         together = lambda xs: functools.reduce(lambda seed, x: xx(long_(x), seed), xs, 42)
         out = [together(terms) if terms else xx(long_(xx(text)), xx(struct.pack("<i", p.seed)))]
         for i in range(p.subsets):
@@ -275,3 +275,14 @@ def test_fingerprints(spark, table, prose):
     assert near[100, 104] > sum(near[i, 100] for i in range(2, 60)) / 58  # a small vocabulary: prose is alike too
 
 
+
+
+def test_no_limit_switches_what_a_text_is_compared_by(table):
+    """Texts that differ by one word are alike wherever the number of their terms in the band lies."""
+    p = IMatch(least_share=0.001, most_share=0.02)
+    common = [f"common{k}" for k in range(30)]
+    texts = {1000 * k + j: " ".join([*(f"rare{k}x{i}" for i in range(k + j)), *common]) for k in range(10, 24) for j in (0, 1)}
+    df = table(list(texts.items()) + [(90_000 + i, " ".join(common)) for i in range(200)])
+    prints = {r.doc_id: r.fp for r in fingerprint_texts(df.select("doc_id", "text"), lexicon(df, p), ["doc_id"], p).collect()}
+    alike = {k: plain_likeness(prints[1000 * k], prints[1000 * k + 1], p) for k in range(10, 24)}
+    assert min(alike.values()) >= 0.5, alike
