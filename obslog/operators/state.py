@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obslog.operators.contracts import copies, refused, repeated
@@ -112,6 +112,77 @@ def reconcile(
     return state, _images(sides, target.columns, version, committed_at if committed_at is not None else F.lit(None))
 
 
+def _committed_at(committed: dict[int, str]) -> Column:
+    """The time of each version: one literal a version that is folded."""
+    return F.create_map(*[x for v, at in sorted(committed.items()) for x in (F.lit(v), F.lit(at).cast("timestamp"))])[F.col("_commit_version").cast("int")]
+
+
+def fold_upserts(rows: DataFrame, spec: EntitySpec, committed: dict[int, str], keep: Keep | None = None, check: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(state after all versions, changes of all versions): what `guarded_upsert` gives, version after version, from an empty state.
+
+    rows: the columns of the state, with a value in the order column, and _version, of which
+    `committed` has the time. A version's guard asks for the newest row so far, which is a
+    running maximum by key: all versions share one exchange and one sort, in place of an outer
+    join and a written state for each. A key that comes twice in a version fails the plan
+    unless `check` is off."""
+    columns = [c for c in rows.columns if c != "_version"]
+    if check:
+        both = [*spec.keys, "_version"]
+        rows = refused(rows.withColumn("_copies", copies(both)), F.col("_copies") > 1, repeated(spec.keys, spec.name)).drop("_copies")
+    placed = rows.select(*spec.keys, F.struct(F.col(spec.order).alias("o"), F.col("_version").alias("v"), F.struct(*columns).alias("row")).alias("s"))
+    so_far = Window.partitionBy(*spec.keys).orderBy("s.v").rowsBetween(Window.unboundedPreceding, -1)
+    folded = placed.withColumn("t", F.max("s").over(so_far))
+    folded = keep(folded) if keep else folded
+    state = folded.groupBy(*spec.keys).agg(F.max("s").alias("s")).select("s.row.*")
+    act = F.when(F.col("t").isNull(), "insert").when(F.col("s.o") >= F.col("t.o"), "update").otherwise("keep")
+    sides = folded.select(F.col("t.row").alias("t"), F.col("s.row").alias("s"), act.alias("act"), F.col("s.v").alias("_commit_version"))
+    return state, _fold_images(sides, committed)
+
+
+def _fold_images(sides: DataFrame, committed: dict[int, str]) -> DataFrame:
+    image = lambda kind, row: F.struct(F.lit(kind).alias("_change_type"), row.alias("row"))
+    rows = F.when(F.col("act") == "insert", F.array(image(INSERT, F.col("s")))).when(F.col("act") == "delete", F.array(image(DELETE, F.col("t")))).when(
+        F.col("act") == "update", F.array(image(BEFORE, F.col("t")), image(AFTER, F.col("s")))
+    )
+    out = sides.select(F.col("_commit_version").cast("long").alias("_commit_version"), F.explode(rows).alias("x"))
+    return out.select("x.row.*", "x._change_type", "_commit_version", _committed_at(committed).alias("_commit_timestamp"))
+
+
+def fold_reconciles(scopes: DataFrame, children: str, child: str, committed: dict[int, str], parent_keys: Sequence[str], keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
+    """(state after all versions, changes of all versions): what `reconcile` gives, version after version, from an empty state.
+
+    scopes: the parents' observations (parent_keys, observed_at, source_run_id, `children`: a list of the
+    keys that each has, and _version), one for a parent and version. A child's history
+    is the list of its parent's observations, each with or without it, and is folded in its
+    row: one exchange by parent, and no state is written between versions. What must fit a
+    task is a parent's observations in the versions that are folded."""
+    seen = F.struct(F.col("_version").alias("v"), "observed_at", "source_run_id", F.col(children).alias("has"))
+    grouped = scopes.groupBy(*parent_keys).agg(F.sort_array(F.collect_list(seen)).alias("seen"))
+    every = F.array_distinct(F.flatten(F.transform("seen", lambda o: o["has"])))
+    one = grouped.select(*parent_keys, "seen", F.explode(every).alias(child))
+    row = F.struct(*[F.col(c) for c in parent_keys], F.col(child), F.element_at("seen", 1)["observed_at"].alias("observed_at"), F.element_at("seen", 1)["source_run_id"].alias("source_run_id"))
+    maybe = F.when(F.col(child).isNull(), row)  # a row or none: the type of what may be null
+    step = F.struct(maybe.alias("t"), maybe.alias("s"), F.lit("").alias("act"), F.lit(0).cast("long").alias("_commit_version"))
+    nothing = F.struct(F.when(F.lit(False), maybe).alias("t"), F.filter(F.array(step), lambda x: F.lit(False)).alias("out"))
+
+    def then(acc: Column, o: Column) -> Column:
+        t, has = acc["t"], F.array_contains(o["has"], F.col(child))
+        s = F.struct(*[F.col(c) for c in parent_keys], F.col(child), o["observed_at"].alias("observed_at"), o["source_run_id"].alias("source_run_id"))
+        act = (
+            F.when(t.isNull(), F.when(has, "insert").otherwise("none"))
+            .when(has, F.when(o["observed_at"] >= t["observed_at"], "update").otherwise("none"))
+            .when(t["observed_at"] <= o["observed_at"], "delete")
+            .otherwise("none")
+        )
+        now = F.when(act.isin("insert", "update"), s).when(act == "delete", F.lit(None)).otherwise(t)
+        change = F.struct(t.alias("t"), s.alias("s"), act.alias("act"), o["v"].cast("long").alias("_commit_version"))
+        return F.struct(now.alias("t"), F.when(act == "none", acc["out"]).otherwise(F.array_append(acc["out"], change)).alias("out"))
+
+    folded = one.select(F.aggregate("seen", nothing, then).alias("f")).select("f.t", "f.out")
+    folded = keep(folded) if keep else folded
+    return folded.where("t IS NOT NULL").select("t.*"), _fold_images(folded.select(F.inline("out")), committed)
+
+
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows and the source rows of new keys: the first write wins."""
     return target.unionByName(source.join(target.select(*keys), list(keys), "left_anti"))

@@ -95,19 +95,18 @@ def _stored(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, Versioned
 
 
 def _states(spark: SparkSession, sf_dir: str) -> _States:
+    """All four runs folded at once; the first run's rows are no changes."""
     newest = _newest_of_runs(spark, sf_dir)
+    number = F.create_map(*[x for run, (v, *_) in adapters.RUNS.items() for x in (F.lit(run), F.lit(v))])
+    rows = newest["run_1"].unionByName(newest["run_2"]).unionByName(newest["run_3"]).unionByName(newest["run_4"])
+    committed = {v: at for v, at, *_ in adapters.RUNS.values()}
+    found = entities.issues(rows).select(*entities.ISSUE_COLUMNS, number[F.col("source_run_id")].alias("_version"))
+    issues, issue_feed = state.fold_upserts(found, ISSUES, committed, keep=cut)
+    seen = entities.envelopes(rows).select(*star.ISSUE_KEY, "observed_at", "source_run_id", F.col("labels.id").alias("label_ids"), number[F.col("source_run_id")].alias("_version"))
+    relations, relation_feed = state.fold_reconciles(seen, "label_ids", "label_id", committed, star.ISSUE_KEY, keep=cut)
     first_issues, scope = _both(newest["run_1"])
-    first_relations = entities.relations_of(scope)
-    issues, relations = first_issues, first_relations
-    issue_feed = relation_feed = None
-    for run in ("run_2", "run_3", "run_4"):
-        version, at = adapters.RUNS[run][0], F.lit(adapters.RUNS[run][1])
-        source, scope = _both(newest[run])
-        issues, a = state.guarded_upsert(issues, source, ISSUES, version, at, keep=cut)
-        relations, b = state.reconcile(relations, scope, entities.relations_of(scope), star.ISSUE_KEY, RELATIONS, version, at, keep=cut)
-        issue_feed = a if issue_feed is None else issue_feed.unionByName(a)
-        relation_feed = b if relation_feed is None else relation_feed.unionByName(b)
-    return _States(first_issues, first_relations, issues, relations, issue_feed, relation_feed)
+    since = F.col("_commit_version") > 1
+    return _States(first_issues, entities.relations_of(scope), issues, relations, issue_feed.where(since), relation_feed.where(since))
 
 
 # --- ingest
