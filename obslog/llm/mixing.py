@@ -77,14 +77,16 @@ def mix_sources(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", sourc
     columns replica (1, 2, ...) and rate are added, replacing columns of these names.
     The rates, one row per source, are counted: up to BROADCAST_SOURCES of them are broadcast,
     more are joined by a shuffle whose skewed partitions Spark splits. Null sources are a
-    source; rows of a source without a rate go. No rows give no rows."""
+    source; rows of a source without a rate go. Long texts move as they are. Columns named
+    like the inner ones, which begin with two underscores, are left out. No rows give no rows."""
     key = [F.col(f"`{id_col}`"), *([F.xxhash64("text")] if "text" in docs.columns else [])]
-    names = [c for c in docs.columns if not mark or c.lower() not in ("replica", "rate")]
+    inner = ("__source", "__rate", "__n", "__copy", "__place")
+    names = [c for c in without(docs, *inner).columns if not mark or c.lower() not in ("replica", "rate")]
     r = rates.select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
     if r.count() <= BROADCAST_SOURCES:
         r = F.broadcast(r)
     drawn = (
-        without(docs, "__source", "__rate", "__n", "__copy", "__place")
+        without(docs, *inner)
         .join(r, F.col(f"`{source_col}`").eqNullSafe(F.col("__source")))
         .withColumn("__n", replication_counts(F.col("__rate"), *key, seed=seed))
         .where("__n > 0")
