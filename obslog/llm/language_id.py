@@ -127,7 +127,7 @@ def identify_languages(docs: DataFrame, model: Model, text_col: str = "text") ->
 
     A null text, one without a letter, or any text under a model that has learned nothing,
     is `und` with score 0. Equal texts get equal answers; ties go to the language that
-    sorts first. No row is moved."""
+    sorts first. Long texts are read whole; no rows give none. No row is moved."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     has_letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))

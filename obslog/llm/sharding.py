@@ -25,7 +25,7 @@ class HistogramSort:
     pieces: int = 64
     piece_rows: int = 2000
     most_rows: int = 1_000_000
-    max_rounds: int = 64
+    max_rounds: int = 256
 
 
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1

@@ -58,6 +58,25 @@ def test_rates_and_mix(spark, table):
     assert ids != sorted(ids)
 
 
+def test_a_mix_equals_a_plain_one(table):
+    """Rates and counts by hand, with only the draws' uniform numbers from Spark; nulls, repeated rows, long texts and the inner names as columns."""
+    rows = [(i % 400, f"text {i % 50}", "en", ["hot", "hot", "hot", "cold", None, ""][i % 6], i) for i in range(900)]
+    rows += [(None, None, None, None, None), (None, "no id", "en", "hot", 1), (5, None, "en", "cold", 0), (5, None, "en", "cold", 0), (7, "long " * 100_000, "en", "hot", 2)]
+    docs = table(rows)
+    for name in ("__source", "__rate", "__n", "__copy", "__place"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    sizes = {}
+    for r in rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + 1
+    weight = sum(math.sqrt(n) for n in sizes.values())
+    rate = {s: math.sqrt(n) / weight * len(rows) / n for s, n in sizes.items()}
+    drawn = docs.select("doc_id", "text", "source", uniform("doc_id", F.xxhash64("text"), F.lit(1), seed=17).alias("u")).collect()
+    want = sorted(str((r.doc_id, r.source, hash(r.text))) for r in drawn for _ in range(inverse(rate[r.source], r.u)))
+    mixed = mix_sources(docs, source_rates(docs), mark=False)
+    assert mixed.columns == ["doc_id", "text", "lang", "source", "n_chars"] and len(want) > 500
+    assert sorted(str((r.doc_id, r.source, hash(r.text))) for r in mixed.select("doc_id", "source", "text").collect()) == want
+
+
 def test_mix_of_nothing(table):
     docs = table([])
     assert mix_sources(docs, source_rates(docs)).collect() == []
@@ -90,6 +109,31 @@ def test_shards(table, sized, p):
     assert sum(len(s) > 1 for s in where.values()) <= 1  # only the group that exceeds a shard is cut
 
 
+def test_shards_are_cuts_of_one_sorted_list(table, sized):
+    """Against a sort of everything: shards are runs of the order by (hash, id), cut where the bytes are nearest to even; a text of a megabyte among them."""
+    rows = [*sized, (9000, "long " * 200_000)]
+    p = HistogramSort(shards=6)
+    docs = table(rows).withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    got = sorted(((r.h, r.doc_id or 0), r.shard, r.slot, r["size"]) for r in shard_by_bytes(docs, p).collect())
+    assert [g[1] for g in got] == sorted(g[1] for g in got)
+    keys, sizes = [g[0] for g in got], [g[3] for g in got]
+    below = [0]
+    for x in sizes:
+        below.append(below[-1] + x)
+    for shard in range(p.shards):
+        mine = [i for i, g in enumerate(got) if g[1] == shard]
+        assert sorted(got[i][2] for i in mine) == list(range(len(mine)))
+        for i in mine:  # slots follow the order, but for rows equal in it
+            same = [j for j in mine if keys[j] == keys[i]]
+            assert same[0] - mine[0] <= got[i][2] <= same[-1] - mine[0]
+    cuts = [0, *[i for i in range(len(keys) + 1) if 0 < i < len(keys) and keys[i] != keys[i - 1]], len(keys)]
+    for shard in range(1, p.shards):
+        target = below[-1] * shard / p.shards
+        first = next((i for i, g in enumerate(got) if g[1] >= shard), len(got))
+        best = min(abs(below[c] - target) for c in cuts)
+        assert abs(below[first] - target) <= max(best, p.tolerance * below[-1] / p.shards) + 1e-6
+
+
 def test_few_or_no_rows(table):
     assert shard_by_bytes(table([])).collect() == []
     rows = shard_by_bytes(table([(1, "a"), (2, "b")])).collect()
