@@ -100,13 +100,6 @@ def latest_of(rows: DataFrame, spec: EntitySpec, order: str | None = None) -> Da
     return latest(rows, spec.keys, [order or spec.order, *spec.ties])
 
 
-def newest_observations(observations: DataFrame) -> DataFrame:
-    """The newest observation of each issue, parsed: its issue and its envelope need no reduction of their own.
-
-    Rows are not checked here; `check_observations` does."""
-    return latest(parsed(observations), ISSUES.keys, ["source_updated_at", "_ingested_at", "_run_id", "_page_or_batch_reference", "raw_json"])
-
-
 def everything(parsed_rows: DataFrame) -> DataFrame:
     """One row per observation with the columns of its issue, its author and its label envelope; what they share has one column."""
     of_user = [f for f in USER_FIELDS if f[0] != "_payload_id"]
