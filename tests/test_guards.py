@@ -111,7 +111,7 @@ def test_a_reconciliation_fails_whatever_is_asked(spark, child, parents):
     ]
     for seen, found, told in cases:
         for of in (0, 1):
-            for what, ask in asks(spark, "issue_id", 5):
+            for what, ask in list(asks(spark, "issue_id", 5))[::2]:
                 with pytest.raises(Exception, match=told):
                     ask(state.reconcile(stored, seen, found, KEYS, RELATIONS, 2, parent_state=now)[of]).collect()
                     pytest.fail(what)
