@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,9 @@ class NearDedup:
     """Parameters. A pair at the threshold misses every band with probability (1 - t**rows)**bands (7e-9 here).
 
     `sketch_floor` is the odd-sketch estimate under which a candidate is dropped unseen; at
-    160 samples and 512 bits it lies over five standard deviations below a similarity of 0.85."""
+    160 samples and 512 bits it lies over five standard deviations below a similarity of 0.85.
+    `splits` is how often a group that holds several components is parted by differences before its
+    members meet block by block; `block` is how many members a chunk has. Neither changes a result."""
 
     shingle: int = 3
     threshold_percent: int = 85
@@ -29,6 +32,7 @@ class NearDedup:
     sketch_bits: int = 512
     sketch_floor: float = 0.55
     block: int = 140
+    splits: int = 3
 
     @property
     def samples(self) -> int:
@@ -166,11 +170,12 @@ def links_of_block(ids: np.ndarray, sets: list[np.ndarray], sketches: np.ndarray
     return out
 
 
-def _of_blocks(keys: int, links):
-    """Rows in the order of their first `keys` columns, which name a block, to the links of each block of two rows or more."""
+def _links(found) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
 
-    def told(found):
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+
+def _of_blocks(keys: int, told, least: int = 2, batch_of=_links):
+    """Rows in the order of their first `keys` columns, which name a block, to what is told of each block of `least` rows or more."""
 
     def run(batches):
         held, key = [], None
@@ -179,13 +184,13 @@ def _of_blocks(keys: int, links):
             out = []
             for row in zip(*columns, strict=True):
                 if row[:keys] != key:
-                    if len(held) > 1:
-                        out += links(held)
+                    if len(held) >= least:
+                        out += told(held)
                     held, key = [], row[:keys]
                 held.append(row)
-            yield told(out)
-        if len(held) > 1:
-            yield told(links(held))
+            yield batch_of(out)
+        if len(held) >= least:
+            yield batch_of(told(held))
 
     return run
 
@@ -196,17 +201,17 @@ def _arrays(rows) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
 
 
 def _led(p: NearDedup):
-    """Links of blocks (leader, chunk): of the leader, and of pairs of the chunk that are then still apart."""
+    """Links of blocks (group, chunk), the group's head first: of the head, and of pairs of the chunk that are then still apart."""
 
     def links(rows):
         ids, sets, sketches = _arrays(rows)
-        return links_of_block(ids, sets, sketches, np.flatnonzero(ids == rows[0][0])[:1], p)
+        return links_of_block(ids, sets, sketches, np.flatnonzero([not r[2] for r in rows])[:1], p)
 
     return _of_blocks(2, links)
 
 
 def _across(p: NearDedup):
-    """Links of blocks (leader, chunk of members that are apart from most, chunk of all): of the former with the latter."""
+    """Links of blocks (group, chunk of members that are apart from most, chunk of all): of the former with the latter."""
 
     def links(rows):
         ids, sets, sketches = _arrays(rows)
@@ -216,26 +221,126 @@ def _across(p: NearDedup):
     return _of_blocks(3, links)
 
 
-def _apart(clusters: DataFrame, chunks: DataFrame, found: DataFrame, p: NearDedup) -> DataFrame | None:
-    """Blocks (leader, i, j, apart, of, doc_id) of the pairs of clusters of several chunks that are in different components.
-
-    Of each cluster, members outside its largest component meet all members; the others
-    needn't meet one another. None if there are no such members."""
-    joined = clusters.join(chunks, "leader").join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left")
-    placed = cut(joined.select("leader", "doc_id", "chunks", F.coalesce("component", "doc_id").alias("of")))
-    parts = cut(placed.groupBy("leader", "of").agg(F.count("*").alias("n")))
-    largest = parts.groupBy("leader").agg(F.max(F.struct("n", (-F.col("of")).alias("minus"))).alias("best"), F.sum("n").alias("all"))
-    largest = cut(largest.where("all > best.n").select("leader", (-F.col("best.minus")).alias("main"), F.ceil((F.col("all") - F.col("best.n")) / F.lit(p.block)).cast("int").alias("minors")))
-    if largest.isEmpty():
-        return None
-    rows = placed.join(largest, "leader").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    mine = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("minors")).cast("int")
-    numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    few = rows.where("of <> main").select("leader", mine.alias("i"), numbers(F.col("chunks")).alias("j"), F.lit(True).alias("apart"), "of", "doc_id")
-    many = rows.select("leader", numbers(F.col("minors")).alias("i"), F.col("own").alias("j"), F.lit(False).alias("apart"), "of", "doc_id")
+def template_of(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of the sets that aren't of one set only, or are of most; their counts, and the number of sets behind them."""
+    elements, counts = np.unique(np.concatenate(sets), return_counts=True)
+    kept = (counts > 1) | (2 * counts > len(sets))
+    return elements[kept], np.append(counts[kept], len(sets)).astype(np.int64)
+
+
+def differing(items: np.ndarray, elements: np.ndarray, counts: np.ndarray, t: int) -> tuple[int, int, np.ndarray]:
+    """By how many shingles a set differs from the template, by how many at most from a set that it links with, and
+    the differing shingles that one of these may be found by, rarest differences first.
+
+    The template is what most of the sampled sets have. Two sets differ from one another as their
+    differences do. So a pair that may differ by `most` has more than a few differences in common, and
+    the first of these in one order of all is among each one's first `most` + 1."""
+    n, counts = counts[-1], counts[:-1]
+    own = np.setxor1d(items, elements[2 * counts > n], assume_unique=True)
+    often = np.zeros(len(own), np.int64)
+    if len(elements):
+        at = np.minimum(np.searchsorted(elements, own), len(elements) - 1)
+        often = np.where(elements[at] == own, np.minimum(counts, n - counts)[at], 0)
+    most = len(items) * (100 - t) // t
+    return len(own), most, own[np.lexsort((own, often))[: most + 1]]
+
+
+_TEMPLATE = "g long, elements binary, counts binary"
+_DIFFERENCES = "g long, doc_id long, of long, length long, most long, tokens array<long>"
+
+
+def _batch(types, names):
+    def of(rows):
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    return of
+
+
+def _templates():
+    """The template of each group, from the members of one chunk of it."""
+
+    def told(rows):
+        elements, counts = template_of(_arrays(rows)[1])
+        return [(rows[0][0], elements.tobytes(), counts.tobytes())]
+
+    return _of_blocks(1, told, 1, _batch([pa.int64(), pa.binary(), pa.binary()], ["g", "elements", "counts"]))
+
+
+def _differences(p: NearDedup):
+    """Each member of blocks (group, chunk), the group's template first, with its differences from it."""
+
+    def told(rows):
+        elements, counts = np.zeros(0, np.uint64), np.zeros(1, np.int64)
+        out = []
+        for g, _, member, of, doc_id, items, counted in rows:
+            if not member:
+                elements, counts = np.frombuffer(items, np.uint64), np.frombuffer(counted, np.int64)
+                continue
+            length, most, tokens = differing(np.frombuffer(items, np.uint64), elements, counts, p.threshold_percent)
+            out.append((g, doc_id, of, length, most, [0, *tokens.view(np.int64).tolist()]))
+        return out
+
+    long = pa.int64()
+    return _of_blocks(2, told, 1, _batch([long, long, long, long, long, pa.list_(long)], ["g", "doc_id", "of", "length", "most", "tokens"]))
+
+
+def _own(salt: int, n: str):
+    return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col(n)).cast("int")
+
+
+def _numbers(n: str):
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+
+def _mixed(groups: DataFrame, found: DataFrame, p: NearDedup) -> DataFrame:
+    """Rows (g, doc_id, chunks, of, main, minors) of the groups (g, doc_id, chunks) that hold several components.
+
+    `main` is the largest of them, `minors` the number of chunks that the members outside it make."""
+    placed = cut(groups.join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left").select("g", "doc_id", "chunks", F.coalesce("component", "doc_id").alias("of")))
+    parts = cut(placed.groupBy("g", "of").agg(F.count("*").alias("n")))
+    largest = parts.groupBy("g").agg(F.max(F.struct("n", (-F.col("of")).alias("minus"))).alias("best"), F.sum("n").alias("all"))
+    several = largest.where("all > best.n").select("g", (-F.col("best.minus")).alias("main"), F.ceil((F.col("all") - F.col("best.n")) / F.lit(p.block)).cast("int").alias("minors"))
+    return cut(placed.join(cut(several), "g"))
+
+
+def _apart(mixed: DataFrame) -> DataFrame:
+    """Blocks (g, i, j, apart, of, doc_id) of the pairs of a group that are in different components.
+
+    Members outside its largest component meet all members; the others needn't meet one another."""
+    few = mixed.where("of <> main").select("g", _own(1, "minors").alias("i"), _numbers("chunks").alias("j"), F.lit(True).alias("apart"), "of", "doc_id")
+    many = mixed.select("g", _numbers("minors").alias("i"), _own(0, "chunks").alias("j"), F.lit(False).alias("apart"), "of", "doc_id")
     return few.union(many)
 
 
+def _parted(mixed: DataFrame, sets: DataFrame, p: NearDedup) -> tuple[DataFrame, DataFrame]:
+    """Groups (g, head, doc_id) of members that share a difference from their group's template, and the rows (g, doc_id, chunks) of
+    the groups for which that would take more rows than to let their members meet block by block.
+
+    Two members that link and aren't yet in one component share one of the new groups: either they have a
+    difference in common among the first of both, or they differ so little from the template that the
+    group of token 0 holds them. How far down the order a difference counts depends on how
+    much the other member differs; so does whether token 0 counts."""
+    chunk = mixed.select("g", _own(0, "chunks").alias("i"), F.lit(True).alias("member"), "of", "doc_id", "chunks")
+    sample = chunk.where("i = 0").join(sets, "doc_id").select("g", "doc_id", "items", "sketch")
+    templates = cut(sample.repartition("g").sortWithinPartitions("g", "doc_id").mapInArrow(_templates(), _TEMPLATE))
+    members = chunk.join(sets, "doc_id").select("g", "i", "member", "of", "doc_id", "items", "sketch")
+    heads = mixed.select("g", "chunks").distinct().join(templates, "g").select("g", _numbers("chunks").alias("i"), F.lit(False), F.lit(None).cast("long"), F.lit(None).cast("long"), "elements", "counts")
+    blocks = members.union(heads).repartition("g", "i").sortWithinPartitions("g", "i", "member", "doc_id")
+    told = cut(blocks.mapInArrow(_differences(p), _DIFFERENCES))
+    reach = F.when(F.col("at") == 0, F.col("most") - F.col("length")).otherwise(F.col("length") + F.col("most") - 2 * (F.col("at") - 1))
+    entries = told.select("g", "doc_id", "of", "length", "most", F.posexplode("tokens").alias("at", "token")).withColumn("reach", reach)
+    useful = cut(entries.groupBy("g", "token").agg(F.min("length").alias("least"), F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi").drop("lo", "hi"))
+    kept = cut(entries.join(useful, ["g", "token"]).where("least <= reach").select("g", "token", "doc_id", "of", "length"))
+    shared = kept.groupBy("g", "token").agg(F.count("*").alias("n"), F.min(F.struct("length", "doc_id")).alias("head"), F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi")
+    shared = cut(shared.select("g", "token", "n", F.col("head.doc_id").alias("head")))
+    meeting = mixed.groupBy("g").agg(F.sum(F.when(F.col("of") != F.col("main"), F.col("chunks")).otherwise(0) + F.col("minors")).alias("meeting"))
+    taken = shared.groupBy("g").agg(F.sum("n").alias("taken"))
+    dear = cut(meeting.join(taken, "g").where("taken >= meeting").select("g"))
+    groups = kept.join(shared.join(dear, "g", "left_anti"), ["g", "token"]).select(F.xxhash64("g", "token").alias("g"), "head", "doc_id").distinct()
+    return cut(groups), mixed.join(dear, "g", "left_semi").select("g", "doc_id", "chunks")
+
+
 def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links), kept.
 
@@ -245,11 +350,15 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     cluster is the union of the buckets it leads, so that any two classes that share a
     bucket share a cluster. A cluster's members are dealt into chunks of about `block`, each
     of which also gets the leader: most members of a group of near copies link with it or in
-    their chunk, by work in proportion to the group. Then components are taken, and of
-    clusters of several chunks those members that are not in the largest component are
-    compared, chunk by chunk, with all members of other components. No task holds more than
-    two chunks, whatever the cluster's size, and a block returns at most as many links as it
-    has members.
+    their chunk, by work in proportion to the group. Then components are taken. A cluster of
+    several chunks that still holds several components is parted into groups of members
+    that share a difference from what most of the cluster's members have: members of a family
+    of texts that fill the same form link only if they are in such a group, so that the work
+    stays in proportion to the family. The groups are compared like clusters, and parted
+    again up to `splits` times. Where parting would take more rows, and after the last time,
+    members that are not in the group's largest component are compared, chunk by chunk, with
+    all members of other components. No task holds more than two chunks, whatever the
+    cluster's size, and a block returns at most as many links as it has members.
 
     A null or wordless text has an empty set and links with nothing. A null id is never
     linked; its component is null and it is kept. Rows that share an id are one node: they
@@ -265,10 +374,7 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     shared = cut(entries.join(buckets, "bucket"))
     central = shared.groupBy("doc_id").agg(F.sum("members").alias("companions"))
     leaders = shared.join(central, "doc_id").groupBy("bucket").agg(F.max(F.struct("companions", (-F.col("doc_id")).alias("minus"))).alias("best"))
-    clusters = cut(shared.join(leaders.select("bucket", (-F.col("best.minus")).alias("leader")), "bucket").select("leader", "doc_id").distinct())
-    sizes = clusters.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(p.block)).cast("int").alias("chunks"))
-    chunks = cut(sizes.where("chunks > 1"))  # a table, so that Spark can split the large clusters in the join
-    own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    clusters = cut(shared.join(leaders.select("bucket", (-F.col("best.minus")).alias("g")), "bucket").select("g", F.col("g").alias("head"), "doc_id").distinct())
     wanted = clusters.select("doc_id").distinct().hint("merge")  # grows with the documents: never a broadcast
     sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(p), "doc_id long, items binary, sketch binary")
 
@@ -276,17 +382,36 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
         rows = dealt.join(sets, "doc_id").select(*keys, *order, "doc_id", "items", "sketch")
         return rows.repartition(*keys).sortWithinPartitions(*keys, *order, "doc_id").mapInArrow(links, "a long, b long")
 
-    dealt = (
-        clusters.join(chunks, "leader", "left")
-        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-        .withColumn("i", F.explode(F.when(F.col("doc_id") == F.col("leader"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(own))))
-        .select("leader", "i", (F.col("doc_id") != F.col("leader")).alias("late"), "doc_id")
-    )
-    found = connected_components(compared(dealt, ["leader", "i"], ["late"], _led(p)), "a", "b")
-    blocks = None if chunks.isEmpty() else _apart(clusters, chunks, found, p)
-    if blocks is not None:
-        more = compared(blocks, ["leader", "i", "j"], ["apart", "of"], _across(p))
-        found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "a", "b")
+    def joined(links: DataFrame, found: DataFrame | None) -> DataFrame:
+        known = links if found is None else found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)
+        return connected_components(known, "a", "b")
+
+    groups, found, waiting = clusters, None, []
+    for split in range(p.splits + 1):
+        sizes = groups.groupBy("g").agg(F.ceil(F.count("*") / F.lit(p.block)).cast("int").alias("chunks"))
+        chunks = cut(sizes.where("chunks > 1"))  # a table, so that Spark can split the large groups in the join
+        dealt = (
+            groups.join(chunks, "g", "left")
+            .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+            .withColumn("i", F.explode(F.when(F.col("doc_id") == F.col("head"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(_own(0, "chunks")))))
+            .select("g", "i", (F.col("doc_id") != F.col("head")).alias("late"), "doc_id")
+        )
+        found = joined(compared(dealt, ["g", "i"], ["late"], _led(p)), found)
+        large = None if chunks.isEmpty() else groups.join(chunks, "g").select("g", "doc_id", "chunks")
+        if large is None or split == p.splits:
+            waiting += [] if large is None else [large]
+            break
+        mixed = _mixed(large, found, p)
+        if mixed.isEmpty():
+            break
+        groups, rest = _parted(mixed, sets, p)
+        waiting.append(rest)
+        if groups.isEmpty():
+            break
+    if waiting:
+        blocks = _apart(_mixed(reduce(DataFrame.union, waiting), found, p))
+        if not blocks.isEmpty():
+            found = joined(compared(blocks, ["g", "i", "j"], ["apart", "of"], _across(p)), found)
     result = (
         feats.select("doc_id", *digest)
         .join(classes.join(found, classes.stands == found.node, "left").select(*digest, F.coalesce("component", "stands").alias("of")), digest, "left")

@@ -6,7 +6,7 @@ import pytest
 
 from obslog.llm import near_dedup
 from obslog.llm.components import connected_components
-from obslog.llm.near_dedup import NearDedup, drop_near_duplicates, links_of_block, min_samples, near_duplicates, odd_sketches, sketch_similarity
+from obslog.llm.near_dedup import NearDedup, differing, drop_near_duplicates, links_of_block, min_samples, near_duplicates, odd_sketches, sketch_similarity, template_of
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -64,21 +64,72 @@ def test_chains_through_a_large_cluster(table, prose):
     assert got == brute(docs)
 
 
+def family(prose, n, words=40):
+    """Texts that each change one of the same words: a pair that changes different ones lies below the threshold."""
+    base = prose(5, words).split()
+    return [(i, " ".join(f"n{i}" if j == (i * 7) % words else w for j, w in enumerate(base))) for i in range(n)]
+
+
+def counted(spark, docs, p):
+    """near_duplicates' rows and the number of rows that its blocks hold."""
+    keep, parted = near_dedup.links_of_block, near_dedup.differing
+    acc = spark.sparkContext.accumulator(0)
+    near_dedup.links_of_block = lambda ids, *a, **k: (acc.add(len(ids)), keep(ids, *a, **k))[1]
+    near_dedup.differing = lambda *a: (acc.add(1), parted(*a))[1]
+    try:
+        return near_duplicates(docs, p).collect(), acc.value
+    finally:
+        near_dedup.links_of_block, near_dedup.differing = keep, parted
+
+
+def test_work_grows_with_a_family_of_texts_below_the_threshold(spark, table, prose):
+    made = []
+    for n in (150, 600):
+        docs = family(prose, n)
+        rows, worked = counted(spark, table(docs), NearDedup(block=30))
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows} == brute(docs)
+        made.append(worked)
+    assert made[1] <= 5 * made[0]
+
+
+@pytest.mark.parametrize("splits", [0, 1, 3])
+def test_splits_change_no_result(table, prose, splits):
+    base, other = prose(6, 40).split(), prose(7, 12).split()
+    docs = family(prose, 60) + [(1000 + i, " ".join(base[: 40 - i % 5] + other[: i % 12] + [f"x{i % 7}"])) for i in range(60)]
+    docs += [(2000, prose(5, 40)), (2001, prose(6, 40)), (3, prose(6, 39)), (None, prose(5, 40))]
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(table(docs), NearDedup(block=4, splits=splits)).collect() if r.doc_id not in (3, None)}
+    nodes = {d: shingles(x) for d, x in docs if d is not None}
+    assert len(got) == len(nodes) - 1
+    want = {d: v[1:] for d, v in brute([(d, x) for d, x in docs if d is not None and d != 3] + [(3, docs[3][1]), (-3, prose(6, 39))]).items()}
+    merged = {-3: want[3][0], want[-3][0]: want[3][0]}
+    ends = {d: merged.get(c, c) for d, (c, _) in want.items() if d >= 0 and d != 3}
+    groups = lambda of: {frozenset(d for d in of if of[d] == c) for c in set(of.values())}
+    assert groups(ends) == groups({d: c for d, (c, _) in got.items()})
+
+
+def test_pairs_that_link_share_a_difference_that_counts_for_both():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    few = rng.integers(0, 2**63, 8).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(60) > rng.choice([0.0, 0.03, 0.12])], few[rng.random(8) > 0.6], rng.integers(0, 2**63, int(rng.integers(0, 6))).astype(np.uint64)])) for _ in range(150)]
+    for sample in (sets[:30], sets[:1], sets):
+        told = [differing(s, *template_of(sample), 85) for s in sets]
+        for a, (la, ma, ta) in zip(sets, told, strict=True):
+            for b, (lb, mb, tb) in zip(sets, told, strict=True):
+                k = len(np.intersect1d(a, b))
+                if a is not b and 100 * k >= 85 * (len(a) + len(b) - k):
+                    places = [(list(ta).index(x), list(tb).index(x)) for x in np.intersect1d(ta, tb)]
+                    assert (lb <= ma - la and la <= mb - lb) or any(lb <= la + ma - 2 * i and la <= lb + mb - 2 * j for i, j in places)
+
+
 def test_work_grows_with_a_group_of_near_copies(spark, table, prose):
     base = prose(77, 60).split()
     made = []
     for n in (300, 1200):
         docs = [(i, " ".join(f"n{i}" if j == (i * 11) % 60 else w for j, w in enumerate(base))) for i in range(n)]
-        rows = []
-        keep = near_dedup.links_of_block
-        acc = spark.sparkContext.accumulator(0)
-        near_dedup.links_of_block = lambda ids, *a, **k: (acc.add(len(ids)), keep(ids, *a, **k))[1]
-        try:
-            rows = near_duplicates(table(docs), NearDedup(block=30)).select("component_id").distinct().collect()
-        finally:
-            near_dedup.links_of_block = keep
-        assert [r.component_id for r in rows] == [0]
-        made.append(acc.value)
+        rows, worked = counted(spark, table(docs), NearDedup(block=30))
+        assert {r.component_id for r in rows} == {0}
+        made.append(worked)
     assert made[1] <= 6 * max(made[0], 300)
 
 
