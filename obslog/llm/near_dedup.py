@@ -22,8 +22,9 @@ class NearDedup:
 
     `sketch_floor` is the odd-sketch estimate under which a candidate is dropped unseen; at
     160 samples and 512 bits it lies over five standard deviations below a similarity of 0.85.
-    `splits` is how often a group that holds several components is parted by differences before its
-    members meet block by block; `block` is how many members a chunk has. Neither changes a result."""
+    `block` is how many members a chunk has. Members of several components meet block by block
+    of a cluster where that takes at most `meetings` rows a member; other clusters are parted by
+    differences first, and so are their groups, up to `splits` times. None of the three changes a result."""
 
     shingle: int = 3
     threshold_percent: int = 85
@@ -32,6 +33,7 @@ class NearDedup:
     sketch_bits: int = 512
     sketch_floor: float = 0.55
     block: int = 140
+    meetings: int = 8
     splits: int = 3
 
     @property
@@ -294,14 +296,16 @@ def _numbers(n: str):
 
 
 def _mixed(groups: DataFrame, found: DataFrame, p: NearDedup) -> DataFrame:
-    """Rows (g, doc_id, chunks, of, main, minors) of the groups (g, doc_id, chunks) that hold several components.
+    """Rows (g, doc_id, chunks, of, main, minors, meeting, members) of the groups (g, doc_id, chunks) that hold several components.
 
-    `main` is the largest of them, `minors` the number of chunks that the members outside it make."""
+    `main` is the largest of them, `minors` the number of chunks that the members outside it make,
+    `meeting` the number of rows that `_apart` makes of the group."""
     placed = cut(groups.join(found.hint("merge"), F.col("doc_id") == F.col("node"), "left").select("g", "doc_id", "chunks", F.coalesce("component", "doc_id").alias("of")))
     parts = cut(placed.groupBy("g", "of").agg(F.count("*").alias("n")))
     largest = parts.groupBy("g").agg(F.max(F.struct("n", (-F.col("of")).alias("minus"))).alias("best"), F.sum("n").alias("all"))
-    several = largest.where("all > best.n").select("g", (-F.col("best.minus")).alias("main"), F.ceil((F.col("all") - F.col("best.n")) / F.lit(p.block)).cast("int").alias("minors"))
-    return cut(placed.join(cut(several), "g"))
+    several = largest.where("all > best.n").select("g", (-F.col("best.minus")).alias("main"), (F.col("all") - F.col("best.n")).alias("few"), F.col("all").alias("members"))
+    rows = placed.join(cut(several.withColumn("minors", F.ceil(F.col("few") / F.lit(p.block)).cast("int"))), "g")
+    return cut(rows.withColumn("meeting", F.col("few") * F.col("chunks") + F.col("members") * F.col("minors")).drop("few"))
 
 
 def _apart(mixed: DataFrame) -> DataFrame:
@@ -334,7 +338,7 @@ def _parted(mixed: DataFrame, sets: DataFrame, p: NearDedup) -> tuple[DataFrame,
     kept = cut(entries.join(useful, ["g", "token"]).where("least <= reach").select("g", "token", "doc_id", "of", "length"))
     shared = kept.groupBy("g", "token").agg(F.count("*").alias("n"), F.min(F.struct("length", "doc_id")).alias("head"), F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi")
     shared = cut(shared.select("g", "token", "n", F.col("head.doc_id").alias("head")))
-    meeting = mixed.groupBy("g").agg(F.sum(F.when(F.col("of") != F.col("main"), F.col("chunks")).otherwise(0) + F.col("minors")).alias("meeting"))
+    meeting = mixed.select("g", "meeting").distinct()
     taken = shared.groupBy("g").agg(F.sum("n").alias("taken"))
     dear = cut(meeting.join(taken, "g").where("taken >= meeting").select("g"))
     groups = kept.join(shared.join(dear, "g", "left_anti"), ["g", "token"]).select(F.xxhash64("g", "token").alias("g"), "head", "doc_id").distinct()
@@ -351,11 +355,11 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
     bucket share a cluster. A cluster's members are dealt into chunks of about `block`, each
     of which also gets the leader: most members of a group of near copies link with it or in
     their chunk, by work in proportion to the group. Then components are taken. A cluster of
-    several chunks that still holds several components is parted into groups of members
+    several chunks whose components would take many rows to meet is parted into groups of members
     that share a difference from what most of the cluster's members have: members of a family
     of texts that fill the same form link only if they are in such a group, so that the work
     stays in proportion to the family. The groups are compared like clusters, and parted
-    again up to `splits` times. Where parting would take more rows, and after the last time,
+    again up to `splits` times. Elsewhere, where parting would take more rows, and after the last time,
     members that are not in the group's largest component are compared, chunk by chunk, with
     all members of other components. No task holds more than two chunks, whatever the
     cluster's size, and a block returns at most as many links as it has members.
@@ -397,19 +401,20 @@ def near_duplicates(docs: DataFrame, p: NearDedup = NearDedup(), id_col: str = "
             .select("g", "i", (F.col("doc_id") != F.col("head")).alias("late"), "doc_id")
         )
         found = joined(compared(dealt, ["g", "i"], ["late"], _led(p)), found)
-        large = None if chunks.isEmpty() else groups.join(chunks, "g").select("g", "doc_id", "chunks")
-        if large is None or split == p.splits:
-            waiting += [] if large is None else [large]
+        if chunks.isEmpty():
             break
-        mixed = _mixed(large, found, p)
-        if mixed.isEmpty():
+        mixed = _mixed(groups.join(chunks, "g").select("g", "doc_id", "chunks"), found, p)
+        crowded = F.col("meeting") > (0 if split else p.meetings) * F.col("members")
+        if split == p.splits or mixed.where(crowded).isEmpty():
+            waiting.append(mixed)
             break
-        groups, rest = _parted(mixed, sets, p)
-        waiting.append(rest)
+        groups, rest = _parted(mixed.where(crowded), sets, p)
+        waiting += [mixed.where(~crowded), rest]
         if groups.isEmpty():
             break
     if waiting:
-        blocks = _apart(_mixed(reduce(DataFrame.union, waiting), found, p))
+        left = reduce(DataFrame.union, [w.select("g", "doc_id", "chunks") for w in waiting])
+        blocks = _apart(waiting[0] if len(waiting) == 1 else _mixed(left, found, p))
         if not blocks.isEmpty():
             found = joined(compared(blocks, ["g", "i", "j"], ["apart", "of"], _across(p)), found)
     result = (

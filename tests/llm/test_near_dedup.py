@@ -97,7 +97,7 @@ def test_splits_change_no_result(table, prose, splits):
     base, other = prose(6, 40).split(), prose(7, 12).split()
     docs = family(prose, 60) + [(1000 + i, " ".join(base[: 40 - i % 5] + other[: i % 12] + [f"x{i % 7}"])) for i in range(60)]
     docs += [(2000, prose(5, 40)), (2001, prose(6, 40)), (3, prose(6, 39)), (None, prose(5, 40))]
-    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(table(docs), NearDedup(block=4, splits=splits)).collect() if r.doc_id not in (3, None)}
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(table(docs), NearDedup(block=4, meetings=1, splits=splits)).collect() if r.doc_id not in (3, None)}
     nodes = {d: shingles(x) for d, x in docs if d is not None}
     assert len(got) == len(nodes) - 1
     want = {d: v[1:] for d, v in brute([(d, x) for d, x in docs if d is not None and d != 3] + [(3, docs[3][1]), (-3, prose(6, 39))]).items()}
