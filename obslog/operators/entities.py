@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obslog.operators import contracts as C
 from obslog.schemas import ISSUES, LABELS, PAYLOAD, USERS, EntitySpec
+from obslog.sources.folder import cut
 from obslog.sources.log import instant
 
 
@@ -55,14 +57,27 @@ def issues(parsed_rows: DataFrame) -> DataFrame:
     """One row per observation: typed columns, and the raw ones that the rules look at.
 
     An issue is a pull request if its payload has a `pull_request` that isn't null."""
-    own = [is_pull_request(F.col("raw_json")).alias("is_pull_request"), F.col("_run_id").alias("source_run_id"), F.col("source_updated_at").alias("_source_updated_at")]
-    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *own, *_ORIGIN)
+    own = [_pull(parsed_rows), F.col("_run_id").alias("source_run_id"), F.col("source_updated_at").alias("_source_updated_at")]
+    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *own, *_origin(parsed_rows))
 
 
 def is_pull_request(raw_json: Column) -> Column:
     return F.get_json_object(raw_json, "$.pull_request").isNotNull()
 
 
+def without_text(parsed_rows: DataFrame) -> DataFrame:
+    """Parsed rows without the payload's text, which `_p` and is_pull_request stand for from here on."""
+    return parsed_rows.withColumn("is_pull_request", is_pull_request(F.col("raw_json"))).drop("raw_json")
+
+
+def _pull(parsed_rows: DataFrame) -> Column:
+    return F.col("is_pull_request") if "is_pull_request" in parsed_rows.columns else is_pull_request(F.col("raw_json")).alias("is_pull_request")
+
+
+def _origin(rows: DataFrame) -> list[str]:
+    return [c for c in _ORIGIN if c in rows.columns]
+
+
 _OBSERVED = [("source_updated_at", "observed_at"), ("_run_id", "source_run_id")]
 
 
@@ -72,19 +87,19 @@ def _observed() -> list[Column]:
 
 def envelopes(parsed_rows: DataFrame) -> DataFrame:
     """One row per observation with its label array, before it is taken apart."""
-    return parsed_rows.select(*ISSUES.keys, F.col("_p.id").alias("_payload_id"), F.col("_p.labels").alias("labels"), *_observed(), *_ORIGIN)
+    return parsed_rows.select(*ISSUES.keys, F.col("_p.id").alias("_payload_id"), F.col("_p.labels").alias("labels"), *_observed(), *_origin(parsed_rows))
 
 
 def labels(envelope_rows: DataFrame) -> DataFrame:
     """One row per label of each observation; colours in lower case. No labels, no rows."""
     one = envelope_rows.withColumn("_x", F.explode("labels"))
     fields = [(F.lower(f"_x.{path}") if name == "color" else F.col(f"_x.{path}")).alias(name) for name, path in LABEL_FIELDS]
-    return one.select(*ISSUES.keys[:2], *fields, F.col("issue_id").alias("source_issue_id"), "observed_at", "source_run_id", *_ORIGIN)
+    return one.select(*ISSUES.keys[:2], *fields, F.col("issue_id").alias("source_issue_id"), "observed_at", "source_run_id", *_origin(envelope_rows))
 
 
 def users(parsed_rows: DataFrame) -> DataFrame:
     """The author of each observation; a user is the same in all repositories."""
-    return parsed_rows.select(*_fields(USER_FIELDS), F.col("issue_id").alias("source_issue_id"), *_observed(), *_ORIGIN)
+    return parsed_rows.select(*_fields(USER_FIELDS), F.col("issue_id").alias("source_issue_id"), *_observed(), *_origin(parsed_rows))
 
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -100,11 +115,35 @@ def latest_of(rows: DataFrame, spec: EntitySpec, order: str | None = None) -> Da
     return latest(rows, spec.keys, [order or spec.order, *spec.ties])
 
 
+def newest(observations: DataFrame, make: Callable[[DataFrame], DataFrame], keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """`columns` of what `latest` keeps of `make`'s rows, written on the way, for orders that end with the payload's text.
+
+    The text is by far the widest column and decides only between rows that are equal in all
+    that comes before it. So rows are ranked, sorted and exchanged without it: of those that
+    tie, equal ones are one row, and only keys whose tied rows differ are ranked once more, with the text.
+    `make` gets parsed rows with and without it."""
+    *before, text = order
+    if text != "raw_json":
+        raise ValueError(f"the order must end with raw_json, not with {text}")
+    last = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in before])
+    all_ = list(dict.fromkeys([*keys, *before, *columns]))
+    top = make(without_text(parsed(observations))).select(all_).withColumn("_rank", F.rank().over(last)).where("_rank = 1")
+    one = F.struct(*columns)
+    told = top.withColumn("_n", F.row_number().over(last)).withColumn("_differs", ~one.eqNullSafe(F.first(one).over(last.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    found = cut(told.where("_n = 1 OR _differs").select(*dict.fromkeys([*keys, *columns]), "_n", "_differs"))
+    if found.where("_differs").isEmpty():
+        return found.select(*columns)
+    tied = found.where("_differs").select(*[F.col(k).alias(f"_tied_{k}") for k in keys]).distinct()
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_tied_{k}")) for k in keys])
+    again = latest(make(parsed(observations)).join(tied, same, "left_semi"), keys, order)
+    return found.join(tied, same, "left_anti").select(*columns).unionByName(again.select(*columns))
+
+
 def everything(parsed_rows: DataFrame) -> DataFrame:
     """One row per observation with the columns of its issue, its author and its label envelope; what they share has one column."""
     of_user = [f for f in USER_FIELDS if f[0] != "_payload_id"]
-    own = [is_pull_request(F.col("raw_json")).alias("is_pull_request"), F.col("source_updated_at").alias("_source_updated_at"), F.col("issue_id").alias("source_issue_id")]
-    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *_fields(of_user), F.col("_p.labels").alias("labels"), *own, *_observed(), *_ORIGIN)
+    own = [_pull(parsed_rows), F.col("source_updated_at").alias("_source_updated_at"), F.col("issue_id").alias("source_issue_id")]
+    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *_fields(of_user), F.col("_p.labels").alias("labels"), *own, *_observed(), *_origin(parsed_rows))
 
 
 #: What `everything` must meet: the rules of all entities, each once.
@@ -116,13 +155,34 @@ def check_observations(observations: DataFrame) -> None:
     C.require_valid(everything(parsed(observations)), ALL_RULES, "observations")
 
 
+#: What an observation tells of, and the entity that each table is read off.
+KINDS = {"issues": "issues", "users": "users", "labels": "labels", "relations": "envelopes"}
+_TAGGED = (["entity", "_owner", "_name", "_key"], ["_order", *ISSUES.ties], ["entity", "issues", "users", "envelopes", "labels"])
+
+
 def newest_of_each(observations: DataFrame, check: bool = True) -> DataFrame:
     """The newest issues, users, labels and label envelopes of observations, as rows (entity, and a struct of that name).
 
     One scan and one parse: a generator gives out an observation's entities as tagged rows, and
     one ranking by tag and key, limited in each task before the one exchange, keeps the
     newest of each. `entity_table` reads a kind off it."""
-    wide = everything(parsed(observations))
+    keys, order, columns = _TAGGED
+    return latest(_tagged(parsed(observations), check), keys, order).select(*columns)
+
+
+def newest_written(observations: DataFrame, check: bool = True, kinds: Sequence[str] = tuple(KINDS), by_run: bool = False) -> DataFrame:
+    """What `newest_of_each` gives, or the kinds of it that are asked for, ranked without the payload's text and written (`newest`).
+
+    by_run: of each run, with its source_run_id as `run`. Whatever the kinds, all rules judge every observation."""
+    keys, order, columns = _TAGGED
+    run = ["source_run_id"] if by_run else []
+    out = newest(observations, lambda rows: _tagged(rows, check, kinds), [*run, *keys], order, [*run, *columns])
+    return out.withColumnRenamed("source_run_id", "run")
+
+
+def _tagged(parsed_rows: DataFrame, check: bool, kinds: Sequence[str] = tuple(KINDS)) -> DataFrame:
+    """A row for each entity of an observation: its tag, its key, its order and, in the column of its tag, what it is."""
+    wide = everything(parsed_rows)
     wide = C.checked(wide, ALL_RULES, "observations") if check else wide
     empty = {k: F.lit(None).cast("string") for k in ("owner", "name")}
     place = {"owner": F.col("repository_owner"), "name": F.col("repository_name")}
@@ -142,16 +202,15 @@ def newest_of_each(observations: DataFrame, check: bool = True) -> DataFrame:
         return F.struct(F.lit(kind).alias("entity"), keys["owner"].alias("_owner"), keys["name"].alias("_name"), key.alias("_key"), order.alias("_order"), *[v.alias(k) for k, v in parts.items()])
 
     seen = F.col("observed_at")
-    rows = F.concat(
-        F.array(
-            tagged("issues", place, F.col("issue_id"), F.col("updated_at"), issue),
-            tagged("users", empty, F.col("user_id"), seen, user),
-            tagged("envelopes", place, F.col("issue_id"), seen, envelope),
-        ),
-        F.transform("labels", lambda x: tagged("labels", place, x["id"], seen, label(x))),
-    )
-    out = wide.select("_ingested_at", "source_run_id", "_page_or_batch_reference", "raw_json", F.inline(rows))
-    return latest(out, ["entity", "_owner", "_name", "_key"], ["_order", *ISSUES.ties]).select("entity", "issues", "users", "envelopes", "labels")
+    asked = {KINDS[k] for k in kinds}
+    single = {
+        "issues": tagged("issues", place, F.col("issue_id"), F.col("updated_at"), issue),
+        "users": tagged("users", empty, F.col("user_id"), seen, user),
+        "envelopes": tagged("envelopes", place, F.col("issue_id"), seen, envelope),
+    }
+    parts = [F.array(*[row for kind, row in single.items() if kind in asked])] if asked & set(single) else []
+    parts += [F.transform("labels", lambda x: tagged("labels", place, x["id"], seen, label(x)))] if "labels" in asked else []
+    return wide.select("source_run_id", *_origin(wide), F.inline(F.concat(*parts)))
 
 
 def entity_table(newest: DataFrame, entity: str) -> DataFrame:
@@ -169,9 +228,14 @@ def latest_issues(observations: DataFrame, check: bool = True) -> DataFrame:
 
 
 def latest_labels(observations: DataFrame, check: bool = True) -> DataFrame:
-    seen = envelopes(parsed(observations))
-    rows = labels(C.checked(seen, C.ENVELOPE_RULES, "label envelopes") if check else seen)
-    return latest_of(C.checked(rows, C.LABEL_RULES, "labels") if check else rows, LABELS).select(*LABEL_COLUMNS)
+    """The newest row of each label. It is written: a label's row has the text of its whole observation, which is left behind (`newest`)."""
+
+    def rows(parsed_rows: DataFrame) -> DataFrame:
+        seen = envelopes(parsed_rows)
+        out = labels(C.checked(seen, C.ENVELOPE_RULES, "label envelopes") if check else seen)
+        return C.checked(out, C.LABEL_RULES, "labels") if check else out
+
+    return newest(observations, rows, LABELS.keys, [LABELS.order, *LABELS.ties], LABEL_COLUMNS)
 
 
 def latest_users(observations: DataFrame, check: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -63,13 +65,13 @@ def require_frozen_input(log: DataFrame, manifest: DataFrame) -> DataFrame:
     return frozen_input(log, manifest)
 
 
-def replay(observations: DataFrame, manifest_id: Column, execution_id: Column) -> dict[str, DataFrame]:
-    """The four current-state tables of one frozen input, marked with where they come from.
+def replay(observations: DataFrame, manifest_id: Column, execution_id: Column, kinds: Sequence[str] = tuple(E.KINDS)) -> dict[str, DataFrame]:
+    """The four current-state tables of one frozen input, or some of them, marked with where they come from.
 
-    The input is read and parsed once: what `newest_of_each` gives is written, and the tables
-    are read off it. A malformed observation, however old, fails it before any table is there."""
-    newest = cut(E.newest_of_each(observations))
-    tables = {k: E.entity_table(newest, k) for k in ("issues", "users", "labels", "relations")}
+    The input is read and parsed once: what `newest_of_each` gives of these tables is written, and they
+    are read off it. A malformed observation, however old and in whatever table, fails it before any table is there."""
+    newest = E.newest_written(observations, kinds=kinds)
+    tables = {k: E.entity_table(newest, k) for k in kinds}
     return {k: v.withColumn("manifest_id", manifest_id).withColumn("replay_execution_id", execution_id) for k, v in tables.items()}
 
 

@@ -390,9 +390,9 @@ def resolve_version(spark, sf_dir):
     return versions.resolve_version(versions.commits(_log(spark, sf_dir)), F.lit("2001-09-03 23:50:00").cast("timestamp"))
 
 
-def _replayed(spark, sf_dir):
+def _replayed(spark, sf_dir, *kinds):
     rows = versions.frozen_input(_log(spark, sf_dir), adapters.manifests(spark, sf_dir))
-    return versions.replay(rows, F.lit("m"), F.lit("x"))
+    return versions.replay(rows, F.lit("m"), F.lit("x"), kinds or tuple(entities.KINDS))
 
 
 @query
@@ -402,22 +402,22 @@ def freeze_counts(spark, sf_dir):
 
 @query
 def replay_issues(spark, sf_dir):
-    return _replayed(spark, sf_dir)["issues"]
+    return _replayed(spark, sf_dir, "issues")["issues"]
 
 
 @query
 def replay_relations(spark, sf_dir):
-    return _replayed(spark, sf_dir)["relations"]
+    return _replayed(spark, sf_dir, "relations")["relations"]
 
 
 @query
 def replay_labels(spark, sf_dir):
-    return _replayed(spark, sf_dir)["labels"]
+    return _replayed(spark, sf_dir, "labels")["labels"]
 
 
 @query
 def replay_users(spark, sf_dir):
-    return _replayed(spark, sf_dir)["users"]
+    return _replayed(spark, sf_dir, "users")["users"]
 
 
 @query
@@ -637,7 +637,7 @@ def diff_both_ways(spark, sf_dir):
 @query
 def replay_report(spark, sf_dir):
     """All four tables of a replay of the succeeded runs against those of the whole log, lineage left out."""
-    rows = _parsed_once(spark, sf_dir)
+    rows = _log(spark, sf_dir)
     live = versions.replay(rows, F.lit("m"), F.lit("x"))
     again = versions.replay(versions.frozen_input(rows, adapters.manifests(spark, sf_dir)), F.lit("m"), F.lit("x"))
     keys = {"issues": ISSUES.keys, "users": USERS.keys, "labels": LABELS.keys, "relations": RELATIONS.keys}
