@@ -59,6 +59,9 @@ def real_changes(feed: DataFrame, spec: EntitySpec, lineage: Sequence[str] | Non
     that changes and changes back in later commits counts each time."""
     lineage = spec.lineage if lineage is None else lineage
     rest = [c for c in business_columns(feed, lineage) if c not in spec.keys]
+    if not rest:  # an update can change nothing, so that there are no images to compare
+        kinds = feed.where(F.col("_change_type").isin(INSERT, DELETE)).groupBy(*spec.keys, "_commit_version").agg(F.max(F.col("_change_type") == INSERT).alias("i"))
+        return kinds.select(*spec.keys, "_commit_version", F.when(F.col("i"), INSERT).otherwise(DELETE).alias("change"))
     image = F.struct(*rest)
     of = lambda kind: F.max(F.when(F.col("_change_type") == kind, image))
     has = lambda kind: F.max((F.col("_change_type") == kind).cast("int"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from obslog.operators import contracts as C
 from obslog.schemas import ISSUES, LABELS, PAYLOAD, USERS, EntitySpec
-from obslog.sources.folder import cut
+from obslog.sources.folder import cut, view_of
 from obslog.sources.log import instant
 
 
@@ -132,7 +132,7 @@ def newest(observations: DataFrame, make: Callable[[DataFrame], DataFrame], keys
     told = top.withColumn("_n", F.row_number().over(last)).withColumn("_differs", ~one.eqNullSafe(F.first(one).over(last.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     found = cut(told.where("_n = 1 OR _differs").select(*dict.fromkeys([*keys, *columns]), "_n", "_differs"))
     if found.where("_differs").isEmpty():
-        return found.select(*columns)
+        return view_of(found, found.select(*columns))
     tied = found.where("_differs").select(*[F.col(k).alias(f"_tied_{k}") for k in keys]).distinct()
     same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_tied_{k}")) for k in keys])
     again = latest(make(parsed(observations)).join(tied, same, "left_semi"), keys, order)
@@ -177,7 +177,7 @@ def newest_written(observations: DataFrame, check: bool = True, kinds: Sequence[
     keys, order, columns = _TAGGED
     run = ["source_run_id"] if by_run else []
     out = newest(observations, lambda rows: _tagged(rows, check, kinds), [*run, *keys], order, [*run, *columns])
-    return out.withColumnRenamed("source_run_id", "run")
+    return view_of(out, out.withColumnRenamed("source_run_id", "run"))
 
 
 def _tagged(parsed_rows: DataFrame, check: bool, kinds: Sequence[str] = tuple(KINDS)) -> DataFrame:

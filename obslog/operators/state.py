@@ -126,14 +126,15 @@ def fold_upserts(rows: DataFrame, spec: EntitySpec, committed: dict[int, str], k
     join and a written state for each. A key that comes twice in a version fails the plan
     unless `check` is off."""
     columns = [c for c in rows.columns if c != "_version"]
-    if check:
-        both = [*spec.keys, "_version"]
-        rows = refused(rows.withColumn("_copies", copies(both)), F.col("_copies") > 1, repeated(spec.keys, spec.name)).drop("_copies")
-    placed = rows.select(*spec.keys, F.struct(F.col(spec.order).alias("o"), F.col("_version").alias("v"), F.struct(*columns).alias("row")).alias("s"))
-    so_far = Window.partitionBy(*spec.keys).orderBy("s.v").rowsBetween(Window.unboundedPreceding, -1)
-    folded = placed.withColumn("t", F.max("s").over(so_far))
+    placed = rows.select(*spec.keys, "_version", F.struct(F.col(spec.order).alias("o"), F.col("_version").alias("v"), F.struct(*columns).alias("row")).alias("s")).repartition(*spec.keys)
+    in_order = Window.partitionBy(*spec.keys).orderBy("_version")
+    so_far = F.max("s").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    folded = placed.withColumn("t", so_far).withColumn("_last", F.lead("_version").over(in_order).isNull())
+    if check:  # rows of a key are in order, so that a version that comes twice stands next to itself
+        folded = refused(folded.withColumn("_again", F.lag(F.struct("_version")).over(in_order).eqNullSafe(F.struct("_version"))), F.col("_again"), repeated(spec.keys, spec.name))
+    folded = folded.select("s", "t", "_last")
     folded = keep(folded) if keep else folded
-    state = folded.groupBy(*spec.keys).agg(F.max("s").alias("s")).select("s.row.*")
+    state = folded.where("_last").select(F.greatest("s", "t").alias("s")).select("s.row.*")
     act = F.when(F.col("t").isNull(), "insert").when(F.col("s.o") >= F.col("t.o"), "update").otherwise("keep")
     sides = folded.select(F.col("t.row").alias("t"), F.col("s.row").alias("s"), act.alias("act"), F.col("s.v").alias("_commit_version"))
     return state, _fold_images(sides, committed)

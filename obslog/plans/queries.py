@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from obslog.functions.keys import date_key, hash_key
 from obslog.operators import changes, compare, contracts, control, entities, incremental, snapshots, star, state, versions
 from obslog.schemas import ISSUES, LABELS, OBSERVATION, RELATIONS, USERS, EntitySpec, null_counts
 from obslog.sources import adapters, log
-from obslog.sources.folder import cut, new_path
+from obslog.sources.folder import cut, discard, new_path
 from obslog.sources.store import VersionedTable
 from obslog.streaming import ingest
 
@@ -41,72 +41,83 @@ def _log(spark: SparkSession, sf_dir: str, *runs: str) -> DataFrame:
     return out.where(F.col("_run_id").isin(*runs)) if runs else out
 
 
-def _parsed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole log, parsed and written once for the queries that read it run by run."""
-    return cut(entities.parsed(_log(spark, sf_dir)))
-
-
 def _scope(observations: DataFrame) -> DataFrame:
     return entities.observed_scope(observations)
 
 
-@dataclass
+#: What the states are folded from: an observation's issue, and the labels that it names.
+_SEEN = [*entities.ISSUE_COLUMNS, "label_ids", "observed_at"]
+
+
 class _States:
-    """Issues and relations after run 1 and after run 4, and their change logs for versions 2 to 4."""
+    """Issues and relations after run 1 and after run 4, and their change logs for versions 2 to 4; a query folds what it asks for."""
 
-    first_issues: DataFrame
-    first_relations: DataFrame
-    issues: DataFrame
-    relations: DataFrame
-    issue_feed: DataFrame
-    relation_feed: DataFrame
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        newest = _newest_of_runs(spark, sf_dir)
+        number = F.create_map(*[x for run, (v, *_) in adapters.RUNS.items() for x in (F.lit(run), F.lit(v))])
+        self.rows = newest.withColumn("_version", number[F.col("source_run_id")])
+        self.committed = {v: at for v, at, *_ in adapters.RUNS.values()}
+        self.first_issues, self.first_relations = _both(_of(newest, "run_1"))
 
+    @functools.cached_property
+    def _folded_issues(self) -> tuple[DataFrame, DataFrame]:
+        """All four runs folded at once; the first run's rows are no changes."""
+        return state.fold_upserts(self.rows.select(*entities.ISSUE_COLUMNS, "_version"), ISSUES, self.committed, keep=cut)
 
-def _both(newest: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Issues and label envelopes of the newest observations."""
-    return entities.issues(newest).select(*entities.ISSUE_COLUMNS), entities.envelopes(newest)
+    @functools.cached_property
+    def _folded_relations(self) -> tuple[DataFrame, DataFrame]:
+        seen = self.rows.select(*star.ISSUE_KEY, "observed_at", "source_run_id", "label_ids", "_version")
+        return state.fold_reconciles(seen, "label_ids", "label_id", self.committed, star.ISSUE_KEY, keep=cut)
 
+    issues = property(lambda self: self._folded_issues[0])
+    issue_feed = property(lambda self: self._folded_issues[1].where("_commit_version > 1"))
+    relations = property(lambda self: self._folded_relations[0])
+    relation_feed = property(lambda self: self._folded_relations[1].where("_commit_version > 1"))
 
-def _newest_of_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The newest observation of each issue in each run: the log is parsed, judged and ranked once for all runs."""
-    rows = _parsed_once(spark, sf_dir)
-    entities.check_observations(rows)
-    newest = cut(entities.latest(rows, ["_run_id", *ISSUES.keys], ["source_updated_at", "_ingested_at", "_page_or_batch_reference", "raw_json"]))
-    return {run: newest.where(F.col("_run_id") == run) for run in adapters.RUNS}
 
+def _newest_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issue and labels of the newest observation of each issue in each run: one pass parses, judges and ranks the log, and only these are written."""
 
-def _stored(spark: SparkSession, sf_dir: str) -> tuple[VersionedTable, VersionedTable]:
-    """Issues and relations as versioned tables after four runs; change rows are stored from the second on."""
-    newest = _newest_of_runs(spark, sf_dir)
-    issues, scope = _both(newest["run_1"])
-    relations = entities.relations_of(scope)
-    tables = [VersionedTable(spark, new_path(spark, df_name), df.schema, spec.keys, buckets=8, keep=4, feed=True, bucket_by=star.ISSUE_KEY) for df_name, df, spec in (("issues", issues, ISSUES), ("relations", relations, RELATIONS))]
-    for table, df in zip(tables, (issues, relations), strict=True):
-        table.commit(df, None, 1, adapters.RUNS["run_1"][1])
-    for run in ("run_2", "run_3", "run_4"):
-        version, at = adapters.RUNS[run][:2]
-        source, scope = _both(newest[run])
-        touched = tables[0].touched(source)
-        new, changed = state.guarded_upsert(tables[0].read(buckets=touched), source, ISSUES, version, F.lit(at), keep=cut)
-        tables[0].commit(new, touched, version, at, changed)
-        new, changed = state.reconcile(tables[1].read(buckets=touched), scope, entities.relations_of(scope), star.ISSUE_KEY, RELATIONS, version, F.lit(at), keep=cut)
-        tables[1].commit(new, touched, version, at, changed)
-    return tables[0], tables[1]
+    def rows(parsed: DataFrame) -> DataFrame:
+        wide = contracts.checked(entities.everything(parsed), entities.ALL_RULES, "observations")
+        return wide.withColumn("label_ids", F.transform("labels", lambda x: x["id"]))
 
+    return entities.newest(_log(spark, sf_dir), rows, ["source_run_id", *ISSUES.keys], ["_source_updated_at", "_ingested_at", "_page_or_batch_reference", "raw_json"], _SEEN)
 
-def _states(spark: SparkSession, sf_dir: str) -> _States:
-    """All four runs folded at once; the first run's rows are no changes."""
+
+def _of(newest: DataFrame, run: str) -> DataFrame:
+    return newest.where(F.col("source_run_id") == run)
+
+
+def _both(newest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Issues and relations of the newest observations."""
+    return newest.select(*entities.ISSUE_COLUMNS), newest.select(*star.ISSUE_KEY, F.explode("label_ids").alias("label_id"), "observed_at", "source_run_id")
+
+
+def _stored(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, VersionedTable]:
+    """Issues and relations (or one of them) as versioned tables after four runs; change rows are stored from the second on."""
     newest = _newest_of_runs(spark, sf_dir)
-    number = F.create_map(*[x for run, (v, *_) in adapters.RUNS.items() for x in (F.lit(run), F.lit(v))])
-    rows = newest["run_1"].unionByName(newest["run_2"]).unionByName(newest["run_3"]).unionByName(newest["run_4"])
-    committed = {v: at for v, at, *_ in adapters.RUNS.values()}
-    found = entities.issues(rows).select(*entities.ISSUE_COLUMNS, number[F.col("source_run_id")].alias("_version"))
-    issues, issue_feed = state.fold_upserts(found, ISSUES, committed, keep=cut)
-    seen = entities.envelopes(rows).select(*star.ISSUE_KEY, "observed_at", "source_run_id", F.col("labels.id").alias("label_ids"), number[F.col("source_run_id")].alias("_version"))
-    relations, relation_feed = state.fold_reconciles(seen, "label_ids", "label_id", committed, star.ISSUE_KEY, keep=cut)
-    first_issues, scope = _both(newest["run_1"])
-    since = F.col("_commit_version") > 1
-    return _States(first_issues, entities.relations_of(scope), issues, relations, issue_feed.where(since), relation_feed.where(since))
+    first = dict(zip(("issues", "relations"), _both(_of(newest, "run_1")), strict=True))
+    tables = {name: VersionedTable(spark, new_path(spark, name), first[name].schema, spec.keys, buckets=8, keep=4, feed=True, bucket_by=star.ISSUE_KEY) for name, spec in (("issues", ISSUES), ("relations", RELATIONS)) if name in (names or first)}
+    for name, table in tables.items():
+        table.commit(first[name], None, 1, adapters.RUNS["run_1"][1])
+    for run in ("run_2", "run_3", "run_4"):
+        version, at = adapters.RUNS[run][:2]
+        seen = _of(newest, run)
+        source, relations = _both(seen)
+        for name, table in tables.items():
+            touched = table.touched(seen)
+            kept: list[DataFrame] = []
+            keep = lambda df, kept=kept: kept.append(cut(df)) or kept[-1]
+            old = table.read(buckets=touched)
+            if name == "issues":
+                new, changed = state.guarded_upsert(old, source, ISSUES, version, F.lit(at), keep=keep)
+            else:
+                new, changed = state.reconcile(old, seen, relations, star.ISSUE_KEY, RELATIONS, version, F.lit(at), keep=keep)
+            table.commit(new, touched, version, at, changed)
+            discard(*kept)
+    discard(newest)
+    return tables
 
 
 # --- ingest
@@ -345,13 +356,16 @@ def stale_relations(spark, sf_dir):
 @query
 def replay_equals_merge(spark, sf_dir):
     runs = ("run_1", "run_2", "run_4")
-    rows = _parsed_once(spark, sf_dir)
+    rows = _log(spark, sf_dir, *runs)
+    kinds = {"issues": ISSUES, "labels": LABELS, "users": USERS}
+    each, whole = entities.newest_written(rows, kinds=tuple(kinds), by_run=True), entities.newest_written(rows, kinds=tuple(kinds))
     out = None
-    for spec, make in ((ISSUES, entities.latest_issues), (LABELS, entities.latest_labels), (USERS, entities.latest_users)):
-        folded = make(log.of_run(rows, runs[0]))
+    for kind, spec in kinds.items():
+        of_run = lambda run, kind=kind: entities.entity_table(each.where(F.col("run") == run), kind)
+        folded = of_run(runs[0])
         for run in runs[1:]:
-            folded, _ = state.guarded_upsert(folded, make(log.of_run(rows, run)), spec)
-        n = compare.diff_both_ways(folded, make(rows.where(F.col("_run_id").isin(*runs)))).agg(F.count("*").alias("differences")).select(F.lit(spec.name).alias("table_name"), "differences")
+            folded, _ = state.guarded_upsert(folded, of_run(run), spec)
+        n = compare.diff_both_ways(folded, entities.entity_table(whole, kind)).agg(F.count("*").alias("differences")).select(F.lit(spec.name).alias("table_name"), "differences")
         out = n if out is None else out.unionByName(n)
     return out
 
@@ -423,7 +437,7 @@ def replay_users(spark, sf_dir):
 @query
 def pinned_state(spark, sf_dir):
     """A version of the stored state, frozen after later ones were committed."""
-    issues, _ = _stored(spark, sf_dir)
+    issues = _stored(spark, sf_dir, "issues")["issues"]
     path = new_path(spark, "frozen")
     versions.freeze({"issues": issues}, {"issues": 2}, path)
     return spark.read.schema(issues.schema).parquet(f"{path}/issues")
@@ -510,18 +524,18 @@ def invalid_manifests(spark, sf_dir):
 
 @query
 def change_feed_range(spark, sf_dir):
-    issues, _ = _stored(spark, sf_dir)
+    issues = _stored(spark, sf_dir, "issues")["issues"]
     return issues.changes(3, 4).groupBy("_commit_version", "_change_type").agg(F.count("*").alias("n_rows"))
 
 
 @query
 def real_changes(spark, sf_dir):
-    return changes.real_changes(_states(spark, sf_dir).issue_feed, ISSUES)
+    return changes.real_changes(_States(spark, sf_dir).issue_feed, ISSUES)
 
 
 @query
 def real_relation_changes(spark, sf_dir):
-    return changes.real_changes(_states(spark, sf_dir).relation_feed, RELATIONS)
+    return changes.real_changes(_States(spark, sf_dir).relation_feed, RELATIONS)
 
 
 def _workset(s: _States) -> DataFrame:
@@ -530,12 +544,12 @@ def _workset(s: _States) -> DataFrame:
 
 @query
 def changed_keys(spark, sf_dir):
-    return _workset(_states(spark, sf_dir))
+    return _workset(_States(spark, sf_dir))
 
 
 @query
 def workset_sink(spark, sf_dir):
-    s = _states(spark, sf_dir)
+    s = _States(spark, sf_dir)
     path = new_path(spark, "workset")
     changes.write_workset(s.issues, path, star.ISSUE_KEY)
     n = changes.write_workset(_workset(s), path, star.ISSUE_KEY)
@@ -544,16 +558,17 @@ def workset_sink(spark, sf_dir):
 
 @query
 def repeated_changes(spark, sf_dir):
-    real = changes.real_changes(_states(spark, sf_dir).issue_feed, ISSUES)
+    real = changes.real_changes(_States(spark, sf_dir).issue_feed, ISSUES)
     return real.groupBy("issue_id").agg(F.count("*").alias("n_commits"), F.max("_commit_version").alias("last_version")).where("n_commits > 1")
 
 
 @query
 def business_values(spark, sf_dir):
-    feed = _states(spark, sf_dir).issue_feed
+    feed = _States(spark, sf_dir).issue_feed
     columns = changes.business_columns(feed, ISSUES.lineage)
-    counts = feed.agg(*[F.count_distinct(c).alias(c) for c in columns])
-    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in columns])))
+    # a column at a time: counted together, each row would be as many rows with all columns
+    counts = [feed.select(c).distinct().agg(F.count(c).alias("n_values")).select(F.lit(c).alias("column_name"), "n_values") for c in columns]
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 @query
@@ -576,19 +591,19 @@ def plan_ranges(spark, sf_dir):
 
 @query
 def workset_filter(spark, sf_dir):
-    s = _states(spark, sf_dir)
+    s = _States(spark, sf_dir)
     return incremental.of_workset(s.issues, _workset(s)).select("issue_id", "title", "state")
 
 
 def _incremental(spark, sf_dir):
-    s = _states(spark, sf_dir)
+    s = _States(spark, sf_dir)
     fact, bridge = star.fact_issue(s.first_issues), star.bridge_issue_label(s.first_relations)
     return incremental.incremental_batch(fact, bridge, s.issues, s.relations, s.issue_feed, s.relation_feed, {"issues": (2, 4), "relations": (2, 4)})
 
 
 @query
 def batch_positions(spark, sf_dir):
-    s = _states(spark, sf_dir)
+    s = _States(spark, sf_dir)
     at = F.lit("2001-09-06 11:00:00").cast("timestamp")
     tables = adapters.table(spark, sf_dir, "region").limit(1).select(F.explode(F.array(F.lit("issues"), F.lit("relations"))).alias("source_table"))
     stored = tables.where("source_table = 'issues'").select(F.lit("model").alias("consumer_name"), "source_table", F.lit(1).cast("long").alias("last_version"), F.lit("run_1").alias("last_run_id"), at.alias("updated_at"))
@@ -605,7 +620,7 @@ def fact_issue_incremental(spark, sf_dir):
 @query
 def published_fact(spark, sf_dir):
     """The stored fact after a batch that read the stored change logs, rewrote the workset's buckets, compared and published."""
-    issues, relations = _stored(spark, sf_dir)
+    issues, relations = _stored(spark, sf_dir).values()
     fact, bridge = star.fact_issue(issues.read(1)), star.bridge_issue_label(relations.read(1))
     stored = [VersionedTable(spark, new_path(spark, name), df.schema, keys, buckets=8, bucket_by=star.ISSUE_KEY) for name, df, keys in (("fact", fact, ["issue_key"]), ("bridge", bridge, ["issue_key", "label_key"]))]
     for table, df in zip(stored, (fact, bridge), strict=True):
@@ -719,9 +734,9 @@ def issues_per_month(spark, sf_dir):
 @query
 def key_agreement(spark, sf_dir):
     """Relations whose keys, by the bridge's formula, are keys of the fact and of the label dimension, by theirs."""
-    rows = _parsed_once(spark, sf_dir)
-    fact, labels = star.fact_issue(entities.latest_issues(rows)), star.dim_label(entities.latest_labels(rows))
-    bridge = star.bridge_issue_label(entities.relations_of(_scope(rows)))
+    newest = entities.newest_written(_log(spark, sf_dir), kinds=("issues", "labels", "relations"))
+    issues, seen, relations = [entities.entity_table(newest, kind) for kind in ("issues", "labels", "relations")]
+    fact, labels, bridge = star.fact_issue(issues), star.dim_label(seen), star.bridge_issue_label(relations)
     known = bridge.join(fact.select("issue_key", "repository_key"), "issue_key").join(labels.select("label_key"), "label_key")
     return known.groupBy("repository_owner", "repository_name", "repository_key").agg(F.count("*").alias("n_relations"))
 

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from test_state import log, payload  # noqa: F401
 
-from obslog.operators import entities, versions
+from obslog.operators import changes, entities, state, versions
+from obslog.schemas import RELATIONS, EntitySpec
 
 
 def label(name, i=301):
@@ -41,3 +42,20 @@ def test_one_table_of_a_replay_is_the_same_and_judges_all_rules(spark, log):  #
     bad = log({"p": payload(5, labels=[label(" ")]), "issue": 5})
     with pytest.raises(Exception, match="a label is malformed"):
         versions.replay(bad, F.lit("m"), F.lit("x"), ("users",))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_fold_of_upserts_is_one_exchange_and_relations_compare_no_images(spark):
+    df = spark.createDataFrame([(1, 1, "a", 1), (1, 2, "b", 2)], "k long, at long, x string, _version int")
+    folded, _ = state.fold_upserts(df, EntitySpec("t", ("k",), "at"), {1: "2026-02-01", 2: "2026-02-02"})
+    assert plan(folded).count("Exchange hashpartitioning") == 1 and [tuple(r) for r in folded.collect()] == [(1, 2, "b")]
+    feed = spark.createDataFrame(
+        [("o", "r", 1, k, None, "run", kind, v, None) for k, kind, v in ((1, "insert", 2), (2, "delete", 2), (3, "update_preimage", 2), (3, "update_postimage", 2), (1, "delete", 3))],
+        "repository_owner string, repository_name string, issue_id long, label_id long, observed_at timestamp, source_run_id string, _change_type string, _commit_version long, _commit_timestamp timestamp",
+    )
+    real = changes.real_changes(feed, RELATIONS)
+    assert "SortAggregate" not in plan(real)
+    assert sorted((r.label_id, r._commit_version, r.change) for r in real.collect()) == [(1, 2, "insert"), (1, 3, "delete"), (2, 2, "delete")]
