@@ -359,13 +359,12 @@ def replay_equals_merge(spark, sf_dir):
     rows = _log(spark, sf_dir, *runs)
     kinds = {"issues": ISSUES, "labels": LABELS, "users": USERS}
     each, whole = entities.newest_written(rows, kinds=tuple(kinds), by_run=True), entities.newest_written(rows, kinds=tuple(kinds))
+    committed = {adapters.RUNS[run][0]: adapters.RUNS[run][1] for run in runs}
     out = None
     for kind, spec in kinds.items():
-        of_run = lambda run, kind=kind: entities.entity_table(each.where(F.col("run") == run), kind)
-        folded = of_run(runs[0])
-        for run in runs[1:]:
-            folded, _ = state.guarded_upsert(folded, of_run(run), spec)
-        n = compare.diff_both_ways(folded, entities.entity_table(whole, kind)).agg(F.count("*").alias("differences")).select(F.lit(spec.name).alias("table_name"), "differences")
+        found = each.where(F.col("entity") == kind).select(f"{kind}.*", adapters.run_value(F.col("run"), 0, "int").alias("_version"))
+        folded = cut(state.fold_upserts(found, spec, committed)[0])
+        n = compare.diff_by_buckets(folded, entities.entity_table(whole, kind), spec.keys).agg(F.count("*").alias("differences")).select(F.lit(spec.name).alias("table_name"), "differences")
         out = n if out is None else out.unionByName(n)
     return out
 
