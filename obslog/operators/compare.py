@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslog.sources.folder import cut
@@ -29,10 +29,15 @@ def bucket_sums(df: DataFrame, keys: Sequence[str], columns: Sequence[str], buck
 
     Rows are summed up in the tasks that read them: only `buckets` rows a task are shuffled. Which
     columns are null is hashed as well, since a hash passes over nulls."""
-    whole = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
-    hashed = lambda seed: F.sum(F.xxhash64(F.lit(seed), *whole).cast("decimal(38,0)"))
+    a, b = [F.sum(h.cast("decimal(38,0)")) for h in _hashes(columns)]
     bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
-    return df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), hashed(1).alias("a"), hashed(2).alias("b"))
+    return df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), a.alias("a"), b.alias("b"))
+
+
+def _hashes(columns: Sequence[str]) -> list[Column]:
+    """Two hashes of a row, a and b."""
+    whole = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return [F.xxhash64(F.lit(seed), *whole).alias(name) for seed, name in ((1, "a"), (2, "b"))]
 
 
 def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], without: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
@@ -49,23 +54,44 @@ def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], wi
 
 def diff_by_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], without: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
     """What `diff_both_ways` gives, found by checksums: whole rows are grouped only in buckets that differ, so that equal tables cost one read of each."""
-    differ = F.broadcast(cut(differing_buckets(left, right, keys, without, buckets)))  # at most `buckets` rows
+    differ = cut(differing_buckets(left, right, keys, without, buckets))
+    if differ.isEmpty():
+        return diff_both_ways(left, right, without).limit(0)
+    return diff_both_ways(_in_buckets(left, keys, differ, buckets), _in_buckets(right, keys, differ, buckets), without)
+
+
+def _in_buckets(df: DataFrame, keys: Sequence[str], differ: DataFrame, buckets: int) -> DataFrame:
     bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
-    mine = lambda df: df.withColumn("_in", bucket).join(differ.withColumnRenamed("bucket", "_in"), "_in", "left_semi").select(df.columns)
-    return diff_both_ways(mine(left), mine(right), without)
+    few = F.broadcast(differ.withColumnRenamed("bucket", "_in"))  # at most `buckets` rows
+    return df.withColumn("_in", bucket).join(few, "_in", "left_semi").select(df.columns)
+
+
+def count_differences(left: DataFrame, right: DataFrame, keys: Sequence[str], without: Sequence[str] = (), buckets: int = 1024, dealt: bool = False) -> DataFrame:
+    """One row (left_only, right_only): how many rows of `diff_both_ways` each side has, duplicates counted.
+
+    In buckets that differ two 64-bit hashes of each row meet, and no row itself; of sides that are `dealt` alike by keys (as two
+    views of one table that `folder.cut` wrote by them are) not even these are exchanged."""
+    none = F.lit(0).cast("long")
+    differ = cut(differing_buckets(left, right, keys, without, buckets))
+    if differ.isEmpty():
+        return left.sparkSession.range(1).select(none.alias("left_only"), none.alias("right_only"))
+    columns = [c for c in left.columns if c not in without]
+    of_key = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)] if dealt else []
+    hashed = lambda df, n: _in_buckets(df, keys, differ, buckets).select(*of_key, *_hashes(columns), F.lit(n).alias("_n"))
+    net = hashed(left, 1).unionByName(hashed(right, -1)).groupBy(*[f"_k{i}" for i in range(len(of_key))], "a", "b").agg(F.sum("_n").alias("_n"))
+    of = lambda n: F.coalesce(F.sum(F.greatest(n, none)), none)
+    return net.agg(of(F.col("_n")).alias("left_only"), of(-F.col("_n")).alias("right_only"))
 
 
-def compare_report(left: dict[str, DataFrame], right: dict[str, DataFrame], keys: dict[str, Sequence[str]], without: dict[str, Sequence[str]] | None = None, buckets: int = 1024) -> DataFrame:
+def compare_report(left: dict[str, DataFrame], right: dict[str, DataFrame], keys: dict[str, Sequence[str]], without: dict[str, Sequence[str]] | None = None, buckets: int = 1024, dealt: bool = False) -> DataFrame:
     """(table_name, left_rows, right_rows, left_only, right_only) of the tables of two sides, such as a replay and a live state, or two replays.
 
-    Both sides must have the same tables. Columns named in `without` (lineage) are left out of a table's comparison."""
+    Both sides must have the same tables. dealt: as in `count_differences`. Columns named in `without` (lineage) are left out of a table's comparison."""
     if set(left) != set(right):
         raise ValueError(f"tables differ: {sorted(set(left) ^ set(right))}")
     out = None
     for name in sorted(left):
-        diff = diff_by_buckets(left[name], right[name], keys[name], (without or {}).get(name, ()), buckets)
-        only = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n"))), F.lit(0)).cast("long")
-        found = diff.agg(only("left").alias("left_only"), only("right").alias("right_only"))
+        found = count_differences(left[name], right[name], keys[name], (without or {}).get(name, ()), buckets, dealt)
         rows = [df.agg(F.count("*").alias("n")).scalar() for df in (left[name], right[name])]
         part = found.select(F.lit(name).alias("table_name"), rows[0].alias("left_rows"), rows[1].alias("right_rows"), "left_only", "right_only")
         out = part if out is None else out.unionByName(part)

@@ -129,15 +129,18 @@ def require_valid(rows: DataFrame, rules: Sequence[Rule], what: str = "rows") ->
     return rows
 
 
-def refused(rows: DataFrame, bad: Column, told: Column) -> DataFrame:
+def refused(rows: DataFrame, bad: Column, told: Column, besides: Sequence[str] = ()) -> DataFrame:
     """`rows`, in a plan that fails with `told` on the first row for which `bad` holds.
 
     The failure stands inside the value that a generator gives out, in place of the row: a
     filter or semi-join on the rows that come out is no filter of the generator's, so that no
     later condition moves below it, keeps a bad row from it, or is put into the rules. What
-    such a plan writes is not committed. It costs no job of its own."""
-    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    return rows.select(F.inline(F.array(F.when(F.coalesce(bad, F.lit(False)), F.raise_error(told)).otherwise(row))))
+    such a plan writes is not committed. It costs no job of its own.
+
+    besides: columns that stay beside the generator, so that rows are still known to be dealt out by them. A condition on
+    these can move below the guard: for rows that are all written before anything is asked of them."""
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in besides])
+    return rows.select(*besides, F.inline(F.array(F.when(F.coalesce(bad, F.lit(False)), F.raise_error(told)).otherwise(row))))
 
 
 def checked(rows: DataFrame, rules: Sequence[Rule], what: str = "rows") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from obslog.operators import contracts as C
 from obslog.schemas import ISSUES, LABELS, PAYLOAD, USERS, EntitySpec
-from obslog.sources.folder import cut, view_of
+from obslog.sources.folder import cut, dealt, view_of
 from obslog.sources.log import instant
 
 
@@ -115,35 +115,50 @@ def latest_of(rows: DataFrame, spec: EntitySpec, order: str | None = None) -> Da
     return latest(rows, spec.keys, [order or spec.order, *spec.ties])
 
 
-def newest(observations: DataFrame, make: Callable[[DataFrame], DataFrame], keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def newest(observations: DataFrame, make: Callable[[DataFrame], DataFrame], keys: Sequence[str], order: Sequence[str], columns: Sequence[str], within: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """`columns` of what `latest` keeps of `make`'s rows, written on the way, for orders that end with the payload's text.
 
     The text is by far the widest column and decides only between rows that are equal in all
     that comes before it. So rows are ranked, sorted and exchanged without it: of those that
     tie, equal ones are one row, and only keys whose tied rows differ are ranked once more, with the text.
-    `make` gets parsed rows with and without it."""
+    `make` gets parsed rows with and without it.
+
+    within: a column; the newest of each of its values is kept, and _newest tells which is the newest of the key. by: columns, the
+    keys or some of them, in whose buckets the result is written; they are what rows are exchanged by, once."""
     *before, text = order
     if text != "raw_json":
         raise ValueError(f"the order must end with raw_json, not with {text}")
-    last = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in before])
-    all_ = list(dict.fromkeys([*keys, *before, *columns]))
-    top = make(without_text(parsed(observations))).select(all_).withColumn("_rank", F.rank().over(last)).where("_rank = 1")
-    one = F.struct(*columns)
-    told = top.withColumn("_n", F.row_number().over(last)).withColumn("_differs", ~one.eqNullSafe(F.first(one).over(last.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    found = cut(told.where("_n = 1 OR _differs").select(*dict.fromkeys([*keys, *columns]), "_n", "_differs"))
+    by = list(by or (keys if within else ()))
+    each, told, kept = [*([within] if within else []), *keys], ["_newest"] if within else [], list(dict.fromkeys([*columns, *([within] if within else [])]))
+
+    def placed(of: Sequence[str], order: Sequence[str]) -> Window:
+        return Window.partitionBy(*of).orderBy(*[F.desc(c) for c in order])
+
+    def differs(of: Sequence[str]) -> Column:
+        """Whether a row is another one than the first of those that tie with it."""
+        return ~F.struct(*columns).eqNullSafe(F.first(F.struct(*columns)).over(placed(of, before).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    rows = make(without_text(parsed(observations))).select(list(dict.fromkeys([*each, *before, *kept])))
+    top = (dealt(rows, by) if by else rows).withColumn("_rank", F.rank().over(placed(each, before))).where("_rank = 1").drop("_rank")
+    top = top.withColumn("_n", F.row_number().over(placed(each, before))).withColumn("_differs", differs(each)).where("_n = 1 OR _differs")
+    if within:
+        first = (F.rank().over(placed(keys, before)) == 1) & ~F.col("_differs")
+        top = top.withColumn("_newest", F.row_number().over(placed(keys, before)) == 1).withColumn("_differs", F.col("_differs") | (first & differs(keys)))
+    found = cut(top.select(*dict.fromkeys([*keys, *kept]), *told, "_n", "_differs"), by, "zstd")
     if found.where("_differs").isEmpty():
-        return view_of(found, found.select(*columns))
+        return view_of(found, found.select(*kept, *told))
     tied = found.where("_differs").select(*[F.col(k).alias(f"_tied_{k}") for k in keys]).distinct()
     same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_tied_{k}")) for k in keys])
-    again = latest(make(parsed(observations)).join(tied, same, "left_semi"), keys, order)
-    return found.join(tied, same, "left_anti").select(*columns).unionByName(again.select(*columns))
+    again = latest(make(parsed(observations)).join(tied, same, "left_semi"), each, order)
+    again = again.withColumn("_newest", F.row_number().over(placed(keys, order)) == 1) if within else again
+    return found.join(tied, same, "left_anti").select(*kept, *told).unionByName(again.select(*kept, *told))
 
 
-def everything(parsed_rows: DataFrame) -> DataFrame:
+def everything(parsed_rows: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """One row per observation with the columns of its issue, its author and its label envelope; what they share has one column."""
     of_user = [f for f in USER_FIELDS if f[0] != "_payload_id"]
     own = [_pull(parsed_rows), F.col("source_updated_at").alias("_source_updated_at"), F.col("issue_id").alias("source_issue_id")]
-    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *_fields(of_user), F.col("_p.labels").alias("labels"), *own, *_observed(), *_origin(parsed_rows))
+    return parsed_rows.select(*ISSUES.keys, *_fields(ISSUE_FIELDS), *_fields(of_user), F.col("_p.labels").alias("labels"), *own, *_observed(), *also, *_origin(parsed_rows))
 
 
 #: What `everything` must meet: the rules of all entities, each once.
@@ -157,11 +172,21 @@ def check_observations(observations: DataFrame) -> None:
 
 #: What an observation tells of, and the entity that each table is read off.
 KINDS = {"issues": "issues", "users": "users", "labels": "labels", "relations": "envelopes"}
-_TAGGED = (["entity", "_owner", "_name", "_key"], ["_order", *ISSUES.ties], ["entity", "issues", "users", "envelopes", "labels"])
+_KEY = ["_owner", "_name", "_key"]
+_TAGGED = (["entity", *_KEY], ["_order", *ISSUES.ties], ["entity", *_KEY, "_order", "source_run_id", "issues", "users", "labels", "label_ids"])
+# The columns of an entity, and those of them that a tagged row has for all entities.
+_OF = {"issues": ISSUE_COLUMNS, "users": USER_COLUMNS, "labels": LABEL_COLUMNS, "envelopes": [*ISSUES.keys, "label_ids", "observed_at", "source_run_id"]}
+_PLACE = {"repository_owner": "_owner", "repository_name": "_name", "source_run_id": "source_run_id"}
+_SHARED = {
+    "issues": {**_PLACE, "issue_id": "_key", "updated_at": "_order"},
+    "users": {"user_id": "_key", "observed_at": "_order", "source_run_id": "source_run_id"},
+    "labels": {**_PLACE, "label_id": "_key", "observed_at": "_order"},
+    "envelopes": {**_PLACE, "issue_id": "_key", "observed_at": "_order", "label_ids": "label_ids"},
+}
 
 
 def newest_of_each(observations: DataFrame, check: bool = True) -> DataFrame:
-    """The newest issues, users, labels and label envelopes of observations, as rows (entity, and a struct of that name).
+    """The newest issues, users, labels and label envelopes of observations, as tagged rows.
 
     One scan and one parse: a generator gives out an observation's entities as tagged rows, and
     one ranking by tag and key, limited in each task before the one exchange, keeps the
@@ -170,55 +195,66 @@ def newest_of_each(observations: DataFrame, check: bool = True) -> DataFrame:
     return latest(_tagged(parsed(observations), check), keys, order).select(*columns)
 
 
-def newest_written(observations: DataFrame, check: bool = True, kinds: Sequence[str] = tuple(KINDS), by_run: bool = False) -> DataFrame:
+def newest_written(observations: DataFrame, check: bool = True, kinds: Sequence[str] = tuple(KINDS), within: str | None = None, columns: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """What `newest_of_each` gives, or the kinds of it that are asked for, ranked without the payload's text and written (`newest`).
 
-    by_run: of each run, with its source_run_id as `run`. Whatever the kinds, all rules judge every observation."""
-    keys, order, columns = _TAGGED
-    run = ["source_run_id"] if by_run else []
-    out = newest(observations, lambda rows: _tagged(rows, check, kinds), [*run, *keys], order, [*run, *columns])
-    return view_of(out, out.withColumnRenamed("source_run_id", "run"))
+    within: source_run_id or a column that observations have besides, such as one that marks a frozen input; the
+    newest of each of its values, in buckets of the key, with _newest for the newest of all. columns: what is asked for of
+    some kinds, besides what all rows have. Whatever the kinds, all rules judge every observation."""
+    keys, order, out = _TAGGED
+    return newest(observations, lambda rows: _tagged(rows, check, kinds, columns or {}, within), keys, order, out, within, _KEY if within else ())
 
 
-def _tagged(parsed_rows: DataFrame, check: bool, kinds: Sequence[str] = tuple(KINDS)) -> DataFrame:
-    """A row for each entity of an observation: its tag, its key, its order and, in the column of its tag, what it is."""
-    wide = everything(parsed_rows)
+def _tagged(parsed_rows: DataFrame, check: bool, kinds: Sequence[str] = tuple(KINDS), columns: dict[str, Sequence[str]] | None = None, also: str | None = None) -> DataFrame:
+    """A row for each entity of an observation: its tag, its key, its order and, in the column of its tag, what it is besides.
+
+    Checked rows have one time of updating and observing, so that an issue and its envelope are one row where both are asked for."""
+    extra = [also] if also in parsed_rows.columns else []
+    wide = everything(parsed_rows, extra)
     wide = C.checked(wide, ALL_RULES, "observations") if check else wide
-    empty = {k: F.lit(None).cast("string") for k in ("owner", "name")}
-    place = {"owner": F.col("repository_owner"), "name": F.col("repository_name")}
-    issue = F.struct(*ISSUE_COLUMNS)
-    user = F.struct(*USER_COLUMNS)
-    envelope = F.struct(*ISSUES.keys, F.transform("labels", lambda x: x["id"]).alias("label_ids"), "observed_at", "source_run_id")
+    wide = wide.withColumn("label_ids", F.transform("labels", lambda x: x["id"]))
+    no_text, no_ids = F.lit(None).cast("string"), F.lit(None).cast("array<bigint>")
+    asked = {KINDS[k] for k in kinds}
 
-    def label(x: Column) -> Column:
-        fields = [(F.lower(x[path]) if name == "color" else x[path]).alias(name) for name, path in LABEL_FIELDS]
-        return F.struct(F.col("repository_owner"), F.col("repository_name"), *fields, F.col("observed_at"), F.col("source_run_id"))
+    def rest(kind: str) -> list[str]:
+        return [c for c in (columns or {}).get(kind, _OF[kind]) if c not in _SHARED[kind]]
 
-    no_label = F.get(F.transform(F.filter("labels", lambda x: F.lit(False)), label), F.lit(0))
-    none = {"issues": F.when(F.lit(False), issue), "users": F.when(F.lit(False), user), "envelopes": F.when(F.lit(False), envelope), "labels": no_label}
+    def struct(kind: str, value: Callable[[str], Column] = F.col) -> Column:
+        return F.struct(*[value(c).alias(c) for c in rest(kind)] or [F.lit(True).alias("there")])
 
-    def tagged(kind: str, keys: dict[str, Column], key: Column, order: Column, value: Column) -> Column:
-        parts = none | {kind: value}
-        return F.struct(F.lit(kind).alias("entity"), keys["owner"].alias("_owner"), keys["name"].alias("_name"), key.alias("_key"), order.alias("_order"), *[v.alias(k) for k, v in parts.items()])
+    def field(x: Column) -> Callable[[str], Column]:
+        path = dict(LABEL_FIELDS)
+        return lambda name: F.lower(x[path[name]]) if name == "color" else x[path[name]]
 
-    seen = F.col("observed_at")
-    asked = {KINDS[k] for k in kinds}
-    single = {
-        "issues": tagged("issues", place, F.col("issue_id"), F.col("updated_at"), issue),
-        "users": tagged("users", empty, F.col("user_id"), seen, user),
-        "envelopes": tagged("envelopes", place, F.col("issue_id"), seen, envelope),
-    }
-    parts = [F.array(*[row for kind, row in single.items() if kind in asked])] if asked & set(single) else []
-    parts += [F.transform("labels", lambda x: tagged("labels", place, x["id"], seen, label(x)))] if "labels" in asked else []
-    return wide.select("source_run_id", *_origin(wide), F.inline(F.concat(*parts)))
+    no_label = F.get(F.transform(F.filter("labels", lambda x: F.lit(False)), lambda x: struct("labels", field(x))), F.lit(0))
+    none = {"issues": F.when(F.lit(False), struct("issues")), "users": F.when(F.lit(False), struct("users")), "labels": no_label, "label_ids": no_ids}
+
+    def tagged(kind: str, owner: Column, name: Column, key: Column, order: Column, **value: Column) -> Column:
+        parts = none | value
+        return F.struct(F.lit(kind).alias("entity"), owner.alias("_owner"), name.alias("_name"), key.alias("_key"), order.alias("_order"), *[v.alias(k) for k, v in parts.items()])
+
+    place, seen = (F.col("repository_owner"), F.col("repository_name")), F.col("observed_at")
+    both = check and {"issues", "envelopes"} <= asked
+    single = []
+    if "issues" in asked:
+        single.append(tagged("issues", *place, F.col("issue_id"), F.col("updated_at"), issues=struct("issues"), **({"label_ids": F.col("label_ids")} if both else {})))
+    if "users" in asked:
+        single.append(tagged("users", no_text, no_text, F.col("user_id"), seen, users=struct("users")))
+    if "envelopes" in asked and not both:
+        single.append(tagged("envelopes", *place, F.col("issue_id"), seen, label_ids=F.col("label_ids")))
+    parts = [F.array(*single)] if single else []
+    parts += [F.transform("labels", lambda x: tagged("labels", *place, x["id"], seen, labels=struct("labels", field(x))))] if "labels" in asked else []
+    return wide.select("source_run_id", *extra, *_origin(wide), F.inline(F.concat(*parts)))
 
 
 def entity_table(newest: DataFrame, entity: str) -> DataFrame:
     """One kind of `newest_of_each`: issues, users, labels, or the relations of its envelopes."""
-    if entity == "relations":
-        rows = newest.where("entity = 'envelopes'").select("envelopes.*")
-        return rows.select(*ISSUES.keys, F.explode("label_ids").alias("label_id"), "observed_at", "source_run_id")
-    return newest.where(F.col("entity") == entity).select(f"{entity}.*")
+    kind = KINDS[entity]
+    if kind == "envelopes":
+        rows = newest.where("label_ids IS NOT NULL")
+        return rows.select(*[F.col(_SHARED[kind][c]).alias(c) for c in ISSUES.keys], F.explode("label_ids").alias("label_id"), F.col("_order").alias("observed_at"), "source_run_id")
+    has = newest.schema[kind].dataType.names
+    return newest.where(F.col("entity") == kind).select(*[F.col(_SHARED[kind].get(c, f"{kind}.{c}")).alias(c) for c in _OF[kind] if c in _SHARED[kind] or c in has])
 
 
 def latest_issues(observations: DataFrame, check: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ _change_type, _commit_version and _commit_timestamp."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,36 +118,58 @@ def _committed_at(committed: dict[int, str]) -> Column:
     return F.create_map(*[x for v, at in sorted(committed.items()) for x in (F.lit(v), F.lit(at).cast("timestamp"))])[F.col("_commit_version").cast("int")]
 
 
+class Folded(NamedTuple):
+    """What a fold gives: the state after all versions, the changes of all versions, and what the state was at each of them."""
+
+    state: DataFrame
+    changes: DataFrame
+    at: Callable[[int], DataFrame]
+
+
 def fold_upserts(rows: DataFrame, spec: EntitySpec, committed: dict[int, str], keep: Keep | None = None, check: bool = True) -> tuple[DataFrame, DataFrame]:
     """(state after all versions, changes of all versions): what `guarded_upsert` gives, version after version, from an empty state.
 
     rows: the columns of the state, with a value in the order column, and _version, of which
     `committed` has the time. A version's guard asks for the newest row so far, which is a
     running maximum by key: all versions share one exchange and one sort, in place of an outer
-    join and a written state for each. A key that comes twice in a version fails the plan
+    join and a written state for each; rows that lie in buckets of the keys need no exchange. A key that comes twice in a version fails the plan
     unless `check` is off."""
+    return folded_upserts(rows, spec, committed, keep, check)[:2]
+
+
+def folded_upserts(rows: DataFrame, spec: EntitySpec, committed: dict[int, str], keep: Keep | None = None, check: bool = True) -> Folded:
+    """`fold_upserts`, and the state at each version."""
     columns = [c for c in rows.columns if c != "_version"]
-    placed = rows.select(*spec.keys, "_version", F.struct(F.col(spec.order).alias("o"), F.col("_version").alias("v"), F.struct(*columns).alias("row")).alias("s")).repartition(*spec.keys)
+    rest = [c for c in columns if c not in spec.keys]
+    placed = rows.select(*spec.keys, "_version", F.struct(F.col(spec.order).alias("o"), F.col("_version").alias("v"), F.struct(*rest).alias("row")).alias("s"))
     in_order = Window.partitionBy(*spec.keys).orderBy("_version")
     so_far = F.max("s").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    folded = placed.withColumn("t", so_far).withColumn("_last", F.lead("_version").over(in_order).isNull())
+    folded = placed.withColumn("t", so_far).withColumn("_until", F.lead("_version").over(in_order))
     if check:  # rows of a key are in order, so that a version that comes twice stands next to itself
-        folded = refused(folded.withColumn("_again", F.lag(F.struct("_version")).over(in_order).eqNullSafe(F.struct("_version"))), F.col("_again"), repeated(spec.keys, spec.name))
-    folded = folded.select("s", "t", "_last")
+        folded = refused(folded.withColumn("_again", F.lag(F.struct("_version")).over(in_order).eqNullSafe(F.struct("_version"))), F.col("_again"), repeated(spec.keys, spec.name), spec.keys if keep else ())
+    folded = folded.select(*spec.keys, "s", "t", "_until")
     folded = keep(folded) if keep else folded
-    state = folded.where("_last").select(F.greatest("s", "t").alias("s")).select("s.row.*")
     act = F.when(F.col("t").isNull(), "insert").when(F.col("s.o") >= F.col("t.o"), "update").otherwise("keep")
-    sides = folded.select(F.col("t.row").alias("t"), F.col("s.row").alias("s"), act.alias("act"), F.col("s.v").alias("_commit_version"))
-    return state, _fold_images(sides, committed)
+    sides = folded.select(*spec.keys, F.col("t.row").alias("t"), F.col("s.row").alias("s"), act.alias("act"), F.col("s.v").alias("_commit_version"))
+
+    def newest(of: DataFrame) -> DataFrame:
+        return of.select(*spec.keys, F.greatest("s", "t").alias("s")).select(*[F.col(c) if c in spec.keys else F.col(f"s.row.{c}") for c in columns])
 
+    def at(version: int) -> DataFrame:
+        return newest(folded.where((F.col("s.v") <= version) & (F.col("_until").isNull() | (F.col("_until") > version))))
 
-def _fold_images(sides: DataFrame, committed: dict[int, str]) -> DataFrame:
+    return Folded(newest(folded.where("_until IS NULL")), _fold_images(sides, columns, committed), at)
+
+
+def _fold_images(sides: DataFrame, columns: Sequence[str], committed: dict[int, str]) -> DataFrame:
+    """Change rows of sides whose keys are columns of their own, before the images t and s of the others."""
     image = lambda kind, row: F.struct(F.lit(kind).alias("_change_type"), row.alias("row"))
     rows = F.when(F.col("act") == "insert", F.array(image(INSERT, F.col("s")))).when(F.col("act") == "delete", F.array(image(DELETE, F.col("t")))).when(
         F.col("act") == "update", F.array(image(BEFORE, F.col("t")), image(AFTER, F.col("s")))
     )
-    out = sides.select(F.col("_commit_version").cast("long").alias("_commit_version"), F.explode(rows).alias("x"))
-    return out.select("x.row.*", "x._change_type", "_commit_version", _committed_at(committed).alias("_commit_timestamp"))
+    keys = [c for c in sides.columns if c in columns]
+    out = sides.select(*keys, F.col("_commit_version").cast("long").alias("_commit_version"), F.explode(rows).alias("x"))
+    return out.select(*[F.col(c) if c in keys else F.col(f"x.row.{c}") for c in columns], "x._change_type", "_commit_version", _committed_at(committed).alias("_commit_timestamp"))
 
 
 def fold_reconciles(scopes: DataFrame, children: str, child: str, committed: dict[int, str], parent_keys: Sequence[str], keep: Keep | None = None) -> tuple[DataFrame, DataFrame]:
@@ -155,20 +178,26 @@ def fold_reconciles(scopes: DataFrame, children: str, child: str, committed: dic
     scopes: the parents' observations (parent_keys, observed_at, source_run_id, `children`: a list of the
     keys that each has, and _version), one for a parent and version. A child's history
     is the list of its parent's observations, each with or without it, and is folded in its
-    row: one exchange by parent, and no state is written between versions. What must fit a
+    row: one exchange by parent, or none if the scopes lie in buckets of the parents, and no state is written between versions. What must fit a
     task is a parent's observations in the versions that are folded."""
+    return folded_reconciles(scopes, children, child, committed, parent_keys, keep)[:2]
+
+
+def folded_reconciles(scopes: DataFrame, children: str, child: str, committed: dict[int, str], parent_keys: Sequence[str], keep: Keep | None = None) -> Folded:
+    """`fold_reconciles`, and the state at each version."""
+    keys, columns = [*parent_keys, child], [*parent_keys, child, "observed_at", "source_run_id"]
     seen = F.struct(F.col("_version").alias("v"), "observed_at", "source_run_id", F.col(children).alias("has"))
     grouped = scopes.groupBy(*parent_keys).agg(F.sort_array(F.collect_list(seen)).alias("seen"))
     every = F.array_distinct(F.flatten(F.transform("seen", lambda o: o["has"])))
     one = grouped.select(*parent_keys, "seen", F.explode(every).alias(child))
-    row = F.struct(*[F.col(c) for c in parent_keys], F.col(child), F.element_at("seen", 1)["observed_at"].alias("observed_at"), F.element_at("seen", 1)["source_run_id"].alias("source_run_id"))
+    row = F.struct(F.element_at("seen", 1)["observed_at"].alias("observed_at"), F.element_at("seen", 1)["source_run_id"].alias("source_run_id"))
     maybe = F.when(F.col(child).isNull(), row)  # a row or none: the type of what may be null
     step = F.struct(maybe.alias("t"), maybe.alias("s"), F.lit("").alias("act"), F.lit(0).cast("long").alias("_commit_version"))
     nothing = F.struct(F.when(F.lit(False), maybe).alias("t"), F.filter(F.array(step), lambda x: F.lit(False)).alias("out"))
 
     def then(acc: Column, o: Column) -> Column:
         t, has = acc["t"], F.array_contains(o["has"], F.col(child))
-        s = F.struct(*[F.col(c) for c in parent_keys], F.col(child), o["observed_at"].alias("observed_at"), o["source_run_id"].alias("source_run_id"))
+        s = F.struct(o["observed_at"].alias("observed_at"), o["source_run_id"].alias("source_run_id"))
         act = (
             F.when(t.isNull(), F.when(has, "insert").otherwise("none"))
             .when(has, F.when(o["observed_at"] >= t["observed_at"], "update").otherwise("none"))
@@ -179,9 +208,15 @@ def fold_reconciles(scopes: DataFrame, children: str, child: str, committed: dic
         change = F.struct(t.alias("t"), s.alias("s"), act.alias("act"), o["v"].cast("long").alias("_commit_version"))
         return F.struct(now.alias("t"), F.when(act == "none", acc["out"]).otherwise(F.array_append(acc["out"], change)).alias("out"))
 
-    folded = one.select(F.aggregate("seen", nothing, then).alias("f")).select("f.t", "f.out")
+    folded = one.select(*keys, F.aggregate("seen", nothing, then).alias("f")).select(*keys, "f.t", "f.out")
     folded = keep(folded) if keep else folded
-    return folded.where("t IS NOT NULL").select("t.*"), _fold_images(folded.select(F.inline("out")), committed)
+
+    def at(version: int) -> DataFrame:
+        """A child's last change so far says whether it is there: all but a deletion leave their image."""
+        last = F.try_element_at(F.filter("out", lambda x: x["_commit_version"] <= version), F.lit(-1))
+        return folded.select(*keys, last.alias("x")).where("x.act <> 'delete'").select(*keys, "x.s.*")
+
+    return Folded(folded.where("t IS NOT NULL").select(*keys, "t.*"), _fold_images(folded.select(*keys, F.inline("out")), columns, committed), at)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

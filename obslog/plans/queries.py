@@ -358,13 +358,13 @@ def replay_equals_merge(spark, sf_dir):
     runs = ("run_1", "run_2", "run_4")
     rows = _log(spark, sf_dir, *runs)
     kinds = {"issues": ISSUES, "labels": LABELS, "users": USERS}
-    each, whole = entities.newest_written(rows, kinds=tuple(kinds), by_run=True), entities.newest_written(rows, kinds=tuple(kinds))
+    each = entities.newest_written(rows, kinds=tuple(kinds), within="source_run_id")
     committed = {adapters.RUNS[run][0]: adapters.RUNS[run][1] for run in runs}
     out = None
     for kind, spec in kinds.items():
-        found = each.where(F.col("entity") == kind).select(f"{kind}.*", adapters.run_value(F.col("run"), 0, "int").alias("_version"))
-        folded = cut(state.fold_upserts(found, spec, committed)[0])
-        n = compare.diff_by_buckets(folded, entities.entity_table(whole, kind), spec.keys).agg(F.count("*").alias("differences")).select(F.lit(spec.name).alias("table_name"), "differences")
+        found = entities.entity_table(each, kind).withColumn("_version", adapters.run_value(F.col("source_run_id"), 0, "int"))
+        folded, _ = state.fold_upserts(found, spec, committed)
+        n = compare.diff_by_buckets(folded, entities.entity_table(each.where("_newest"), kind), spec.keys).agg(F.count("*").alias("differences")).select(F.lit(spec.name).alias("table_name"), "differences")
         out = n if out is None else out.unionByName(n)
     return out
 
