@@ -53,26 +53,32 @@ class _States:
     """Issues and relations after run 1 and after run 4, and their change logs for versions 2 to 4; a query folds what it asks for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        newest = _newest_of_runs(spark, sf_dir)
+        self.newest = _newest_of_runs(spark, sf_dir)
         number = F.create_map(*[x for run, (v, *_) in adapters.RUNS.items() for x in (F.lit(run), F.lit(v))])
-        self.rows = newest.withColumn("_version", number[F.col("source_run_id")])
+        self.rows = self.newest.withColumn("_version", number[F.col("source_run_id")])
         self.committed = {v: at for v, at, *_ in adapters.RUNS.values()}
-        self.first_issues, self.first_relations = _both(_of(newest, "run_1"))
+        self.first_issues, self.first_relations = _both(_of(self.newest, "run_1"))
+        self.written: list[DataFrame] = [self.newest]
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """All that is folded lies in buckets of the issue's key, by which it is grouped, ranked and joined."""
+        self.written.append(cut(df, star.ISSUE_KEY))
+        return self.written[-1]
 
     @functools.cached_property
-    def _folded_issues(self) -> tuple[DataFrame, DataFrame]:
+    def folded_issues(self) -> state.Folded:
         """All four runs folded at once; the first run's rows are no changes."""
-        return state.fold_upserts(self.rows.select(*entities.ISSUE_COLUMNS, "_version"), ISSUES, self.committed, keep=cut)
+        return state.folded_upserts(self.rows.select(*entities.ISSUE_COLUMNS, "_version"), ISSUES, self.committed, keep=self._keep)
 
     @functools.cached_property
-    def _folded_relations(self) -> tuple[DataFrame, DataFrame]:
+    def folded_relations(self) -> state.Folded:
         seen = self.rows.select(*star.ISSUE_KEY, "observed_at", "source_run_id", "label_ids", "_version")
-        return state.fold_reconciles(seen, "label_ids", "label_id", self.committed, star.ISSUE_KEY, keep=cut)
+        return state.folded_reconciles(seen, "label_ids", "label_id", self.committed, star.ISSUE_KEY, keep=self._keep)
 
-    issues = property(lambda self: self._folded_issues[0])
-    issue_feed = property(lambda self: self._folded_issues[1].where("_commit_version > 1"))
-    relations = property(lambda self: self._folded_relations[0])
-    relation_feed = property(lambda self: self._folded_relations[1].where("_commit_version > 1"))
+    issues = property(lambda self: self.folded_issues.state)
+    issue_feed = property(lambda self: self.folded_issues.changes.where("_commit_version > 1"))
+    relations = property(lambda self: self.folded_relations.state)
+    relation_feed = property(lambda self: self.folded_relations.changes.where("_commit_version > 1"))
 
 
 def _newest_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +88,7 @@ def _newest_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         wide = contracts.checked(entities.everything(parsed), entities.ALL_RULES, "observations")
         return wide.withColumn("label_ids", F.transform("labels", lambda x: x["id"]))
 
-    return entities.newest(_log(spark, sf_dir), rows, ["source_run_id", *ISSUES.keys], ["_source_updated_at", "_ingested_at", "_page_or_batch_reference", "raw_json"], _SEEN)
+    return entities.newest(_log(spark, sf_dir), rows, ["source_run_id", *ISSUES.keys], ["_source_updated_at", "_ingested_at", "_page_or_batch_reference", "raw_json"], _SEEN, by=ISSUES.keys)
 
 
 def _of(newest: DataFrame, run: str) -> DataFrame:
@@ -95,28 +101,19 @@ def _both(newest: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _stored(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, VersionedTable]:
-    """Issues and relations (or one of them) as versioned tables after four runs; change rows are stored from the second on."""
-    newest = _newest_of_runs(spark, sf_dir)
-    first = dict(zip(("issues", "relations"), _both(_of(newest, "run_1")), strict=True))
-    tables = {name: VersionedTable(spark, new_path(spark, name), first[name].schema, spec.keys, buckets=8, keep=4, feed=True, bucket_by=star.ISSUE_KEY) for name, spec in (("issues", ISSUES), ("relations", RELATIONS)) if name in (names or first)}
-    for name, table in tables.items():
-        table.commit(first[name], None, 1, adapters.RUNS["run_1"][1])
-    for run in ("run_2", "run_3", "run_4"):
-        version, at = adapters.RUNS[run][:2]
-        seen = _of(newest, run)
-        source, relations = _both(seen)
+    """Issues and relations (or one of them) as versioned tables after four runs; change rows are stored from the second on.
+
+    All runs are folded at once, and each version's commit reads the fold: no old state is joined with a run."""
+    s = _States(spark, sf_dir)
+    folds = {name: fold() for name, fold in (("issues", lambda: s.folded_issues), ("relations", lambda: s.folded_relations)) if name in (names or ("issues", "relations"))}
+    tables = {name: VersionedTable(spark, new_path(spark, name), fold.state.schema, {"issues": ISSUES, "relations": RELATIONS}[name].keys, buckets=8, keep=4, feed=True, bucket_by=star.ISSUE_KEY, gathered=False) for name, fold in folds.items()}
+    for run, (version, at, *_) in adapters.RUNS.items():
+        touched = None if version == 1 else next(iter(tables.values())).touched(_of(s.newest, run))
         for name, table in tables.items():
-            touched = table.touched(seen)
-            kept: list[DataFrame] = []
-            keep = lambda df, kept=kept: kept.append(cut(df)) or kept[-1]
-            old = table.read(buckets=touched)
-            if name == "issues":
-                new, changed = state.guarded_upsert(old, source, ISSUES, version, F.lit(at), keep=keep)
-            else:
-                new, changed = state.reconcile(old, seen, relations, star.ISSUE_KEY, RELATIONS, version, F.lit(at), keep=keep)
-            table.commit(new, touched, version, at, changed)
-            discard(*kept)
-    discard(newest)
+            now = folds[name].at(version)
+            changed = None if version == 1 else folds[name].changes.where(F.col("_commit_version") == version)
+            table.commit(now if touched is None else now.where(table.bucket().isin(touched)), touched, version, at, changed)
+    discard(*s.written)
     return tables
 
 
@@ -621,7 +618,7 @@ def published_fact(spark, sf_dir):
     """The stored fact after a batch that read the stored change logs, rewrote the workset's buckets, compared and published."""
     issues, relations = _stored(spark, sf_dir).values()
     fact, bridge = star.fact_issue(issues.read(1)), star.bridge_issue_label(relations.read(1))
-    stored = [VersionedTable(spark, new_path(spark, name), df.schema, keys, buckets=8, bucket_by=star.ISSUE_KEY) for name, df, keys in (("fact", fact, ["issue_key"]), ("bridge", bridge, ["issue_key", "label_key"]))]
+    stored = [VersionedTable(spark, new_path(spark, name), df.schema, keys, buckets=8, bucket_by=star.ISSUE_KEY, gathered=False) for name, df, keys in (("fact", fact, ["issue_key"]), ("bridge", bridge, ["issue_key", "label_key"]))]
     for table, df in zip(stored, (fact, bridge), strict=True):
         table.commit(df, None, 1, adapters.RUNS["run_1"][1])
     kinds = spark.createDataFrame([], "consumer_name string, source_table string, last_version long, last_run_id string, updated_at timestamp").schema

@@ -94,12 +94,14 @@ class VersionedTable:
 
     The newest `keep` versions stay readable. Change rows are stored for commits made with
     `feed`, and stay; a range is read by its partitions alone. A manifest has an entry for each
-    bucket; give as many buckets as keep one at some hundred megabytes. There is one writer at a time."""
+    bucket; give as many buckets as keep one at some hundred megabytes. A commit exchanges its rows, so that a bucket
+    is one file; not `gathered`, each task writes a file of its own in each bucket, which needs no exchange and is no one
+    task's work: for commits of much data. There is one writer at a time."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 32, keep: int = 2, feed: bool = False, bucket_by: Sequence[str] | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 32, keep: int = 2, feed: bool = False, bucket_by: Sequence[str] | None = None, gathered: bool = True):
         self.spark, self.path, self.keys, self.buckets, self.keep, self.feed = spark, path.rstrip("/"), list(keys), buckets, keep, feed
         self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-        self.bucket_by = list(bucket_by or keys)
+        self.bucket_by, self.gathered = list(bucket_by or keys), gathered
         self.files = Files(spark)
 
     # --- what is there
@@ -173,11 +175,11 @@ class VersionedTable:
         if touched:
             folder = f"{version}-{uuid.uuid4().hex}"
             rows = state.select([f.name for f in self.schema]).withColumn("_bucket", self.bucket())
-            rows.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
+            (rows.repartition("_bucket") if self.gathered else rows).write.option("compression", "zstd").partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
             buckets |= {n.removeprefix("_bucket="): folder for n in self.files.names(f"{self.path}/data/{folder}") if n.startswith("_bucket=")}
         if self.feed and changes is not None:
             rows = changes.select(*[f.name for f in self.schema], "_change_type", "_commit_timestamp")
-            rows.write.mode("overwrite").parquet(f"{self.path}/changes/_commit_version={version}")
+            rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/changes/_commit_version={version}")
         return Staged(version, folder, buckets, touched, self.feed and changes is not None)
 
     def preview(self, staged: Staged) -> DataFrame:

@@ -48,6 +48,29 @@ def test_one_ranking_gives_the_newest_of_each_run_and_of_all(spark, log):  # noq
         assert "Exchange" not in plan(folded) and told(folded) == told(entities.entity_table(each.where("_newest"), kind))
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_states_at_each_version_are_those_of_the_versions_so_far(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [(k, START + timedelta(days=rng.randrange(5)), f"{v}-{k}", v) for v in COMMITTED for k in rng.sample(range(12), 7)]
+    df = spark.createDataFrame(rows, "k long, at timestamp, x string, _version int")
+    folded = state.folded_upserts(df, SPEC, COMMITTED, keep=lambda d: cut(d, ["k"]))
+    scopes = [("o", "r", i, START + timedelta(days=rng.randrange(4)), f"run {v}", rng.sample(range(1, 6), rng.randrange(4)), v) for v in COMMITTED for i in rng.sample(range(6), 4)]
+    seen = spark.createDataFrame(scopes, "repository_owner string, repository_name string, issue_id long, observed_at timestamp, source_run_id string, label_ids array<long>, _version int")
+    relations = state.folded_reconciles(seen, "label_ids", "label_id", COMMITTED, PARENT, keep=lambda d: cut(d, PARENT))
+    table = VersionedTable(spark, f"{tmp_path}/t", relations.state.schema, RELATIONS.keys, buckets=3, keep=9, bucket_by=PARENT, gathered=False)
+    for v in COMMITTED:
+        so_far = F.col("_version") <= v
+        assert told(folded.at(v)) == told(state.fold_upserts(df.where(so_far), SPEC, COMMITTED)[0]) != []
+        now = relations.at(v)
+        assert "Exchange" not in plan(now)
+        table.commit(now, None, v, COMMITTED[v])
+        want = told(state.fold_reconciles(seen.where(so_far), "label_ids", "label_id", COMMITTED, PARENT)[0])
+        assert told(now) == told(table.read(v)) == want != []
+    twice = spark.createDataFrame([(1, START, "a", 1), (1, START, "b", 1)], df.schema)
+    with pytest.raises(Exception, match="t: duplicate keys k"):
+        state.folded_upserts(twice, SPEC, COMMITTED, keep=lambda d: cut(d, ["k"]))
+
+
 def test_a_bucketed_table_goes_when_it_is_discarded(spark):
     before = {t.name for t in spark.catalog.listTables()}
     df = cut(spark.range(10), ["id"])
