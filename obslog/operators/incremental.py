@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslog.operators.changes import change_range, changed_keys, plan_ranges, write_workset
-from obslog.operators.compare import diff_both_ways
+from obslog.operators.compare import diff_by_buckets
 from obslog.operators.control import commit_positions
 from obslog.operators.star import ISSUE_KEY, bridge_issue_label, fact_issue
 from obslog.operators.state import replace_keys, replace_workset
 from obslog.schemas import ISSUES, RELATIONS
+from obslog.sources.folder import cut
 from obslog.sources.store import VersionedTable, replace_in
 
 
@@ -23,8 +24,8 @@ def of_workset(rows: DataFrame, workset: DataFrame, keys: Sequence[str] = ISSUE_
 
 
 def fact_incremental(fact: DataFrame, issues: DataFrame, workset: DataFrame) -> DataFrame:
-    """The fact with the workset's issues merged in by issue_key."""
-    return replace_keys(fact, fact_issue(of_workset(issues, workset)), ["issue_key"])
+    """The fact with the workset's issues merged in by issue_key, that is by the three columns it is the digest of: they are short, and issues may lie in their buckets."""
+    return replace_keys(fact, fact_issue(of_workset(issues, workset)), ISSUE_KEY)
 
 
 def bridge_incremental(bridge: DataFrame, relations: DataFrame, workset: DataFrame) -> DataFrame:
@@ -48,10 +49,10 @@ def incremental_batch(fact: DataFrame, bridge: DataFrame, issues: DataFrame, rel
 
     issues and relations are the current state at the end of the ranges (tables `issues` and `relations`)."""
     feeds = [(change_range(issue_feed, *ranges["issues"]), ISSUES), (change_range(relation_feed, *ranges["relations"]), RELATIONS)]
-    workset = changed_keys(feeds, ISSUE_KEY)
+    workset = cut(changed_keys(feeds, ISSUE_KEY), ISSUE_KEY)
     new_fact, new_bridge = fact_incremental(fact, issues, workset), bridge_incremental(bridge, relations, workset)
     return Batch(
-        workset, new_fact, new_bridge, diff_both_ways(new_fact, fact_issue(issues), ["source_run_id"]), diff_both_ways(new_bridge, bridge_issue_label(relations), [])
+        workset, new_fact, new_bridge, diff_by_buckets(new_fact, fact_issue(issues), ISSUE_KEY, ["source_run_id"]), diff_by_buckets(new_bridge, bridge_issue_label(relations), ISSUE_KEY)
     )
 
 
@@ -142,7 +143,7 @@ def publish_batch(
     fact = replace_in(models.fact, workset, fact_issue(of_workset(at_end("issues"), workset)), version)
     bridge = replace_in(models.bridge, workset, bridge_issue_label(of_workset(at_end("relations"), workset)), version)
     full_fact, full_bridge = fact_issue(issues.read(current["issues"])), bridge_issue_label(relations.read(current["relations"]))
-    for name, differences in (("fact", diff_both_ways(models.fact.preview(fact), full_fact, ["source_run_id"])), ("bridge", diff_both_ways(models.bridge.preview(bridge), full_bridge))):
+    for name, differences in (("fact", diff_by_buckets(models.fact.preview(fact), full_fact, ISSUE_KEY, ["source_run_id"])), ("bridge", diff_by_buckets(models.bridge.preview(bridge), full_bridge, ISSUE_KEY))):
         if not differences.isEmpty():
             raise RefusedBatch(f"the {name} differs from a full build")
     if before_commit:

@@ -71,6 +71,23 @@ def test_states_at_each_version_are_those_of_the_versions_so_far(spark, tmp_path
         state.folded_upserts(twice, SPEC, COMMITTED, keep=lambda d: cut(d, ["k"]))
 
 
+def test_a_batch_of_issues_in_buckets_exchanges_neither_model_nor_differences(spark, log):  # noqa: F811
+    rows = entities.newest_written(log({"p": payload(5, labels=[label("a")]), "issue": 5}, {"p": payload(6, labels=[]), "issue": 6}))
+    issues, relations = [cut(entities.entity_table(rows, kind), star.ISSUE_KEY) for kind in ("issues", "relations")]
+    feeds = [df.limit(1).withColumns({"_change_type": F.lit("insert"), "_commit_version": F.lit(2).cast("long"), "_commit_timestamp": F.current_timestamp()}) for df in (issues, relations)]
+    fact, bridge = star.fact_issue(issues.where("issue_id < 0")), star.bridge_issue_label(relations.where("issue_id < 0"))
+    batch = incremental.incremental_batch(fact, bridge, issues, relations, *feeds, {"issues": (2, 2), "relations": (2, 2)})
+    assert batch.workset.count() in (1, 2) and batch.bridge.count() == 1 and batch.bridge_differences.count() == 0
+    assert batch.fact_differences.count() == 2 - batch.fact.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        batch = incremental.incremental_batch(fact, bridge, issues, relations, *feeds, {"issues": (2, 2), "relations": (2, 2)})
+        for df in (batch.fact, batch.bridge, batch.bridge_differences):
+            assert "Exchange" not in plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_bucketed_table_goes_when_it_is_discarded(spark):
     before = {t.name for t in spark.catalog.listTables()}
     df = cut(spark.range(10), ["id"])
