@@ -46,6 +46,14 @@ def frozen_input(log: DataFrame, manifest: DataFrame) -> DataFrame:
     return log.join(allowed, inside).drop("_owner", "_name", "_version", "_allowed")
 
 
+def marked_input(log: DataFrame, manifest: DataFrame, mark: str = "frozen") -> DataFrame:
+    """All of the log, and whether a row is in the frozen input of any of the manifests."""
+    runs = manifest.select(F.col("repository_owner").alias("_owner"), F.col("repository_name").alias("_name"), F.col("bronze_version").alias("_version"), F.explode("successful_run_ids").alias("_allowed"))
+    runs = runs.groupBy("_owner", "_name", "_allowed").agg(F.max("_version").alias("_version"))
+    inside = (F.col("repository_owner") == F.col("_owner")) & (F.col("repository_name") == F.col("_name")) & (F.col("_run_id") == F.col("_allowed"))
+    return log.join(runs, inside, "left").withColumn(mark, F.coalesce(F.col("_commit_version") <= F.col("_version"), F.lit(False))).drop("_owner", "_name", "_version", "_allowed")
+
+
 def missing_runs(log: DataFrame, manifest: DataFrame) -> DataFrame:
     """(manifest_id, run_id) of the allow-listed runs that have no row in the frozen input."""
     wanted = manifest.select("manifest_id", F.explode("successful_run_ids").alias("run_id"))
@@ -70,9 +78,17 @@ def replay(observations: DataFrame, manifest_id: Column, execution_id: Column, k
 
     The input is read and parsed once: what `newest_of_each` gives of these tables is written, and they
     are read off it. A malformed observation, however old and in whatever table, fails it before any table is there."""
-    newest = E.newest_written(observations, kinds=kinds)
-    tables = {k: E.entity_table(newest, k) for k in kinds}
-    return {k: v.withColumn("manifest_id", manifest_id).withColumn("replay_execution_id", execution_id) for k, v in tables.items()}
+    return _tables(E.newest_written(observations, kinds=kinds), manifest_id, execution_id, kinds)
+
+
+def replay_marked(observations: DataFrame, mark: str, manifest_id: Column, execution_id: Column, kinds: Sequence[str] = tuple(E.KINDS)) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(the replay of the marked observations, the replay of all of them): two of `replay` from one read, one parse and one exchange."""
+    newest = E.newest_written(observations, kinds=kinds, within=mark)
+    return _tables(newest.where(F.col(mark)), manifest_id, execution_id, kinds), _tables(newest.where("_newest"), manifest_id, execution_id, kinds)
+
+
+def _tables(newest: DataFrame, manifest_id: Column, execution_id: Column, kinds: Sequence[str]) -> dict[str, DataFrame]:
+    return {k: E.entity_table(newest, k).withColumn("manifest_id", manifest_id).withColumn("replay_execution_id", execution_id) for k in kinds}
 
 
 def write_replay(tables: dict[str, DataFrame], path: str) -> dict[str, int]:

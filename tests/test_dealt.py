@@ -88,6 +88,24 @@ def test_a_batch_of_issues_in_buckets_exchanges_neither_model_nor_differences(sp
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_marked_and_whole_replays_come_from_one_ranking(spark, log):  # noqa: F811
+    rows = seen_twice(log).withColumn("_commit_version", F.right("_run_id", F.lit(1)).cast("long"))
+    manifest = rows.limit(1).select("repository_owner", "repository_name", F.lit("m").alias("manifest_id"), F.lit(1).cast("long").alias("bronze_version"), F.array(F.lit("run-1"), F.lit("run-2")).alias("successful_run_ids"))
+    ids = F.lit("m"), F.lit("x")
+    again, live = versions.replay_marked(versions.marked_input(rows, manifest), "frozen", *ids)
+    keys = {k: SPECS.get(k, RELATIONS).keys for k in live}
+    want = versions.replay(versions.frozen_input(rows, manifest), *ids)
+    assert {k: told(v) for k, v in again.items()} == {k: told(v) for k, v in want.items()}
+    report = {r.table_name: (r.left_only, r.right_only) for r in compare.compare_report(again, live, keys, {k: ("source_run_id",) for k in keys}).collect()}
+    for name in keys:
+        both = compare.diff_both_ways(again[name], live[name], ("source_run_id",)).collect()
+        assert report[name] == tuple(sum(r.n for r in both if r.side == side) for side in ("left", "right")), name
+    assert report["relations"] != (0, 0) == report["users"]
+    one = cut(entities.entity_table(entities.newest_written(rows, within="source_run_id"), "relations"), star.ISSUE_KEY)
+    net = compare.count_differences(one, one.where("label_id > 301"), RELATIONS.keys, dealt=True)
+    assert plan(net).count("Exchange hashpartitioning") == 0 and tuple(net.first()) == (one.where("label_id = 301").count(), 0)
+
+
 def test_a_bucketed_table_goes_when_it_is_discarded(spark):
     before = {t.name for t in spark.catalog.listTables()}
     df = cut(spark.range(10), ["id"])
