@@ -12,11 +12,26 @@ ISSUE_KEY = ("repository_owner", "repository_name", "issue_id")
 CALENDAR = ("2008-01-01", "2035-12-31")
 
 
+LABEL_KEY = ("repository_owner", "repository_name", "label_id")
+
+
+def issue_key() -> Column:
+    return hash_key(*ISSUE_KEY).alias("issue_key")
+
+
+def label_key() -> Column:
+    return hash_key(*LABEL_KEY).alias("label_key")
+
+
+def repository_key() -> Column:
+    return hash_key("repository_owner", "repository_name").alias("repository_key")
+
+
 def fact_columns() -> list[Column]:
     """The columns of the issue fact; the full and the incremental build both take them from here."""
     return [
-        hash_key(*ISSUE_KEY).alias("issue_key"),
-        hash_key("repository_owner", "repository_name").alias("repository_key"),
+        issue_key(),
+        repository_key(),
         hash_key("author_user_id").alias("author_key"),
         date_key("created_at").alias("created_date_key"),
         date_key("updated_at").alias("updated_date_key"),
@@ -30,8 +45,7 @@ def fact_issue(issues: DataFrame) -> DataFrame:
 
 
 def bridge_columns() -> list[Column]:
-    key = ("repository_owner", "repository_name", "label_id")
-    return [hash_key(*ISSUE_KEY).alias("issue_key"), hash_key(*key).alias("label_key"), *[F.col(c) for c in (*ISSUE_KEY, "label_id")]]
+    return [issue_key(), label_key(), *[F.col(c) for c in (*ISSUE_KEY, "label_id")]]
 
 
 def bridge_issue_label(relations: DataFrame) -> DataFrame:
@@ -39,7 +53,7 @@ def bridge_issue_label(relations: DataFrame) -> DataFrame:
 
 
 def dim_repository(issues: DataFrame) -> DataFrame:
-    return issues.select("repository_owner", "repository_name").distinct().select(hash_key("repository_owner", "repository_name").alias("repository_key"), "repository_owner", "repository_name")
+    return issues.select("repository_owner", "repository_name").distinct().select(repository_key(), "repository_owner", "repository_name")
 
 
 def dim_user(users: DataFrame) -> DataFrame:
@@ -47,8 +61,7 @@ def dim_user(users: DataFrame) -> DataFrame:
 
 
 def dim_label(labels: DataFrame) -> DataFrame:
-    key = ("repository_owner", "repository_name", "label_id")
-    return labels.select(hash_key(*key).alias("label_key"), *key, "name", "color", "description", "is_default")
+    return labels.select(label_key(), *LABEL_KEY, "name", "color", "description", "is_default")
 
 
 def dim_date(spark: SparkSession, start: str = CALENDAR[0], end: str = CALENDAR[1]) -> DataFrame:

@@ -729,10 +729,12 @@ def issues_per_month(spark, sf_dir):
 @query
 def key_agreement(spark, sf_dir):
     """Relations whose keys, by the bridge's formula, are keys of the fact and of the label dimension, by theirs."""
-    newest = entities.newest_written(_log(spark, sf_dir), kinds=("issues", "labels", "relations"))
+    newest = entities.newest_written(_log(spark, sf_dir), kinds=("issues", "labels", "relations"), columns={"issues": [], "labels": []})
     issues, seen, relations = [entities.entity_table(newest, kind) for kind in ("issues", "labels", "relations")]
-    fact, labels, bridge = star.fact_issue(issues), star.dim_label(seen), star.bridge_issue_label(relations)
-    known = bridge.join(fact.select("issue_key", "repository_key"), "issue_key").join(labels.select("label_key"), "label_key")
+    # keys are exchanged as bytes, and the bridge's label key is told once the issue's is known
+    fact = issues.select(F.unhex(star.issue_key()).alias("of_issue"), star.repository_key())
+    known = relations.select("*", F.unhex(star.issue_key()).alias("of_issue")).join(fact, "of_issue").select(*star.LABEL_KEY, "repository_key")
+    known = known.withColumn("of_label", F.unhex(star.label_key())).join(seen.select(F.unhex(star.label_key()).alias("of_label")), "of_label")
     return known.groupBy("repository_owner", "repository_name", "repository_key").agg(F.count("*").alias("n_relations"))
 
 
