@@ -717,8 +717,8 @@ def top_authors(spark, sf_dir):
 
 @query
 def issues_per_label(spark, sf_dir):
-    rows = _log(spark, sf_dir)
-    return star.issues_per_label(star.bridge_issue_label(entities.relations_of(_scope(rows))), star.dim_label(entities.latest_labels(rows)))
+    newest = entities.newest_written(_log(spark, sf_dir), kinds=("labels", "relations"), columns={"labels": ["name"]})
+    return star.issues_per_label(star.bridge_issue_label(entities.entity_table(newest, "relations")), entities.entity_table(newest, "labels"))
 
 
 @query
